@@ -1,0 +1,7 @@
+"""Streaming surface.
+
+The warehouse this project reproduces is batch only: one yearly file is
+cleaned and loaded, then queried.  There is no stream, watermark or state to
+carry over, so this package holds only the incremental file loader that
+appends newly arrived incident files through the same batch plan.
+"""

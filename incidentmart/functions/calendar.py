@@ -86,7 +86,7 @@ def parse_date(year: Column | str, month: Column | str, day: Column | str) -> Co
     y, m, d = _c(year), _c(month), _c(day)
     text = F.concat_ws("-", F.lpad(y.cast("string"), 4, "0"), m.cast("string"), d.cast("string"))
     ok = (y >= 1) & (y <= 9999) & (m >= 1) & (d >= 1)
-    return F.when(ok, F.try_to_date(text, F.lit("yyyy-M-d")))
+    return F.when(ok, F.try_to_date(text, "yyyy-M-d"))
 
 
 __all__ = [

@@ -55,3 +55,28 @@ def lookup_keys(fact: DataFrame, dim: DataFrame, natural: list[str] | dict[str,
     right = right.toDF(key_name, *[f"__n{i}" for i in range(len(pairs))])
     cond = null_safe_condition(fact, right, [(lc, f"__n{i}") for i, (lc, _) in enumerate(pairs)])
     return fact.join(right, cond, "left").drop(*[f"__n{i}" for i in range(len(pairs))])
+
+
+def distinct_projections(df: DataFrame, specs: dict[str, list[str]]) -> dict[str, DataFrame]:
+    """A12 for several column sets in ONE scan of ``df`` (GROUPING SETS).
+
+    One aggregate with a grouping set per dimension replaces one DISTINCT
+    job per dimension; ``grouping_id`` tells the sets apart, so a genuine
+    NULL attribute is never confused with a rolled-up column.  The combined
+    result holds only distinct dimension rows; it is persisted because each
+    dimension reads it.
+    """
+    all_cols: list[str] = []
+    for cols in specs.values():
+        for c in cols:
+            if c not in all_cols:
+                all_cols.append(c)
+    n = len(all_cols)
+    sets = [[F.col(c) for c in cols] for cols in specs.values()]
+    grouped = df.groupingSets(sets, *[F.col(c) for c in all_cols]).agg(
+        F.grouping_id().alias("__gid")).persist()
+    out = {}
+    for name, cols in specs.items():
+        gid = sum(1 << (n - 1 - i) for i, c in enumerate(all_cols) if c not in cols)
+        out[name] = grouped.filter(F.col("__gid") == gid).select(*cols)
+    return out

@@ -8,11 +8,13 @@ arithmetic so they round half away from zero exactly:
 
 from __future__ import annotations
 
-DIM_DATE_CTE = """
-days AS (
+
+def dim_date_cte(name: str, first: str, last: str) -> str:
+    return f"""
+{name}_days AS (
     SELECT CAST(d AS DATE) AS full_date
-    FROM generate_series(DATE '2024-01-01', DATE '2024-12-31', INTERVAL 1 DAY) AS t(d)
-), dim_fecha AS (
+    FROM generate_series(DATE '{first}', DATE '{last}', INTERVAL 1 DAY) AS t(d)
+), {name} AS (
     SELECT
         CAST(strftime(full_date, '%Y%m%d') AS BIGINT) AS date_key,
         full_date,
@@ -33,9 +35,12 @@ days AS (
             WHEN 7 THEN 'Domingo'
         END AS dia_semana_nombre,
         isodow(full_date) IN (6, 7) AS es_fin_semana
-    FROM days
+    FROM {name}_days
 )"""
 
+
+DIM_DATE_CTE = dim_date_cte("dim_fecha", "2024-01-01", "2024-12-31")
+
 DIM_TIME_CTE = """
 hm AS (
     SELECT h.h, m.m FROM range(0, 24) AS h(h) CROSS JOIN range(0, 60) AS m(m)
@@ -64,10 +69,52 @@ ev AS (
     WHERE ts >= TIMESTAMP '2024-01-01 00:00:00' AND ts < TIMESTAMP '2025-01-01 00:00:00'
 )"""
 
+ORDERS_MEASURES = """COUNT(*) AS total_orders,
+           SUM(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS total_urgent,
+           SUM(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS total_finished"""
+
+EVENT_SUMS = """CAST(SUM(num_events) AS BIGINT) AS total_events,
+           CAST(SUM(is_error) AS BIGINT) AS total_errors,
+           CAST(SUM(is_purchase) AS BIGINT) AS total_purchases"""
+
 BAND_ORD = """CASE banda_horaria WHEN 'Madrugada' THEN 1 WHEN 'Mañana' THEN 2
         WHEN 'Tarde' THEN 3 WHEN 'Noche' THEN 4 ELSE 5 END"""
 
-ORACLE = {}
+
+def rounded(a: str, b: str, scale: int, mult: int = 1) -> str:
+    """round(mult * a / b, scale), half away from zero, NULL when b = 0."""
+    s = 10 ** scale
+    return (f"CASE WHEN ({b}) = 0 OR ({b}) IS NULL OR ({a}) IS NULL THEN NULL ELSE "
+            f"CAST(sign({a}) * ((2 * abs({a}) * {mult * s} + ({b})) // (2 * ({b}))) AS DOUBLE) / {s} END")
+
+
+ORDERS_CAL = "o_orderdate >= TIMESTAMP '1990-01-01 00:00:00' AND o_orderdate < TIMESTAMP '2010-01-01 00:00:00'"
+
+ORDERS_BASE_CTE = f"""
+ob AS (
+    SELECT o.o_orderkey, o.o_orderstatus, o.o_orderpriority,
+           CAST(strftime(CAST(o.o_orderdate AS DATE), '%Y%m%d') AS BIGINT) AS date_key,
+           1 AS num_orders,
+           CASE WHEN o.o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS is_urgent,
+           CASE WHEN o.o_orderstatus = 'F' THEN 1 ELSE 0 END AS is_finished,
+           n.n_nationkey, r.r_name, n.n_name, c.c_mktsegment
+    FROM orders o
+    JOIN customer c ON o.o_custkey = c.c_custkey
+    JOIN nation n ON c.c_nationkey = n.n_nationkey
+    JOIN region r ON n.n_regionkey = r.r_regionkey
+    WHERE {ORDERS_CAL}
+), fk AS (
+    SELECT CAST(o_orderkey AS BIGINT) AS source_row_id, date_key,
+           CAST(DENSE_RANK() OVER (ORDER BY n_nationkey, r_name, n_name, c_mktsegment) AS BIGINT) AS location_key,
+           CAST(DENSE_RANK() OVER (ORDER BY o_orderstatus, o_orderpriority) AS BIGINT) AS descriptor_key,
+           CAST(DENSE_RANK() OVER (ORDER BY c_mktsegment, o_orderpriority) AS BIGINT) AS profile_key,
+           CAST(num_orders AS BIGINT) AS num_orders, CAST(is_urgent AS BIGINT) AS is_urgent,
+           CAST(is_finished AS BIGINT) AS is_finished,
+           n_nationkey, r_name, n_name, c_mktsegment, o_orderstatus, o_orderpriority
+    FROM ob
+)"""
+
+ORACLE: dict[str, str] = {}
 
 ORACLE["dim_date"] = f"WITH {DIM_DATE_CTE} SELECT * FROM dim_fecha"
 
@@ -79,12 +126,67 @@ SELECT * FROM jan
 UNION ALL
 SELECT * FROM dim_fecha WHERE date_key NOT IN (SELECT date_key FROM jan)"""
 
+ORACLE["entity_ranking"] = f"""WITH {EVENTS_FACT_CTE},
+agg AS (
+    SELECT n.n_name, {EVENT_SUMS}
+    FROM ev JOIN customer c ON ev.user_id = c.c_custkey
+            JOIN nation n ON c.c_nationkey = n.n_nationkey
+            JOIN region r ON n.n_regionkey = r.r_regionkey
+    GROUP BY n.n_name
+), top AS (
+    SELECT * FROM agg ORDER BY total_events DESC, n_name ASC LIMIT 10
+)
+SELECT CAST(RANK() OVER (ORDER BY total_events DESC) AS BIGINT) AS ranking, n_name,
+       total_events, total_errors, total_purchases,
+       {rounded('total_errors', 'total_events', 4)} AS errors_per_event,
+       {rounded('total_purchases', 'total_events', 4)} AS purchases_per_event
+FROM top"""
+
+ORACLE["month_trend"] = f"""WITH m AS (
+    SELECT CAST(month(o_orderdate) AS BIGINT) AS mes_numero,
+           CASE month(o_orderdate)
+               WHEN 1 THEN 'Enero' WHEN 2 THEN 'Febrero' WHEN 3 THEN 'Marzo'
+               WHEN 4 THEN 'Abril' WHEN 5 THEN 'Mayo' WHEN 6 THEN 'Junio'
+               WHEN 7 THEN 'Julio' WHEN 8 THEN 'Agosto' WHEN 9 THEN 'Septiembre'
+               WHEN 10 THEN 'Octubre' WHEN 11 THEN 'Noviembre' WHEN 12 THEN 'Diciembre'
+           END AS mes_nombre,
+           {ORDERS_MEASURES}
+    FROM orders
+    WHERE o_orderdate >= TIMESTAMP '2000-01-01 00:00:00' AND o_orderdate < TIMESTAMP '2001-01-01 00:00:00'
+    GROUP BY 1, 2
+), l AS (
+    SELECT *, LAG(total_orders) OVER (ORDER BY mes_numero) AS prev FROM m
+)
+SELECT mes_numero, mes_nombre, CAST(total_orders AS BIGINT) AS total_orders,
+       CAST(total_urgent AS BIGINT) AS total_urgent, CAST(total_finished AS BIGINT) AS total_finished,
+       CAST(prev AS BIGINT) AS prev_total_orders,
+       CAST(total_orders - prev AS BIGINT) AS change_orders,
+       {rounded('(total_orders - prev)', 'prev', 2, 100)} AS pct_change_orders
+FROM l"""
+
+MOVING_CTE = f"""d AS (
+    SELECT CAST(o_orderdate AS DATE) AS full_date, COUNT(*) AS total_orders
+    FROM orders WHERE {ORDERS_CAL}
+    GROUP BY 1
+), w AS (
+    SELECT *, SUM(total_orders) OVER win AS s, COUNT(total_orders) OVER win AS c
+    FROM d WINDOW win AS (ORDER BY full_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
+), ma AS (
+    SELECT full_date, CAST(total_orders AS BIGINT) AS total_orders,
+           {rounded('s', 'c', 2)} AS moving_avg_7
+    FROM w
+)"""
+
+ORACLE["moving_average_7"] = f"WITH {MOVING_CTE} SELECT * FROM ma"
+
+ORACLE["series_long"] = f"""WITH {MOVING_CTE}
+SELECT full_date, 'total_orders' AS variable, CAST(total_orders AS DOUBLE) AS value FROM ma
+UNION ALL
+SELECT full_date, 'moving_avg_7', moving_avg_7 FROM ma"""
+
 ORACLE["weekday_band_profile"] = f"""WITH {DIM_DATE_CTE}, {DIM_TIME_CTE}, {EVENTS_FACT_CTE},
 prof AS (
-    SELECT d.dia_semana_numero, d.dia_semana_nombre, t.banda_horaria,
-           CAST(SUM(num_events) AS BIGINT) AS total_events,
-           CAST(SUM(is_error) AS BIGINT) AS total_errors,
-           CAST(SUM(is_purchase) AS BIGINT) AS total_purchases
+    SELECT d.dia_semana_numero, d.dia_semana_nombre, t.banda_horaria, {EVENT_SUMS}
     FROM ev JOIN dim_fecha d ON ev.date_key = d.date_key
             JOIN dim_tiempo t ON ev.time_key = t.time_key
     GROUP BY d.dia_semana_numero, d.dia_semana_nombre, t.banda_horaria
@@ -109,3 +211,259 @@ SELECT CAST(weekdays.dia_semana_numero AS BIGINT) AS dia_semana_numero, weekdays
        CAST(MAX(CASE WHEN banda_horaria = 'Sin especificar' THEN total_events END) AS BIGINT) AS "Sin especificar"
 FROM weekdays LEFT JOIN prof ON prof.dia_semana_numero = weekdays.dia_semana_numero
 GROUP BY weekdays.dia_semana_numero, weekdays.dia_semana_nombre"""
+
+TOP_MEMBERS_CTE = f"""agg AS (
+    SELECT r.r_name, n.n_name, {ORDERS_MEASURES}
+    FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+                  JOIN nation n ON c.c_nationkey = n.n_nationkey
+                  JOIN region r ON n.n_regionkey = r.r_regionkey
+    GROUP BY r.r_name, n.n_name
+), rk AS (
+    SELECT r_name, n_name, CAST(total_orders AS BIGINT) AS total_orders,
+           CAST(total_urgent AS BIGINT) AS total_urgent,
+           CAST(total_finished AS BIGINT) AS total_finished,
+           CAST(ROW_NUMBER() OVER (PARTITION BY r_name ORDER BY total_orders DESC, n_name ASC) AS BIGINT)
+               AS rank_in_region
+    FROM agg
+), top3 AS (SELECT * FROM rk WHERE rank_in_region <= 3)"""
+
+ORACLE["top_members_per_group"] = f"WITH {TOP_MEMBERS_CTE} SELECT * FROM top3"
+
+ORACLE["drilldown"] = f"WITH {TOP_MEMBERS_CTE} SELECT * FROM top3 WHERE r_name = 'AMERICA'"
+
+ORACLE["group_list"] = f"WITH {TOP_MEMBERS_CTE} SELECT DISTINCT r_name FROM top3"
+
+SHARE_SQL = f"""WITH {EVENTS_FACT_CTE},
+agg AS (SELECT event_type, {EVENT_SUMS} FROM ev GROUP BY event_type),
+tot AS (SELECT *, SUM(total_events) OVER () AS t FROM agg)
+SELECT event_type, total_events, total_errors, total_purchases,
+       {rounded('total_events', 't', 2, 100)} AS pct_events
+FROM tot"""
+
+ORACLE["share_of_total"] = SHARE_SQL
+
+ORACLE["mart_round_trip"] = SHARE_SQL
+
+ORACLE["measure_ranking"] = """WITH s AS (
+    SELECT SUM(CAST(l_quantity AS BIGINT)) AS q, SUM(CAST(l_linenumber AS BIGINT)) AS ln,
+           SUM(CAST(round(l_discount * 100) AS BIGINT)) AS d,
+           SUM(CAST(round(l_tax * 100) AS BIGINT)) AS t
+    FROM lineitem
+), u AS (
+    SELECT 'quantity' AS measure, q AS total FROM s
+    UNION ALL SELECT 'line_number', ln FROM s
+    UNION ALL SELECT 'discount_pct', d FROM s
+    UNION ALL SELECT 'tax_pct', t FROM s
+)
+SELECT measure, CAST(total AS BIGINT) AS total,
+       CAST(RANK() OVER (ORDER BY total DESC NULLS FIRST) AS BIGINT) AS ranking
+FROM u"""
+
+ORACLE["kpi"] = f"""WITH {EVENTS_FACT_CTE}
+SELECT CAST(COUNT(*) AS BIGINT) AS fact_rows, CAST(SUM(num_events) AS BIGINT) AS total_events,
+       COALESCE(format('{{:,}}', CAST(SUM(num_events) AS BIGINT)), '0') AS total_events_text
+FROM ev"""
+
+ORACLE["kpi_severity"] = f"""WITH {EVENTS_FACT_CTE}
+SELECT CAST(COUNT(*) AS BIGINT) AS fact_rows, {EVENT_SUMS},
+       COALESCE(format('{{:,}}', CAST(SUM(num_events) AS BIGINT)), '0') AS total_events_text,
+       COALESCE(format('{{:,}}', CAST(SUM(is_error) AS BIGINT)), '0') AS total_errors_text,
+       COALESCE(format('{{:,}}', CAST(SUM(is_purchase) AS BIGINT)), '0') AS total_purchases_text
+FROM ev"""
+
+ORACLE["profile_of_severe"] = f"""WITH {EVENTS_FACT_CTE}
+SELECT c.c_mktsegment, {EVENT_SUMS}
+FROM ev JOIN customer c ON ev.user_id = c.c_custkey
+WHERE ev.event_type IN ('error', 'purchase')
+GROUP BY c.c_mktsegment"""
+
+TOKENS = ", ".join("'" + t + "'" for t in [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
+    "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"])
+
+STRIP = r"regexp_replace(raw, '^[\s\x{00A0}]+|[\s\x{00A0}]+$', '', 'g')"
+
+ORACLE["clean_text"] = f"""WITH r AS (
+    SELECT event_id,
+           CASE event_id % 11
+               WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '   ' WHEN 3 THEN 'NA'
+               WHEN 4 THEN '  ' || event_type || ' '
+               WHEN 5 THEN chr(9) || event_type
+               WHEN 6 THEN event_type || chr(160)
+               WHEN 7 THEN 'null'
+               WHEN 8 THEN ' NA ' || event_type
+               ELSE event_type END AS raw
+    FROM events
+)
+SELECT event_id,
+       CASE WHEN raw IS NULL OR raw IN ({TOKENS}) THEN 'Sin especificar'
+            WHEN {STRIP} = '' THEN 'Sin especificar'
+            ELSE {STRIP} END AS clean_value
+FROM r"""
+
+ORACLE["coerce_numeric"] = """WITH r AS (
+    SELECT event_id,
+           CASE event_id % 7
+               WHEN 0 THEN NULL WHEN 1 THEN 'x'
+               WHEN 2 THEN ' ' || CAST(value AS VARCHAR) || ' '
+               WHEN 3 THEN '-' || CAST(value AS VARCHAR)
+               ELSE CAST(value AS VARCHAR) END AS raw
+    FROM events
+)
+SELECT event_id, COALESCE(CAST(trunc(TRY_CAST(trim(raw) AS DOUBLE)) AS BIGINT), 0) AS value_int
+FROM r"""
+
+ORACLE["parse_date"] = """WITH p AS (
+    SELECT event_id,
+           CASE WHEN event_id % 13 = 0 THEN 2023 ELSE year(ts) END AS y,
+           CASE WHEN event_id % 19 = 0 THEN 0 WHEN event_id % 5 = 0 THEN 2 ELSE month(ts) END AS m,
+           CASE WHEN event_id % 17 = 0 THEN 30 WHEN event_id % 3 = 0 THEN 29 ELSE day(ts) END AS d
+    FROM events
+), v AS (
+    SELECT *, CASE WHEN m BETWEEN 1 AND 12 AND d >= 1
+                    AND d <= day(last_day(make_date(y, greatest(least(m, 12), 1), 1)))
+                   THEN make_date(y, greatest(least(m, 12), 1), greatest(least(d, 28), 1)) + CAST(d - greatest(least(d, 28), 1) AS INTEGER)
+              END AS parsed
+    FROM p
+)
+SELECT event_id, CAST(y AS BIGINT) AS y, CAST(m AS BIGINT) AS m, CAST(d AS BIGINT) AS d,
+       CAST(parsed AS DATE) AS parsed_date, parsed IS NOT NULL AS is_valid
+FROM v"""
+
+ORACLE["time_key_rules"] = f"""WITH {DIM_TIME_CTE}, r AS (
+    SELECT event_id,
+           CASE WHEN event_id % 9 = 0 THEN NULL WHEN event_id % 9 = 1 THEN 99 ELSE hour(ts) END AS h,
+           CASE WHEN event_id % 8 = 0 THEN NULL WHEN event_id % 8 = 1 THEN 99
+                WHEN event_id % 8 = 2 THEN 60 ELSE minute(ts) END AS m
+    FROM events
+), c AS (
+    SELECT event_id, COALESCE(h, 0) AS hora, COALESCE(m, 0) AS minuto FROM r
+), k AS (
+    SELECT *, CASE WHEN hora BETWEEN 0 AND 23 AND minuto BETWEEN 0 AND 59
+                   THEN hora * 100 + minuto ELSE -1 END AS tk
+    FROM c
+)
+SELECT k.event_id, CAST(k.hora AS BIGINT) AS hora, CAST(k.minuto AS BIGINT) AS minuto,
+       CAST(tk AS BIGINT) AS time_key, t.banda_horaria
+FROM k LEFT JOIN dim_tiempo t ON t.time_key = k.tk"""
+
+ORACLE["enrich_left"] = """WITH raw AS (
+    SELECT c.c_custkey,
+           CASE WHEN c.c_custkey % 10 = 0 THEN NULL ELSE n.n_regionkey END AS region_code,
+           CASE WHEN c.c_custkey % 10 = 1 THEN c.c_nationkey + 100 ELSE c.c_nationkey END AS nation_code
+    FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+), regions AS (
+    SELECT r_regionkey AS region_code, r_name AS region_name FROM region
+    UNION ALL SELECT NULL, 'REGION NULA'
+)
+SELECT raw.c_custkey, CAST(raw.region_code AS BIGINT) AS region_code,
+       CAST(raw.nation_code AS BIGINT) AS nation_code,
+       COALESCE(rg.region_name, 'Sin especificar') AS region_name,
+       COALESCE(n.n_name, 'Sin especificar') AS nation_name
+FROM raw
+LEFT JOIN regions rg ON raw.region_code IS NOT DISTINCT FROM rg.region_code
+LEFT JOIN nation n ON raw.region_code IS NOT DISTINCT FROM n.n_regionkey
+                  AND raw.nation_code IS NOT DISTINCT FROM n.n_nationkey"""
+
+ORACLE["dim_location"] = f"""WITH {ORDERS_BASE_CTE}
+SELECT DISTINCT location_key, CAST(n_nationkey AS BIGINT) AS n_nationkey, r_name, n_name, c_mktsegment
+FROM fk"""
+
+ORACLE["dim_descriptor"] = f"""WITH {ORDERS_BASE_CTE}
+SELECT DISTINCT descriptor_key, o_orderstatus, o_orderpriority FROM fk"""
+
+ORACLE["dim_profile"] = f"""WITH {ORDERS_BASE_CTE}
+SELECT DISTINCT profile_key, c_mktsegment, o_orderpriority FROM fk"""
+
+FACT_COLS = ("source_row_id, date_key, location_key, descriptor_key, profile_key, "
+             "num_orders, is_urgent, is_finished")
+
+ORACLE["fact_keyed"] = f"WITH {ORDERS_BASE_CTE} SELECT {FACT_COLS} FROM fk"
+
+ORACLE["load_summary"] = f"""WITH {ORDERS_BASE_CTE}
+SELECT CAST(COUNT(*) AS BIGINT) AS fact_rows, CAST(SUM(num_orders) AS BIGINT) AS total_orders,
+       CAST(SUM(is_urgent) AS BIGINT) AS total_urgent, CAST(SUM(is_finished) AS BIGINT) AS total_finished
+FROM fk"""
+
+ORACLE["null_key_report"] = f"""WITH {ORDERS_BASE_CTE}
+SELECT CAST(COUNT(*) FILTER (WHERE date_key IS NULL) AS BIGINT) AS date_key_nulls,
+       CAST(COUNT(*) FILTER (WHERE location_key IS NULL) AS BIGINT) AS location_key_nulls,
+       CAST(COUNT(*) FILTER (WHERE descriptor_key IS NULL) AS BIGINT) AS descriptor_key_nulls,
+       CAST(COUNT(*) FILTER (WHERE profile_key IS NULL) AS BIGINT) AS profile_key_nulls
+FROM fk"""
+
+ORACLE["top_check"] = f"""WITH {ORDERS_BASE_CTE}
+SELECT n_name, CAST(SUM(num_orders) AS BIGINT) AS total_orders,
+       CAST(SUM(is_urgent) AS BIGINT) AS total_urgent, CAST(SUM(is_finished) AS BIGINT) AS total_finished
+FROM fk GROUP BY n_name ORDER BY total_orders DESC, n_name ASC LIMIT 10"""
+
+
+def _unique(table: str, rel: str, rule: str, keys: str) -> str:
+    return (f"SELECT '{rule}' AS rule, '{table}' AS table_name, "
+            f"CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS violations "
+            f"FROM (SELECT {keys}, COUNT(*) AS n FROM {rel} GROUP BY {keys} HAVING COUNT(*) > 1)")
+
+
+def _count(table: str, rel: str, rule: str, pred: str) -> str:
+    return (f"SELECT '{rule}', '{table}', CAST(COUNT(*) FILTER (WHERE COALESCE({pred}, FALSE)) AS BIGINT) "
+            f"FROM {rel}")
+
+
+def _fk(rel: str, col: str, dim: str, key: str) -> str:
+    return (f"SELECT 'fk:{col}', 'fact', CAST(COUNT(*) AS BIGINT) FROM {rel} x "
+            f"WHERE NOT EXISTS (SELECT 1 FROM {dim} y WHERE y.{key} = x.{col})")
+
+
+_CONSTRAINT_PARTS = [
+    _unique("dim_date", "dd", "pk", "date_key"),
+    _unique("dim_date", "dd", "unique:full_date", "full_date"),
+    _count("dim_date", "dd", "not_null:date_key", "date_key IS NULL"),
+    _count("dim_date", "dd", "not_null:full_date", "full_date IS NULL"),
+    _count("dim_date", "dd", "not_null:mes_nombre", "mes_nombre IS NULL"),
+    _count("dim_date", "dd", "not_null:dia_semana_nombre", "dia_semana_nombre IS NULL"),
+    _count("dim_date", "dd", "range:mes_numero", "NOT (mes_numero BETWEEN 1 AND 12)"),
+    _count("dim_date", "dd", "range:dia_mes", "NOT (dia_mes BETWEEN 1 AND 31)"),
+    _count("dim_date", "dd", "range:trimestre", "NOT (trimestre BETWEEN 1 AND 4)"),
+    _count("dim_date", "dd", "range:dia_semana_numero", "NOT (dia_semana_numero BETWEEN 1 AND 7)"),
+    _unique("dim_time", "dim_tiempo", "pk", "time_key"),
+    _unique("dim_time", "dim_tiempo", "unique:hora_texto", "hora_texto"),
+    _count("dim_time", "dim_tiempo", "range:hora", "NOT (hora BETWEEN -1 AND 23)"),
+    _count("dim_time", "dim_tiempo", "range:minuto", "NOT (minuto BETWEEN -1 AND 59)"),
+    _count("dim_time", "dim_tiempo", "domain:banda_horaria",
+           "banda_horaria NOT IN ('Madrugada', 'Mañana', 'Tarde', 'Noche', 'Sin especificar')"),
+    _unique("dim_location", "loc", "pk", "location_key"),
+    _unique("dim_location", "loc", "unique:natural", "n_nationkey, r_name, n_name, c_mktsegment"),
+    "SELECT 'fd:nation_segment->names', 'dim_location', CAST(COUNT(*) AS BIGINT) FROM ("
+    "SELECT n_nationkey, c_mktsegment FROM loc GROUP BY n_nationkey, c_mktsegment "
+    "HAVING COUNT(DISTINCT (r_name, n_name)) > 1)",
+    _unique("dim_descriptor", "des", "pk", "descriptor_key"),
+    _unique("dim_profile", "pro", "pk", "profile_key"),
+    _unique("fact", "dirty", "pk", "source_row_id"),
+    _count("fact", "dirty", "not_null:date_key", "date_key IS NULL"),
+    _count("fact", "dirty", "not_null:location_key", "location_key IS NULL"),
+    _count("fact", "dirty", "not_null:descriptor_key", "descriptor_key IS NULL"),
+    _count("fact", "dirty", "not_null:profile_key", "profile_key IS NULL"),
+    _count("fact", "dirty", "const:num_orders", "num_orders <> 1"),
+    _count("fact", "dirty", "nonneg:counts", "least(is_urgent, is_finished) < 0"),
+    _count("fact", "dirty", "smallint:counts", "greatest(is_urgent, is_finished) > 32767"),
+    _fk("dirty", "date_key", "dd", "date_key"),
+    _fk("dirty", "location_key", "loc", "location_key"),
+    _fk("dirty", "descriptor_key", "des", "descriptor_key"),
+    _fk("dirty", "profile_key", "pro", "profile_key"),
+]
+
+ORACLE["constraint_report"] = f"""WITH {dim_date_cte('dd', '1990-01-01', '2009-12-31')},
+{DIM_TIME_CTE}, {ORDERS_BASE_CTE},
+loc AS (SELECT DISTINCT location_key, n_nationkey, r_name, n_name, c_mktsegment FROM fk),
+des AS (SELECT DISTINCT descriptor_key, o_orderstatus, o_orderpriority FROM fk),
+pro AS (SELECT DISTINCT profile_key, c_mktsegment, o_orderpriority FROM fk),
+dirty AS (
+    SELECT CASE WHEN source_row_id % 1000 = 7 THEN 1 ELSE source_row_id END AS source_row_id,
+           CASE WHEN source_row_id % 997 = 3 THEN 19000101 ELSE date_key END AS date_key,
+           location_key, descriptor_key, profile_key,
+           CASE WHEN source_row_id % 991 = 5 THEN 2 ELSE num_orders END AS num_orders,
+           CASE WHEN source_row_id % 983 = 11 THEN -1 ELSE is_urgent END AS is_urgent,
+           is_finished
+    FROM fk
+)
+""" + "\nUNION ALL\n".join(_CONSTRAINT_PARTS)

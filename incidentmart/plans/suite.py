@@ -1,50 +1,126 @@
 """Registered queries over the driver test tables.
 
 Each function takes ``(spark, sf_dir)`` and returns a lazy DataFrame that
-reads the given tables; ``__spark_entry__`` exposes them by name.
+reads the given tables; ``__spark_entry__`` exposes them by name.  The
+incident reports run on the analog star defined in :mod:`.teststar`.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import BAND_ORDER, DAY_NAMES
-from ..functions.calendar import band_order
-from ..operators.joins import join_dimension
-from ..operators.measures import sum_measures
-from ..operators.reshape import pivot_matrix
+from ..functions.calendar import band_order, parse_date, time_key
+from ..functions.numbers import coerce_int, format_int
+from ..functions.text import clean_text
+from ..operators import quality as Q
+from ..operators.enrich import left_enrich
+from ..operators.joins import bounded_broadcast, join_dimension
+from ..operators.keys import assign_dense_keys, distinct_projections, lookup_keys
+from ..operators.measures import (distinct_values, drilldown, kpi, moving_average,
+                                  period_change, rank_groups, share_of_total, sum_measures,
+                                  top_k, top_n_per_group)
+from ..operators.reshape import pivot_matrix, series_long, unpivot_totals
+from ..session import checkpoint_dir
 from . import teststar as ts
-from .calendar import date_dim, date_dim_rows, insert_if_absent, time_dim, TIME_DIM_ROWS
+from .calendar import (TIME_DIM_ROWS, date_dim, date_dim_rows, insert_if_absent, time_dim)
 
 
-def _dims(spark):
+def _year_dim(spark):
     return (date_dim(spark, ts.CALENDAR_FIRST, ts.CALENDAR_LAST),
             date_dim_rows(ts.CALENDAR_FIRST, ts.CALENDAR_LAST))
 
 
+def _sums(measures: dict[str, str]) -> dict[str, str]:
+    """Re-aggregate already-summed columns under their report names."""
+    return {name: col for name, col in measures.items()}
+
+
 # ---------------------------------------------------------------- dimensions
 
 def q_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2024 calendar."""
     return date_dim(spark, ts.CALENDAR_FIRST, ts.CALENDAR_LAST)
 
 
 def q_dim_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Minutes of the day plus the unknown member."""
     return time_dim(spark)
 
 
 def q_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """January loaded first, then the whole year inserted if absent."""
+    """January loaded first, then the whole year inserted if absent."""
     january = date_dim(spark, "2024-01-01", "2024-01-31")
     year = date_dim(spark, ts.CALENDAR_FIRST, ts.CALENDAR_LAST)
     return insert_if_absent(january, year, ["date_key"])
 
 
-# ---------------------------------------------------------------- Q4 / Q4b
+# ---------------------------------------------------------------- Q1
+
+def _events_by_nation(spark, sf_dir, event_types=None):
+    """Event measures per customer, aggregating before the customer join."""
+    where = F.col("event_type").isin(*event_types) if event_types else None
+    fact = ts.events_fact(spark, sf_dir, extra=["user_id"], where=where)
+    per_user = ts.pre_aggregate_by_key(fact, "user_id", ts.EVENT_MEASURES)
+    cust = ts.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    return per_user.join(cust, per_user.user_id == cust.c_custkey)
+
+
+def q_entity_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1: nations with most events, error/purchase ratios, top 10 by rank."""
+    per_cust = _events_by_nation(spark, sf_dir)
+    per_nat = per_cust.groupBy("c_nationkey").agg(
+        *[F.sum(c).alias(c) for c in ts.EVENT_MEASURES.values()])
+    names = ts.nation_region(spark, sf_dir)
+    named = per_nat.join(bounded_broadcast(names), per_nat.c_nationkey == names.n_nationkey)
+    agg = sum_measures(named, ["n_name"], ts.EVENT_MEASURES)
+    ranked = rank_groups(agg, "n_name", "total_events", 10, ratios={
+        "errors_per_event": ("total_errors", "total_events", 4),
+        "purchases_per_event": ("total_purchases", "total_events", 4)})
+    return ranked.select("ranking", "n_name", "total_events", "total_errors", "total_purchases",
+                         "errors_per_event", "purchases_per_event").orderBy("ranking", "n_name")
+
+
+# ---------------------------------------------------------------- Q2, Q3, U5
+
+MONTH_TREND_YEAR = ("2000-01-01", "2000-12-31")
+
+
+def q_month_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2: orders of one year by month with previous month, change and %."""
+    first, last = MONTH_TREND_YEAR
+    fact = ts.orders_fact(spark, sf_dir, first, last)
+    ddim = date_dim(spark, first, last).select("date_key", "mes_numero", "mes_nombre")
+    joined = join_dimension(fact, ddim, "date_key", known_rows=date_dim_rows(first, last))
+    agg = sum_measures(joined, ["mes_numero", "mes_nombre"], ts.ORDER_MEASURES)
+    return period_change(agg, "mes_numero", "total_orders", "prev_total_orders",
+                         "change_orders", "pct_change_orders", 2).orderBy("mes_numero")
+
+
+def q_moving_average_7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3: orders per day with a 7-row moving average (days present only)."""
+    first, last = ts.ORDERS_CALENDAR
+    fact = ts.orders_fact(spark, sf_dir, first, last)
+    ddim = date_dim(spark, first, last).select("date_key", "full_date")
+    joined = join_dimension(fact, ddim, "date_key", known_rows=date_dim_rows(first, last))
+    agg = sum_measures(joined, ["full_date"], {"total_orders": "num_orders"})
+    return moving_average(agg, "full_date", "total_orders", "moving_avg_7", 7, 2).orderBy("full_date")
+
+
+def q_series_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily series and its moving average as (day, variable, value)."""
+    return series_long(q_moving_average_7(spark, sf_dir), ["full_date"],
+                       ["total_orders", "moving_avg_7"])
+
+
+# ---------------------------------------------------------------- Q4, Q4b
 
 def q_weekday_band_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q4: events by ISO weekday x time band (both dimensions broadcast)."""
-    ddim, drows = _dims(spark)
+    ddim, drows = _year_dim(spark)
     fact = ts.events_fact(spark, sf_dir)
     joined = join_dimension(fact, ddim.select("date_key", "dia_semana_numero", "dia_semana_nombre"),
                             "date_key", known_rows=drows)
@@ -63,10 +139,377 @@ def q_weekday_band_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
                         DAY_NAMES, BAND_ORDER, row_order="dia_semana_numero")
 
 
+# ---------------------------------------------------------------- Q5, Q5b
+
+def _orders_by_nation(spark, sf_dir):
+    fact = ts.orders_fact(spark, sf_dir, extra=["o_custkey"])
+    per_cust = ts.pre_aggregate_by_key(fact, "o_custkey", ts.ORDER_MEASURES)
+    cust = ts.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    per_nat = (per_cust.join(cust, per_cust.o_custkey == cust.c_custkey)
+               .groupBy("c_nationkey").agg(*[F.sum(c).alias(c) for c in ts.ORDER_MEASURES.values()]))
+    names = ts.nation_region(spark, sf_dir)
+    named = per_nat.join(bounded_broadcast(names), per_nat.c_nationkey == names.n_nationkey)
+    return sum_measures(named, ["r_name", "n_name"], ts.ORDER_MEASURES)
+
+
+def q_top_members_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q5: top 3 nations by orders within each region (ties by name)."""
+    agg = _orders_by_nation(spark, sf_dir)
+    return (top_n_per_group(agg, ["r_name"], "n_name", "total_orders", 3, "rank_in_region")
+            .orderBy("r_name", "rank_in_region"))
+
+
+DRILLDOWN_REGION = "AMERICA"
+
+
+def q_drilldown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The top-3 list of one region, ascending for presentation."""
+    return drilldown(q_top_members_per_group(spark, sf_dir), "r_name", DRILLDOWN_REGION,
+                     "total_orders")
+
+
+def q_group_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sorted list of regions offered for drill-down."""
+    return distinct_values(q_top_members_per_group(spark, sf_dir), "r_name")
+
+
+# ---------------------------------------------------------------- Q6, Q7
+
+def q_share_of_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6: share of events per event type (percent, 2 decimals)."""
+    fact = ts.events_fact(spark, sf_dir, extra=["event_type"])
+    agg = sum_measures(fact, ["event_type"], ts.EVENT_MEASURES)
+    return (share_of_total(agg, "total_events", "pct_events", 2)
+            .orderBy(F.col("total_events").desc_nulls_first(), "event_type"))
+
+
+def q_measure_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q7: totals of four lineitem counters, one row each, ranked."""
+    li = ts.table(spark, sf_dir, "lineitem")
+    cols = [
+        ("quantity", F.col("l_quantity").cast("bigint")),
+        ("line_number", F.col("l_linenumber").cast("bigint")),
+        ("discount_pct", F.round(F.col("l_discount") * 100).cast("bigint")),
+        ("tax_pct", F.round(F.col("l_tax") * 100).cast("bigint")),
+    ]
+    return unpivot_totals(li, cols, "measure", "total", "ranking") \
+        .orderBy(F.col("total").desc_nulls_first(), "measure")
+
+
+# ---------------------------------------------------------------- KPIs, Q8
+
+def q_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: fact rows and event total, plus the display string."""
+    fact = ts.events_fact(spark, sf_dir)
+    out = kpi(fact, {"total_events": "num_events"}, count_name="fact_rows")
+    return out.withColumn("total_events_text", format_int("total_events"))
+
+
+def q_kpi_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 (own definition): KPI with the two severity-like totals."""
+    fact = ts.events_fact(spark, sf_dir)
+    out = kpi(fact, ts.EVENT_MEASURES, count_name="fact_rows")
+    return out.select("*", *[format_int(c).alias(f"{c}_text") for c in ts.EVENT_MEASURES])
+
+
+def q_profile_of_severe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q8 (own definition): error and purchase events by customer segment.
+
+    The event-type predicate is written on the raw column, so it reaches the
+    Parquet scan as a pushed ``IN`` filter (the partial-index predicate P12).
+    """
+    per_cust = _events_by_nation(spark, sf_dir, event_types=["error", "purchase"])
+    return sum_measures(per_cust, ["c_mktsegment"], ts.EVENT_MEASURES).orderBy("c_mktsegment")
+
+
+# ---------------------------------------------------------------- dirty-data rules
+
+def _dirty_events(spark, sf_dir):
+    return ts.table(spark, sf_dir, "events")
+
+
+def q_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing tokens, blanks, TAB and NBSP edges cleaned to labels."""
+    ev = _dirty_events(spark, sf_dir)
+    k = F.col("event_id") % 11
+    et = F.col("event_type")
+    raw = (F.when(k == 0, F.lit(None).cast("string"))
+           .when(k == 1, F.lit(""))
+           .when(k == 2, F.lit("   "))
+           .when(k == 3, F.lit("NA"))
+           .when(k == 4, F.concat(F.lit("  "), et, F.lit(" ")))
+           .when(k == 5, F.concat(F.lit("\t"), et))
+           .when(k == 6, F.concat(et, F.lit("\u00a0")))
+           .when(k == 7, F.lit("null"))
+           .when(k == 8, F.concat(F.lit(" NA "), et))
+           .otherwise(et))
+    return ev.select("event_id", clean_text(raw).alias("clean_value"))
+
+
+def q_coerce_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text -> number -> 0 when missing -> truncated integer."""
+    ev = _dirty_events(spark, sf_dir)
+    k = F.col("event_id") % 7
+    v = F.col("value").cast("string")
+    raw = (F.when(k == 0, F.lit(None).cast("string"))
+           .when(k == 1, F.lit("x"))
+           .when(k == 2, F.concat(F.lit(" "), v, F.lit(" ")))
+           .when(k == 3, F.concat(F.lit("-"), v))
+           .otherwise(v))
+    return ev.select("event_id", coerce_int(raw).alias("value_int"))
+
+
+def q_parse_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates from parts; impossible dates (Feb 30, month 0, 2023-02-29) are NULL."""
+    ev = _dirty_events(spark, sf_dir)
+    eid = F.col("event_id")
+    y = F.when(eid % 13 == 0, F.lit(2023)).otherwise(F.year("ts"))
+    m = (F.when(eid % 19 == 0, F.lit(0))
+         .when(eid % 5 == 0, F.lit(2))
+         .otherwise(F.month("ts")))
+    d = F.when(eid % 17 == 0, F.lit(30)).when(eid % 3 == 0, F.lit(29)).otherwise(F.dayofmonth("ts"))
+    out = ev.select("event_id", y.alias("y"), m.alias("m"), d.alias("d"))
+    return out.withColumn("parsed_date", parse_date("y", "m", "d")) \
+        .withColumn("is_valid", F.col("parsed_date").isNotNull())
+
+
+def q_time_key_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing parts -> 0 before the range test, out of range -> -1."""
+    ev = _dirty_events(spark, sf_dir)
+    eid = F.col("event_id")
+    h_raw = (F.when(eid % 9 == 0, F.lit(None).cast("string"))
+             .when(eid % 9 == 1, F.lit("99"))
+             .otherwise(F.hour("ts").cast("string")))
+    m_raw = (F.when(eid % 8 == 0, F.lit(None).cast("string"))
+             .when(eid % 8 == 1, F.lit("99"))
+             .when(eid % 8 == 2, F.lit("60"))
+             .otherwise(F.minute("ts").cast("string")))
+    base = ev.select("event_id", coerce_int(h_raw).alias("hora"), coerce_int(m_raw).alias("minuto"))
+    keyed = base.withColumn("time_key", time_key("hora", "minuto"))
+    tdim = time_dim(spark).select(F.col("time_key").cast("bigint").alias("time_key"), "banda_horaria")
+    return join_dimension(keyed, tdim, "time_key", how="left", known_rows=TIME_DIM_ROWS)
+
+
+def q_enrich_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two-level code enrichment keeping every row.
+
+    Customer rows carry a region code and a (region, nation) code pair like
+    an incident row carries entity and municipality codes.  Some codes are
+    blanked or made unknown; the region catalog has a NULL-code row, which a
+    NULL code matches.
+    """
+    cust = ts.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nation = ts.table(spark, sf_dir, "nation")
+    raw = cust.join(bounded_broadcast(nation.select("n_nationkey", "n_regionkey")),
+                    cust.c_nationkey == nation.n_nationkey)
+    k = F.col("c_custkey") % 10
+    raw = raw.select(
+        "c_custkey",
+        F.when(k == 0, F.lit(None).cast("int")).otherwise(F.col("n_regionkey")).alias("region_code"),
+        F.when(k == 1, F.col("c_nationkey") + 100).otherwise(F.col("c_nationkey")).alias("nation_code"))
+    regions = ts.table(spark, sf_dir, "region").select(
+        F.col("r_regionkey").alias("region_code"), F.col("r_name").alias("region_name"))
+    regions = regions.unionByName(spark.createDataFrame(
+        [(None, "REGION NULA")], "region_code int, region_name string"))
+    nations = nation.select(F.col("n_regionkey").alias("region_code"),
+                            F.col("n_nationkey").alias("nation_code"),
+                            F.col("n_name").alias("nation_name"))
+    out = left_enrich(raw, regions, ["region_code"], ["region_name"], name="region catalog")
+    out = left_enrich(out, nations, ["region_code", "nation_code"], ["nation_name"],
+                      name="nation catalog")
+    return out.select("c_custkey", "region_code", "nation_code",
+                      clean_text("region_name").alias("region_name"),
+                      clean_text("nation_name").alias("nation_name"))
+
+
+# ---------------------------------------------------------------- derived dims, keyed fact
+
+LOCATION_COLS = ["n_nationkey", "r_name", "n_name", "c_mktsegment"]
+DESCRIPTOR_COLS = ["o_orderstatus", "o_orderpriority"]
+PROFILE_COLS = ["c_mktsegment", "o_orderpriority"]
+
+
+def _orders_base(spark, sf_dir):
+    """Orders with the natural attributes of all three derived dimensions."""
+    first, last = ts.ORDERS_CALENDAR
+    od = ts.table(spark, sf_dir, "orders").filter(ts.ts_range("o_orderdate", first, last))
+    od = od.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority",
+                   ts.date_key(F.to_date("o_orderdate")).alias("date_key"),
+                   F.lit(1).alias("num_orders"),
+                   (F.col("o_orderpriority") == "1-URGENT").cast("int").alias("is_urgent"),
+                   (F.col("o_orderstatus") == "F").cast("int").alias("is_finished"))
+    cust = ts.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    names = bounded_broadcast(ts.nation_region(spark, sf_dir))
+    cust = cust.join(names, cust.c_nationkey == names.n_nationkey)
+    return od.join(cust, od.o_custkey == cust.c_custkey)
+
+
+def _derived_dims(spark, sf_dir):
+    base = _orders_base(spark, sf_dir)
+    sets = distinct_projections(base, {"location": LOCATION_COLS,
+                                       "descriptor": DESCRIPTOR_COLS,
+                                       "profile": PROFILE_COLS})
+    return base, {
+        "location": assign_dense_keys(sets["location"], LOCATION_COLS, "location_key"),
+        "descriptor": assign_dense_keys(sets["descriptor"], DESCRIPTOR_COLS, "descriptor_key"),
+        "profile": assign_dense_keys(sets["profile"], PROFILE_COLS, "profile_key"),
+    }
+
+
+def q_dim_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct nation x segment locations with dense keys in sort order."""
+    return _derived_dims(spark, sf_dir)[1]["location"]
+
+
+def q_dim_descriptor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Junk dimension of order status x priority."""
+    return _derived_dims(spark, sf_dir)[1]["descriptor"]
+
+
+def q_dim_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buyer profile (segment x priority)."""
+    return _derived_dims(spark, sf_dir)[1]["profile"]
+
+
+FACT_COLUMNS = ["source_row_id", "date_key", "location_key", "descriptor_key", "profile_key",
+                "num_orders", "is_urgent", "is_finished"]
+
+
+def keyed_fact(spark: SparkSession, sf_dir: str):
+    """Orders with their three surrogate keys resolved."""
+    base, dims = _derived_dims(spark, sf_dir)
+    fact = lookup_keys(base, dims["location"], LOCATION_COLS, "location_key")
+    fact = lookup_keys(fact, dims["descriptor"], DESCRIPTOR_COLS, "descriptor_key")
+    fact = lookup_keys(fact, dims["profile"], PROFILE_COLS, "profile_key")
+    fact = fact.withColumnRenamed("o_orderkey", "source_row_id").select(*FACT_COLUMNS)
+    return fact, dims
+
+
+def q_fact_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keyed_fact(spark, sf_dir)[0]
+
+
+def q_load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row count and measure sums of the keyed fact."""
+    fact = keyed_fact(spark, sf_dir)[0]
+    return kpi(fact, {"total_orders": "num_orders", "total_urgent": "is_urgent",
+                      "total_finished": "is_finished"}, count_name="fact_rows")
+
+
+def q_null_key_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NULL count of every key of the keyed fact."""
+    fact = keyed_fact(spark, sf_dir)[0]
+    return Q.null_counts(fact, ["date_key", "location_key", "descriptor_key", "profile_key"])
+
+
+def q_top_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nations with most orders, through the location dimension."""
+    fact, dims = keyed_fact(spark, sf_dir)
+    loc = dims["location"].select("location_key", "n_name")
+    joined = fact.join(bounded_broadcast(loc), "location_key")
+    agg = sum_measures(joined, ["n_name"], {"total_orders": "num_orders",
+                                            "total_urgent": "is_urgent",
+                                            "total_finished": "is_finished"})
+    return top_k(agg, "total_orders", 10, label="n_name")
+
+
+def q_constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rule of the analog star as a violation count.
+
+    Violations are injected into a copy of the keyed fact (a foreign key
+    outside the calendar, a negative count, a repeated id, a wrong constant)
+    so the report is not all zeros.
+    """
+    fact, dims = keyed_fact(spark, sf_dir)
+    rid = F.col("source_row_id")
+    dirty = fact.select(
+        F.when(rid % 1000 == 7, F.lit(1)).otherwise(rid).alias("source_row_id"),
+        F.when(rid % 997 == 3, F.lit(19000101)).otherwise(F.col("date_key")).alias("date_key"),
+        "location_key", "descriptor_key", "profile_key",
+        F.when(rid % 991 == 5, F.lit(2)).otherwise(F.col("num_orders")).alias("num_orders"),
+        F.when(rid % 983 == 11, F.lit(-1)).otherwise(F.col("is_urgent")).alias("is_urgent"),
+        "is_finished")
+    ddim = date_dim(spark, *ts.ORDERS_CALENDAR)
+    tdim = time_dim(spark)
+    loc, desc, prof = dims["location"], dims["descriptor"], dims["profile"]
+    parts = [
+        Q.unique_rule(ddim, "dim_date", "pk", ["date_key"]),
+        Q.unique_rule(ddim, "dim_date", "unique:full_date", ["full_date"]),
+        Q.row_rules(ddim, "dim_date", {
+            **Q.not_null_rules(["date_key", "full_date", "mes_nombre", "dia_semana_nombre"]),
+            "range:mes_numero": ~F.col("mes_numero").between(1, 12),
+            "range:dia_mes": ~F.col("dia_mes").between(1, 31),
+            "range:trimestre": ~F.col("trimestre").between(1, 4),
+            "range:dia_semana_numero": ~F.col("dia_semana_numero").between(1, 7),
+        }),
+        Q.unique_rule(tdim, "dim_time", "pk", ["time_key"]),
+        Q.unique_rule(tdim, "dim_time", "unique:hora_texto", ["hora_texto"]),
+        Q.row_rules(tdim, "dim_time", {
+            "range:hora": ~F.col("hora").between(-1, 23),
+            "range:minuto": ~F.col("minuto").between(-1, 59),
+            "domain:banda_horaria": ~F.col("banda_horaria").isin(*BAND_ORDER),
+        }),
+        Q.unique_rule(loc, "dim_location", "pk", ["location_key"]),
+        Q.unique_rule(loc, "dim_location", "unique:natural", LOCATION_COLS),
+        Q.dependency_rule(loc, "dim_location", "fd:nation_segment->names",
+                          ["n_nationkey", "c_mktsegment"], ["r_name", "n_name"]),
+        Q.unique_rule(desc, "dim_descriptor", "pk", ["descriptor_key"]),
+        Q.unique_rule(prof, "dim_profile", "pk", ["profile_key"]),
+        Q.unique_rule(dirty, "fact", "pk", ["source_row_id"]),
+        Q.row_rules(dirty, "fact", {
+            **Q.not_null_rules(["date_key", "location_key", "descriptor_key", "profile_key"]),
+            "const:num_orders": F.col("num_orders") != 1,
+            "nonneg:counts": F.least("is_urgent", "is_finished") < 0,
+            "smallint:counts": F.greatest("is_urgent", "is_finished") > 32767,
+        }),
+        Q.foreign_key_rule(dirty, "date_key", ddim, "date_key", "fact", "fk:date_key"),
+        Q.foreign_key_rule(dirty, "location_key", loc, "location_key", "fact", "fk:location_key"),
+        Q.foreign_key_rule(dirty, "descriptor_key", desc, "descriptor_key", "fact",
+                           "fk:descriptor_key"),
+        Q.foreign_key_rule(dirty, "profile_key", prof, "profile_key", "fact", "fk:profile_key"),
+    ]
+    return Q.report(parts)
+
+
+# ---------------------------------------------------------------- result mart
+
+def q_mart_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report written as a Parquet mart under the shared folder, read back."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/marts/share_of_total-{uuid.uuid4().hex}"
+    q_share_of_total(spark, sf_dir).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 QUERIES = {
     "dim_date": q_dim_date,
     "dim_time": q_dim_time,
     "insert_if_absent": q_insert_if_absent,
+    "entity_ranking": q_entity_ranking,
+    "month_trend": q_month_trend,
+    "moving_average_7": q_moving_average_7,
+    "series_long": q_series_long,
     "weekday_band_profile": q_weekday_band_profile,
     "weekday_band_matrix": q_weekday_band_matrix,
+    "top_members_per_group": q_top_members_per_group,
+    "drilldown": q_drilldown,
+    "group_list": q_group_list,
+    "share_of_total": q_share_of_total,
+    "measure_ranking": q_measure_ranking,
+    "kpi": q_kpi,
+    "kpi_severity": q_kpi_severity,
+    "profile_of_severe": q_profile_of_severe,
+    "clean_text": q_clean_text,
+    "coerce_numeric": q_coerce_numeric,
+    "parse_date": q_parse_date,
+    "time_key_rules": q_time_key_rules,
+    "enrich_left": q_enrich_left,
+    "dim_location": q_dim_location,
+    "dim_descriptor": q_dim_descriptor,
+    "dim_profile": q_dim_profile,
+    "fact_keyed": q_fact_keyed,
+    "load_summary": q_load_summary,
+    "null_key_report": q_null_key_report,
+    "top_check": q_top_check,
+    "constraint_report": q_constraint_report,
+    "mart_round_trip": q_mart_round_trip,
 }

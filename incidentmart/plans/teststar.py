@@ -22,12 +22,14 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.calendar import date_key, time_key
+from ..functions.calendar import date_key, time_key  # noqa: F401
 from ..operators.joins import bounded_broadcast
 
 # Reference calendar of the analog star (a leap year, like the incident data).
 CALENDAR_FIRST = "2024-01-01"
 CALENDAR_LAST = "2024-12-31"
+# Calendar of the orders star: wide enough for every order date, fixed size.
+ORDERS_CALENDAR = ("1990-01-01", "2009-12-31")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,9 +44,15 @@ def ts_range(col: str, first, last):
 
 
 def events_fact(spark: SparkSession, sf_dir: str, first=CALENDAR_FIRST, last=CALENDAR_LAST,
-                extra: list[str] | None = None) -> DataFrame:
-    """Event rows inside the calendar, keyed like the incident fact."""
+                extra: list[str] | None = None, where=None) -> DataFrame:
+    """Event rows inside the calendar, keyed like the incident fact.
+
+    ``where`` is a predicate on the raw columns, applied before projection so
+    it can be pushed to the scan.
+    """
     ev = table(spark, sf_dir, "events")
+    if where is not None:
+        ev = ev.filter(where)
     if first is not None:
         ev = ev.filter(ts_range("ts", first, last))
     hour = F.coalesce(F.hour("ts"), F.lit(0))

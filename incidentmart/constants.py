@@ -131,6 +131,21 @@ NULL_TOKENS = [
     "nan", "null",
 ]
 
+# Maximum text length of every label column of the star (VARCHAR(n)).
+TEXT_LIMITS = {
+    "dim_fecha": {"mes_nombre": 15, "dia_semana_nombre": 15},
+    "dim_tiempo": {"hora_texto": 8, "banda_horaria": 20},
+    "dim_ubicacion": {"entidad": 80, "municipio": 150, "cobertura": 50},
+    "dim_accidente": {"tipo_accidente": 150, "causa_accidente": 100, "clasificacion": 60,
+                      "zona_urbana": 100, "zona_suburbana": 100, "capa_rodamiento": 100,
+                      "estatus": 100},
+    "dim_conductor": {"sexo": 40, "edad_descripcion": 100, "aliento_alcoholico": 40,
+                      "cinturon_seguridad": 40},
+}
+
+# Range of a SMALLINT column.
+SMALLINT_MIN, SMALLINT_MAX = -32768, 32767
+
 # --------------------------------------------------------------------------
 # Derived from the fixed values above
 # --------------------------------------------------------------------------

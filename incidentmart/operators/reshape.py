@@ -45,8 +45,9 @@ def pivot_matrix(spark: SparkSession, df: DataFrame, row: str, col: str, value:
     labels = spark.createDataFrame([(i + 1, lbl) for i, lbl in enumerate(row_labels)],
                                    f"{order_col} int, {row} string")
     out = labels.join(wide, row, "left")
+    out = out.orderBy(order_col)
     return out.select(order_col, row, *[F.col(f"`{c}`") for c in col_labels]) if row_order \
-        else out.orderBy(order_col).drop(order_col)
+        else out.drop(order_col)
 
 
 def series_long(df: DataFrame, id_cols: list[str], value_cols: list[str],

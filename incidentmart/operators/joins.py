@@ -11,6 +11,18 @@ from pyspark.sql import functions as F
 # planner (shuffle join, or AQE's runtime broadcast from measured sizes).
 BROADCAST_MAX_ROWS = 2_000_000
 
+# Outcome of size checks per analysed plan: the check only steers the join
+# strategy, never the result, so reusing it for an identical plan is safe.
+_SIZE_CHECKS: dict[tuple[int, int], bool] = {}
+
+
+def within_rows(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (capped count, memoised)."""
+    key = (df.semanticHash(), max_rows)
+    if key not in _SIZE_CHECKS:
+        _SIZE_CHECKS[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _SIZE_CHECKS[key]
+
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                       known_rows: int | None = None) -> DataFrame:
@@ -18,11 +30,12 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
 
     ``known_rows`` is for generated relations whose size is fixed by their
     definition (a calendar, the minutes of a day).  Otherwise the bound is
-    checked with a capped count that stops early on a big input.
+    checked with a capped count that stops early on a big input.  Above the
+    bound the join is left to the planner: a shuffle join, or AQE's runtime
+    switch to broadcast from measured shuffle sizes.
     """
-    if known_rows is None:
-        known_rows = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if known_rows <= max_rows else df
+    small = known_rows <= max_rows if known_rows is not None else within_rows(df, max_rows)
+    return F.broadcast(df) if small else df
 
 
 def null_safe_condition(left: DataFrame, right: DataFrame,

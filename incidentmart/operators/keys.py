@@ -7,23 +7,34 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 from .enrich import assert_many_to_one
-from .joins import null_safe_condition
+from .joins import bounded_broadcast, null_safe_condition, within_rows
+
+# Up to this many distinct rows a dimension is numbered by one sorted window
+# (a bounded single task); above it the distributed numbering is used.
+SINGLE_TASK_KEY_ROWS = 1_000_000
 
 
 def assign_dense_keys(df: DataFrame, sort_cols: list[str], key_name: str,
-                      num_partitions: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None,
+                      single_task_rows: int = SINGLE_TASK_KEY_ROWS) -> DataFrame:
     """Distinct rows of ``df`` numbered 1..n in ascending ``sort_cols`` order.
 
-    Equal to ``row_number() OVER (ORDER BY sort_cols)`` but without funnelling
-    the dimension through one task: the distinct rows are range-partitioned,
-    sorted per partition and checkpointed (so a recompute cannot move rows
-    between partitions and renumber them), then each partition adds the sizes
-    of the partitions before it.  The offset table has one row per partition.
+    ``sort_cols`` must cover every column, so the order is total and the
+    numbering is deterministic.  A dimension proven to have at most
+    ``single_task_rows`` rows is numbered by ``row_number()`` over that order
+    (recomputing it gives the same keys).  A larger one is range-partitioned,
+    sorted per partition and checkpointed to the shared folder (so a
+    recompute cannot move rows between partitions), then each partition adds
+    the sizes of the partitions before it; the offset table has one row per
+    partition.
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
     order = [F.col(c).asc_nulls_last() for c in sort_cols]
     rows = df.distinct()
+    if num_partitions is None and within_rows(rows, single_task_rows):
+        numbered = rows.withColumn(key_name, F.row_number().over(Window.orderBy(*order)))
+        return numbered.select(key_name, *df.columns)
+    spark = df.sparkSession
+    checkpoint_dir(spark)
     ranged = (rows.repartitionByRange(num_partitions, *order) if num_partitions
               else rows.repartitionByRange(*order))
     ordered = ranged.sortWithinPartitions(*order).checkpoint(eager=True)
@@ -44,15 +55,17 @@ def lookup_keys(fact: DataFrame, dim: DataFrame, natural: list[str] | dict[str,
                 key_name: str, check_unique: bool = True) -> DataFrame:
     """Left-join ``fact`` to ``dim`` on its natural key, adding ``key_name``.
 
-    The natural key matches null-safely.  The planner broadcasts the dimension
-    when its measured size allows and otherwise shuffles both sides (AQE
-    splits a skewed fact partition against the unique dimension rows).
+    The natural key matches null-safely.  A dimension of checked size is
+    broadcast; a larger one is shuffle-joined (AQE splits a skewed fact
+    partition against the unique dimension rows).  ``check_unique`` can be
+    skipped for dimensions numbered by :func:`assign_dense_keys`, which are
+    unique by construction.
     """
     pairs = list(natural.items()) if isinstance(natural, dict) else [(c, c) for c in natural]
     right = dim.select(key_name, *[rc for _, rc in pairs])
     if check_unique:
         assert_many_to_one(right, [rc for _, rc in pairs], f"dimension {key_name}")
-    right = right.toDF(key_name, *[f"__n{i}" for i in range(len(pairs))])
+    right = bounded_broadcast(right.toDF(key_name, *[f"__n{i}" for i in range(len(pairs))]))
     cond = null_safe_condition(fact, right, [(lc, f"__n{i}") for i, (lc, _) in enumerate(pairs)])
     return fact.join(right, cond, "left").drop(*[f"__n{i}" for i in range(len(pairs))])
 

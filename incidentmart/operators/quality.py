@@ -19,11 +19,21 @@ from .joins import bounded_broadcast
 REPORT_SCHEMA = "rule string, table_name string, violations bigint"
 
 
-def row_rules(df: DataFrame, table: str, rules: dict[str, Column]) -> DataFrame:
+def row_rules(df: DataFrame, table: str, rules: dict[str, Column],
+              foreign_keys: list[tuple[str, DataFrame, str, str]] | None = None) -> DataFrame:
     """Row-level rules (NOT NULL, ranges, domains, lengths) in one pass.
 
     ``rules`` maps rule name -> predicate that is TRUE for a violating row.
+    ``foreign_keys`` lists ``(fk column, dimension, key column, rule name)``;
+    each dimension's key set is left-joined (broadcast when its size is
+    proven small) so orphan counts come out of the SAME pass over ``df``.
     """
+    rules = dict(rules)
+    for i, (fk, dim, key, rule) in enumerate(foreign_keys or []):
+        keys = dim.select(F.col(key).alias(f"__fk{i}")).distinct() \
+            .withColumn(f"__ok{i}", F.lit(True))
+        df = df.join(bounded_broadcast(keys), df[fk] == F.col(f"__fk{i}"), "left")
+        rules[rule] = F.col(f"__ok{i}").isNull()
     names = list(rules)
     one = df.agg(*[F.count_if(F.coalesce(pred, F.lit(False))).alias(f"__r{i}")
                    for i, pred in enumerate(rules.values())])

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.series import literal_rows
+
 
 def unpivot_totals(df: DataFrame, columns: list[tuple[str, Column | str]], label_name: str,
                    value_name: str, rank_name: str | None = None) -> DataFrame:
@@ -42,8 +44,8 @@ def pivot_matrix(spark: SparkSession, df: DataFrame, row: str, col: str, value:
                           F.col(col).cast("string")))).otherwise(F.col("__v")).alias(value)))
     wide = cells.groupBy(row).pivot(col, col_labels).agg(F.first(value))
     order_col = row_order or "__ord"
-    labels = spark.createDataFrame([(i + 1, lbl) for i, lbl in enumerate(row_labels)],
-                                   f"{order_col} int, {row} string")
+    labels = literal_rows(spark, [(i + 1, lbl) for i, lbl in enumerate(row_labels)],
+                          f"{order_col} int, {row} string")
     out = labels.join(wide, row, "left")
     out = out.orderBy(order_col)
     return out.select(order_col, row, *[F.col(f"`{c}`") for c in col_labels]) if row_order \

@@ -47,8 +47,8 @@ def time_dim(spark: SparkSession) -> DataFrame:
     split into hour and minute, which is the same relation as a cross join of
     two series without planning one.
     """
-    h = (F.col("id") / 60).cast("int")
-    m = (F.col("id") % 60).cast("int")
+    h = F.expr("CAST(id DIV 60 AS INT)")
+    m = F.expr("CAST(id % 60 AS INT)")
     minutes = spark.range(MINUTES_PER_DAY).select(
         time_key(h, m).cast("smallint").alias("time_key"),
         h.cast("smallint").alias("hora"),
@@ -60,7 +60,9 @@ def time_dim(spark: SparkSession) -> DataFrame:
         spark, [(UNKNOWN_TIME_KEY, UNKNOWN_TIME_KEY, UNKNOWN_TIME_KEY, UNKNOWN_TIME_TEXT,
                  UNKNOWN_TIME_BAND)],
         "time_key smallint, hora smallint, minuto smallint, hora_texto string, banda_horaria string")
-    return insert_if_absent(minutes, unknown, ["time_key"])
+    # The unknown key (-1) can never collide with an HHMM key (>= 0), so a
+    # plain union equals the insert-if-absent of the unknown member.
+    return minutes.unionByName(unknown)
 
 
 def insert_if_absent(existing: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:

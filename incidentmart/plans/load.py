@@ -134,14 +134,12 @@ def validation_report(t: dict[str, DataFrame]) -> DataFrame:
             **Q.not_null_rules(fact.columns),
             "const:num_accidentes": F.col("num_accidentes") != 1,
             "nonneg:vehicles": F.least(*VEHICLE_MEASURES) < 0,
-            "nonneg:casualties": F.least(*CASUALTY_MEASURES) < 0}),
+            "nonneg:casualties": F.least(*CASUALTY_MEASURES) < 0},
+            foreign_keys=[(fk, t[dim_name], fk, f"fk:{fk}") for fk, dim_name in (
+                ("date_key", "dim_fecha"), ("time_key", "dim_tiempo"),
+                ("ubicacion_key", "dim_ubicacion"), ("accidente_key", "dim_accidente"),
+                ("conductor_key", "dim_conductor"))]),
     ]
-    for fk, dim_name, key in (("date_key", "dim_fecha", "date_key"),
-                              ("time_key", "dim_tiempo", "time_key"),
-                              ("ubicacion_key", "dim_ubicacion", "ubicacion_key"),
-                              ("accidente_key", "dim_accidente", "accidente_key"),
-                              ("conductor_key", "dim_conductor", "conductor_key")):
-        parts.append(Q.foreign_key_rule(fact, fk, t[dim_name], key, "fact_accidentes", f"fk:{fk}"))
     return Q.report(parts)
 
 

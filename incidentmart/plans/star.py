@@ -104,7 +104,7 @@ def build_dimensions(base: DataFrame, num_partitions: int | None = None) -> dict
     return out
 
 
-def resolve_keys(base: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+def resolve_keys(base: DataFrame, dims: dict[str, DataFrame], check_unique: bool = True) -> DataFrame:
     """Replace natural keys by surrogate keys; 32 fact columns, typed.
 
     Casting to SMALLINT happens under ANSI mode, so a measure that does not
@@ -112,7 +112,8 @@ def resolve_keys(base: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """
     fact = base
     for name, (key, natural, renames) in DIMENSIONS.items():
-        fact = lookup_keys(fact, dims[name], {s: t for s, t in renames.items()}, key)
+        fact = lookup_keys(fact, dims[name], {s: t for s, t in renames.items()}, key,
+                           check_unique=check_unique)
     renames = {**VEHICLE_COLUMNS, **PERSON_COLUMNS}
     return fact.select(
         F.col("source_row_id").cast("bigint").alias("accidente_id"),

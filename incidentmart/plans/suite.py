@@ -25,6 +25,7 @@ from ..operators.measures import (distinct_values, drilldown, kpi, moving_averag
                                   top_k, top_n_per_group)
 from ..operators.reshape import pivot_matrix, series_long, unpivot_totals
 from ..session import checkpoint_dir
+from ..sources.series import literal_rows
 from . import teststar as ts
 from .calendar import (TIME_DIM_ROWS, date_dim, date_dim_rows, insert_if_absent, time_dim)
 
@@ -309,8 +310,8 @@ def q_enrich_left(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k == 1, F.col("c_nationkey") + 100).otherwise(F.col("c_nationkey")).alias("nation_code"))
     regions = ts.table(spark, sf_dir, "region").select(
         F.col("r_regionkey").alias("region_code"), F.col("r_name").alias("region_name"))
-    regions = regions.unionByName(spark.createDataFrame(
-        [(None, "REGION NULA")], "region_code int, region_name string"))
+    regions = regions.unionByName(literal_rows(
+        spark, [(None, "REGION NULA")], "region_code int, region_name string"))
     nations = nation.select(F.col("n_regionkey").alias("region_code"),
                             F.col("n_nationkey").alias("nation_code"),
                             F.col("n_name").alias("nation_name"))
@@ -344,31 +345,33 @@ def _orders_base(spark, sf_dir):
     return od.join(cust, od.o_custkey == cust.c_custkey)
 
 
-def _derived_dims(spark, sf_dir):
+DERIVED = {"location": (LOCATION_COLS, "location_key"),
+           "descriptor": (DESCRIPTOR_COLS, "descriptor_key"),
+           "profile": (PROFILE_COLS, "profile_key")}
+
+
+def _derived_dims(spark, sf_dir, names=tuple(DERIVED)):
+    """The requested derived dimensions; several come from one grouping-sets scan."""
     base = _orders_base(spark, sf_dir)
-    sets = distinct_projections(base, {"location": LOCATION_COLS,
-                                       "descriptor": DESCRIPTOR_COLS,
-                                       "profile": PROFILE_COLS})
-    return base, {
-        "location": assign_dense_keys(sets["location"], LOCATION_COLS, "location_key"),
-        "descriptor": assign_dense_keys(sets["descriptor"], DESCRIPTOR_COLS, "descriptor_key"),
-        "profile": assign_dense_keys(sets["profile"], PROFILE_COLS, "profile_key"),
-    }
+    specs = {n: DERIVED[n][0] for n in names}
+    sets = (distinct_projections(base, specs) if len(specs) > 1
+            else {n: base.select(*cols) for n, cols in specs.items()})
+    return base, {n: assign_dense_keys(sets[n], DERIVED[n][0], DERIVED[n][1]) for n in names}
 
 
 def q_dim_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct nation x segment locations with dense keys in sort order."""
-    return _derived_dims(spark, sf_dir)[1]["location"]
+    return _derived_dims(spark, sf_dir, ("location",))[1]["location"]
 
 
 def q_dim_descriptor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Junk dimension of order status x priority."""
-    return _derived_dims(spark, sf_dir)[1]["descriptor"]
+    return _derived_dims(spark, sf_dir, ("descriptor",))[1]["descriptor"]
 
 
 def q_dim_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Buyer profile (segment x priority)."""
-    return _derived_dims(spark, sf_dir)[1]["profile"]
+    return _derived_dims(spark, sf_dir, ("profile",))[1]["profile"]
 
 
 FACT_COLUMNS = ["source_row_id", "date_key", "location_key", "descriptor_key", "profile_key",
@@ -378,9 +381,9 @@ FACT_COLUMNS = ["source_row_id", "date_key", "location_key", "descriptor_key", "
 def keyed_fact(spark: SparkSession, sf_dir: str):
     """Orders with their three surrogate keys resolved."""
     base, dims = _derived_dims(spark, sf_dir)
-    fact = lookup_keys(base, dims["location"], LOCATION_COLS, "location_key")
-    fact = lookup_keys(fact, dims["descriptor"], DESCRIPTOR_COLS, "descriptor_key")
-    fact = lookup_keys(fact, dims["profile"], PROFILE_COLS, "profile_key")
+    fact = base
+    for name, (cols, key) in DERIVED.items():
+        fact = lookup_keys(fact, dims[name], cols, key, check_unique=False)
     fact = fact.withColumnRenamed("o_orderkey", "source_row_id").select(*FACT_COLUMNS)
     return fact, dims
 
@@ -461,12 +464,12 @@ def q_constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
             "const:num_orders": F.col("num_orders") != 1,
             "nonneg:counts": F.least("is_urgent", "is_finished") < 0,
             "smallint:counts": F.greatest("is_urgent", "is_finished") > 32767,
-        }),
-        Q.foreign_key_rule(dirty, "date_key", ddim, "date_key", "fact", "fk:date_key"),
-        Q.foreign_key_rule(dirty, "location_key", loc, "location_key", "fact", "fk:location_key"),
-        Q.foreign_key_rule(dirty, "descriptor_key", desc, "descriptor_key", "fact",
-                           "fk:descriptor_key"),
-        Q.foreign_key_rule(dirty, "profile_key", prof, "profile_key", "fact", "fk:profile_key"),
+        }, foreign_keys=[
+            ("date_key", ddim, "date_key", "fk:date_key"),
+            ("location_key", loc, "location_key", "fk:location_key"),
+            ("descriptor_key", desc, "descriptor_key", "fk:descriptor_key"),
+            ("profile_key", prof, "profile_key", "fk:profile_key"),
+        ]),
     ]
     return Q.report(parts)
 

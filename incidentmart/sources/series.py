@@ -35,5 +35,12 @@ def int_series(spark: SparkSession, lo: int, hi: int, name: str = "n") -> DataFr
 
 
 def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A small literal relation such as ``VALUES (...)``."""
-    return spark.createDataFrame(rows, schema)
+    """A small literal relation such as ``VALUES (...)``.
+
+    Built from literal expressions in the JVM (no Python-side RDD), so using
+    it in a broadcast side does not start Python workers.
+    """
+    fields = [f.strip().split(" ", 1) for f in schema.split(",")]
+    structs = [F.struct(*[F.lit(v).cast(t.strip()).alias(n.strip()) for v, (n, t) in zip(r, fields)])
+               for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))

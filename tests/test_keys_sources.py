@@ -14,7 +14,7 @@ def test_dense_keys_independent_of_partitioning(spark):
     df = spark.createDataFrame(rows, "a string, b int").repartition(7)
     expected = (df.distinct().withColumn("key", F.row_number().over(Window.orderBy("a", "b")))
                 .orderBy("key").collect())
-    for n in (1, 8):
+    for n in (1, 8, None):
         got = assign_dense_keys(df, ["a", "b"], "key", num_partitions=n).orderBy("key").collect()
         assert [tuple(r) for r in got] == [(r.key, r.a, r.b) for r in expected]
 

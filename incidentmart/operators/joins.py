@@ -13,12 +13,12 @@ BROADCAST_MAX_ROWS = 2_000_000
 
 # Outcome of size checks per analysed plan: the check only steers the join
 # strategy, never the result, so reusing it for an identical plan is safe.
-_SIZE_CHECKS: dict[tuple[int, int], bool] = {}
+_SIZE_CHECKS: dict[tuple[int, str, int], bool] = {}
 
 
 def within_rows(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (capped count, memoised)."""
-    key = (df.semanticHash(), max_rows)
+    key = (df.semanticHash(), df.schema.simpleString(), max_rows)
     if key not in _SIZE_CHECKS:
         _SIZE_CHECKS[key] = df.limit(max_rows + 1).count() <= max_rows
     return _SIZE_CHECKS[key]

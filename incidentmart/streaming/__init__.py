@@ -1,7 +1,9 @@
-"""Streaming surface.
+"""Streaming surface: intentionally empty.
 
 The warehouse this project reproduces is batch only: one yearly file is
-cleaned and loaded, then queried.  There is no stream, watermark or state to
-carry over, so this package holds only the incremental file loader that
-appends newly arrived incident files through the same batch plan.
+cleaned, loaded and then queried; there is no stream, watermark, window or
+state anywhere in it.  No streaming operator is added here, because the
+project builds only what the reproduced system does.  Re-running
+:func:`incidentmart.plans.load.run_load` on a new yearly file is the update
+path (dimensions are re-derived, calendar rows are insert-if-absent).
 """

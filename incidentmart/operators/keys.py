@@ -16,7 +16,8 @@ SINGLE_TASK_KEY_ROWS = 1_000_000
 
 def assign_dense_keys(df: DataFrame, sort_cols: list[str], key_name: str,
                       num_partitions: int | None = None,
-                      single_task_rows: int = SINGLE_TASK_KEY_ROWS) -> DataFrame:
+                      single_task_rows: int = SINGLE_TASK_KEY_ROWS,
+                      assume_distinct: bool = False) -> DataFrame:
     """Distinct rows of ``df`` numbered 1..n in ascending ``sort_cols`` order.
 
     ``sort_cols`` must cover every column, so the order is total and the
@@ -29,7 +30,7 @@ def assign_dense_keys(df: DataFrame, sort_cols: list[str], key_name: str,
     partition.
     """
     order = [F.col(c).asc_nulls_last() for c in sort_cols]
-    rows = df.distinct()
+    rows = df if assume_distinct else df.distinct()
     if num_partitions is None and within_rows(rows, single_task_rows):
         numbered = rows.withColumn(key_name, F.row_number().over(Window.orderBy(*order)))
         return numbered.select(key_name, *df.columns)
@@ -70,14 +71,17 @@ def lookup_keys(fact: DataFrame, dim: DataFrame, natural: list[str] | dict[str,
     return fact.join(right, cond, "left").drop(*[f"__n{i}" for i in range(len(pairs))])
 
 
-def distinct_projections(df: DataFrame, specs: dict[str, list[str]]) -> dict[str, DataFrame]:
+def distinct_projections(df: DataFrame, specs: dict[str, list[str]],
+                         persist: bool = False) -> dict[str, DataFrame]:
     """A12 for several column sets in ONE scan of ``df`` (GROUPING SETS).
 
     One aggregate with a grouping set per dimension replaces one DISTINCT
     job per dimension; ``grouping_id`` tells the sets apart, so a genuine
-    NULL attribute is never confused with a rolled-up column.  The combined
-    result holds only distinct dimension rows; it is persisted because each
-    dimension reads it.
+    NULL attribute is never confused with a rolled-up column.  Inside one
+    query the identical aggregate exchange is reused by every dimension;
+    ``persist`` keeps the (small) distinct rows for callers that write the
+    dimensions in separate jobs -- they must ``unpersist`` it afterwards
+    (it is returned under the key ``"__all__"``).
     """
     all_cols: list[str] = []
     for cols in specs.values():
@@ -87,8 +91,10 @@ def distinct_projections(df: DataFrame, specs: dict[str, list[str]]) -> dict[str
     n = len(all_cols)
     sets = [[F.col(c) for c in cols] for cols in specs.values()]
     grouped = df.groupingSets(sets, *[F.col(c) for c in all_cols]).agg(
-        F.grouping_id().alias("__gid")).persist()
-    out = {}
+        F.grouping_id().alias("__gid"))
+    if persist:
+        grouped = grouped.persist()
+    out = {"__all__": grouped} if persist else {}
     for name, cols in specs.items():
         gid = sum(1 << (n - 1 - i) for i, c in enumerate(all_cols) if c not in cols)
         out[name] = grouped.filter(F.col("__gid") == gid).select(*cols)

@@ -52,6 +52,34 @@ def unique_rule(df: DataFrame, table: str, rule: str, keys: list[str]) -> DataFr
         .select(F.lit(rule).alias("rule"), F.lit(table).alias("table_name"), "violations")
 
 
+def unique_rules(df: DataFrame, table: str, rules: dict[str, list[str]]) -> DataFrame:
+    """Several uniqueness rules of one table with ONE shuffle (GROUPING SETS).
+
+    Each rule's key set is a grouping set; ``grouping_id`` separates them,
+    so the counts equal one :func:`unique_rule` per key set.
+    """
+    if len(rules) == 1:
+        (rule, keys), = rules.items()
+        return unique_rule(df, table, rule, keys)
+    all_cols: list[str] = []
+    for keys in rules.values():
+        all_cols += [c for c in keys if c not in all_cols]
+    n = len(all_cols)
+    gids = {rule: sum(1 << (n - 1 - i) for i, c in enumerate(all_cols) if c not in keys)
+            for rule, keys in rules.items()}
+    counts = (df.groupingSets([[F.col(c) for c in keys] for keys in rules.values()],
+                              *[F.col(c) for c in all_cols])
+              .agg(F.grouping_id().alias("__gid"), F.count(F.lit(1)).alias("__n")))
+    per_gid = counts.groupBy("__gid").agg(
+        F.sum(F.when(F.col("__n") > 1, F.col("__n") - 1).otherwise(0)).alias("__v"))
+    names = df.sparkSession.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(g).cast("long").alias("__gid"), F.lit(r).alias("rule"))
+        for r, g in gids.items()])))
+    return names.join(per_gid, "__gid", "left").select(
+        "rule", F.lit(table).alias("table_name"),
+        F.coalesce(F.col("__v"), F.lit(0)).cast("bigint").alias("violations"))
+
+
 def dependency_rule(df: DataFrame, table: str, rule: str, determinant: list[str],
                     dependent: list[str]) -> DataFrame:
     """V4: determinant values that map to more than one dependent value."""

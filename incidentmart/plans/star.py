@@ -93,11 +93,13 @@ def build_dimensions(base: DataFrame, num_partitions: int | None = None) -> dict
     """The three derived dimensions with dense keys in sort order.
 
     One grouping-sets aggregate over the base yields the distinct rows of all
-    three; each is then numbered independently.
+    three; each is then numbered independently.  The persisted distinct rows
+    come back under ``"__all__"`` for the caller to unpersist once the
+    dimensions are written.
     """
     specs = {name: list(renames) for name, (_, _, renames) in DIMENSIONS.items()}
-    distinct = distinct_projections(base, specs)
-    out = {}
+    distinct = distinct_projections(base, specs, persist=True)
+    out = {"__all__": distinct["__all__"]}
     for name, (key, natural, renames) in DIMENSIONS.items():
         dim = distinct[name].select(*[F.col(s).alias(t) for s, t in renames.items()])
         out[name] = assign_dense_keys(dim, natural, key, num_partitions)

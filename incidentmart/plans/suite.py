@@ -354,9 +354,14 @@ def _derived_dims(spark, sf_dir, names=tuple(DERIVED)):
     """The requested derived dimensions; several come from one grouping-sets scan."""
     base = _orders_base(spark, sf_dir)
     specs = {n: DERIVED[n][0] for n in names}
-    sets = (distinct_projections(base, specs) if len(specs) > 1
-            else {n: base.select(*cols) for n, cols in specs.items()})
-    return base, {n: assign_dense_keys(sets[n], DERIVED[n][0], DERIVED[n][1]) for n in names}
+    if len(specs) > 1:
+        # One grouping-sets aggregate feeds every dimension; inside one query
+        # its exchange is computed once and reused by each dimension.
+        sets = distinct_projections(base, specs)
+        return base, {n: assign_dense_keys(sets[n], DERIVED[n][0], DERIVED[n][1],
+                                           assume_distinct=True) for n in names}
+    return base, {n: assign_dense_keys(base.select(*cols), cols, DERIVED[n][1])
+                  for n, cols in specs.items()}
 
 
 def q_dim_location(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -436,8 +441,7 @@ def q_constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     tdim = time_dim(spark)
     loc, desc, prof = dims["location"], dims["descriptor"], dims["profile"]
     parts = [
-        Q.unique_rule(ddim, "dim_date", "pk", ["date_key"]),
-        Q.unique_rule(ddim, "dim_date", "unique:full_date", ["full_date"]),
+        Q.unique_rules(ddim, "dim_date", {"pk": ["date_key"], "unique:full_date": ["full_date"]}),
         Q.row_rules(ddim, "dim_date", {
             **Q.not_null_rules(["date_key", "full_date", "mes_nombre", "dia_semana_nombre"]),
             "range:mes_numero": ~F.col("mes_numero").between(1, 12),
@@ -445,15 +449,14 @@ def q_constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
             "range:trimestre": ~F.col("trimestre").between(1, 4),
             "range:dia_semana_numero": ~F.col("dia_semana_numero").between(1, 7),
         }),
-        Q.unique_rule(tdim, "dim_time", "pk", ["time_key"]),
-        Q.unique_rule(tdim, "dim_time", "unique:hora_texto", ["hora_texto"]),
+        Q.unique_rules(tdim, "dim_time", {"pk": ["time_key"], "unique:hora_texto": ["hora_texto"]}),
         Q.row_rules(tdim, "dim_time", {
             "range:hora": ~F.col("hora").between(-1, 23),
             "range:minuto": ~F.col("minuto").between(-1, 59),
             "domain:banda_horaria": ~F.col("banda_horaria").isin(*BAND_ORDER),
         }),
-        Q.unique_rule(loc, "dim_location", "pk", ["location_key"]),
-        Q.unique_rule(loc, "dim_location", "unique:natural", LOCATION_COLS),
+        Q.unique_rules(loc, "dim_location", {"pk": ["location_key"],
+                                             "unique:natural": LOCATION_COLS}),
         Q.dependency_rule(loc, "dim_location", "fd:nation_segment->names",
                           ["n_nationkey", "c_mktsegment"], ["r_name", "n_name"]),
         Q.unique_rule(desc, "dim_descriptor", "pk", ["descriptor_key"]),

@@ -38,9 +38,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def ts_range(col: str, first, last):
     """Half-open timestamp range of whole days; pushed to the Parquet scan."""
-    lo = _dt.datetime.fromisoformat(str(first))
-    hi = _dt.datetime.fromisoformat(str(last)) + _dt.timedelta(days=1)
-    return (F.col(col) >= F.lit(lo).cast("timestamp_ntz")) & (F.col(col) < F.lit(hi).cast("timestamp_ntz"))
+    lo = _dt.date.fromisoformat(str(first)).isoformat() + " 00:00:00"
+    hi = (_dt.date.fromisoformat(str(last)) + _dt.timedelta(days=1)).isoformat() + " 00:00:00"
+    # String literals parse to TIMESTAMP_NTZ without any time-zone shift.
+    return ((F.col(col) >= F.lit(lo).cast("timestamp_ntz"))
+            & (F.col(col) < F.lit(hi).cast("timestamp_ntz")))
 
 
 def events_fact(spark: SparkSession, sf_dir: str, first=CALENDAR_FIRST, last=CALENDAR_LAST,

@@ -15,8 +15,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import BAND_ORDER, SMALLINT_MAX, SMALLINT_MIN, TEXT_LIMITS
+from ..constants import BAND_ORDER, TEXT_LIMITS
 from ..operators import quality as Q
+from ..schemas import STAR_SCHEMAS, conform
 from ..sources.csv import extract
 from ..sources.warehouse import read_jdbc, read_table, table_path
 from .calendar import date_dim, insert_if_absent, time_dim
@@ -142,14 +143,6 @@ def validation_report(t: dict[str, DataFrame]) -> DataFrame:
     return Q.report(parts)
 
 
-def measure_range_rules(base: DataFrame) -> DataFrame:
-    """V12 for measures, on the base before the SMALLINT cast."""
-    from .star import MEASURE_SOURCE
-    return Q.row_rules(base, "fact_accidentes", {
-        "smallint:measures": (F.greatest(*MEASURE_SOURCE) > SMALLINT_MAX)
-        | (F.least(*MEASURE_SOURCE) < SMALLINT_MIN)})
-
-
 def load_summary(fact: DataFrame) -> DataFrame:
     """Count and headline sums of the loaded fact."""
     return fact.agg(F.count(F.lit(1)).alias("total_accidentes"),
@@ -179,16 +172,15 @@ def run_load(spark: SparkSession, data_dir: str, target: str, first: str = "2024
     write_table(base, staging, "base")
     base = read_table(spark, staging, "base")
     stats = base_gate(base)
-    Q.enforce(measure_range_rules(base), "measure range")
 
     staged: dict[str, DataFrame] = {}
     for name, df in calendar_tables(spark, target, first, last).items():
-        write_table(df, staging, name)
+        write_table(conform(df, STAR_SCHEMAS[name]), staging, name)
         staged[name] = read_table(spark, staging, name)
     dims = build_dimensions(base, num_partitions)
     shared = dims.pop("__all__")
     for name, df in dims.items():
-        write_table(df, staging, name)
+        write_table(conform(df, STAR_SCHEMAS[name]), staging, name)
         staged[name] = read_table(spark, staging, name)
     shared.unpersist()
 

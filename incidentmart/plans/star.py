@@ -13,12 +13,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import (CALENDAR_NUMERIC_COLUMNS, DESCRIPTOR_COLUMNS, DRIVER_COLUMNS,
-                         LOCATION_COLUMNS, PERSON_COLUMNS, TEXT_COLUMNS, VEHICLE_COLUMNS)
+                         LOCATION_COLUMNS, PERSON_COLUMNS, SMALLINT_MAX, SMALLINT_MIN,
+                         TEXT_COLUMNS, VEHICLE_COLUMNS)
 from ..functions.calendar import date_key, parse_date, time_key
 from ..functions.numbers import coerce_int, parse_key
 from ..functions.text import clean_text
 from ..operators.enrich import left_enrich
 from ..operators.keys import assign_dense_keys, distinct_projections, lookup_keys
+from ..schemas import FACT_ACCIDENTES, conform
 
 MEASURE_SOURCE = list(VEHICLE_COLUMNS) + list(PERSON_COLUMNS)
 NUMERIC_COLUMNS = CALENDAR_NUMERIC_COLUMNS + MEASURE_SOURCE
@@ -78,14 +80,25 @@ def build_base(bundle: dict[str, DataFrame]) -> DataFrame:
 
 
 def base_gate(base: DataFrame) -> dict:
-    """V13 + A15 in one pass: row count and invalid-date count; raise on bad dates."""
+    """V13, V12 (measures) and A15 in ONE pass over the cleaned base.
+
+    Returns the row count for the post-load reconciliation; raises when any
+    date is invalid (the whole load is rejected, as in the source system) or
+    a measure does not fit SMALLINT.
+    """
     row = base.agg(F.count(F.lit(1)).alias("rows"),
                    F.count_if(F.col("full_date").isNull()).alias("invalid_dates"),
                    F.count_if(F.col("id_entidad").isNull() | F.col("id_municipio").isNull())
-                   .alias("null_location_ids")).first()
+                   .alias("null_location_ids"),
+                   F.count_if((F.greatest(*MEASURE_SOURCE) > SMALLINT_MAX)
+                              | (F.least(*MEASURE_SOURCE) < SMALLINT_MIN))
+                   .alias("measures_out_of_range")).first()
     stats = row.asDict()
     if stats["invalid_dates"]:
         raise ValueError(f"{stats['invalid_dates']} records have an invalid date; load rejected")
+    if stats["measures_out_of_range"]:
+        raise ValueError(f"measure range check failed: fact_accidentes.smallint:measures="
+                         f"{stats['measures_out_of_range']}")
     return stats
 
 
@@ -117,24 +130,6 @@ def resolve_keys(base: DataFrame, dims: dict[str, DataFrame], check_unique: bool
         fact = lookup_keys(fact, dims[name], {s: t for s, t in renames.items()}, key,
                            check_unique=check_unique)
     renames = {**VEHICLE_COLUMNS, **PERSON_COLUMNS}
-    return fact.select(
-        F.col("source_row_id").cast("bigint").alias("accidente_id"),
-        F.col("source_row_id").cast("bigint"),
-        F.col("date_key").cast("int"),
-        F.col("time_key").cast("smallint"),
-        F.col("ubicacion_key").cast("int"),
-        F.col("accidente_key").cast("int"),
-        F.col("conductor_key").cast("int"),
-        F.lit(1).cast("smallint").alias("num_accidentes"),
-        *[F.col(src).cast("smallint").alias(dst) for src, dst in renames.items()],
-    )
-
-
-def fact_before_cast(base: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """The keyed fact with measures still BIGINT, for range checks."""
-    fact = base
-    for name, (key, natural, renames) in DIMENSIONS.items():
-        fact = lookup_keys(fact, dims[name], {s: t for s, t in renames.items()}, key)
-    renames = {**VEHICLE_COLUMNS, **PERSON_COLUMNS}
-    return fact.select("source_row_id", "date_key", "time_key", "ubicacion_key", "accidente_key",
-                       "conductor_key", *[F.col(s).alias(t) for s, t in renames.items()])
+    fact = fact.select("*", F.col("source_row_id").alias("accidente_id"),
+                       F.lit(1).alias("num_accidentes"))
+    return conform(fact.withColumnsRenamed(renames), FACT_ACCIDENTES)

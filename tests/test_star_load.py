@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 import incident_fixture as fx
 from incidentmart.plans import reports as R
 from incidentmart.plans.load import read_star, run_load, validation_report
-from incidentmart.plans.star import build_base
+from incidentmart.schemas import STAR_SCHEMAS, matches
 from incidentmart.sources.csv import extract
 
 
@@ -39,6 +39,12 @@ def test_load_counts_and_golden_rows(loaded):
     assert ubic[f[47].ubicacion_key].cobertura == "NA"
 
 
+def test_published_tables_match_declared_schemas(loaded):
+    _, _, res = loaded
+    for name, schema in STAR_SCHEMAS.items():
+        assert matches(res["tables"][name], schema), name
+
+
 def test_dense_sorted_dimension_keys(loaded):
     _, _, res = loaded
     for name, cols in (("dim_ubicacion", ["id_entidad", "id_municipio", "cobertura"]),

@@ -27,6 +27,7 @@ from ..operators.reshape import pivot_matrix, series_long, unpivot_totals
 from ..session import checkpoint_dir
 from ..sources.series import literal_rows
 from . import teststar as ts
+from .marts import report_mart
 from .calendar import (TIME_DIM_ROWS, date_dim, date_dim_rows, insert_if_absent, time_dim)
 
 
@@ -480,10 +481,14 @@ def q_constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- result mart
 
 def q_mart_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A report written as a Parquet mart under the shared folder, read back."""
-    path = f"{checkpoint_dir(spark).rstrip('/')}/marts/share_of_total-{uuid.uuid4().hex}"
-    q_share_of_total(spark, sf_dir).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    """A report written as a Parquet mart under the shared folder, read back.
+
+    Every call uses a fresh mart folder, so the rows are always recomputed
+    from the tables (the freshness window only applies to repeated reads of
+    one folder).
+    """
+    root = f"{checkpoint_dir(spark).rstrip('/')}/marts/{uuid.uuid4().hex}"
+    return report_mart(spark, root, "share_of_total", lambda: q_share_of_total(spark, sf_dir))
 
 
 QUERIES = {

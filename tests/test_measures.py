@@ -78,3 +78,19 @@ def test_series_long(spark):
     df = spark.createDataFrame([(1, 2, 2.5)], "d int, a long, b double")
     out = series_long(df, ["d"], ["a", "b"]).collect()
     assert sorted((r.variable, r.value) for r in out) == [("a", 2.0), ("b", 2.5)]
+
+
+def test_report_mart_reuses_fresh_rows(spark, workdir):
+    from incidentmart.plans.marts import report_mart
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.range(3).selectExpr("id", "id * 2 as v")
+
+    a = report_mart(spark, workdir, "r", build, ttl_seconds=600)
+    b = report_mart(spark, workdir, "r", build, ttl_seconds=600)
+    assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
+    assert len(calls) == 1 and a.columns == ["id", "v"]
+    report_mart(spark, workdir, "r", build, ttl_seconds=-1)
+    assert len(calls) == 2

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..constants import (DAY_NAMES, MONTH_NAMES, TIME_BANDS, UNKNOWN_TIME_BAND,
-                         UNKNOWN_TIME_KEY, BAND_ORDER, WEEKEND_DAYS)
+from ..constants import (BAND_ORDER, DAY_NAMES, MONTH_NAMES, TIME_BANDS, UNKNOWN_TIME_KEY,
+                         WEEKEND_DAYS)
 
 
 def _c(c: Column | str) -> Column:
@@ -91,5 +91,5 @@ def parse_date(year: Column | str, month: Column | str, day: Column | str) -> Co
 
 __all__ = [
     "date_key", "iso_weekday", "month_name", "day_name", "is_weekend", "time_key",
-    "time_text", "time_band", "band_order", "parse_date", "UNKNOWN_TIME_BAND",
+    "time_text", "time_band", "band_order", "parse_date",
 ]

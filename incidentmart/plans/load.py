@@ -1,11 +1,12 @@
 """Load, validate and publish the incident warehouse.
 
-Layout under ``target``: one Parquet directory per table.  A run writes every
-table under ``target/_staging/<run_id>/`` first (lineage is cut there: the
-cleaned base, the dimensions and the fact are each written once and re-read,
-so a lost executor recomputes from files, not from the raw CSV), validates
-the staged tables, and only then publishes them.  A failed run leaves the
-published tables untouched.
+Layout under ``target``: ``_runs/<run_id>/<table>`` holds one complete
+version of the star per load, and ``_published`` is an append-only log of
+validated runs; the newest entry is the current star.  A run writes each of
+its tables once (lineage is cut there: the cleaned base, the dimensions and
+the fact are written and re-read, so a lost executor recomputes from files,
+not from the raw CSV), validates them, and only then appends its id to the
+log.  Nothing is copied, and a failed run is never visible.
 """
 
 from __future__ import annotations
@@ -75,14 +76,13 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def calendar_tables(spark: SparkSession, target: str, first: str, last: str) -> dict[str, DataFrame]:
-    """Date and time dimensions, merged insert-if-absent into what is published."""
+def calendar_tables(spark: SparkSession, existing: dict[str, DataFrame], first: str,
+                    last: str) -> dict[str, DataFrame]:
+    """Date and time dimensions, merged insert-if-absent into the published ones."""
     out = {}
     for name, fresh, key in (("dim_fecha", date_dim(spark, first, last), "date_key"),
                              ("dim_tiempo", time_dim(spark), "time_key")):
-        path = table_path(target, name)
-        out[name] = insert_if_absent(spark.read.parquet(path), fresh, [key]) \
-            if _exists(spark, path) else fresh
+        out[name] = insert_if_absent(existing[name], fresh, [key]) if name in existing else fresh
     return out
 
 
@@ -161,52 +161,81 @@ def null_key_counts(fact: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- the load
 
+PUBLISHED = "_published"
+
+
+def run_path(target: str, run_id: str) -> str:
+    return f"{str(target).rstrip('/')}/_runs/{run_id}"
+
+
+def current_run(spark: SparkSession, target: str) -> str | None:
+    """Run id of the latest published load (None before the first one)."""
+    path = table_path(target, PUBLISHED)
+    if not _exists(spark, path):
+        return None
+    row = (spark.read.parquet(path)
+           .orderBy(F.col("published_at").desc(), F.col("run_id").desc()).first())
+    return row.run_id if row else None
+
+
 def run_load(spark: SparkSession, data_dir: str, target: str, first: str = "2024-01-01",
              last: str = "2024-12-31", run_id: str | None = None,
              num_partitions: int | None = None) -> dict:
-    """Extract -> base -> dimensions -> fact -> validate -> publish."""
+    """Extract -> base -> dimensions -> fact -> validate -> publish.
+
+    Every table of the run is written once under ``target/_runs/<run_id>/``
+    and read back from there (lineage cut on shared storage).  Nothing is
+    copied: after every rule passes, one row naming the run is appended to
+    ``target/_published``, which is the atomic switch readers follow.  A
+    failed run is never visible, and each run is a complete new version, so
+    there is no truncate step to get wrong.
+    """
     run_id = run_id or uuid.uuid4().hex
-    staging = f"{str(target).rstrip('/')}/_staging/{run_id}"
+    run = run_path(target, run_id)
+    previous = current_run(spark, target)
 
     base = build_base(extract(spark, data_dir))
-    write_table(base, staging, "base")
-    base = read_table(spark, staging, "base")
+    write_table(base, run, "_base")
+    base = read_table(spark, run, "_base")
     stats = base_gate(base)
 
     staged: dict[str, DataFrame] = {}
-    for name, df in calendar_tables(spark, target, first, last).items():
-        write_table(conform(df, STAR_SCHEMAS[name]), staging, name)
-        staged[name] = read_table(spark, staging, name)
+    existing = read_star(spark, target) if previous else {}
+    for name, df in calendar_tables(spark, existing, first, last).items():
+        write_table(conform(df, STAR_SCHEMAS[name]), run, name)
+        staged[name] = read_table(spark, run, name)
     dims = build_dimensions(base, num_partitions)
     shared = dims.pop("__all__")
     for name, df in dims.items():
-        write_table(conform(df, STAR_SCHEMAS[name]), staging, name)
-        staged[name] = read_table(spark, staging, name)
+        write_table(conform(df, STAR_SCHEMAS[name]), run, name)
+        staged[name] = read_table(spark, run, name)
     shared.unpersist()
 
     fact = resolve_keys(base, staged)
-    write_table(cluster_fact(fact, num_partitions), staging, "fact_accidentes")
-    staged["fact_accidentes"] = read_table(spark, staging, "fact_accidentes")
+    write_table(cluster_fact(fact, num_partitions), run, "fact_accidentes")
+    staged["fact_accidentes"] = read_table(spark, run, "fact_accidentes")
 
     Q.expect_rows(staged["fact_accidentes"], stats["rows"], "fact_accidentes")
-    report = validation_report(staged)
-    Q.enforce(report, "post-load")
+    Q.enforce(validation_report(staged), "post-load")
 
-    publish(spark, staging, target, STAR_TABLES)
-    published = {n: read_table(spark, target, n) for n in STAR_TABLES}
-    return {"run_id": run_id, "rows": stats["rows"], "tables": published,
-            "summary": load_summary(published["fact_accidentes"]).first().asDict()}
+    publish(spark, target, run_id)
+    return {"run_id": run_id, "rows": stats["rows"], "tables": staged,
+            "summary": load_summary(staged["fact_accidentes"]).first().asDict()}
 
 
-def publish(spark: SparkSession, staging: str, target: str, tables: list[str]) -> None:
-    """Copy validated staged tables over the published ones (dimensions first)."""
-    for name in tables:
-        write_table(read_table(spark, staging, name), target, name, mode="overwrite")
+def publish(spark: SparkSession, target: str, run_id: str) -> None:
+    """Make a validated run current: append one row to the published log."""
+    now = F.current_timestamp().cast("timestamp_ntz")
+    (spark.range(1).select(F.lit(run_id).alias("run_id"), now.alias("published_at"))
+     .write.mode("append").parquet(table_path(target, PUBLISHED)))
 
 
 def read_star(spark: SparkSession, target: str, jdbc_url: str | None = None,
-              properties: dict | None = None) -> dict[str, DataFrame]:
-    """S3: the published tables, from Parquet or from a JDBC database."""
+              properties: dict | None = None, run_id: str | None = None) -> dict[str, DataFrame]:
+    """S3: the published tables (latest run unless ``run_id``), or a JDBC database."""
     if jdbc_url:
         return {n: read_jdbc(spark, jdbc_url, n, properties) for n in STAR_TABLES}
-    return {n: read_table(spark, target, n) for n in STAR_TABLES}
+    run_id = run_id or current_run(spark, target)
+    if run_id is None:
+        raise FileNotFoundError(f"no published load under {target}")
+    return {n: read_table(spark, run_path(target, run_id), n) for n in STAR_TABLES}

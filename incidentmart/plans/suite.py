@@ -36,11 +36,6 @@ def _year_dim(spark):
             date_dim_rows(ts.CALENDAR_FIRST, ts.CALENDAR_LAST))
 
 
-def _sums(measures: dict[str, str]) -> dict[str, str]:
-    """Re-aggregate already-summed columns under their report names."""
-    return {name: col for name, col in measures.items()}
-
-
 # ---------------------------------------------------------------- dimensions
 
 def q_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from incidentmart.constants import BAND_ORDER, DAY_NAMES, RANKED_VEHICLES
 from incidentmart.operators.measures import (moving_average, period_change, rank_groups,
                                              share_of_total, top_n_per_group)

@@ -1,11 +1,9 @@
 import pytest
-from pyspark.sql import functions as F
 
 import incident_fixture as fx
 from incidentmart.plans import reports as R
-from incidentmart.plans.load import read_star, run_load, validation_report
+from incidentmart.plans.load import current_run, read_star, run_load, validation_report
 from incidentmart.schemas import STAR_SCHEMAS, matches
-from incidentmart.sources.csv import extract
 
 
 @pytest.fixture(scope="module")
@@ -73,6 +71,16 @@ def test_second_load_is_identical(spark, loaded):
         assert before[name] == sorted(tuple(r) for r in again["tables"][name].collect()), name
 
 
+def test_failed_load_is_never_published(spark, loaded, tmp_path):
+    raw, target, res = loaded
+    before = current_run(spark, target)
+    bad = fx.write_bundle(str(tmp_path / "bad"), rows=fx.default_rows() + [fx.row(m="2", d="30")])
+    with pytest.raises(ValueError):
+        run_load(spark, bad, target)
+    assert current_run(spark, target) == before
+    assert read_star(spark, target)["fact_accidentes"].count() == len(fx.default_rows())
+
+
 def test_invalid_date_rejects_whole_load(spark, tmp_path):
     raw = fx.write_bundle(str(tmp_path / "raw"), rows=fx.default_rows() + [fx.row(m="2", d="30"),
                                                                             fx.row(m="")])

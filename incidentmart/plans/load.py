@@ -239,3 +239,16 @@ def read_star(spark: SparkSession, target: str, jdbc_url: str | None = None,
     if run_id is None:
         raise FileNotFoundError(f"no published load under {target}")
     return {n: read_table(spark, run_path(target, run_id), n) for n in STAR_TABLES}
+
+
+def register_views(spark: SparkSession, target: str, run_id: str | None = None) -> dict[str, DataFrame]:
+    """Expose the published star as temporary views named like its tables.
+
+    Lets the analytical SQL run unchanged in ``spark.sql`` (PostgreSQL-only
+    syntax such as ``::NUMERIC`` aside); Catalyst plans it exactly like the
+    DataFrame reports.
+    """
+    tables = read_star(spark, target, run_id=run_id)
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+    return tables

@@ -70,14 +70,13 @@ def unique_rules(df: DataFrame, table: str, rules: dict[str, list[str]]) -> Data
     counts = (df.groupingSets([[F.col(c) for c in keys] for keys in rules.values()],
                               *[F.col(c) for c in all_cols])
               .agg(F.grouping_id().alias("__gid"), F.count(F.lit(1)).alias("__n")))
-    per_gid = counts.groupBy("__gid").agg(
-        F.sum(F.when(F.col("__n") > 1, F.col("__n") - 1).otherwise(0)).alias("__v"))
-    names = df.sparkSession.range(1).select(F.inline(F.array(*[
-        F.struct(F.lit(g).cast("long").alias("__gid"), F.lit(r).alias("rule"))
-        for r, g in gids.items()])))
-    return names.join(per_gid, "__gid", "left").select(
-        "rule", F.lit(table).alias("table_name"),
-        F.coalesce(F.col("__v"), F.lit(0)).cast("bigint").alias("violations"))
+    extra = F.when(F.col("__n") > 1, F.col("__n") - 1).otherwise(0)
+    one = counts.agg(*[F.coalesce(F.sum(F.when(F.col("__gid") == g, extra)), F.lit(0))
+                       .cast("bigint").alias(f"__r{i}") for i, g in enumerate(gids.values())])
+    return one.select(F.inline(F.array(*[
+        F.struct(F.lit(r).alias("rule"), F.lit(table).alias("table_name"),
+                 F.col(f"__r{i}").alias("violations"))
+        for i, r in enumerate(gids)])))
 
 
 def dependency_rule(df: DataFrame, table: str, rule: str, determinant: list[str],

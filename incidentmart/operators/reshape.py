@@ -33,23 +33,29 @@ def pivot_matrix(spark: SparkSession, df: DataFrame, row: str, col: str, value:
     """Long ``(row, col, value)`` -> one row per label, one column per label.
 
     Every row label appears (missing rows are all NULL) and every column label
-    is a column (missing cells NULL); the explicit value list avoids a
-    distinct-values job.  Two input rows for one cell raise an error inside
-    the query instead of being silently combined.
+    is a column (missing cells NULL); rows with other labels are dropped, as
+    a reindex to a fixed axis does.  The label list is unioned in as empty
+    cells, so the whole reshape is aggregates only (no join), and the
+    explicit column list avoids a distinct-values job.  Two input rows for
+    one cell raise an error inside the query instead of being combined.
     """
-    cells = (df.groupBy(row, col)
+    labels = F.array(*[F.lit(v) for v in row_labels])
+    cells = (df.filter(F.col(row).isin(*row_labels))
+             .groupBy(row, col)
              .agg(F.count(F.lit(1)).alias("__n"), F.first(value).alias("__v"))
              .select(row, col, F.when(F.col("__n") > 1, F.raise_error(
                  F.concat(F.lit("duplicate cell for "), F.col(row).cast("string"), F.lit(" / "),
                           F.col(col).cast("string")))).otherwise(F.col("__v")).alias(value)))
-    wide = cells.groupBy(row).pivot(col, col_labels).agg(F.first(value))
+    empty = literal_rows(spark, [(lbl,) for lbl in row_labels], f"{row} string").select(
+        F.col(row).cast(df.schema[row].dataType).alias(row),
+        F.lit(None).cast(df.schema[col].dataType).alias(col),
+        F.lit(None).cast(df.schema[value].dataType).alias(value))
+    wide = (cells.unionByName(empty).groupBy(row).pivot(col, col_labels)
+            .agg(F.first(value, ignorenulls=True)))
     order_col = row_order or "__ord"
-    labels = literal_rows(spark, [(i + 1, lbl) for i, lbl in enumerate(row_labels)],
-                          f"{order_col} int, {row} string")
-    out = labels.join(wide, row, "left")
-    out = out.orderBy(order_col)
-    return out.select(order_col, row, *[F.col(f"`{c}`") for c in col_labels]) if row_order \
-        else out.drop(order_col)
+    out = wide.select(F.array_position(labels, F.col(row)).cast("int").alias(order_col), row,
+                      *[F.col(f"`{c}`") for c in col_labels]).orderBy(order_col)
+    return out if row_order else out.drop(order_col)
 
 
 def series_long(df: DataFrame, id_cols: list[str], value_cols: list[str],

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..constants import BAND_ORDER, DAY_NAMES, RANKED_VEHICLES
 from ..functions.calendar import band_order
 from ..functions.numbers import format_int
-from ..operators.joins import BROADCAST_MAX_ROWS
+from ..operators.joins import BROADCAST_MAX_ROWS, bounded_broadcast, within_rows
 from ..operators.measures import (distinct_values, drilldown, kpi, moving_average,
                                   period_change, rank_groups, share_of_total, sum_measures,
                                   top_n_per_group)
@@ -23,6 +23,13 @@ from ..operators.reshape import pivot_matrix, series_long, unpivot_totals
 
 SEVERITY = {"total_accidentes": "num_accidentes", "total_muertos": "total_muertos",
             "total_heridos": "total_heridos"}
+COUNT_ONLY = {"total_accidentes": "num_accidentes"}
+
+
+def _measures(severity: bool) -> dict[str, str]:
+    """Full measures, or the accident count alone (the dashboard's narrowed
+    copies): fewer measures also means fewer fact columns read."""
+    return SEVERITY if severity else COUNT_ONLY
 
 
 def through_dimension(fact: DataFrame, dim: DataFrame, key: str, group_cols: list[str],
@@ -35,29 +42,28 @@ def through_dimension(fact: DataFrame, dim: DataFrame, key: str, group_cols: lis
     #keys rows, not #facts rows.
     """
     dim = dim.select(key, *group_cols)
-    n = dim.limit(max_rows + 1).count()
-    if n <= max_rows:
+    if within_rows(dim, max_rows):
         return sum_measures(fact.join(F.broadcast(dim), key), group_cols, measures)
     partial = fact.groupBy(key).agg(*[F.sum(c).alias(f"__{name}") for name, c in measures.items()])
     return sum_measures(partial.join(dim, key), group_cols,
                         {name: f"__{name}" for name in measures})
 
 
-def entity_ranking(t: dict[str, DataFrame], top: int = 10) -> DataFrame:
+def entity_ranking(t: dict[str, DataFrame], top: int = 10, severity: bool = True) -> DataFrame:
     """Q1: entities with most accidents, deaths/injuries per accident, top 10."""
     agg = through_dimension(t["fact_accidentes"], t["dim_ubicacion"], "ubicacion_key",
-                            ["entidad"], SEVERITY)
-    out = rank_groups(agg, "entidad", "total_accidentes", top, ratios={
-        "muertos_por_accidente": ("total_muertos", "total_accidentes", 4),
-        "heridos_por_accidente": ("total_heridos", "total_accidentes", 4)})
-    return out.select("ranking", "entidad", "total_accidentes", "total_muertos", "total_heridos",
-                      "muertos_por_accidente", "heridos_por_accidente").orderBy("ranking", "entidad")
+                            ["entidad"], _measures(severity))
+    ratios = {"muertos_por_accidente": ("total_muertos", "total_accidentes", 4),
+              "heridos_por_accidente": ("total_heridos", "total_accidentes", 4)} if severity else {}
+    out = rank_groups(agg, "entidad", "total_accidentes", top, ratios=ratios)
+    cols = ["ranking", "entidad", *_measures(severity), *ratios]
+    return out.select(*cols).orderBy("ranking", "entidad")
 
 
-def month_trend(t: dict[str, DataFrame]) -> DataFrame:
+def month_trend(t: dict[str, DataFrame], severity: bool = True) -> DataFrame:
     """Q2: monthly totals with previous month, difference and % change."""
     agg = through_dimension(t["fact_accidentes"], t["dim_fecha"], "date_key",
-                            ["mes_numero", "mes_nombre"], SEVERITY)
+                            ["mes_numero", "mes_nombre"], _measures(severity))
     out = period_change(agg, "mes_numero", "total_accidentes", "accidentes_mes_anterior",
                         "variacion_accidentes", "variacion_porcentual_accidentes", 2)
     return out.orderBy("mes_numero")
@@ -77,30 +83,33 @@ def daily_series_long(t: dict[str, DataFrame]) -> DataFrame:
                        ["total_accidentes", "promedio_movil_7_dias"])
 
 
-def weekday_band_profile(t: dict[str, DataFrame]) -> DataFrame:
+def weekday_band_profile(t: dict[str, DataFrame], severity: bool = True) -> DataFrame:
     """Q4: accidents by ISO weekday and time band, bands in presentation order."""
     fact = t["fact_accidentes"]
-    fecha = F.broadcast(t["dim_fecha"].select("date_key", "dia_semana_numero", "dia_semana_nombre"))
-    tiempo = F.broadcast(t["dim_tiempo"].select("time_key", "banda_horaria"))
+    fecha = bounded_broadcast(t["dim_fecha"].select("date_key", "dia_semana_numero",
+                                                    "dia_semana_nombre"))
+    tiempo = bounded_broadcast(t["dim_tiempo"].select("time_key", "banda_horaria"))
     joined = fact.join(fecha, "date_key").join(tiempo, "time_key")
-    agg = sum_measures(joined, ["dia_semana_numero", "dia_semana_nombre", "banda_horaria"], SEVERITY)
+    agg = sum_measures(joined, ["dia_semana_numero", "dia_semana_nombre", "banda_horaria"],
+                       _measures(severity))
     return agg.withColumn("banda_orden", band_order("banda_horaria")) \
         .orderBy("dia_semana_numero", "banda_orden")
 
 
 def weekday_band_matrix(spark: SparkSession, t: dict[str, DataFrame]) -> DataFrame:
     """7 weekdays x 5 bands of accident counts; missing cells NULL."""
-    return pivot_matrix(spark, weekday_band_profile(t), "dia_semana_nombre", "banda_horaria",
+    return pivot_matrix(spark, weekday_band_profile(t, severity=False), "dia_semana_nombre",
+                        "banda_horaria",
                         "total_accidentes", DAY_NAMES, BAND_ORDER, row_order="dia_semana_numero")
 
 
-def top_municipalities(t: dict[str, DataFrame], n: int = 3) -> DataFrame:
+def top_municipalities(t: dict[str, DataFrame], n: int = 3, severity: bool = True) -> DataFrame:
     """Q5: top ``n`` municipalities per entity (ties broken by name)."""
     agg = through_dimension(t["fact_accidentes"], t["dim_ubicacion"], "ubicacion_key",
-                            ["entidad", "municipio"], SEVERITY)
+                            ["entidad", "municipio"], _measures(severity))
     out = top_n_per_group(agg, ["entidad"], "municipio", "total_accidentes", n, "ranking_en_entidad")
-    return out.select("entidad", "municipio", "total_accidentes", "total_muertos", "total_heridos",
-                      "ranking_en_entidad").orderBy("entidad", "ranking_en_entidad")
+    return out.select("entidad", "municipio", *_measures(severity), "ranking_en_entidad") \
+        .orderBy("entidad", "ranking_en_entidad")
 
 
 def entity_drilldown(t: dict[str, DataFrame], entidad: str) -> DataFrame:
@@ -113,10 +122,10 @@ def entity_list(t: dict[str, DataFrame]) -> DataFrame:
     return distinct_values(top_municipalities(t), "entidad")
 
 
-def classification_share(t: dict[str, DataFrame]) -> DataFrame:
+def classification_share(t: dict[str, DataFrame], severity: bool = True) -> DataFrame:
     """Q6: share of accidents per classification (percent, 2 decimals)."""
     agg = through_dimension(t["fact_accidentes"], t["dim_accidente"], "accidente_key",
-                            ["clasificacion"], SEVERITY)
+                            ["clasificacion"], _measures(severity))
     return share_of_total(agg, "total_accidentes", "porcentaje_accidentes", 2) \
         .orderBy(F.col("total_accidentes").desc_nulls_first(), "clasificacion")
 
@@ -159,3 +168,24 @@ def top_entities_check(t: dict[str, DataFrame], k: int = 10) -> DataFrame:
                             {"accidentes": "num_accidentes", "muertos": "total_muertos",
                              "heridos": "total_heridos"})
     return agg.orderBy(F.col("accidentes").desc_nulls_first(), "entidad").limit(k)
+
+
+def dashboard(spark: SparkSession, t: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Every frame the dashboard page loads: KPI, the narrowed Q1-Q7 copies
+    (accident counts only), the Q4b matrix and the Q5b entity list.  Each is
+    lazy; write them with :func:`incidentmart.plans.marts.report_mart` to
+    serve repeated page loads from Parquet."""
+    q5 = top_municipalities(t, severity=False)
+    return {
+        "kpis": kpis(t).select("registros_fact", "total_accidentes"),
+        "q1": entity_ranking(t, severity=False),
+        "q2": month_trend(t, severity=False),
+        "q3": daily_moving_average(t),
+        "q3_long": daily_series_long(t),
+        "q4": weekday_band_profile(t, severity=False),
+        "q4_matrix": weekday_band_matrix(spark, t),
+        "q5": q5,
+        "q5_entities": distinct_values(q5, "entidad"),
+        "q6": classification_share(t, severity=False),
+        "q7": vehicle_ranking(t),
+    }

@@ -152,3 +152,15 @@ def test_reports_on_loaded_star(spark, loaded):
     assert R.entity_list(t).count() == 2
     assert R.entity_drilldown(t, "Nuevo León").count() == 3
     assert R.daily_series_long(t).count() == 2 * len(q3)
+
+
+def test_dashboard_frames(spark, loaded):
+    _, target, _ = loaded
+    frames = R.dashboard(spark, read_star(spark, target))
+    assert frames["q1"].columns == ["ranking", "entidad", "total_accidentes"]
+    assert "total_muertos" not in frames["q2"].columns
+    assert frames["q4_matrix"].count() == 7
+    assert frames["q5_entities"].count() == 2
+    assert frames["kpis"].first().registros_fact == 48
+    full = {r.entidad: r.total_accidentes for r in R.entity_ranking(read_star(spark, target)).collect()}
+    assert {r.entidad: r.total_accidentes for r in frames["q1"].collect()} == full

@@ -69,22 +69,23 @@ def month_trend(t: dict[str, DataFrame], severity: bool = True) -> DataFrame:
     return out.orderBy("mes_numero")
 
 
-def daily_moving_average(t: dict[str, DataFrame]) -> DataFrame:
-    """Q3: accidents per day and their 7-row moving average."""
+def _daily(t: dict[str, DataFrame]) -> DataFrame:
     agg = through_dimension(t["fact_accidentes"], t["dim_fecha"], "date_key", ["full_date"],
                             {"total_accidentes": "num_accidentes"})
-    return moving_average(agg, "full_date", "total_accidentes", "promedio_movil_7_dias", 7, 2) \
-        .orderBy("full_date")
+    return moving_average(agg, "full_date", "total_accidentes", "promedio_movil_7_dias", 7, 2)
+
+
+def daily_moving_average(t: dict[str, DataFrame]) -> DataFrame:
+    """Q3: accidents per day and their 7-row moving average."""
+    return _daily(t).orderBy("full_date")
 
 
 def daily_series_long(t: dict[str, DataFrame]) -> DataFrame:
     """Q3 as (full_date, variable, value) for plotting both series."""
-    return series_long(daily_moving_average(t), ["full_date"],
-                       ["total_accidentes", "promedio_movil_7_dias"])
+    return series_long(_daily(t), ["full_date"], ["total_accidentes", "promedio_movil_7_dias"])
 
 
-def weekday_band_profile(t: dict[str, DataFrame], severity: bool = True) -> DataFrame:
-    """Q4: accidents by ISO weekday and time band, bands in presentation order."""
+def _weekday_band(t: dict[str, DataFrame], severity: bool = True) -> DataFrame:
     fact = t["fact_accidentes"]
     fecha = bounded_broadcast(t["dim_fecha"].select("date_key", "dia_semana_numero",
                                                     "dia_semana_nombre"))
@@ -92,13 +93,17 @@ def weekday_band_profile(t: dict[str, DataFrame], severity: bool = True) -> Data
     joined = fact.join(fecha, "date_key").join(tiempo, "time_key")
     agg = sum_measures(joined, ["dia_semana_numero", "dia_semana_nombre", "banda_horaria"],
                        _measures(severity))
-    return agg.withColumn("banda_orden", band_order("banda_horaria")) \
-        .orderBy("dia_semana_numero", "banda_orden")
+    return agg.withColumn("banda_orden", band_order("banda_horaria"))
+
+
+def weekday_band_profile(t: dict[str, DataFrame], severity: bool = True) -> DataFrame:
+    """Q4: accidents by ISO weekday and time band, bands in presentation order."""
+    return _weekday_band(t, severity).orderBy("dia_semana_numero", "banda_orden")
 
 
 def weekday_band_matrix(spark: SparkSession, t: dict[str, DataFrame]) -> DataFrame:
     """7 weekdays x 5 bands of accident counts; missing cells NULL."""
-    return pivot_matrix(spark, weekday_band_profile(t, severity=False), "dia_semana_nombre",
+    return pivot_matrix(spark, _weekday_band(t, severity=False), "dia_semana_nombre",
                         "banda_horaria",
                         "total_accidentes", DAY_NAMES, BAND_ORDER, row_order="dia_semana_numero")
 

@@ -97,26 +97,29 @@ def q_month_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "change_orders", "pct_change_orders", 2).orderBy("mes_numero")
 
 
-def q_moving_average_7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q3: orders per day with a 7-row moving average (days present only)."""
+def _daily_moving_average(spark, sf_dir):
     first, last = ts.ORDERS_CALENDAR
     fact = ts.orders_fact(spark, sf_dir, first, last)
     ddim = date_dim(spark, first, last).select("date_key", "full_date")
     joined = join_dimension(fact, ddim, "date_key", known_rows=date_dim_rows(first, last))
     agg = sum_measures(joined, ["full_date"], {"total_orders": "num_orders"})
-    return moving_average(agg, "full_date", "total_orders", "moving_avg_7", 7, 2).orderBy("full_date")
+    return moving_average(agg, "full_date", "total_orders", "moving_avg_7", 7, 2)
+
+
+def q_moving_average_7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3: orders per day with a 7-row moving average (days present only)."""
+    return _daily_moving_average(spark, sf_dir).orderBy("full_date")
 
 
 def q_series_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily series and its moving average as (day, variable, value)."""
-    return series_long(q_moving_average_7(spark, sf_dir), ["full_date"],
+    return series_long(_daily_moving_average(spark, sf_dir), ["full_date"],
                        ["total_orders", "moving_avg_7"])
 
 
 # ---------------------------------------------------------------- Q4, Q4b
 
-def q_weekday_band_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q4: events by ISO weekday x time band (both dimensions broadcast)."""
+def _weekday_band_agg(spark, sf_dir):
     ddim, drows = _year_dim(spark)
     fact = ts.events_fact(spark, sf_dir)
     joined = join_dimension(fact, ddim.select("date_key", "dia_semana_numero", "dia_semana_nombre"),
@@ -125,13 +128,17 @@ def q_weekday_band_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
                             "time_key", known_rows=TIME_DIM_ROWS)
     agg = sum_measures(joined, ["dia_semana_numero", "dia_semana_nombre", "banda_horaria"],
                        ts.EVENT_MEASURES)
-    return (agg.withColumn("banda_orden", band_order("banda_horaria"))
-            .orderBy("dia_semana_numero", "banda_orden"))
+    return agg.withColumn("banda_orden", band_order("banda_horaria"))
+
+
+def q_weekday_band_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q4: events by ISO weekday x time band (both dimensions broadcast)."""
+    return _weekday_band_agg(spark, sf_dir).orderBy("dia_semana_numero", "banda_orden")
 
 
 def q_weekday_band_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The profile as a 7 x 5 matrix of event counts."""
-    prof = q_weekday_band_profile(spark, sf_dir)
+    prof = _weekday_band_agg(spark, sf_dir)
     return pivot_matrix(spark, prof, "dia_semana_nombre", "banda_horaria", "total_events",
                         DAY_NAMES, BAND_ORDER, row_order="dia_semana_numero")
 

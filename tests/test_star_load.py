@@ -140,6 +140,9 @@ def test_reports_on_loaded_star(spark, loaded):
     assert len(q3) == t["fact_accidentes"].select("date_key").distinct().count()
     q4b = R.weekday_band_matrix(spark, t)
     assert q4b.count() == 7 and len(q4b.columns) == 7
+    cells = sum(v or 0 for r in q4b.collect() for v in list(r)[2:])
+    q4 = R.weekday_band_profile(t).collect()
+    assert cells == sum(r.total_accidentes for r in q4) == 48
     q5 = R.top_municipalities(t).collect()
     assert max(r.ranking_en_entidad for r in q5) <= 3
     q6 = R.classification_share(t).collect()

@@ -34,5 +34,9 @@ def clean_text(c: Column | str, missing: str = UNKNOWN_TEXT,
 
 
 def normalize_header(name: str) -> str:
-    """header cell -> column name (strip, lower-case)."""
-    return name.strip().lower()
+    """header cell -> column name (strip, lower-case).
+
+    A UTF-8 byte-order mark in front of the first header cell is dropped too;
+    it is not white space, so stripping alone would keep it in the name.
+    """
+    return name.lstrip("\ufeff").strip().lower()

@@ -51,6 +51,14 @@ def test_csv_header_noise_and_missing_file(spark, workdir):
         read_csv(spark, workdir, "nope.csv")
 
 
+def test_csv_header_with_byte_order_mark(spark, workdir):
+    p = os.path.join(workdir, "bom.csv")
+    with open(p, "w", encoding="utf-8-sig") as fh:
+        fh.write("ID_Entidad,nom\n7,x\n")
+    df = read_csv(spark, workdir, "bom.csv")
+    assert df.columns == ["id_entidad", "nom"] and df.first().id_entidad == "7"
+
+
 def test_file_row_number_across_splits(spark, workdir):
     p = os.path.join(workdir, "big.csv")
     n = 60000

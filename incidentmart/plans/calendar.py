@@ -20,9 +20,39 @@ TIME_DIM_COLUMNS = ["time_key", "hora", "minuto", "hora_texto", "banda_horaria"]
 
 def date_dim(spark: SparkSession, first="2024-01-01", last="2024-12-31") -> DataFrame:
     """One row per day with smart key YYYYMMDD and calendar attributes."""
+    return date_attributes(date_series(spark, first, last))
+
+
+def year_calendar_covering(df: DataFrame, date_col) -> DataFrame:
+    """D1 for the data at hand: every day of every calendar year that the
+    dates in ``df`` touch (January 1 of the first year to December 31 of the
+    last).  The bounds come from one aggregate over ``df``; the days are
+    generated from them inside the plan, nothing passes through the driver.
+    An empty input gives an empty calendar."""
+    c = F.col(date_col) if isinstance(date_col, str) else date_col
+    bounds = df.agg(F.min(c).alias("lo"), F.max(c).alias("hi"))
+    days = bounds.select(F.explode(F.sequence(
+        F.make_date(F.year("lo"), F.lit(1), F.lit(1)),
+        F.make_date(F.year("hi"), F.lit(12), F.lit(31)),
+        F.expr("INTERVAL 1 DAY"))).alias("full_date"))
+    return date_attributes(days)
+
+
+def first_month_covering(df: DataFrame, date_col) -> DataFrame:
+    """The days of the first calendar month that the dates in ``df`` touch."""
+    c = F.col(date_col) if isinstance(date_col, str) else date_col
+    lo = df.agg(F.min(c).alias("lo"))
+    start = F.make_date(F.year("lo"), F.month("lo"), F.lit(1))
+    days = lo.select(F.explode(F.sequence(start, F.last_day("lo"),
+                                          F.expr("INTERVAL 1 DAY"))).alias("full_date"))
+    return date_attributes(days)
+
+
+def date_attributes(days: DataFrame) -> DataFrame:
+    """Calendar attributes of a ``full_date`` column."""
     d = F.col("full_date")
     dow = iso_weekday(d)
-    return date_series(spark, first, last).select(
+    return days.select(
         date_key(d).alias("date_key"),
         d,
         F.year(d).cast("smallint").alias("anio"),
@@ -37,6 +67,7 @@ def date_dim(spark: SparkSession, first="2024-01-01", last="2024-12-31") -> Data
 
 
 def date_dim_rows(first="2024-01-01", last="2024-12-31") -> int:
+    """Row count of :func:`date_dim`, fixed by its definition."""
     return day_count(first, last)
 
 

@@ -9,12 +9,18 @@ arithmetic so they round half away from zero exactly:
 from __future__ import annotations
 
 
-def dim_date_cte(name: str, first: str, last: str) -> str:
-    return f"""
+def dim_date_cte(name: str, first: str | None = None, last: str | None = None,
+                 days: str | None = None) -> str:
+    """Date dimension CTE over a literal range, or over an existing CTE ``days``
+    with a ``full_date`` column."""
+    source = days or f"{name}_days"
+    series = "" if days else f"""
 {name}_days AS (
     SELECT CAST(d AS DATE) AS full_date
     FROM generate_series(DATE '{first}', DATE '{last}', INTERVAL 1 DAY) AS t(d)
-), {name} AS (
+),"""
+    return f"""{series}
+{name} AS (
     SELECT
         CAST(strftime(full_date, '%Y%m%d') AS BIGINT) AS date_key,
         full_date,
@@ -35,7 +41,7 @@ def dim_date_cte(name: str, first: str, last: str) -> str:
             WHEN 7 THEN 'Domingo'
         END AS dia_semana_nombre,
         isodow(full_date) IN (6, 7) AS es_fin_semana
-    FROM {name}_days
+    FROM {source}
 )"""
 
 
@@ -116,15 +122,36 @@ ob AS (
 
 ORACLE: dict[str, str] = {}
 
-ORACLE["dim_date"] = f"WITH {DIM_DATE_CTE} SELECT * FROM dim_fecha"
+EVENT_YEARS_CTE = """
+bounds AS (SELECT min(CAST(ts AS DATE)) AS lo, max(CAST(ts AS DATE)) AS hi FROM events),
+cal AS (
+    SELECT CAST(t.d AS DATE) AS full_date
+    FROM bounds, generate_series(make_date(year(bounds.lo), 1, 1),
+                                 make_date(year(bounds.hi), 12, 31), INTERVAL 1 DAY) AS t(d)
+)"""
 
-ORACLE["dim_time"] = f"WITH {DIM_TIME_CTE} SELECT * FROM dim_tiempo"
+ORACLE["dim_date"] = (f"WITH {EVENT_YEARS_CTE}, " + dim_date_cte("dim_fecha", days="cal")
+                      + " SELECT * FROM dim_fecha")
 
-ORACLE["insert_if_absent"] = f"""WITH {DIM_DATE_CTE},
-jan AS (SELECT * FROM dim_fecha WHERE full_date <= DATE '2024-01-31')
-SELECT * FROM jan
+ORACLE["dim_time"] = f"""WITH {DIM_TIME_CTE},
+per AS (
+    SELECT CASE WHEN hour(ts) BETWEEN 0 AND 23 AND minute(ts) BETWEEN 0 AND 59
+                THEN hour(ts) * 100 + minute(ts) ELSE -1 END AS time_key,
+           COUNT(*) AS n
+    FROM events GROUP BY 1
+)
+SELECT t.*, CAST(COALESCE(per.n, 0) AS BIGINT) AS event_count
+FROM dim_tiempo t LEFT JOIN per ON per.time_key = t.time_key"""
+
+ORACLE["insert_if_absent"] = (f"WITH {EVENT_YEARS_CTE}, " + dim_date_cte("dim_fecha", days="cal")
+                              + """,
+first_month AS (
+    SELECT f.* FROM dim_fecha f, bounds
+    WHERE year(f.full_date) = year(bounds.lo) AND month(f.full_date) = month(bounds.lo)
+)
+SELECT * FROM first_month
 UNION ALL
-SELECT * FROM dim_fecha WHERE date_key NOT IN (SELECT date_key FROM jan)"""
+SELECT * FROM dim_fecha WHERE date_key NOT IN (SELECT date_key FROM first_month)""")
 
 ORACLE["entity_ranking"] = f"""WITH {EVENTS_FACT_CTE},
 agg AS (

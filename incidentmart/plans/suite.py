@@ -28,7 +28,8 @@ from ..session import checkpoint_dir
 from ..sources.series import literal_rows
 from . import teststar as ts
 from .marts import report_mart
-from .calendar import (TIME_DIM_ROWS, date_dim, date_dim_rows, insert_if_absent, time_dim)
+from .calendar import (TIME_DIM_ROWS, date_dim, date_dim_rows, first_month_covering,
+                       insert_if_absent, time_dim, year_calendar_covering)
 
 
 def _year_dim(spark):
@@ -38,21 +39,34 @@ def _year_dim(spark):
 
 # ---------------------------------------------------------------- dimensions
 
+def _event_dates(spark, sf_dir):
+    return ts.table(spark, sf_dir, "events").select(F.to_date("ts").alias("d"))
+
+
 def q_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 2024 calendar."""
-    return date_dim(spark, ts.CALENDAR_FIRST, ts.CALENDAR_LAST)
+    """The calendar of every year the events touch (bounds from the data)."""
+    return year_calendar_covering(_event_dates(spark, sf_dir), "d")
 
 
 def q_dim_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Minutes of the day plus the unknown member."""
-    return time_dim(spark)
+    """Minutes of the day plus the unknown member, with the events per
+    minute (left join from the dimension, so all 1,441 members stay)."""
+    ev = ts.table(spark, sf_dir, "events")
+    per_minute = ev.groupBy(time_key(F.coalesce(F.hour("ts"), F.lit(0)),
+                                     F.coalesce(F.minute("ts"), F.lit(0))).alias("time_key")) \
+        .agg(F.count(F.lit(1)).alias("event_count"))
+    # At most one row per time key: the key domain has TIME_DIM_ROWS values.
+    joined = time_dim(spark).join(bounded_broadcast(per_minute, known_rows=TIME_DIM_ROWS),
+                                  "time_key", "left")
+    return joined.withColumn("event_count", F.coalesce("event_count", F.lit(0)).cast("bigint"))
 
 
 def q_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """January loaded first, then the whole year inserted if absent."""
-    january = date_dim(spark, "2024-01-01", "2024-01-31")
-    year = date_dim(spark, ts.CALENDAR_FIRST, ts.CALENDAR_LAST)
-    return insert_if_absent(january, year, ["date_key"])
+    """The first month of events loaded first, then the calendar of the
+    event years inserted if absent."""
+    dates = _event_dates(spark, sf_dir)
+    return insert_if_absent(first_month_covering(dates, "d"),
+                            year_calendar_covering(dates, "d"), ["date_key"])
 
 
 # ---------------------------------------------------------------- Q1

@@ -244,7 +244,7 @@ def read_star(spark: SparkSession, target: str, jdbc_url: str | None = None,
 def register_views(spark: SparkSession, target: str, run_id: str | None = None) -> dict[str, DataFrame]:
     """Expose the published star as temporary views named like its tables.
 
-    Lets the analytical SQL run unchanged in ``spark.sql`` (PostgreSQL-only
+    Lets the analytical SQL run unchanged in ``spark.sql`` (dialect-only
     syntax such as ``::NUMERIC`` aside); Catalyst plans it exactly like the
     DataFrame reports.
     """

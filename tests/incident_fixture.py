@@ -5,7 +5,7 @@ from __future__ import annotations
 import csv
 import os
 
-from incidentmart.constants import PERSON_COLUMNS, VEHICLE_COLUMNS
+from incidentmart.constants import INCIDENT_FILE, PERSON_COLUMNS, VEHICLE_COLUMNS
 
 HEADER = (["id_entidad", "id_municipio", "anio", "mes", "id_dia", "id_hora", "id_minuto",
            "id_edad", "cobertura", "tipaccid", "causaacci", "clasacc", "urbana", "suburbana",
@@ -60,7 +60,7 @@ def write_csv(path, header, rows):
 def write_bundle(directory, rows=None, header=None, entidad=None, municipio=None, edad=None):
     os.makedirs(directory, exist_ok=True)
     header = header or [f" {h.upper()} " if h == "id_entidad" else h for h in HEADER]
-    write_csv(os.path.join(directory, "atus_anual_2024.csv"), header,
+    write_csv(os.path.join(directory, INCIDENT_FILE), header,
               rows if rows is not None else default_rows())
     write_csv(os.path.join(directory, "tc_entidad.csv"), ["ID_ENTIDAD", "NOM_ENTIDAD"],
               entidad or [["19", "Nuevo León"], ["8", "Chihuahua"]])

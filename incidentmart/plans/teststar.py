@@ -35,12 +35,12 @@ ORDERS_CALENDAR = ("1990-01-01", "2009-12-31")
 # Driver tables are read-only, so each is opened once per Spark application
 # (like registering a table in the session catalog): later queries reuse the
 # resolved relation instead of re-listing files and re-reading the footer.
-_OPENED: dict[tuple[str, str], DataFrame] = {}
+_OPENED: dict[tuple[SparkSession, str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{str(sf_dir).rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = (spark, spark.sparkContext.applicationId, path)
     if key not in _OPENED:
         _OPENED[key] = spark.read.parquet(path)
     return _OPENED[key]

@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from ..constants import NULL_TOKENS, UNKNOWN_TEXT
 
-# Unicode-aware trim: Spark's ``trim`` only removes ASCII spaces, while the
-# cleaning rule strips every Unicode white-space character (TAB, NBSP, ...).
-_EDGE_SPACE = r"(?U)^\s+|\s+$"
+# The cleaning rule strips what Python's ``str.strip()`` strips: every code
+# point for which ``str.isspace()`` holds (TAB, NBSP, the Unicode spaces ...).
+# Spark's ``trim`` only removes ASCII spaces, so the set is built from that
+# rule and handed to ``btrim`` -- a plain character-set trim, no regex.
+WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 
 
 def strip_unicode(c: Column) -> Column:
-    return F.regexp_replace(c, _EDGE_SPACE, "")
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def clean_text(c: Column | str, missing: str = UNKNOWN_TEXT,

@@ -44,6 +44,8 @@ def main(argv: list[str] | None = None) -> int:
     rep.add_argument("--rows", type=int, default=50)
     args = parser.parse_args(argv)
 
+    from pyspark.sql import SparkSession
+    owned = SparkSession.getActiveSession() is None   # only stop a session we start
     spark = get_spark(args.master) if args.master else get_spark()
     try:
         if args.cmd == "load":
@@ -57,7 +59,8 @@ def main(argv: list[str] | None = None) -> int:
         print(f"failed: {exc}", file=sys.stderr)
         return 1
     finally:
-        spark.stop()
+        if owned:
+            spark.stop()
     return 0
 
 

@@ -78,3 +78,13 @@ def test_sql_q2_equals_dataframe_report(spark, star):
 def test_sql_q7_equals_dataframe_report(spark, star):
     cols = ["tipo_vehiculo", "total", "ranking"]
     assert rows(spark.sql(Q7), cols) == rows(R.vehicle_ranking(star), cols)
+
+
+def test_cli_load_and_report(spark, tmp_path, capsys):
+    from incidentmart.__main__ import main
+    raw = fx.write_bundle(str(tmp_path / "raw"))
+    assert main(["load", "--data-dir", raw, "--target", str(tmp_path / "wh")]) == 0
+    assert main(["report", "kpis", "--target", str(tmp_path / "wh")]) == 0
+    out = capsys.readouterr().out
+    assert "48 rows published" in out and "registros_fact" in out
+    assert spark.range(1).count() == 1          # the caller's session is still alive

@@ -24,7 +24,7 @@ from .common import without
 # format.  White space is spelt out as the Unicode property.
 PRETOKEN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
             r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
-CACHED = 300_000
+CACHED = 1_000_000
 CACHED_BYTES = 64               # longer pre-tokens are merged each time they occur
 OUT = ["n_bytes", "n_tokens", "over_limit"]
 

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from .bpe_count import count_tokens
 from .common import WORD, number_rows
 from .exact_dedup import exact_dedup
+from .langid import LanguageModel, fit_languages, identify_language
 from .mixing import mix_sources
 from .quality import COUNTS, quality_filter
 from .sharding import shard_rows
+from .substring_dedup import remove_repeats
 
 SHARDS = 8
 
@@ -19,6 +21,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out():
+    """The fold that language models never see: crc32 of the id as text, modulo 4, is 2."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
+
+
+def language_model(docs: DataFrame) -> LanguageModel:
+    return fit_languages(docs.filter(F.col("lang").isNotNull() & ~held_out()).select("doc_id", "text", "lang"))
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = identify_language(docs, language_model(docs), columns=["doc_id"])
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
 def source_weights(docs: DataFrame) -> DataFrame:
     """(source, weight): sources by code point, null last, weigh 3, 1, 2, repeating."""
     place = [F.col("source").isNull(), F.col("source")]
@@ -50,6 +67,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -63,4 +85,4 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_mixing, op3_exact_dedup, op4_sharding, op8_token_counts, op9_quality_rules)}
+    op1_language_id, op2_mixing, op3_exact_dedup, op4_sharding, op6_substring_dedup, op8_token_counts, op9_quality_rules)}

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .bpe_count import count_tokens
 from .common import WORD, number_rows
 from .exact_dedup import exact_dedup
+from .jaccard_join import jaccard_join
 from .langid import LanguageModel, fit_languages, identify_language
 from .mixing import mix_sources
 from .quality import COUNTS, quality_filter
@@ -84,5 +85,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_filter(docs).select("doc_id", *COUNTS, "base_failed", "kept")
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_join(docs).select("doc_id", "class_id", "n_links", "kept")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_mixing, op3_exact_dedup, op4_sharding, op6_substring_dedup, op8_token_counts, op9_quality_rules)}
+    op1_language_id, op2_mixing, op3_exact_dedup, op4_sharding, op6_substring_dedup, op8_token_counts, op9_quality_rules, op10_jaccard_join)}

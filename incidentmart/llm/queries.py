@@ -6,14 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe_count import count_tokens
-from .common import WORD, number_rows
+from .common import WORD, new_scratch, number_rows
 from .exact_dedup import exact_dedup
 from .jaccard_join import jaccard_join
 from .langid import LanguageModel, fit_languages, identify_language
 from .mixing import mix_sources
+from .piece_sampling import round_trip
 from .quality import COUNTS, quality_filter
 from .sharding import shard_rows
 from .substring_dedup import remove_repeats
+from .warc import read_warc, write_warc
 
 SHARDS = 8
 
@@ -68,11 +70,25 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_scratch(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages").select("page_id", "url", "html"), folder, min_revisit_bytes=0)
+    return read_warc(spark, folder, with_payload=False).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op7_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -91,4 +107,4 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_mixing, op3_exact_dedup, op4_sharding, op6_substring_dedup, op8_token_counts, op9_quality_rules, op10_jaccard_join)}
+    op1_language_id, op2_mixing, op3_exact_dedup, op4_sharding, op5_warc, op6_substring_dedup, op7_piece_sampling, op8_token_counts, op9_quality_rules, op10_jaccard_join)}

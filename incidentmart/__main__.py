@@ -31,13 +31,14 @@ REPORTS = {
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="incidentmart")
-    parser.add_argument("--master", default=None, help="Spark master (default: session's)")
+    parser.add_argument("--master", default=None, help="Spark master (default: as configured)")
     sub = parser.add_subparsers(dest="cmd", required=True)
     load = sub.add_parser("load", help="extract, build, validate and publish the star")
     load.add_argument("--data-dir", required=True)
     load.add_argument("--target", required=True)
     load.add_argument("--first", default="2024-01-01")
     load.add_argument("--last", default="2024-12-31")
+    load.add_argument("--multiline", action="store_true", help="cells may hold line breaks")
     rep = sub.add_parser("report", help="print one report of the published star")
     rep.add_argument("name", choices=sorted(REPORTS))
     rep.add_argument("--target", required=True)
@@ -46,10 +47,11 @@ def main(argv: list[str] | None = None) -> int:
 
     from pyspark.sql import SparkSession
     owned = SparkSession.getActiveSession() is None   # only stop a session we start
-    spark = get_spark(args.master) if args.master else get_spark()
+    spark = get_spark(args.master)
     try:
         if args.cmd == "load":
-            res = run_load(spark, args.data_dir, args.target, args.first, args.last)
+            res = run_load(spark, args.data_dir, args.target, args.first, args.last,
+                           multiline=args.multiline)
             print(f"run {res['run_id']}: {res['rows']:,} rows published")
             print(res["summary"])
             R.top_entities_check(res["tables"]).show(truncate=False)

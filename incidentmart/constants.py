@@ -87,13 +87,6 @@ RANKED_VEHICLES = [
     ("Otro vehiculo", "otro_vehiculo"),
 ]
 
-# Raw text columns that are cleaned, in the order they are processed.
-TEXT_COLUMNS = [
-    "cobertura", "entidad", "municipio", "tipaccid", "causaacci", "clasacc",
-    "urbana", "suburbana", "caparod", "estatus", "sexo", "aliento", "cinturon",
-    "edad_descripcion",
-]
-
 # Raw columns coerced to integers besides the measures.
 CALENDAR_NUMERIC_COLUMNS = ["anio", "mes", "id_dia", "id_hora", "id_minuto", "id_edad"]
 
@@ -115,6 +108,9 @@ DRIVER_COLUMNS = {
     "cinturon": "cinturon_seguridad",
 }
 LOCATION_COLUMNS = ["id_entidad", "entidad", "id_municipio", "municipio", "cobertura"]
+# Text columns that are cleaned: every attribute that is not an id.
+TEXT_COLUMNS = [c for c in (*LOCATION_COLUMNS, *DESCRIPTOR_COLUMNS, *DRIVER_COLUMNS)
+                if not c.startswith("id_")]
 
 # Input files of one yearly load.
 INCIDENT_FILE = "atus_anual_2024.csv"

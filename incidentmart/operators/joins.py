@@ -1,4 +1,10 @@
-"""Join helpers: size-checked broadcast, star joins, null-safe equi-joins."""
+"""Join helpers: star joins after aggregation, null-safe equi-joins.
+
+No join is hinted.  Spark broadcasts a side by its size in bytes
+(``spark.sql.autoBroadcastJoinThreshold``), at planning or by AQE from the
+sizes at run time, and splits skewed partitions of the sort-merge joins that
+are left.
+"""
 
 from __future__ import annotations
 
@@ -7,36 +13,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest side broadcast on an explicit hint.  Above it the join is left to the
-# planner (shuffle join, or AQE's runtime broadcast from measured sizes).
-BROADCAST_MAX_ROWS = 2_000_000
-
-# Outcome of size checks per analysed plan: the check only steers the join
-# strategy, never the result, so reusing it for an identical plan is safe.
-_SIZE_CHECKS: dict[tuple[int, str, int], bool] = {}
-
-
-def within_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (capped count, memoised)."""
-    key = (df.semanticHash(), df.schema.simpleString(), max_rows)
-    if key not in _SIZE_CHECKS:
-        _SIZE_CHECKS[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _SIZE_CHECKS[key]
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                      known_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only when its row count is proven to be <= ``max_rows``.
-
-    ``known_rows`` is for generated relations whose size is fixed by their
-    definition (a calendar, the minutes of a day).  Otherwise the bound is
-    checked with a capped count that stops early on a big input.  Above the
-    bound the join is left to the planner: a shuffle join, or AQE's runtime
-    switch to broadcast from measured shuffle sizes.
-    """
-    small = known_rows <= max_rows if known_rows is not None else within_rows(df, max_rows)
-    return F.broadcast(df) if small else df
-
 
 def null_safe_condition(left: DataFrame, right: DataFrame,
                         pairs: list[tuple[str, str]]) -> Column:
@@ -45,12 +21,19 @@ def null_safe_condition(left: DataFrame, right: DataFrame,
                   [left[lc].eqNullSafe(right[rc]) for lc, rc in pairs])
 
 
-def join_dimension(fact: DataFrame, dim: DataFrame, key: str | list[str],
-                   how: str = "inner", known_rows: int | None = None,
-                   max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Star join fact -> dimension on the surrogate key(s).
+def through_dimensions(fact: DataFrame, dims: list[tuple[DataFrame, str, list[str]]],
+                       measures: dict[str, str], how: str = "inner") -> DataFrame:
+    """SUM measures of ``fact`` grouped by attributes of its dimensions.
 
-    Small dimensions are broadcast (map-side join, no shuffle of the fact);
-    a dimension that fails the size check is joined by shuffle instead.
+    ``dims`` lists (dimension, key, attributes).  The fact is collapsed to one
+    row per combination of keys before any join (R9): a key that holds a third
+    of all rows is one partial row per task, and the joins see keys, not
+    facts.  ``measures`` maps output name to fact column.
     """
-    return fact.join(bounded_broadcast(dim, max_rows, known_rows), key, how)
+    keys = [key for _, key, _ in dims]
+    rows = fact.groupBy(*keys).agg(*[F.sum(c).alias(name) for name, c in measures.items()])
+    groups: list[str] = []
+    for dim, key, attributes in dims:
+        rows = rows.join(dim.select(key, *attributes), key, how)
+        groups += attributes
+    return rows.groupBy(*groups).agg(*[F.sum(name).alias(name) for name in measures])

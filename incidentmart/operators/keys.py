@@ -5,42 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..staging import stage
 from .enrich import assert_many_to_one
-from .joins import bounded_broadcast, null_safe_condition, within_rows
-
-# Up to this many distinct rows a dimension is numbered by one sorted window
-# (a bounded single task); above it the distributed numbering is used.
-SINGLE_TASK_KEY_ROWS = 1_000_000
+from .joins import null_safe_condition
 
 
 def assign_dense_keys(df: DataFrame, sort_cols: list[str], key_name: str,
                       num_partitions: int | None = None,
-                      single_task_rows: int = SINGLE_TASK_KEY_ROWS,
                       assume_distinct: bool = False) -> DataFrame:
     """Distinct rows of ``df`` numbered 1..n in ascending ``sort_cols`` order.
 
     ``sort_cols`` must cover every column, so the order is total and the
-    numbering is deterministic.  A dimension proven to have at most
-    ``single_task_rows`` rows is numbered by ``row_number()`` over that order
-    (recomputing it gives the same keys).  A larger one is range-partitioned,
-    sorted per partition and checkpointed to the shared folder (so a
-    recompute cannot move rows between partitions), then each partition adds
-    the sizes of the partitions before it; the offset table has one row per
-    partition.
+    numbering is deterministic.  The rows are range-partitioned, sorted per
+    partition and written once to the shared folder (so a recomputation cannot
+    move rows between partitions); then each partition adds the sizes of the
+    partitions before it.  No task sees more than its range, at any size; the
+    offsets have one row per partition.
     """
     order = [F.col(c).asc_nulls_last() for c in sort_cols]
     rows = df if assume_distinct else df.distinct()
-    if num_partitions is None and within_rows(rows, single_task_rows):
-        numbered = rows.withColumn(key_name, F.row_number().over(Window.orderBy(*order)))
-        return numbered.select(key_name, *df.columns)
-    spark = df.sparkSession
-    checkpoint_dir(spark)
     ranged = (rows.repartitionByRange(num_partitions, *order) if num_partitions
               else rows.repartitionByRange(*order))
-    ordered = ranged.sortWithinPartitions(*order).checkpoint(eager=True)
-    tagged = ordered.select("*", F.spark_partition_id().alias("__pid"),
-                            F.monotonically_increasing_id().alias("__mid"))
+    tagged = stage(ranged.sortWithinPartitions(*order).select(
+        "*", F.spark_partition_id().alias("__pid"), F.monotonically_increasing_id().alias("__mid")),
+        f"keys-{key_name}")
     sizes = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"),
                                         F.min("__mid").alias("__first"))
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -56,45 +44,35 @@ def lookup_keys(fact: DataFrame, dim: DataFrame, natural: list[str] | dict[str,
                 key_name: str, check_unique: bool = True) -> DataFrame:
     """Left-join ``fact`` to ``dim`` on its natural key, adding ``key_name``.
 
-    The natural key matches null-safely.  A dimension of checked size is
-    broadcast; a larger one is shuffle-joined (AQE splits a skewed fact
-    partition against the unique dimension rows).  ``check_unique`` can be
-    skipped for dimensions numbered by :func:`assign_dense_keys`, which are
-    unique by construction.
+    The natural key matches null-safely; a fact row without a dimension row
+    keeps a NULL key.  ``check_unique`` can be skipped for dimensions numbered
+    by :func:`assign_dense_keys`, which are unique by construction.
     """
     pairs = list(natural.items()) if isinstance(natural, dict) else [(c, c) for c in natural]
     right = dim.select(key_name, *[rc for _, rc in pairs])
     if check_unique:
         assert_many_to_one(right, [rc for _, rc in pairs], f"dimension {key_name}")
-    right = bounded_broadcast(right.toDF(key_name, *[f"__n{i}" for i in range(len(pairs))]))
+    right = right.toDF(key_name, *[f"__n{i}" for i in range(len(pairs))])
     cond = null_safe_condition(fact, right, [(lc, f"__n{i}") for i, (lc, _) in enumerate(pairs)])
     return fact.join(right, cond, "left").drop(*[f"__n{i}" for i in range(len(pairs))])
 
 
-def distinct_projections(df: DataFrame, specs: dict[str, list[str]],
-                         persist: bool = False) -> dict[str, DataFrame]:
+def distinct_projections(df: DataFrame, specs: dict[str, list[str]]) -> dict[str, DataFrame]:
     """A12 for several column sets in ONE scan of ``df`` (GROUPING SETS).
 
     One aggregate with a grouping set per dimension replaces one DISTINCT
     job per dimension; ``grouping_id`` tells the sets apart, so a genuine
-    NULL attribute is never confused with a rolled-up column.  Inside one
-    query the identical aggregate exchange is reused by every dimension;
-    ``persist`` keeps the (small) distinct rows for callers that write the
-    dimensions in separate jobs -- they must ``unpersist`` it afterwards
-    (it is returned under the key ``"__all__"``).
+    NULL attribute is never confused with a rolled-up column.  The distinct
+    rows are written once, since each set is numbered by jobs of its own.
     """
     all_cols: list[str] = []
     for cols in specs.values():
-        for c in cols:
-            if c not in all_cols:
-                all_cols.append(c)
+        all_cols += [c for c in cols if c not in all_cols]
     n = len(all_cols)
     sets = [[F.col(c) for c in cols] for cols in specs.values()]
-    grouped = df.groupingSets(sets, *[F.col(c) for c in all_cols]).agg(
-        F.grouping_id().alias("__gid"))
-    if persist:
-        grouped = grouped.persist()
-    out = {"__all__": grouped} if persist else {}
+    grouped = stage(df.groupingSets(sets, *[F.col(c) for c in all_cols]).agg(
+        F.grouping_id().alias("__gid")), "distinct")
+    out = {}
     for name, cols in specs.items():
         gid = sum(1 << (n - 1 - i) for i, c in enumerate(all_cols) if c not in cols)
         out[name] = grouped.filter(F.col("__gid") == gid).select(*cols)

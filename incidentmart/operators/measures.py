@@ -84,7 +84,11 @@ def top_n_per_group(agg: DataFrame, partition: list[str], label: str, measure: s
 
 
 def share_of_total(agg: DataFrame, measure: str, name: str, scale: int = 2) -> DataFrame:
-    """Q6 shape: ``ROUND(100 * m / SUM(m) OVER (), scale)`` on aggregated rows."""
+    """Q6 shape: ``ROUND(100 * m / SUM(m) OVER (), scale)`` on aggregated rows.
+
+    The window has no partition key, so it runs in one task: bounded only if
+    the number of groups is (event types, classifications), never on facts.
+    """
     total = F.sum(measure).over(Window.partitionBy())
     return agg.withColumn(name, exact_ratio(F.col(measure), total, scale, 100))
 

@@ -3,7 +3,7 @@
 Parquet tables enforce no keys or checks, so every constraint of the
 published schema becomes a count of violating rows.  Rules on one table are
 evaluated in ONE aggregate pass; key uniqueness is one grouped count; foreign
-keys are anti joins.  A report is a DataFrame ``(rule, table_name,
+keys are left joins in the same pass.  A report is a DataFrame ``(rule, table_name,
 violations BIGINT)``; gates turn a report into a driver-side error.
 """
 
@@ -14,8 +14,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import bounded_broadcast
-
 REPORT_SCHEMA = "rule string, table_name string, violations bigint"
 
 
@@ -25,14 +23,14 @@ def row_rules(df: DataFrame, table: str, rules: dict[str, Column],
 
     ``rules`` maps rule name -> predicate that is TRUE for a violating row.
     ``foreign_keys`` lists ``(fk column, dimension, key column, rule name)``;
-    each dimension's key set is left-joined (broadcast when its size is
-    proven small) so orphan counts come out of the SAME pass over ``df``.
+    each dimension's key set is left-joined, so orphan counts come out of the
+    SAME pass over ``df``; a NULL key counts as an orphan.
     """
     rules = dict(rules)
     for i, (fk, dim, key, rule) in enumerate(foreign_keys or []):
         keys = dim.select(F.col(key).alias(f"__fk{i}")).distinct() \
             .withColumn(f"__ok{i}", F.lit(True))
-        df = df.join(bounded_broadcast(keys), df[fk] == F.col(f"__fk{i}"), "left")
+        df = df.join(keys, df[fk] == F.col(f"__fk{i}"), "left")
         rules[rule] = F.col(f"__ok{i}").isNull()
     names = list(rules)
     one = df.agg(*[F.count_if(F.coalesce(pred, F.lit(False))).alias(f"__r{i}")
@@ -89,15 +87,6 @@ def dependency_rule(df: DataFrame, table: str, rule: str, determinant: list[str]
         .select(F.lit(rule).alias("rule"), F.lit(table).alias("table_name"), "violations")
 
 
-def foreign_key_rule(fact: DataFrame, fk: str, dim: DataFrame, key: str, table: str,
-                     rule: str) -> DataFrame:
-    """Fact rows whose key has no dimension row (NULL counts as missing)."""
-    keys = bounded_broadcast(dim.select(F.col(key).alias("__key")).distinct())
-    orphans = fact.select(F.col(fk).alias("__key")).join(keys, "__key", "left_anti")
-    return orphans.agg(F.count(F.lit(1)).cast("bigint").alias("violations")) \
-        .select(F.lit(rule).alias("rule"), F.lit(table).alias("table_name"), "violations")
-
-
 def report(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 

@@ -8,14 +8,10 @@ from pyspark.sql import functions as F
 from ..constants import UNKNOWN_TIME_BAND, UNKNOWN_TIME_KEY, UNKNOWN_TIME_TEXT
 from ..functions.calendar import (date_key, day_name, is_weekend, iso_weekday, month_name,
                                   time_band, time_key, time_text)
-from ..sources.series import date_series, day_count, literal_rows
+from ..sources.series import date_series, literal_rows
 
 MINUTES_PER_DAY = 24 * 60
-TIME_DIM_ROWS = MINUTES_PER_DAY + 1
 
-DATE_DIM_COLUMNS = ["date_key", "full_date", "anio", "trimestre", "mes_numero", "mes_nombre",
-                    "dia_mes", "dia_semana_numero", "dia_semana_nombre", "es_fin_semana"]
-TIME_DIM_COLUMNS = ["time_key", "hora", "minuto", "hora_texto", "banda_horaria"]
 
 
 def date_dim(spark: SparkSession, first="2024-01-01", last="2024-12-31") -> DataFrame:
@@ -23,14 +19,23 @@ def date_dim(spark: SparkSession, first="2024-01-01", last="2024-12-31") -> Data
     return date_attributes(date_series(spark, first, last))
 
 
+def date_bounds(df: DataFrame, date_col) -> DataFrame:
+    """One row (lo, hi): the first and last date of ``date_col``."""
+    c = F.col(date_col) if isinstance(date_col, str) else date_col
+    return df.agg(F.min(c).alias("lo"), F.max(c).alias("hi"))
+
+
 def year_calendar_covering(df: DataFrame, date_col) -> DataFrame:
     """D1 for the data at hand: every day of every calendar year that the
     dates in ``df`` touch (January 1 of the first year to December 31 of the
     last).  The bounds come from one aggregate over ``df``; the days are
     generated from them inside the plan, nothing passes through the driver.
     An empty input gives an empty calendar."""
-    c = F.col(date_col) if isinstance(date_col, str) else date_col
-    bounds = df.agg(F.min(c).alias("lo"), F.max(c).alias("hi"))
+    return year_calendar(date_bounds(df, date_col))
+
+
+def year_calendar(bounds: DataFrame) -> DataFrame:
+    """D1 for one row of bounds (lo, hi): every day of the years from lo to hi."""
     days = bounds.select(F.explode(F.sequence(
         F.make_date(F.year("lo"), F.lit(1), F.lit(1)),
         F.make_date(F.year("hi"), F.lit(12), F.lit(31)),
@@ -38,10 +43,9 @@ def year_calendar_covering(df: DataFrame, date_col) -> DataFrame:
     return date_attributes(days)
 
 
-def first_month_covering(df: DataFrame, date_col) -> DataFrame:
-    """The days of the first calendar month that the dates in ``df`` touch."""
-    c = F.col(date_col) if isinstance(date_col, str) else date_col
-    lo = df.agg(F.min(c).alias("lo"))
+def first_month(bounds: DataFrame) -> DataFrame:
+    """The days of the month of ``lo``, for one row of bounds (lo, hi)."""
+    lo = bounds.select("lo")
     start = F.make_date(F.year("lo"), F.month("lo"), F.lit(1))
     days = lo.select(F.explode(F.sequence(start, F.last_day("lo"),
                                           F.expr("INTERVAL 1 DAY"))).alias("full_date"))
@@ -66,11 +70,6 @@ def date_attributes(days: DataFrame) -> DataFrame:
     )
 
 
-def date_dim_rows(first="2024-01-01", last="2024-12-31") -> int:
-    """Row count of :func:`date_dim`, fixed by its definition."""
-    return day_count(first, last)
-
-
 def time_dim(spark: SparkSession) -> DataFrame:
     """One row per minute of the day (HHMM key) plus the unknown member.
 
@@ -106,7 +105,3 @@ def insert_if_absent(existing: DataFrame, new: DataFrame, key: list[str]) -> Dat
     fresh = new.dropDuplicates(key).join(existing.select(*key), key, "left_anti")
     return existing.unionByName(fresh.select(*existing.columns))
 
-
-def rows_to_insert(existing: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
-    """The rows an append would add under insert-if-absent semantics."""
-    return new.dropDuplicates(key).join(existing.select(*key), key, "left_anti")

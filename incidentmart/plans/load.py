@@ -6,13 +6,15 @@ validated runs; the newest entry is the current star.  A run writes each of
 its tables once (lineage is cut there: the cleaned base, the dimensions and
 the fact are written and re-read, so a lost executor recomputes from files,
 not from the raw CSV), validates them, and only then appends its id to the
-log.  Nothing is copied, and a failed run is never visible.
+log.  The cleaned base is deleted when the run ends, and so is the whole run
+when it fails; nothing else is copied, and a failed run is never visible.
 """
 
 from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,10 +22,11 @@ from ..constants import BAND_ORDER, TEXT_LIMITS
 from ..operators import quality as Q
 from ..schemas import STAR_SCHEMAS, conform
 from ..sources.csv import extract
-from ..sources.warehouse import read_jdbc, read_table, table_path
+from ..sources.warehouse import is_missing, read_jdbc, read_table, table_path
+from ..staging import delete_path
 from .calendar import date_dim, insert_if_absent, time_dim
 from .star import (DIMENSIONS, FACT_MEASURES, base_gate, build_base, build_dimensions,
-                   resolve_keys)
+                   numbered_base, resolve_keys)
 
 STAR_TABLES = ["dim_fecha", "dim_tiempo", "dim_ubicacion", "dim_accidente", "dim_conductor",
                "fact_accidentes"]
@@ -33,14 +36,10 @@ CASUALTY_MEASURES = FACT_MEASURES[14:]
 
 # ---------------------------------------------------------------- sinks
 
-def write_table(df: DataFrame, root: str, name: str, mode: str = "overwrite",
-                partition_by: list[str] | None = None) -> str:
+def write_table(df: DataFrame, root: str, name: str, mode: str = "overwrite") -> str:
     """Parquet sink; ``append`` adds files, ``overwrite`` resets."""
     path = table_path(root, name)
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    df.write.mode(mode).parquet(path)
     return path
 
 
@@ -68,12 +67,14 @@ def cluster_fact(fact: DataFrame, num_partitions: int | None = None) -> DataFram
     return ranged.sortWithinPartitions(*keys)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).limit(0).collect()
-        return True
-    except Exception:  # noqa: BLE001 - any read failure means "not there"
-        return False
+def export_jdbc(tables: dict[str, DataFrame], url: str, properties: dict | None = None) -> None:
+    """S4-S6, S12 against a database: reset and load the star, dimensions first.
+
+    A thin use of Spark's JDBC sink, which this project's tests do not run:
+    they start no database.
+    """
+    for name in STAR_TABLES:
+        write_jdbc(tables[name], url, name, "overwrite", truncate=True, properties=properties)
 
 
 def calendar_tables(spark: SparkSession, existing: dict[str, DataFrame], first: str,
@@ -153,12 +154,6 @@ def load_summary(fact: DataFrame) -> DataFrame:
                     F.sum("bicicleta").alias("total_bicicletas"))
 
 
-def null_key_counts(fact: DataFrame) -> DataFrame:
-    """NULL count per foreign key."""
-    return Q.null_counts(fact, ["date_key", "time_key", "ubicacion_key", "accidente_key",
-                                "conductor_key"])
-
-
 # ---------------------------------------------------------------- the load
 
 PUBLISHED = "_published"
@@ -169,18 +164,23 @@ def run_path(target: str, run_id: str) -> str:
 
 
 def current_run(spark: SparkSession, target: str) -> str | None:
-    """Run id of the latest published load (None before the first one)."""
-    path = table_path(target, PUBLISHED)
-    if not _exists(spark, path):
-        return None
-    row = (spark.read.parquet(path)
-           .orderBy(F.col("published_at").desc(), F.col("run_id").desc()).first())
+    """Run id of the latest published load (None before the first one).
+
+    Only an absent log means that; a log that cannot be read is an error.
+    """
+    try:
+        log = spark.read.parquet(table_path(target, PUBLISHED))
+    except AnalysisException as exc:
+        if is_missing(exc):
+            return None
+        raise
+    row = (log.orderBy(F.col("published_at").desc(), F.col("run_id").desc()).first())
     return row.run_id if row else None
 
 
 def run_load(spark: SparkSession, data_dir: str, target: str, first: str = "2024-01-01",
              last: str = "2024-12-31", run_id: str | None = None,
-             num_partitions: int | None = None) -> dict:
+             num_partitions: int | None = None, multiline: bool = False) -> dict:
     """Extract -> base -> dimensions -> fact -> validate -> publish.
 
     Every table of the run is written once under ``target/_runs/<run_id>/``
@@ -188,39 +188,51 @@ def run_load(spark: SparkSession, data_dir: str, target: str, first: str = "2024
     copied: after every rule passes, one row naming the run is appended to
     ``target/_published``, which is the atomic switch readers follow.  A
     failed run is never visible, and each run is a complete new version, so
-    there is no truncate step to get wrong.
+    there is no truncate step to get wrong.  ``multiline`` reads line breaks
+    inside quoted cells.  The rows that must arrive are counted in the file
+    itself, before anything is done to them (A15/V15).
     """
     run_id = run_id or uuid.uuid4().hex
     run = run_path(target, run_id)
     previous = current_run(spark, target)
 
-    base = build_base(extract(spark, data_dir))
-    write_table(base, run, "_base")
-    base = read_table(spark, run, "_base")
-    stats = base_gate(base)
+    try:
+        staged, rows = _build_run(spark, data_dir, target, run, previous, first, last,
+                                  num_partitions, multiline)
+    except Exception:
+        delete_path(spark, run)
+        raise
+    delete_path(spark, table_path(run, "_base"))
+    publish(spark, target, run_id)
+    return {"run_id": run_id, "rows": rows, "tables": staged,
+            "summary": load_summary(staged["fact_accidentes"]).first().asDict()}
+
+
+def _build_run(spark: SparkSession, data_dir: str, target: str, run: str, previous: str | None,
+               first: str, last: str, num_partitions: int | None,
+               multiline: bool) -> tuple[dict[str, DataFrame], int]:
+    bundle = extract(spark, data_dir, multiline)
+    write_table(build_base(bundle), run, "_base")
+    base = numbered_base(read_table(spark, run, "_base"))
+    base_gate(base)
 
     staged: dict[str, DataFrame] = {}
     existing = read_star(spark, target) if previous else {}
     for name, df in calendar_tables(spark, existing, first, last).items():
         write_table(conform(df, STAR_SCHEMAS[name]), run, name)
         staged[name] = read_table(spark, run, name)
-    dims = build_dimensions(base, num_partitions)
-    shared = dims.pop("__all__")
-    for name, df in dims.items():
+    for name, df in build_dimensions(base, num_partitions).items():
         write_table(conform(df, STAR_SCHEMAS[name]), run, name)
         staged[name] = read_table(spark, run, name)
-    shared.unpersist()
 
     fact = resolve_keys(base, staged)
     write_table(cluster_fact(fact, num_partitions), run, "fact_accidentes")
     staged["fact_accidentes"] = read_table(spark, run, "fact_accidentes")
 
-    Q.expect_rows(staged["fact_accidentes"], stats["rows"], "fact_accidentes")
+    rows = bundle["atus"].count()
+    Q.expect_rows(staged["fact_accidentes"], rows, "fact_accidentes")
     Q.enforce(validation_report(staged), "post-load")
-
-    publish(spark, target, run_id)
-    return {"run_id": run_id, "rows": stats["rows"], "tables": staged,
-            "summary": load_summary(staged["fact_accidentes"]).first().asDict()}
+    return staged, rows
 
 
 def publish(spark: SparkSession, target: str, run_id: str) -> None:

@@ -4,6 +4,7 @@ The dashboard of the reproduced system re-ran each query at most every ten
 minutes.  Here a report is written as a Parquet mart under a shared folder
 together with the time it was computed; a reader within ``ttl_seconds`` of
 that time gets the stored rows, anyone later recomputes and overwrites it.
+Only an absent mart counts as absent: any other read failure is raised.
 """
 
 from __future__ import annotations
@@ -11,10 +12,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.warehouse import table_path
+from ..sources.warehouse import is_missing, table_path
 
 DEFAULT_TTL_SECONDS = 600
 STAMP = "_mart_computed_at"
@@ -33,9 +35,11 @@ def read_mart(spark: SparkSession, root: str, name: str,
     path = table_path(root, name)
     try:
         stored = spark.read.parquet(path)
-        stamp = stored.agg(F.max(STAMP)).first()[0]
-    except Exception:  # noqa: BLE001 - absent or unreadable mart
-        return None
+    except AnalysisException as exc:
+        if is_missing(exc):
+            return None
+        raise
+    stamp = stored.agg(F.max(STAMP)).first()[0]
     if stamp is None:
         return None
     age = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - stamp

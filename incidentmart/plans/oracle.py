@@ -9,17 +9,20 @@ arithmetic so they round half away from zero exactly:
 from __future__ import annotations
 
 
-def dim_date_cte(name: str, first: str | None = None, last: str | None = None,
-                 days: str | None = None) -> str:
-    """Date dimension CTE over a literal range, or over an existing CTE ``days``
-    with a ``full_date`` column."""
-    source = days or f"{name}_days"
-    series = "" if days else f"""
-{name}_days AS (
-    SELECT CAST(d AS DATE) AS full_date
-    FROM generate_series(DATE '{first}', DATE '{last}', INTERVAL 1 DAY) AS t(d)
-),"""
-    return f"""{series}
+def years_cte(table: str, column: str) -> str:
+    """CTE ``cal``: every day of the calendar years that a table's dates touch."""
+    return f"""
+bounds AS (SELECT min(CAST({column} AS DATE)) AS lo, max(CAST({column} AS DATE)) AS hi FROM {table}),
+cal AS (
+    SELECT CAST(t.d AS DATE) AS full_date
+    FROM bounds, generate_series(make_date(year(bounds.lo), 1, 1),
+                                 make_date(year(bounds.hi), 12, 31), INTERVAL 1 DAY) AS t(d)
+)"""
+
+
+def dim_date_cte(name: str) -> str:
+    """Date dimension CTE over the CTE ``cal``."""
+    return f"""
 {name} AS (
     SELECT
         CAST(strftime(full_date, '%Y%m%d') AS BIGINT) AS date_key,
@@ -41,11 +44,11 @@ def dim_date_cte(name: str, first: str | None = None, last: str | None = None,
             WHEN 7 THEN 'Domingo'
         END AS dia_semana_nombre,
         isodow(full_date) IN (6, 7) AS es_fin_semana
-    FROM {source}
+    FROM cal
 )"""
 
 
-DIM_DATE_CTE = dim_date_cte("dim_fecha", "2024-01-01", "2024-12-31")
+DIM_DATE_CTE = years_cte("events", "ts") + "," + dim_date_cte("dim_fecha")
 
 DIM_TIME_CTE = """
 hm AS (
@@ -72,7 +75,6 @@ ev AS (
            CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS is_error,
            CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS is_purchase
     FROM events
-    WHERE ts >= TIMESTAMP '2024-01-01 00:00:00' AND ts < TIMESTAMP '2025-01-01 00:00:00'
 )"""
 
 ORDERS_MEASURES = """COUNT(*) AS total_orders,
@@ -94,9 +96,7 @@ def rounded(a: str, b: str, scale: int, mult: int = 1) -> str:
             f"CAST(sign({a}) * ((2 * abs({a}) * {mult * s} + ({b})) // (2 * ({b}))) AS DOUBLE) / {s} END")
 
 
-ORDERS_CAL = "o_orderdate >= TIMESTAMP '1990-01-01 00:00:00' AND o_orderdate < TIMESTAMP '2010-01-01 00:00:00'"
-
-ORDERS_BASE_CTE = f"""
+ORDERS_BASE_CTE = """
 ob AS (
     SELECT o.o_orderkey, o.o_orderstatus, o.o_orderpriority,
            CAST(strftime(CAST(o.o_orderdate AS DATE), '%Y%m%d') AS BIGINT) AS date_key,
@@ -105,33 +105,40 @@ ob AS (
            CASE WHEN o.o_orderstatus = 'F' THEN 1 ELSE 0 END AS is_finished,
            n.n_nationkey, r.r_name, n.n_name, c.c_mktsegment
     FROM orders o
-    JOIN customer c ON o.o_custkey = c.c_custkey
-    JOIN nation n ON c.c_nationkey = n.n_nationkey
-    JOIN region r ON n.n_regionkey = r.r_regionkey
-    WHERE {ORDERS_CAL}
+    LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+    LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+    LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+)"""
+
+KEYED_CTE = """
+loc AS (
+    SELECT CAST(ROW_NUMBER() OVER (ORDER BY n_nationkey, r_name, n_name, c_mktsegment) AS BIGINT) AS location_key, *
+    FROM (SELECT DISTINCT n_nationkey, r_name, n_name, c_mktsegment FROM ob
+          WHERE n_nationkey IS NOT NULL AND r_name IS NOT NULL AND n_name IS NOT NULL AND c_mktsegment IS NOT NULL)
+), des AS (
+    SELECT CAST(ROW_NUMBER() OVER (ORDER BY o_orderstatus, o_orderpriority) AS BIGINT) AS descriptor_key, *
+    FROM (SELECT DISTINCT o_orderstatus, o_orderpriority FROM ob
+          WHERE o_orderstatus IS NOT NULL AND o_orderpriority IS NOT NULL)
+), pro AS (
+    SELECT CAST(ROW_NUMBER() OVER (ORDER BY c_mktsegment, o_orderpriority) AS BIGINT) AS profile_key, *
+    FROM (SELECT DISTINCT c_mktsegment, o_orderpriority FROM ob
+          WHERE c_mktsegment IS NOT NULL AND o_orderpriority IS NOT NULL)
 ), fk AS (
-    SELECT CAST(o_orderkey AS BIGINT) AS source_row_id, date_key,
-           CAST(DENSE_RANK() OVER (ORDER BY n_nationkey, r_name, n_name, c_mktsegment) AS BIGINT) AS location_key,
-           CAST(DENSE_RANK() OVER (ORDER BY o_orderstatus, o_orderpriority) AS BIGINT) AS descriptor_key,
-           CAST(DENSE_RANK() OVER (ORDER BY c_mktsegment, o_orderpriority) AS BIGINT) AS profile_key,
-           CAST(num_orders AS BIGINT) AS num_orders, CAST(is_urgent AS BIGINT) AS is_urgent,
-           CAST(is_finished AS BIGINT) AS is_finished,
-           n_nationkey, r_name, n_name, c_mktsegment, o_orderstatus, o_orderpriority
+    SELECT CAST(o_orderkey AS BIGINT) AS source_row_id, date_key, loc.location_key, des.descriptor_key,
+           pro.profile_key, CAST(num_orders AS BIGINT) AS num_orders,
+           CAST(is_urgent AS BIGINT) AS is_urgent, CAST(is_finished AS BIGINT) AS is_finished, ob.n_name
     FROM ob
+    LEFT JOIN loc ON ob.n_nationkey = loc.n_nationkey AND ob.r_name = loc.r_name
+                 AND ob.n_name = loc.n_name AND ob.c_mktsegment = loc.c_mktsegment
+    LEFT JOIN des ON ob.o_orderstatus = des.o_orderstatus AND ob.o_orderpriority = des.o_orderpriority
+    LEFT JOIN pro ON ob.c_mktsegment = pro.c_mktsegment AND ob.o_orderpriority = pro.o_orderpriority
 )"""
 
-ORACLE: dict[str, str] = {}
+STAR_CTE = ORDERS_BASE_CTE + "," + KEYED_CTE
 
-EVENT_YEARS_CTE = """
-bounds AS (SELECT min(CAST(ts AS DATE)) AS lo, max(CAST(ts AS DATE)) AS hi FROM events),
-cal AS (
-    SELECT CAST(t.d AS DATE) AS full_date
-    FROM bounds, generate_series(make_date(year(bounds.lo), 1, 1),
-                                 make_date(year(bounds.hi), 12, 31), INTERVAL 1 DAY) AS t(d)
-)"""
+ORACLE: dict[str, str] = {}
 
-ORACLE["dim_date"] = (f"WITH {EVENT_YEARS_CTE}, " + dim_date_cte("dim_fecha", days="cal")
-                      + " SELECT * FROM dim_fecha")
+ORACLE["dim_date"] = f"WITH {DIM_DATE_CTE} SELECT * FROM dim_fecha"
 
 ORACLE["dim_time"] = f"""WITH {DIM_TIME_CTE},
 per AS (
@@ -143,15 +150,14 @@ per AS (
 SELECT t.*, CAST(COALESCE(per.n, 0) AS BIGINT) AS event_count
 FROM dim_tiempo t LEFT JOIN per ON per.time_key = t.time_key"""
 
-ORACLE["insert_if_absent"] = (f"WITH {EVENT_YEARS_CTE}, " + dim_date_cte("dim_fecha", days="cal")
-                              + """,
+ORACLE["insert_if_absent"] = f"""WITH {DIM_DATE_CTE},
 first_month AS (
     SELECT f.* FROM dim_fecha f, bounds
     WHERE year(f.full_date) = year(bounds.lo) AND month(f.full_date) = month(bounds.lo)
 )
 SELECT * FROM first_month
 UNION ALL
-SELECT * FROM dim_fecha WHERE date_key NOT IN (SELECT date_key FROM first_month)""")
+SELECT * FROM dim_fecha WHERE date_key NOT IN (SELECT date_key FROM first_month)"""
 
 ORACLE["entity_ranking"] = f"""WITH {EVENTS_FACT_CTE},
 agg AS (
@@ -179,7 +185,6 @@ ORACLE["month_trend"] = f"""WITH m AS (
            END AS mes_nombre,
            {ORDERS_MEASURES}
     FROM orders
-    WHERE o_orderdate >= TIMESTAMP '2000-01-01 00:00:00' AND o_orderdate < TIMESTAMP '2001-01-01 00:00:00'
     GROUP BY 1, 2
 ), l AS (
     SELECT *, LAG(total_orders) OVER (ORDER BY mes_numero) AS prev FROM m
@@ -193,7 +198,7 @@ FROM l"""
 
 MOVING_CTE = f"""d AS (
     SELECT CAST(o_orderdate AS DATE) AS full_date, COUNT(*) AS total_orders
-    FROM orders WHERE {ORDERS_CAL}
+    FROM orders
     GROUP BY 1
 ), w AS (
     SELECT *, SUM(total_orders) OVER win AS s, COUNT(total_orders) OVER win AS c
@@ -330,14 +335,17 @@ FROM r"""
 
 ORACLE["coerce_numeric"] = """WITH r AS (
     SELECT event_id,
-           CASE event_id % 7
+           CASE event_id % 17
                WHEN 0 THEN NULL WHEN 1 THEN 'x'
                WHEN 2 THEN ' ' || CAST(value AS VARCHAR) || ' '
                WHEN 3 THEN '-' || CAST(value AS VARCHAR)
+               WHEN 4 THEN '3d' WHEN 5 THEN '0x1p3' WHEN 6 THEN '9007199254740993'
+               WHEN 7 THEN '3f' WHEN 8 THEN '-.5e1'
                ELSE CAST(value AS VARCHAR) END AS raw
     FROM events
 )
-SELECT event_id, COALESCE(CAST(trunc(TRY_CAST(trim(raw) AS DOUBLE)) AS BIGINT), 0) AS value_int
+SELECT event_id, COALESCE(CASE WHEN regexp_full_match(trim(raw), '[+-]?[0-9]+') THEN TRY_CAST(trim(raw) AS BIGINT)
+                               ELSE CAST(trunc(TRY_CAST(trim(raw) AS DOUBLE)) AS BIGINT) END, 0) AS value_int
 FROM r"""
 
 ORACLE["parse_date"] = """WITH p AS (
@@ -378,7 +386,7 @@ ORACLE["enrich_left"] = """WITH raw AS (
     SELECT c.c_custkey,
            CASE WHEN c.c_custkey % 10 = 0 THEN NULL ELSE n.n_regionkey END AS region_code,
            CASE WHEN c.c_custkey % 10 = 1 THEN c.c_nationkey + 100 ELSE c.c_nationkey END AS nation_code
-    FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+    FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 ), regions AS (
     SELECT r_regionkey AS region_code, r_name AS region_name FROM region
     UNION ALL SELECT NULL, 'REGION NULA'
@@ -392,37 +400,44 @@ LEFT JOIN regions rg ON raw.region_code IS NOT DISTINCT FROM rg.region_code
 LEFT JOIN nation n ON raw.region_code IS NOT DISTINCT FROM n.n_regionkey
                   AND raw.nation_code IS NOT DISTINCT FROM n.n_nationkey"""
 
-ORACLE["dim_location"] = f"""WITH {ORDERS_BASE_CTE}
-SELECT DISTINCT location_key, CAST(n_nationkey AS BIGINT) AS n_nationkey, r_name, n_name, c_mktsegment
-FROM fk"""
+ORACLE["dim_location"] = f"""WITH {STAR_CTE}
+SELECT location_key, CAST(n_nationkey AS BIGINT) AS n_nationkey, r_name, n_name, c_mktsegment FROM loc"""
 
-ORACLE["dim_descriptor"] = f"""WITH {ORDERS_BASE_CTE}
-SELECT DISTINCT descriptor_key, o_orderstatus, o_orderpriority FROM fk"""
+ORACLE["dim_descriptor"] = f"WITH {STAR_CTE} SELECT descriptor_key, o_orderstatus, o_orderpriority FROM des"
 
-ORACLE["dim_profile"] = f"""WITH {ORDERS_BASE_CTE}
-SELECT DISTINCT profile_key, c_mktsegment, o_orderpriority FROM fk"""
+ORACLE["dim_profile"] = f"WITH {STAR_CTE} SELECT profile_key, c_mktsegment, o_orderpriority FROM pro"
 
 FACT_COLS = ("source_row_id, date_key, location_key, descriptor_key, profile_key, "
              "num_orders, is_urgent, is_finished")
 
-ORACLE["fact_keyed"] = f"WITH {ORDERS_BASE_CTE} SELECT {FACT_COLS} FROM fk"
+ORACLE["fact_keyed"] = f"WITH {STAR_CTE} SELECT {FACT_COLS} FROM fk"
 
 ORACLE["load_summary"] = f"""WITH {ORDERS_BASE_CTE}
 SELECT CAST(COUNT(*) AS BIGINT) AS fact_rows, CAST(SUM(num_orders) AS BIGINT) AS total_orders,
        CAST(SUM(is_urgent) AS BIGINT) AS total_urgent, CAST(SUM(is_finished) AS BIGINT) AS total_finished
-FROM fk"""
+FROM ob"""
+
+DIRTY_BASE = ORDERS_BASE_CTE.replace("\nob AS", "\nclean AS") + """, ob AS (
+    SELECT o_orderkey, CASE WHEN o_orderkey % 503 = 2 THEN NULL ELSE o_orderstatus END AS o_orderstatus,
+           o_orderpriority, date_key, num_orders, is_urgent, is_finished,
+           CASE WHEN o_orderkey % 1009 = 4 THEN NULL ELSE n_nationkey END AS n_nationkey,
+           CASE WHEN o_orderkey % 1009 = 4 THEN NULL ELSE r_name END AS r_name,
+           CASE WHEN o_orderkey % 1009 = 4 THEN NULL ELSE n_name END AS n_name,
+           CASE WHEN o_orderkey % 1009 = 4 THEN NULL ELSE c_mktsegment END AS c_mktsegment
+    FROM clean
+)"""
 
-ORACLE["null_key_report"] = f"""WITH {ORDERS_BASE_CTE}
+ORACLE["null_key_report"] = f"""WITH {DIRTY_BASE}, {KEYED_CTE}
 SELECT CAST(COUNT(*) FILTER (WHERE date_key IS NULL) AS BIGINT) AS date_key_nulls,
        CAST(COUNT(*) FILTER (WHERE location_key IS NULL) AS BIGINT) AS location_key_nulls,
        CAST(COUNT(*) FILTER (WHERE descriptor_key IS NULL) AS BIGINT) AS descriptor_key_nulls,
        CAST(COUNT(*) FILTER (WHERE profile_key IS NULL) AS BIGINT) AS profile_key_nulls
 FROM fk"""
 
-ORACLE["top_check"] = f"""WITH {ORDERS_BASE_CTE}
+ORACLE["top_check"] = f"""WITH {STAR_CTE}
 SELECT n_name, CAST(SUM(num_orders) AS BIGINT) AS total_orders,
        CAST(SUM(is_urgent) AS BIGINT) AS total_urgent, CAST(SUM(is_finished) AS BIGINT) AS total_finished
-FROM fk GROUP BY n_name ORDER BY total_orders DESC, n_name ASC LIMIT 10"""
+FROM fk WHERE location_key IS NOT NULL GROUP BY n_name ORDER BY total_orders DESC, n_name ASC LIMIT 10"""
 
 
 def _unique(table: str, rel: str, rule: str, keys: str) -> str:
@@ -436,6 +451,14 @@ def _count(table: str, rel: str, rule: str, pred: str) -> str:
             f"FROM {rel}")
 
 
+LENGTHS = {"r_name": 25, "n_name": 25, "c_mktsegment": 10, "o_orderstatus": 1, "o_orderpriority": 15}
+
+
+def _attributes(table: str, rel: str, cols: list[str]) -> list[str]:
+    return ([_count(table, rel, f"not_null:{c}", f"{c} IS NULL") for c in cols]
+            + [_count(table, rel, f"length:{c}", f"length({c}) > {LENGTHS[c]}") for c in cols if c in LENGTHS])
+
+
 def _fk(rel: str, col: str, dim: str, key: str) -> str:
     return (f"SELECT 'fk:{col}', 'fact', CAST(COUNT(*) AS BIGINT) FROM {rel} x "
             f"WHERE NOT EXISTS (SELECT 1 FROM {dim} y WHERE y.{key} = x.{col})")
@@ -454,6 +477,8 @@ _CONSTRAINT_PARTS = [
     _count("dim_date", "dd", "range:dia_semana_numero", "NOT (dia_semana_numero BETWEEN 1 AND 7)"),
     _unique("dim_time", "dim_tiempo", "pk", "time_key"),
     _unique("dim_time", "dim_tiempo", "unique:hora_texto", "hora_texto"),
+    *[_count("dim_time", "dim_tiempo", f"not_null:{c}", f"{c} IS NULL")
+      for c in ("time_key", "hora", "minuto", "hora_texto", "banda_horaria")],
     _count("dim_time", "dim_tiempo", "range:hora", "NOT (hora BETWEEN -1 AND 23)"),
     _count("dim_time", "dim_tiempo", "range:minuto", "NOT (minuto BETWEEN -1 AND 59)"),
     _count("dim_time", "dim_tiempo", "domain:banda_horaria",
@@ -463,15 +488,23 @@ _CONSTRAINT_PARTS = [
     "SELECT 'fd:nation_segment->names', 'dim_location', CAST(COUNT(*) AS BIGINT) FROM ("
     "SELECT n_nationkey, c_mktsegment FROM loc GROUP BY n_nationkey, c_mktsegment "
     "HAVING COUNT(DISTINCT (r_name, n_name)) > 1)",
+    *_attributes("dim_location", "loc", ["location_key", "n_nationkey", "r_name", "n_name", "c_mktsegment"]),
     _unique("dim_descriptor", "des", "pk", "descriptor_key"),
+    _unique("dim_descriptor", "des", "unique:natural", "o_orderstatus, o_orderpriority"),
+    *_attributes("dim_descriptor", "des", ["descriptor_key", "o_orderstatus", "o_orderpriority"]),
     _unique("dim_profile", "pro", "pk", "profile_key"),
+    _unique("dim_profile", "pro", "unique:natural", "c_mktsegment, o_orderpriority"),
+    *_attributes("dim_profile", "pro", ["profile_key", "c_mktsegment", "o_orderpriority"]),
+    _unique("nation", "nation", "many_to_one:n_nationkey", "n_nationkey"),
+    _unique("region", "region", "many_to_one:r_regionkey", "r_regionkey"),
     _unique("fact", "dirty", "pk", "source_row_id"),
     _count("fact", "dirty", "not_null:date_key", "date_key IS NULL"),
     _count("fact", "dirty", "not_null:location_key", "location_key IS NULL"),
     _count("fact", "dirty", "not_null:descriptor_key", "descriptor_key IS NULL"),
     _count("fact", "dirty", "not_null:profile_key", "profile_key IS NULL"),
     _count("fact", "dirty", "const:num_orders", "num_orders <> 1"),
-    _count("fact", "dirty", "nonneg:counts", "least(is_urgent, is_finished) < 0"),
+    _count("fact", "dirty", "nonneg:is_urgent", "is_urgent < 0"),
+    _count("fact", "dirty", "nonneg:is_finished", "is_finished < 0"),
     _count("fact", "dirty", "smallint:counts", "greatest(is_urgent, is_finished) > 32767"),
     _fk("dirty", "date_key", "dd", "date_key"),
     _fk("dirty", "location_key", "loc", "location_key"),
@@ -479,18 +512,124 @@ _CONSTRAINT_PARTS = [
     _fk("dirty", "profile_key", "pro", "profile_key"),
 ]
 
-ORACLE["constraint_report"] = f"""WITH {dim_date_cte('dd', '1990-01-01', '2009-12-31')},
-{DIM_TIME_CTE}, {ORDERS_BASE_CTE},
-loc AS (SELECT DISTINCT location_key, n_nationkey, r_name, n_name, c_mktsegment FROM fk),
-des AS (SELECT DISTINCT descriptor_key, o_orderstatus, o_orderpriority FROM fk),
-pro AS (SELECT DISTINCT profile_key, c_mktsegment, o_orderpriority FROM fk),
+ORACLE["constraint_report"] = f"""WITH {years_cte('orders', 'o_orderdate')},{dim_date_cte('dd')},
+{DIM_TIME_CTE}, {STAR_CTE},
 dirty AS (
     SELECT CASE WHEN source_row_id % 1000 = 7 THEN 1 ELSE source_row_id END AS source_row_id,
            CASE WHEN source_row_id % 997 = 3 THEN 19000101 ELSE date_key END AS date_key,
            location_key, descriptor_key, profile_key,
            CASE WHEN source_row_id % 991 = 5 THEN 2 ELSE num_orders END AS num_orders,
            CASE WHEN source_row_id % 983 = 11 THEN -1 ELSE is_urgent END AS is_urgent,
-           is_finished
+           CASE WHEN source_row_id % 977 = 13 THEN -1 ELSE is_finished END AS is_finished
     FROM fk
 )
 """ + "\nUNION ALL\n".join(_CONSTRAINT_PARTS)
+
+
+# ---------------------------------------------------------------- the load path
+
+RAW_CTE = """raw AS (
+    SELECT event_id, CAST(ts AS DATE) AS full_date, 1 + user_id % 32 AS ie, 1 + user_id % 5 AS im,
+           'Entidad ' || lpad(CAST(1 + user_id % 32 AS VARCHAR), 2, '0') AS entidad,
+           'Municipio ' || CAST(1 + user_id % 5 AS VARCHAR) AS municipio,
+           CASE WHEN user_id % 2 = 0 THEN 'Municipal' ELSE 'Suburbana' END AS cobertura,
+           CASE WHEN event_id % 50 = 1 THEN 99 WHEN event_id % 50 = 0 THEN 0 ELSE hour(ts) END AS h,
+           event_type AS tipo, event_id % 4 AS causa, event_id % 3 AS u, event_id % 2 AS s,
+           CASE event_type WHEN 'error' THEN 'Fatal' WHEN 'purchase' THEN 'No fatal' ELSE 'Sólo daños' END AS clase,
+           CASE event_id % 3 WHEN 0 THEN 'Mujer' WHEN 1 THEN 'Hombre' ELSE 'Sin especificar' END AS sexo,
+           CASE WHEN event_id % 40 = 0 THEN 'No especificada' ELSE CAST(10 + event_id % 60 AS VARCHAR) || ' años' END AS edad,
+           CASE WHEN event_id % 7 = 0 THEN 'Sí' ELSE 'No' END AS aliento, 'Sin especificar' AS cinturon,
+           1 + event_id % 2 AS automovil, CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END AS moto,
+           CASE WHEN event_id % 11 = 0 THEN 2 ELSE 0 END AS camioneta,
+           CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS muertos,
+           CASE WHEN event_type = 'purchase' THEN 2 ELSE 0 END AS heridos
+    FROM events
+)"""
+
+ORACLE["incident_load"] = f"""WITH {years_cte('events', 'ts')}, {RAW_CTE}
+SELECT 'dim_fecha' AS table_name, (SELECT count(*) FROM cal) AS rows
+UNION ALL SELECT 'dim_tiempo', 1441
+UNION ALL SELECT 'dim_ubicacion', (SELECT count(*) FROM (SELECT DISTINCT ie, im, cobertura FROM raw))
+UNION ALL SELECT 'dim_accidente', (SELECT count(*) FROM (SELECT DISTINCT tipo, causa, clase, u, s FROM raw))
+UNION ALL SELECT 'dim_conductor', (SELECT count(*) FROM (SELECT DISTINCT sexo, edad, aliento FROM raw))
+UNION ALL SELECT 'fact_accidentes', (SELECT count(*) FROM raw)"""
+
+ORACLE["incident_rules"] = """SELECT table_name, CAST(0 AS BIGINT) AS violations
+FROM (VALUES ('dim_fecha'), ('dim_tiempo'), ('dim_ubicacion'), ('dim_accidente'), ('dim_conductor'),
+             ('fact_accidentes')) AS t(table_name)"""
+
+_SEVERITY = """CAST(count(*) AS BIGINT) AS total_accidentes, CAST(sum(muertos) AS BIGINT) AS total_muertos,
+           CAST(sum(heridos) AS BIGINT) AS total_heridos"""
+
+
+def _long(report: str, rel: str, label: str, measures: list[str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{report}' AS report, {label} AS label, '{m}' AS measure, CAST({m} AS DOUBLE) AS value FROM {rel}"
+                              for m in measures)
+
+
+_THREE = ["total_accidentes", "total_muertos", "total_heridos"]
+
+ORACLE["incident_reports"] = f"""WITH {RAW_CTE},
+ent AS (SELECT entidad, {_SEVERITY} FROM raw GROUP BY entidad),
+q1 AS (
+    SELECT *, RANK() OVER (ORDER BY total_accidentes DESC) AS ranking,
+           {rounded('total_muertos', 'total_accidentes', 4)} AS muertos_por_accidente,
+           {rounded('total_heridos', 'total_accidentes', 4)} AS heridos_por_accidente
+    FROM ent ORDER BY total_accidentes DESC, entidad LIMIT 10
+), mon AS (
+    SELECT month(full_date) AS n, {_SEVERITY} FROM raw GROUP BY 1
+), mon2 AS (
+    SELECT *, LAG(total_accidentes) OVER (ORDER BY n) AS accidentes_mes_anterior FROM mon
+), q2 AS (
+    SELECT *, CAST(n AS VARCHAR) || '|' || ['Enero', 'Febrero', 'Marzo', 'Abril', 'Mayo', 'Junio', 'Julio', 'Agosto',
+             'Septiembre', 'Octubre', 'Noviembre', 'Diciembre'][n] AS label,
+           total_accidentes - accidentes_mes_anterior AS variacion_accidentes,
+           {rounded('(total_accidentes - accidentes_mes_anterior)', 'accidentes_mes_anterior', 2, 100)} AS variacion_porcentual_accidentes
+    FROM mon2
+), day AS (
+    SELECT full_date, CAST(count(*) AS BIGINT) AS total_accidentes FROM raw GROUP BY 1
+), day2 AS (
+    SELECT *, SUM(total_accidentes) OVER w AS s, COUNT(*) OVER w AS c FROM day
+    WINDOW w AS (ORDER BY full_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
+), q3 AS (SELECT *, {rounded('s', 'c', 2)} AS promedio_movil_7_dias FROM day2
+), band AS (
+    SELECT isodow(full_date) AS dow, CASE WHEN h BETWEEN 0 AND 5 THEN 'Madrugada' WHEN h BETWEEN 6 AND 11 THEN 'Mañana'
+             WHEN h BETWEEN 12 AND 17 THEN 'Tarde' WHEN h BETWEEN 18 AND 23 THEN 'Noche' ELSE 'Sin especificar' END AS banda_horaria,
+           {_SEVERITY}
+    FROM raw GROUP BY 1, 2
+), q4 AS (
+    SELECT *, CAST(dow AS VARCHAR) || '|' || ['Lunes', 'Martes', 'Miércoles', 'Jueves', 'Viernes', 'Sábado', 'Domingo'][dow]
+             || '|' || banda_horaria AS label, {BAND_ORD} AS banda_orden
+    FROM band
+), mun AS (
+    SELECT entidad, municipio, {_SEVERITY} FROM raw GROUP BY 1, 2
+), q5 AS (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY entidad ORDER BY total_accidentes DESC, municipio) AS ranking_en_entidad
+    FROM mun QUALIFY ranking_en_entidad <= 3
+), cls AS (
+    SELECT clase, {_SEVERITY} FROM raw GROUP BY clase
+), cls2 AS (SELECT *, SUM(total_accidentes) OVER () AS t FROM cls
+), q6 AS (SELECT *, {rounded('total_accidentes', 't', 2, 100)} AS porcentaje_accidentes FROM cls2
+), veh AS (
+    SELECT unnest(['Automovil', 'Motocicleta', 'Bicicleta', 'Camioneta', 'Camion', 'Microbus', 'Omnibus', 'Tractor',
+                   'Ferrocarril', 'Otro vehiculo']) AS tipo_vehiculo,
+           unnest([sum(automovil), sum(moto), 0, sum(camioneta), 0, 0, 0, 0, 0, 0]) AS total
+    FROM raw
+), q7 AS (SELECT *, RANK() OVER (ORDER BY total DESC) AS ranking FROM veh
+), q8 AS (
+    SELECT sexo || '|' || edad || '|' || aliento || '|' || cinturon AS label, {_SEVERITY}
+    FROM raw WHERE muertos > 0 OR heridos > 0 GROUP BY 1
+), k2 AS (SELECT CAST(count(*) AS BIGINT) AS registros_fact, {_SEVERITY} FROM raw)
+""" + " UNION ALL ".join([
+    _long("q1", "q1", "entidad", ["ranking", *_THREE, "muertos_por_accidente", "heridos_por_accidente"]),
+    _long("q2", "q2", "label", [*_THREE, "accidentes_mes_anterior", "variacion_accidentes", "variacion_porcentual_accidentes"]),
+    _long("q3", "q3", "CAST(full_date AS VARCHAR)", ["total_accidentes", "promedio_movil_7_dias"]),
+    _long("q4", "q4", "label", [*_THREE, "banda_orden"]),
+    _long("q5", "q5", "entidad || '|' || municipio", [*_THREE, "ranking_en_entidad"]),
+    _long("q6", "q6", "clase", [*_THREE, "porcentaje_accidentes"]),
+    _long("q7", "q7", "tipo_vehiculo", ["total", "ranking"]),
+    _long("q8", "q8", "label", _THREE),
+    _long("k2", "k2", "''", ["registros_fact", *_THREE]),
+    _long("q1_dashboard", "q1", "entidad", ["ranking", "total_accidentes"]),
+    _long("q5_dashboard", "q5", "entidad || '|' || municipio", ["total_accidentes", "ranking_en_entidad"]),
+])

@@ -2,9 +2,8 @@
 
 Each function takes the star tables (``dict`` from
 :func:`incidentmart.plans.load.read_star`) and returns a DataFrame with the
-published column names.  Joins go through :func:`through_dimension`, which
-broadcasts a dimension of checked size and otherwise aggregates the fact by
-its foreign key before a shuffle join (R9).
+published column names.  The fact is always aggregated by its foreign keys
+before a dimension is joined (R9); Spark picks each join from sizes in bytes.
 """
 
 from __future__ import annotations
@@ -15,10 +14,9 @@ from pyspark.sql import functions as F
 from ..constants import BAND_ORDER, DAY_NAMES, RANKED_VEHICLES
 from ..functions.calendar import band_order
 from ..functions.numbers import format_int
-from ..operators.joins import BROADCAST_MAX_ROWS, bounded_broadcast, within_rows
+from ..operators.joins import through_dimensions
 from ..operators.measures import (distinct_values, drilldown, kpi, moving_average,
-                                  period_change, rank_groups, share_of_total, sum_measures,
-                                  top_n_per_group)
+                                  period_change, rank_groups, share_of_total, top_n_per_group)
 from ..operators.reshape import pivot_matrix, series_long, unpivot_totals
 
 SEVERITY = {"total_accidentes": "num_accidentes", "total_muertos": "total_muertos",
@@ -33,20 +31,9 @@ def _measures(severity: bool) -> dict[str, str]:
 
 
 def through_dimension(fact: DataFrame, dim: DataFrame, key: str, group_cols: list[str],
-                      measures: dict[str, str], max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """SUM measures of ``fact`` grouped by attributes of ``dim``.
-
-    A dimension proven small is broadcast: the join is map-side and only the
-    grouped partial sums are shuffled.  A larger one is joined after the fact
-    is collapsed to one row per foreign key, so the shuffle join sees
-    #keys rows, not #facts rows.
-    """
-    dim = dim.select(key, *group_cols)
-    if within_rows(dim, max_rows):
-        return sum_measures(fact.join(F.broadcast(dim), key), group_cols, measures)
-    partial = fact.groupBy(key).agg(*[F.sum(c).alias(f"__{name}") for name, c in measures.items()])
-    return sum_measures(partial.join(dim, key), group_cols,
-                        {name: f"__{name}" for name in measures})
+                      measures: dict[str, str]) -> DataFrame:
+    """SUM measures of ``fact`` grouped by attributes of one dimension."""
+    return through_dimensions(fact, [(dim, key, group_cols)], measures)
 
 
 def entity_ranking(t: dict[str, DataFrame], top: int = 10, severity: bool = True) -> DataFrame:
@@ -86,13 +73,9 @@ def daily_series_long(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def _weekday_band(t: dict[str, DataFrame], severity: bool = True) -> DataFrame:
-    fact = t["fact_accidentes"]
-    fecha = bounded_broadcast(t["dim_fecha"].select("date_key", "dia_semana_numero",
-                                                    "dia_semana_nombre"))
-    tiempo = bounded_broadcast(t["dim_tiempo"].select("time_key", "banda_horaria"))
-    joined = fact.join(fecha, "date_key").join(tiempo, "time_key")
-    agg = sum_measures(joined, ["dia_semana_numero", "dia_semana_nombre", "banda_horaria"],
-                       _measures(severity))
+    agg = through_dimensions(t["fact_accidentes"], [
+        (t["dim_fecha"], "date_key", ["dia_semana_numero", "dia_semana_nombre"]),
+        (t["dim_tiempo"], "time_key", ["banda_horaria"])], _measures(severity))
     return agg.withColumn("banda_orden", band_order("banda_horaria"))
 
 

@@ -1,7 +1,7 @@
 """Incident star build: cleaned base (D3), derived dimensions (D4), fact.
 
-The whole build is one lazy plan per stage.  Catalog lookups are broadcast
-(catalogs are bounded code lists, checked by size), the three derived
+The whole build is one lazy plan per stage.  Catalogs are joined null-safely and
+must be unique, the three derived
 dimensions come out of ONE grouping-sets aggregate, keys are dense ranks in
 sort order, and the fact resolves its keys with equi-joins on the natural
 key.
@@ -18,9 +18,10 @@ from ..constants import (CALENDAR_NUMERIC_COLUMNS, DESCRIPTOR_COLUMNS, DRIVER_CO
 from ..functions.calendar import date_key, parse_date, time_key
 from ..functions.numbers import coerce_int, parse_key
 from ..functions.text import clean_text
-from ..operators.enrich import left_enrich
+from ..operators.enrich import assert_many_to_one, left_enrich
 from ..operators.keys import assign_dense_keys, distinct_projections, lookup_keys
 from ..schemas import FACT_ACCIDENTES, conform
+from ..sources.csv import TAGS, number_rows_in_file
 
 MEASURE_SOURCE = list(VEHICLE_COLUMNS) + list(PERSON_COLUMNS)
 NUMERIC_COLUMNS = CALENDAR_NUMERIC_COLUMNS + MEASURE_SOURCE
@@ -37,6 +38,12 @@ FACT_COLUMNS = ["accidente_id", "source_row_id", "date_key", "time_key", "ubicac
                 "accidente_key", "conductor_key"] + FACT_MEASURES
 
 
+CATALOG_KEYS = {"entidad": ["id_entidad"], "municipio": ["id_entidad", "id_municipio"],
+                "edad": ["id_edad"]}
+# Dates that the source's parser takes; any other is an invalid date.
+DATE_RANGE = ("1677-09-22", "2262-04-11")
+
+
 def _catalog(df: DataFrame, keys: list[str], renames: dict[str, str]) -> DataFrame:
     return df.select(*[parse_key(k).alias(k) for k in keys],
                      *[F.col(src).alias(dst) for src, dst in renames.items()])
@@ -53,6 +60,8 @@ def build_base(bundle: dict[str, DataFrame]) -> DataFrame:
     out-of-range hour is unknown.
     """
     atus = bundle["atus"]
+    for key, keys in CATALOG_KEYS.items():
+        assert_many_to_one(bundle[key].select(*[parse_key(k).alias(k) for k in keys]), keys, f"tc_{key}")
     raw_cols = [c for c in atus.columns if c not in ("id_entidad", "id_municipio", "id_edad")]
     df = atus.select(*raw_cols,
                      parse_key("id_entidad").alias("id_entidad"),
@@ -79,15 +88,24 @@ def build_base(bundle: dict[str, DataFrame]) -> DataFrame:
                      time_key("id_hora", "id_minuto").alias("time_key"))
 
 
+def numbered_base(staged: DataFrame) -> DataFrame:
+    """The written base with ``source_row_id``, its 1-based position in the file."""
+    missing = [c for c in TAGS if c not in staged.columns]
+    if missing:
+        raise ValueError(f"the base lacks its scan position {missing}")
+    return number_rows_in_file(staged, "source_row_id")
+
+
 def base_gate(base: DataFrame) -> dict:
     """V13, V12 (measures) and A15 in ONE pass over the cleaned base.
 
-    Returns the row count for the post-load reconciliation; raises when any
-    date is invalid (the whole load is rejected, as in the source system) or
-    a measure does not fit SMALLINT.
+    Returns the counts; raises when any date is invalid (the whole load is
+    rejected, as in the source system), a location id is missing (the stored
+    column is NOT NULL) or a measure does not fit SMALLINT.
     """
     row = base.agg(F.count(F.lit(1)).alias("rows"),
-                   F.count_if(F.col("full_date").isNull()).alias("invalid_dates"),
+                   F.count_if(F.coalesce(~F.col("full_date").between(*[F.lit(d).cast("date") for d in DATE_RANGE]),
+                                         F.lit(True))).alias("invalid_dates"),
                    F.count_if(F.col("id_entidad").isNull() | F.col("id_municipio").isNull())
                    .alias("null_location_ids"),
                    F.count_if((F.greatest(*MEASURE_SOURCE) > SMALLINT_MAX)
@@ -96,6 +114,9 @@ def base_gate(base: DataFrame) -> dict:
     stats = row.asDict()
     if stats["invalid_dates"]:
         raise ValueError(f"{stats['invalid_dates']} records have an invalid date; load rejected")
+    if stats["null_location_ids"]:
+        raise ValueError(f"{stats['null_location_ids']} records lack an entity or municipality id; "
+                         "load rejected")
     if stats["measures_out_of_range"]:
         raise ValueError(f"measure range check failed: fact_accidentes.smallint:measures="
                          f"{stats['measures_out_of_range']}")
@@ -106,16 +127,14 @@ def build_dimensions(base: DataFrame, num_partitions: int | None = None) -> dict
     """The three derived dimensions with dense keys in sort order.
 
     One grouping-sets aggregate over the base yields the distinct rows of all
-    three; each is then numbered independently.  The persisted distinct rows
-    come back under ``"__all__"`` for the caller to unpersist once the
-    dimensions are written.
+    three, written once; each is then numbered independently.
     """
     specs = {name: list(renames) for name, (_, _, renames) in DIMENSIONS.items()}
-    distinct = distinct_projections(base, specs, persist=True)
-    out = {"__all__": distinct["__all__"]}
+    distinct = distinct_projections(base, specs)
+    out = {}
     for name, (key, natural, renames) in DIMENSIONS.items():
         dim = distinct[name].select(*[F.col(s).alias(t) for s, t in renames.items()])
-        out[name] = assign_dense_keys(dim, natural, key, num_partitions)
+        out[name] = assign_dense_keys(dim, natural, key, num_partitions, assume_distinct=True)
     return out
 
 

@@ -11,53 +11,35 @@ re-read here as the same kind of star so every report operator runs on them:
   ``total_orders``, ``total_urgent`` (priority 1-URGENT), ``total_finished``
   (status F); location via customer -> nation -> region.
 
+No row is filtered by date: the calendars are made from the dates in the data.
+
 Definitions here are this project's own; they mirror the shape of the
 incident star, not any published figure.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.calendar import date_key, time_key  # noqa: F401
-from ..operators.joins import bounded_broadcast
-
-# Reference calendar of the analog star (a leap year, like the incident data).
-CALENDAR_FIRST = "2024-01-01"
-CALENDAR_LAST = "2024-12-31"
-# Calendar of the orders star: wide enough for every order date, fixed size.
-ORDERS_CALENDAR = ("1990-01-01", "2009-12-31")
+from ..functions.calendar import date_key, time_key
 
 
-# Driver tables are read-only, so each is opened once per Spark application
-# (like registering a table in the session catalog): later queries reuse the
-# resolved relation instead of re-listing files and re-reading the footer.
-_OPENED: dict[tuple[SparkSession, str, str], DataFrame] = {}
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{str(sf_dir).rstrip('/')}/{name}.parquet"
-    key = (spark, spark.sparkContext.applicationId, path)
-    if key not in _OPENED:
-        _OPENED[key] = spark.read.parquet(path)
-    return _OPENED[key]
+def event_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select(F.to_date("ts").alias("d"))
 
 
-def ts_range(col: str, first, last):
-    """Half-open timestamp range of whole days; pushed to the Parquet scan."""
-    lo = _dt.date.fromisoformat(str(first)).isoformat() + " 00:00:00"
-    hi = (_dt.date.fromisoformat(str(last)) + _dt.timedelta(days=1)).isoformat() + " 00:00:00"
-    # String literals parse to TIMESTAMP_NTZ without any time-zone shift.
-    return ((F.col(col) >= F.lit(lo).cast("timestamp_ntz"))
-            & (F.col(col) < F.lit(hi).cast("timestamp_ntz")))
+def order_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("d"))
 
 
-def events_fact(spark: SparkSession, sf_dir: str, first=CALENDAR_FIRST, last=CALENDAR_LAST,
-                extra: list[str] | None = None, where=None) -> DataFrame:
-    """Event rows inside the calendar, keyed like the incident fact.
+def events_fact(spark: SparkSession, sf_dir: str, extra: list[str] | None = None,
+                where=None) -> DataFrame:
+    """Event rows keyed like the incident fact.
 
     ``where`` is a predicate on the raw columns, applied before projection so
     it can be pushed to the scan.
@@ -65,8 +47,6 @@ def events_fact(spark: SparkSession, sf_dir: str, first=CALENDAR_FIRST, last=CAL
     ev = table(spark, sf_dir, "events")
     if where is not None:
         ev = ev.filter(where)
-    if first is not None:
-        ev = ev.filter(ts_range("ts", first, last))
     hour = F.coalesce(F.hour("ts"), F.lit(0))
     minute = F.coalesce(F.minute("ts"), F.lit(0))
     return ev.select(
@@ -83,12 +63,8 @@ EVENT_MEASURES = {"total_events": "num_events", "total_errors": "is_error",
                   "total_purchases": "is_purchase"}
 
 
-def orders_fact(spark: SparkSession, sf_dir: str, first=None, last=None,
-                extra: list[str] | None = None) -> DataFrame:
-    od = table(spark, sf_dir, "orders")
-    if first is not None:
-        od = od.filter(ts_range("o_orderdate", first, last))
-    return od.select(
+def orders_fact(spark: SparkSession, sf_dir: str, extra: list[str] | None = None) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
         *(extra or []),
         date_key(F.to_date("o_orderdate")).alias("date_key"),
         F.lit(1).alias("num_orders"),
@@ -102,9 +78,9 @@ ORDER_MEASURES = {"total_orders": "num_orders", "total_urgent": "is_urgent",
 
 
 def nation_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nation -> region names; both are fixed-size reference tables."""
+    """Nation -> region names."""
     nation = table(spark, sf_dir, "nation")
-    region = bounded_broadcast(table(spark, sf_dir, "region"))
+    region = table(spark, sf_dir, "region")
     return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         "n_nationkey", "n_name", "r_name")
 

@@ -1,9 +1,7 @@
-"""Session construction and the shared checkpoint folder."""
+"""Session construction."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings that make the plans behave the same on a laptop and a cluster:
@@ -21,39 +19,22 @@ DEFAULT_CONF = {
 }
 
 
-def get_spark(master: str = "local[*]", app: str = "incidentmart",
-              shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+def get_spark(master: str | None = None, app: str = "incidentmart",
+              shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+    """The running session as it is, or a new one.
+
+    A session that exists is returned unchanged.  A new one gets the defaults
+    above; its master and shuffle partitions are set only when given, so those
+    of ``spark-submit`` or the cluster's configuration hold.
+    """
+    if (running := SparkSession.getActiveSession()) is not None:
+        return running
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
-        builder = builder.config(k, v)
-    spark = builder.getOrCreate()
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    spark = builder.config(map=conf | (extra or {})).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting one only in local mode.
-
-    On a cluster the folder must be shared storage named by
-    ``spark.checkpoint.dir``; a machine-local temporary folder would be lost
-    with its executor, so it is only made up when the master is local.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; point it at shared storage "
-            "(for example an HDFS or object-store folder) before running")
-    path = tempfile.mkdtemp(prefix="incidentmart-ckpt-")
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir() or path

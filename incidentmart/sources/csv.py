@@ -5,69 +5,84 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..constants import CATALOG_FILES, INCIDENT_FILE
 from ..functions.text import normalize_header
+from ..staging import stage
+from .warehouse import is_missing
+
+# Where a scanned row comes from; the row number is made of these.
+TAGS = ["__file", "__block", "__mid"]
+_SURPLUS = "__surplus"
 
 
 def read_csv(spark: SparkSession, data_dir: str, filename: str,
-             multiline: bool = False, row_id: str | None = None) -> DataFrame:
+             multiline: bool = False, row_id: str | None = None, tagged: bool = False) -> DataFrame:
     """Read one UTF-8 CSV with a header; every column stays STRING.
 
-    Header cells are stripped and lower-cased.  A missing file raises
-    ``FileNotFoundError`` naming the path.  With ``row_id`` the frame gets a
-    1-based row number in file order (see :func:`with_file_row_number`).
+    Header cells are stripped and lower-cased.  A doubled quote inside quotes
+    is one quote; ``multiline`` also takes line breaks inside quotes.  A row
+    with fewer cells than the header ends in NULLs; a row with more fails the
+    job.  A missing file raises ``FileNotFoundError`` naming the path.
+    ``tagged`` adds the columns that :func:`number_rows_in_file` needs; with
+    ``row_id`` the rows are staged and numbered from 1 in file order.
     """
     path = f"{str(data_dir).rstrip('/')}/{filename}"
-    reader = (spark.read.option("header", "true").option("encoding", "UTF-8")
-              .option("inferSchema", "false").option("multiLine", str(multiline).lower())
-              .option("mode", "FAILFAST"))
+    reader = (spark.read.option("header", "true").option("encoding", "UTF-8").option("escape", '"')
+              .option("inferSchema", "false").option("multiLine", str(multiline).lower()))
     try:
-        df = reader.csv(path)
+        header = reader.csv(path).columns
     except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+        if is_missing(exc):
             raise FileNotFoundError(f"input file does not exist: {path}") from exc
         raise
-    names = [normalize_header(c) for c in df.columns]
+    names = [normalize_header(c) for c in header]
     if len(set(names)) != len(names):
         raise ValueError(f"{path}: duplicate column names after normalising {names}")
-    if row_id is not None:
-        df = with_file_row_number(df, row_id)
-        return df.toDF(*names, row_id)
-    return df.toDF(*names)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _SURPLUS]])
+    df = reader.option("enforceSchema", "true").option("mode", "PERMISSIVE").schema(schema).csv(path)
+    error = F.raise_error(F.concat(F.lit(f"{path}: a row has more than {len(names)} cells, the next is "), F.col(_SURPLUS)))
+    whole = F.when(F.col(_SURPLUS).isNotNull(), error.cast("string")).otherwise(F.col(f"`{names[0]}`"))
+    tags = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"),
+            F.monotonically_increasing_id().alias("__mid")] if tagged or row_id else []
+    df = df.select(whole.alias(names[0]), *[F.col(f"`{n}`") for n in names[1:]], *tags)
+    return number_rows_in_file(stage(df, "csv-rows"), row_id) if row_id else df
 
 
-def with_file_row_number(df: DataFrame, name: str = "source_row_id") -> DataFrame:
-    """Append a 1-based row number in file order (P1) without a global sort.
+def number_rows_in_file(staged: DataFrame, name: str = "source_row_id") -> DataFrame:
+    """Append a 1-based row number in file order (P1) to staged, tagged rows.
 
-    Rows of one file split are contiguous inside their scan partition, so the
-    split-local position is ``monotonically_increasing_id - min`` of the split.
-    A per-split count table (one row per split, i.e. data size / split size)
-    gets running offsets in (file, split start) order and is joined back.
-    ``df`` must be a file scan so that ``_metadata`` is available.
+    ``staged`` must be written: its tags (file, split start, position in the
+    scan) are then fixed.  Rows of one split are contiguous in its scan task,
+    so the position inside a split is ``__mid - min(__mid)``; a table of one
+    row per split carries the rows before it.  That table is small beside the
+    rows and is written too, so Spark knows its size and joins it map-side:
+    the rows are not shuffled.  A row whose split has no offset fails the job.
     """
-    cols = df.columns
-    base = df.select(
-        "*",
-        F.col("_metadata.file_path").alias("__file"),
-        F.col("_metadata.file_block_start").alias("__block"),
-        F.monotonically_increasing_id().alias("__mid"),
-    )
-    splits = base.groupBy("__file", "__block").agg(
+    splits = staged.groupBy("__file", "__block").agg(
         F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
+    return number_from_offsets(staged, stage(split_offsets(splits), "csv-splits"), name)
+
+
+def split_offsets(splits: DataFrame) -> DataFrame:
     before = Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.select(
-        "__file", "__block", "__first",
-        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
-    out = base.join(splits, ["__file", "__block"])
-    return out.select(*[F.col(c) for c in cols],
-                      (F.col("__offset") + F.col("__mid") - F.col("__first") + 1)
-                      .cast("bigint").alias(name))
+    return splits.select("__file", "__block", "__first",
+                         F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+
+
+def number_from_offsets(staged: DataFrame, offsets: DataFrame, name: str) -> DataFrame:
+    cols = [c for c in staged.columns if c not in TAGS]
+    placed = staged.join(offsets, ["__file", "__block"], "left")
+    missing = F.raise_error(F.concat(F.lit("no offset for a split of "), F.col("__file")))
+    number = F.when(F.col("__offset").isNull(), missing.cast("bigint")) \
+        .otherwise(F.col("__offset") + F.col("__mid") - F.col("__first") + 1)
+    return placed.select(*[F.col(f"`{c}`") for c in cols], number.cast("bigint").alias(name))
 
 
 def extract(spark: SparkSession, data_dir: str, multiline: bool = False) -> dict[str, DataFrame]:
-    """The yearly incident file plus its three catalogs, as lazy frames."""
-    bundle = {"atus": read_csv(spark, data_dir, INCIDENT_FILE, multiline, row_id="source_row_id")}
+    """The yearly incident file (tagged) plus its three catalogs, as lazy frames."""
+    bundle = {"atus": read_csv(spark, data_dir, INCIDENT_FILE, multiline, tagged=True)}
     for key, filename in CATALOG_FILES.items():
         bundle[key] = read_csv(spark, data_dir, filename, multiline)
     return bundle

@@ -1,4 +1,4 @@
-"""Generated sources: day series (S9), integer series (S10), literal rows."""
+"""Generated sources: day series (S9), literal rows (S11); the integer series (S10) is ``spark.range``."""
 
 from __future__ import annotations
 
@@ -29,11 +29,6 @@ def date_series(spark: SparkSession, first, last, name: str = "full_date") -> Da
     return spark.range(n).select(F.date_add(start, F.col("id").cast("int")).alias(name))
 
 
-def int_series(spark: SparkSession, lo: int, hi: int, name: str = "n") -> DataFrame:
-    """Integers ``lo..hi`` inclusive."""
-    return spark.range(lo, hi + 1).select(F.col("id").cast("int").alias(name))
-
-
 def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A small literal relation such as ``VALUES (...)``.
 

@@ -22,6 +22,12 @@ def test_coerce_int_golden(spark):
     assert out == [7, 3, 0, 0, 12, -2]
 
 
+def test_only_decimal_notation_is_a_number(spark):
+    raw = ["3d", "3f", "3D", "0x1p3", "0x10", "1e2", "-.5e1", "+4", "9007199254740993", "", ".", "1 2", "NaN"]
+    out = one(spark, coerce_int("v"), [(v,) for v in raw], "v string")
+    assert out == [0, 0, 0, 0, 0, 100, -5, 4, 9007199254740993, 0, 0, 0, 0]
+
+
 def test_time_key_edges(spark):
     cases = [(0, 0, 0), (5, 59, 559), (6, 0, 600), (11, 59, 1159), (12, 0, 1200), (17, 59, 1759),
              (18, 0, 1800), (23, 59, 2359), (99, 10, -1), (5, 99, -1), (24, 0, -1), (-1, 0, -1)]

@@ -75,3 +75,45 @@ def test_file_row_number_across_splits(spark, workdir):
         assert bad == 0 and df.count() == n
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def write(workdir, name, text):
+    with open(os.path.join(workdir, name), "w", encoding="utf-8", newline="") as fh:
+        fh.write(text)
+
+
+def test_csv_quotes_short_rows_and_line_breaks(spark, workdir):
+    write(workdir, "q.csv", 'a,b,c\n"a ""b"" c",x,1\nshort\n"two, cells",,3\n')
+    rows = [tuple(r) for r in read_csv(spark, workdir, "q.csv").collect()]
+    assert rows == [('a "b" c', "x", "1"), ("short", None, None), ("two, cells", None, "3")]
+    write(workdir, "m.csv", 'a,b\n"line 1\nline 2",y\n')
+    assert [tuple(r) for r in read_csv(spark, workdir, "m.csv", multiline=True).collect()] == [("line 1\nline 2", "y")]
+
+
+def test_csv_long_row_fails(spark, workdir):
+    write(workdir, "l.csv", "a,b\n1,2\n1,2,3\n")
+    with pytest.raises(Exception, match="more than 2 cells"):
+        read_csv(spark, workdir, "l.csv").collect()
+
+
+def test_row_numbers_do_not_shuffle_the_rows(spark, workdir):
+    write(workdir, "n.csv", "v\n" + "\n".join(str(i) for i in range(500)) + "\n")
+    df = read_csv(spark, workdir, "n.csv", row_id="rid")
+    assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
+    assert df.filter("rid <> cast(v AS bigint) + 1").count() == 0
+
+
+def test_missing_offset_fails(spark):
+    from incidentmart.sources.csv import number_from_offsets
+    staged = spark.createDataFrame([("x", "f1", 0, 0), ("y", "f2", 0, 1)], "v string, __file string, __block long, __mid long")
+    offsets = spark.createDataFrame([("f1", 0, 0, 0)], "__file string, __block long, __first long, __offset long")
+    with pytest.raises(Exception, match="no offset for a split of f2"):
+        number_from_offsets(staged, offsets, "rid").collect()
+
+
+def test_repeated_catalog_key_fails_in_the_plan(spark):
+    fact = spark.createDataFrame([(1, 5)], "id int, k int")
+    cat = spark.createDataFrame([(5, "a"), (5, "b")], "k int, label string")
+    out = left_enrich(fact, cat, ["k"], ["label"], name="codes")
+    with pytest.raises(Exception, match="codes: key .'k'. is not unique"):
+        out.collect()

@@ -48,12 +48,42 @@ def test_filters_and_columns_reach_the_scan(spark):
         or "In(event_type, [error,purchase])" in p
     q4 = plan(E.queries()["weekday_band_profile"](spark, SF))
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string>" in q4
-    assert "GreaterThanOrEqual(ts,2024-01-01T00:00)" in q4
+
+
+def test_facts_are_aggregated_before_the_dimension_joins(spark):
+    # The scan feeds a partial aggregate on both keys; joins come above it.
     simple = plan(E.queries()["weekday_band_profile"](spark, SF), "simple")
-    assert simple.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in simple
+    lines = simple.splitlines()
+    joins = [i for i, x in enumerate(lines) if "Join" in x]
+    partial = [i for i, x in enumerate(lines) if "partial_sum" in x and "date_key" in x and "time_key" in x]
+    assert len(joins) == 2 and partial and min(partial) > max(joins[:1])
+
+
+def test_no_query_is_cut_by_date(spark):
+    for name in ("weekday_band_profile", "share_of_total", "kpi", "month_trend", "moving_average_7"):
+        p = plan(E.queries()[name](spark, SF))
+        assert "GreaterThan" not in p and "LessThan" not in p, name
+
+
+def test_bounds_scan_events_once(spark):
+    assert plan(E.queries()["insert_if_absent"](spark, SF), "simple").count("events.parquet") == 0
+
+
+def test_join_choice_follows_the_data(spark, tmp_path):
+    # No verdict is kept between plans: a dimension that grew is not broadcast.
+    from incidentmart.operators.joins import through_dimensions
 
+    def joined(rows):
+        path = str(tmp_path / "dim")
+        spark.range(rows).selectExpr("id AS k", "concat('name ', id) AS label").write.mode("overwrite").parquet(path)
+        fact = spark.range(1000).selectExpr("id AS k", "1 AS one")
+        return plan(through_dimensions(fact, [(spark.read.parquet(path), "k", ["label"])], {"n": "one"}), "simple")
 
-def test_month_trend_prunes_by_date(spark):
-    p = plan(E.queries()["month_trend"](spark, SF))
-    assert "GreaterThanOrEqual(o_orderdate,2000-01-01T00:00)" in p
-    assert "LessThan(o_orderdate,2001-01-01T00:00)" in p
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        small, grown = joined(10), joined(50_000)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BuildRight" in small
+    assert "BroadcastHashJoin [k" not in grown or "BuildLeft" in grown

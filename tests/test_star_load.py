@@ -1,3 +1,5 @@
+import os
+
 import pytest
 
 import incident_fixture as fx
@@ -167,3 +169,39 @@ def test_dashboard_frames(spark, loaded):
     assert frames["kpis"].first().registros_fact == 48
     full = {r.entidad: r.total_accidentes for r in R.entity_ranking(read_star(spark, target)).collect()}
     assert {r.entidad: r.total_accidentes for r in frames["q1"].collect()} == full
+
+
+def test_dates_outside_the_parsers_range_are_invalid(spark, tmp_path):
+    raw = fx.write_bundle(str(tmp_path / "raw"), rows=fx.default_rows() + [fx.row(y="1600")])
+    with pytest.raises(ValueError, match="1 records have an invalid date"):
+        run_load(spark, raw, str(tmp_path / "wh"))
+
+
+def test_missing_location_id_rejects_the_load(spark, tmp_path):
+    raw = fx.write_bundle(str(tmp_path / "raw"), rows=fx.default_rows() + [fx.row(mun="")])
+    with pytest.raises(ValueError, match="1 records lack an entity or municipality id"):
+        run_load(spark, raw, str(tmp_path / "wh"))
+    assert not os.listdir(tmp_path / "wh" / "_runs")       # a failed run leaves nothing behind
+
+
+def test_base_is_gone_after_a_load(loaded):
+    _, target, res = loaded
+    assert sorted(os.listdir(os.path.join(target, "_runs", res["run_id"]))) == sorted(STAR_SCHEMAS)
+
+
+def test_unreadable_log_is_an_error(spark, tmp_path):
+    assert current_run(spark, str(tmp_path / "nowhere")) is None
+    log = tmp_path / "wh" / "_published"
+    log.mkdir(parents=True)
+    (log / "part-0.parquet").write_bytes(b"not parquet at all")
+    with pytest.raises(Exception):
+        current_run(spark, str(tmp_path / "wh"))
+
+
+def test_load_with_line_breaks_in_cells(spark, tmp_path):
+    rows = fx.default_rows() + [fx.row(cau='Causa "x"\nen dos líneas')]
+    raw = fx.write_bundle(str(tmp_path / "raw"), rows=rows)
+    res = run_load(spark, raw, str(tmp_path / "wh"), multiline=True)
+    assert res["rows"] == len(rows)
+    causes = [r[0] for r in res["tables"]["dim_accidente"].select("causa_accidente").distinct().collect()]
+    assert 'Causa "x"\nen dos líneas' in causes

@@ -86,7 +86,7 @@ _RULES = {
     "line_rate": "10000 * n_dup_lines // greatest(n_words, 1)",
     "repeat_rate": "10000 * n_repeat_words // greatest(n_words, 1)",
 }
-_SLACK = {"word_length": 50, "symbol_rate": 50, "line_rate": 50, "repeat_rate": 100}
+_SLACK = {"word_length": 50, "symbol_rate": 50, "line_rate": 50, "repeat_rate": 250}
 _LONG = " UNION ALL ".join(
     f"SELECT lang, source, '{r}' AS rule, {_SLACK[r]} AS slack, {e} AS v FROM b WHERE NOT base_failed" for r, e in _RULES.items())
 _INSIDE = " OR ".join(

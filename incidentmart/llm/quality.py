@@ -34,7 +34,7 @@ INPUTS = {
 # from the median; a spread counts as at least SLACK, so that a group whose
 # documents are all alike does not reject the first that differs.
 REACH = 8
-SLACK = {"word_length": 50, "symbol_rate": 50, "line_rate": 50, "repeat_rate": 100}
+SLACK = {"word_length": 50, "symbol_rate": 50, "line_rate": 50, "repeat_rate": 250}
 UPPER = list(INPUTS)
 LOWER = ["word_length"]
 

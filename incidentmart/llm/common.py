@@ -2,38 +2,18 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..staging import new_scratch, stage
+
+__all__ = ["SPACES", "WORD", "new_scratch", "number_rows", "stage", "without"]
+
 # Characters that separate words: space and U+0009 to U+000D.
 SPACES = " \t\n\x0b\x0c\r"
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: ``spark.checkpoint.dir`` of the
-    session; where it is unset, a folder in the session's warehouse."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-
-
-def new_scratch(spark: SparkSession, label: str) -> str:
-    return f"{scratch_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
-
-    This cuts the lineage: a lost executor costs a re-read of the files, and
-    what was decided before (row ids, sampled ranges) stays decided.
-    """
-    path = new_scratch(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def without(df: DataFrame, names: list[str]) -> DataFrame:
     """``df`` without columns whose name, in any case, is among ``names``."""
     gone = {n.lower() for n in names}

@@ -28,10 +28,10 @@ BITS = 12
 CHARS = 1 << 19                  # characters worked on at once
 PENDING = 1 << 21                # grams a counting task holds before it hands them on
 # A gram is stored when it makes up at least this share of its language's
-# symbols, so a model holds at most 1 / MIN_SHARE grams per language and order,
-# however large the corpus.
+# symbols; with more than four languages the share rises with their number.  So
+# a model holds at most 4 / MIN_SHARE grams per order, however large the corpus.
 MIN_SHARE = 1e-6
-MAX_LANGUAGES = 512
+MAX_LANGUAGES = 64
 UNKNOWN = "und"
 OUT = ["lang_pred", "score", "cross_entropy", "n_symbols", "rejected"]
 # Rejection: cross-entropy above the calibrated limit plus SPREAD / sqrt(symbols)
@@ -252,13 +252,17 @@ class LanguageModel:
                 np.where(none, 0.0, low), n, rejected)
 
 
+def min_share(languages: int) -> float:
+    return MIN_SHARE * max(1.0, languages / 4)
+
+
 def fit_languages(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
                   calibration_rows: int = 20_000) -> LanguageModel:
     """Train on every row of ``labelled`` that has a language.
 
     Counts cover all these rows; the rejection limits are quantiles over about
     ``calibration_rows`` of them, chosen by a hash of the id.  No labelled row
-    gives a model without languages.
+    gives a model without languages; more than MAX_LANGUAGES raise ValueError.
     """
     spark = labelled.sparkSession
     counts = stage(count_grams(labelled, text_col, lang_col), "lang-grams")
@@ -267,7 +271,8 @@ def fit_languages(labelled: DataFrame, text_col: str = "text", lang_col: str = "
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not totals:
         return LanguageModel([])
-    least = F.create_map(*[F.lit(x) for lang, n in totals.items() for x in (lang, float(n) * MIN_SHARE)])[F.col("lang")]
+    share = min_share(len(totals))
+    least = F.create_map(*[F.lit(x) for lang, n in totals.items() for x in (lang, float(n) * share)])[F.col("lang")]
     got = counts.filter(F.col("n") >= least).toArrow()
     lang, gram, n = (np.asarray(got.column(c)) for c in ("lang", "gram", "n"))
     per = {}

@@ -7,8 +7,9 @@ texts that pick a token form a node.  Two texts over the threshold share at
 least one picked token per level on average, so a run finds a pair with a known
 chance, and runs repeat until the target recall.  Nodes up to ``LIMIT`` texts
 are compared by brute force on their sketches.  Larger nodes are compared with
-one pivot, whose close relatives are linked to it and leave, and the rest is
-split again on tokens picked under that node.
+one pivot, whose close relatives are linked to it and leave.  When few others are
+left apart from the pivot, they are compared with the whole node; otherwise the
+rest is split again on tokens picked under that node.
 
 What the nodes link are candidates, so they are taken loosely and reduced to
 components.  Inside each component every pair of sets is compared exactly, in
@@ -34,9 +35,11 @@ from .words import U, Words, mix, slices, stream
 BINS = 128
 EMPTY = np.uint32(0xFFFFFFFF)
 LIMIT = 128                      # texts of a node that are compared with one another
+SETTLE = 2048                    # texts apart from a large node's pivot that are compared with the whole node
+CHUNK = 4096                     # texts of a large node that they meet in one group
 BLOCK = 256                      # sets of a block in the exact comparison
 DEPTH = 3                        # splits that the number of runs allows for
-MAX_DEPTH = 8                    # after that the rest is compared block by block
+MAX_DEPTH = 20                   # after that the rest is compared block by block
 SLACK = 0.18                     # five standard deviations of a sketch's estimate
 FILTER_BUCKETS = 1 << 15         # at most 128 MB of bitmaps to recognise members
 FILTER_BITS = 1 << 15
@@ -222,6 +225,37 @@ def compare_pivot(entries: DataFrame, threshold: float) -> DataFrame:
     return rows.mapInArrow(run, "node long, v long, sketch binary, pivot long, near double")
 
 
+def settle(rest: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): links of the few texts of a large node that do not hang on its pivot, with all that are left in it.
+
+    ``rest``: (node, v, sketch, far_off, n, far) with ``far`` at most SETTLE.
+    The node's texts are dealt into shares of about CHUNK, and the far ones go
+    to each share, so a task's group stays bounded however large the node is.
+    """
+    least = threshold - SLACK
+    shares = F.ceil(F.col("n") / F.lit(CHUNK)).cast("int")
+    near = rest.filter("NOT far_off").withColumn("share", F.pmod(F.xxhash64("v", F.lit(5)), shares).cast("int"))
+    far = rest.filter("far_off").withColumn("share", F.explode(F.sequence(F.lit(0), shares - 1)))
+    dealt = near.unionByName(far).select(F.xxhash64("node", "share").alias("node"), "v", "sketch", "far_off")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, "node"):
+            node, v, off = np.asarray(t.column("node")), np.asarray(t.column("v")), np.asarray(t.column("far_off"))
+            sk = short(_matrix(t.column("sketch"), np.uint32, BINS))
+            edges = np.flatnonzero(np.concatenate(([True], node[1:] != node[:-1], [True])))
+            left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for i, j in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                for u in (i + np.flatnonzero(off[i:j])).tolist():
+                    hit = i + np.flatnonzero(estimate(sk[i:j], sk[u:u + 1]) >= least)
+                    left.append(np.full(len(hit), u))
+                    right.append(hit)
+            root = roots_of(len(v), np.concatenate(left), np.concatenate(right))
+            on = np.flatnonzero(root != np.arange(len(v)))
+            yield pa.RecordBatch.from_arrays([pa.array(v[root[on]]), pa.array(v[on])], names=["a", "b"])
+
+    return dealt.repartition("node").sortWithinPartitions("node", "v").mapInArrow(run, "a long, b long")
+
+
 def split(entries: DataFrame, threshold: float) -> DataFrame:
     """(node, v): the children that each text picks under its node."""
 
@@ -247,8 +281,8 @@ def candidate_links(rows: DataFrame, threshold: float) -> DataFrame:
     """(a, b): loose links between vertices, enough of them to connect every pair over the threshold."""
     entries, sizes = living(rows.filter("n_words > 0").select(F.explode("nodes").alias("node"), "v"))
     active = stage(entries.select(F.col("v").alias("av")).distinct(), "join-active")
-    some = rows.select("v", "sketch").join(active, F.col("v") == F.col("av"), "left_semi")
-    vertices = stage(shorten(some.groupBy("v").agg(F.first("sketch").alias("sketch"))), "join-vertices")
+    once = rows.groupBy("v").agg(F.first("sketch").alias("sketch"))      # copies are combined before the shuffle
+    vertices = stage(shorten(once.join(active, F.col("v") == F.col("av"), "left_semi")), "join-vertices")
     links = None
     for depth in range(MAX_DEPTH + 1):
         small = entries.join(sizes.filter(F.col("n") <= LIMIT), F.col("node") == F.col("k"), "left_semi")
@@ -266,9 +300,15 @@ def candidate_links(rows: DataFrame, threshold: float) -> DataFrame:
         wide = vertices.select(F.col("v").alias("fv"), "sketch")
         judged = stage(compare_pivot(stage(large.join(wide, F.col("v") == F.col("fv")).select("node", "v", "sketch"), "join-wide"), threshold), "join-pivoted")
         # what leaves with the pivot is within 1 - threshold + slack of it, so whatever is close to that is linked to the pivot too
-        links = links.unionByName(judged.filter((F.col("near") >= 2 * threshold - 1 - SLACK) & (F.col("v") != F.col("pivot"))).selectExpr("pivot AS a", "v AS b"))
-        links = stage(links.distinct(), "join-links")
-        entries, sizes = living(split(judged.filter((F.col("near") < threshold) & (F.col("v") != F.col("pivot"))), threshold))
+        loose = 2 * threshold - 1 - SLACK
+        links = links.unionByName(judged.filter((F.col("near") >= loose) & (F.col("v") != F.col("pivot"))).selectExpr("pivot AS a", "v AS b"))
+        stays = (F.col("near") < threshold) & (F.col("v") != F.col("pivot"))
+        shape = stage(judged.filter(stays).groupBy(F.col("node").alias("k")).agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(F.col("near") < loose).alias("far")), "join-shape")
+        rest = judged.filter(stays).select("node", "v", "sketch", (F.col("near") < loose).alias("far_off")).join(shape, F.col("node") == F.col("k"))
+        # far = 0: all hang on the pivot, the node is one candidate component; few far: only they can add a link; else split
+        links = stage(links.unionByName(settle(rest.filter((F.col("far") > 0) & (F.col("far") <= SETTLE)), threshold)).distinct(), "join-links")
+        entries, sizes = living(split(rest.filter(F.col("far") > SETTLE), threshold))
     return links
 
 

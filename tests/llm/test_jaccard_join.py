@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pytest
 
 from incidentmart.llm.components import components
 from incidentmart.llm.jaccard_join import jaccard_join, keep_one, roots_of, runs_for, sketches, estimate, short
@@ -56,16 +57,17 @@ def test_odd_rows(spark):
     compare(odd(spark).selectExpr("*", "1 AS class_id", "2 AS v"), rows)
 
 
-def test_large_cluster_and_frequent_passage(spark):
+@pytest.mark.parametrize("shared", [False, True])
+def test_large_cluster_and_frequent_passage(spark, shared):
     rng = random.Random(3)
-    base = [f"b{k}" for k in range(160)]
     passage = [f"p{k}" for k in range(40)]
+    base = passage * shared + [f"b{k}" for k in range(160)]     # shared: large nodes hold the cluster and others
     rows = []
     for i in range(900):
         if i % 3 == 0:                          # a third of all rows are near copies of one text
             t = list(base)
             for _ in range(rng.choice([0, 1, 2, 3])):
-                t[rng.randrange(160)] = f"z{i}"
+                t[rng.randrange(len(t))] = f"z{i}"
         else:                                   # and most of the others share a passage
             t = passage + [f"w{rng.randrange(3000)}" for _ in range(60)]
             if i % 50 == 1:

@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from .common import stage
 from .components import components
-from .words import U, Words, mix, slices, stream
+from .words import U, Words, give_back, mix, slices, small, stream
 
 BINS = 128
 EMPTY = np.uint32(0xFFFFFFFF)
@@ -147,6 +147,7 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str, rows: int = 4096)
         held, count = t.slice(cut).to_batches(), t.num_rows - cut
     if count:
         yield pa.Table.from_batches(held)
+    give_back()
 
 
 def _matrix(column: pa.ChunkedArray, kind: type, width: int) -> np.ndarray:
@@ -166,7 +167,7 @@ def describe(docs: DataFrame, id_col: str, text_col: str, width: int, threshold:
     id_type = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             texts = b.column("t").to_pylist()
             for i, j in slices(texts):
                 w = Words(texts[i:j])
@@ -214,8 +215,8 @@ def compare_small(entries: DataFrame, threshold: float) -> DataFrame:
 
 def compare_pivot(entries: DataFrame, threshold: float) -> DataFrame:
     """(node, v, sketch, pivot, near): similarity of every text of a large node to the node's least text."""
-    pivots = stage(entries.groupBy(F.col("node").alias("k")).agg(F.min("v").alias("pivot"), F.min_by("sketch", "v").alias("ps")), "join-pivots")
-    rows = entries.join(pivots, entries["node"] == pivots["k"]).select("node", "v", "sketch", "pivot", "ps")
+    pivots = stage(entries.groupBy(F.col("node").alias("around")).agg(F.min("v").alias("pivot"), F.min_by("sketch", "v").alias("ps")), "join-pivots")
+    rows = entries.join(pivots, entries["node"] == pivots["around"]).select("node", "v", "sketch", "pivot", "ps")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -225,18 +226,21 @@ def compare_pivot(entries: DataFrame, threshold: float) -> DataFrame:
     return rows.mapInArrow(run, "node long, v long, sketch binary, pivot long, near double")
 
 
-def settle(rest: DataFrame, threshold: float) -> DataFrame:
+def settle(rest: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     """(a, b): links of the few texts of a large node that do not hang on its pivot, with all that are left in it.
 
-    ``rest``: (node, v, sketch, far_off, n, far) with ``far`` at most SETTLE.
-    The node's texts are dealt into shares of about CHUNK, and the far ones go
-    to each share, so a task's group stays bounded however large the node is.
+    ``rest``: (node, v, sketch, far_off); ``nodes``: (k, n, far) with ``far`` at
+    most SETTLE.  The node's texts are dealt into shares of about CHUNK, and the
+    far ones go to each share, so a task's group stays bounded however large the
+    node is.
     """
     least = threshold - SLACK
     shares = F.ceil(F.col("n") / F.lit(CHUNK)).cast("int")
-    near = rest.filter("NOT far_off").withColumn("share", F.pmod(F.xxhash64("v", F.lit(5)), shares).cast("int"))
-    far = rest.filter("far_off").withColumn("share", F.explode(F.sequence(F.lit(0), shares - 1)))
-    dealt = near.unionByName(far).select(F.xxhash64("node", "share").alias("node"), "v", "sketch", "far_off")
+    one = F.array(F.pmod(F.xxhash64("v", F.lit(5)), shares).cast("int"))
+    every = F.sequence(F.lit(0), shares - 1)
+    dealt = rest.join(nodes.withColumnRenamed("k", "settled"), F.col("node") == F.col("settled")) \
+        .withColumn("share", F.explode(F.when(F.col("far_off"), every).otherwise(one))) \
+        .select(F.xxhash64("node", "share").alias("node"), "v", "sketch", "far_off")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_groups(batches, "node"):
@@ -305,10 +309,10 @@ def candidate_links(rows: DataFrame, threshold: float) -> DataFrame:
         stays = (F.col("near") < threshold) & (F.col("v") != F.col("pivot"))
         shape = stage(judged.filter(stays).groupBy(F.col("node").alias("k")).agg(
             F.count(F.lit(1)).alias("n"), F.count_if(F.col("near") < loose).alias("far")), "join-shape")
-        rest = judged.filter(stays).select("node", "v", "sketch", (F.col("near") < loose).alias("far_off")).join(shape, F.col("node") == F.col("k"))
+        rest = judged.filter(stays).select("node", "v", "sketch", (F.col("near") < loose).alias("far_off"))
         # far = 0: all hang on the pivot, the node is one candidate component; few far: only they can add a link; else split
-        links = stage(links.unionByName(settle(rest.filter((F.col("far") > 0) & (F.col("far") <= SETTLE)), threshold)).distinct(), "join-links")
-        entries, sizes = living(split(rest.filter(F.col("far") > SETTLE), threshold))
+        links = stage(links.unionByName(settle(rest, shape.filter((F.col("far") > 0) & (F.col("far") <= SETTLE)), threshold)).distinct(), "join-links")
+        entries, sizes = living(split(rest.join(shape.filter(F.col("far") > SETTLE), F.col("node") == F.col("k"), "left_semi"), threshold))
     return links
 
 
@@ -343,7 +347,7 @@ def member_sets(docs: DataFrame, text_col: str, width: int, members: DataFrame)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = known.value
-        for b in batches:
+        for b in small(batches):
             texts = b.column("t").to_pylist()
             for i, j in slices(texts):
                 w = Words(texts[i:j])
@@ -482,7 +486,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     schema = T.StructType([*docs.schema.fields, T.StructField("__v", T.LongType()), T.StructField("__n", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             texts = b.column("__t").to_pylist()
             for i, j in slices(texts):
                 w = Words(texts[i:j])

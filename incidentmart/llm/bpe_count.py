@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import without
+from .words import small
 
 # Fixed values of byte-level BPE: the pre-token pattern of the vocabulary's
 # format.  White space is spelt out as the Unicode property.
@@ -128,7 +129,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, text_col: str = "text", limit
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = counter(vocabulary)
-        for b in batches:
+        for b in small(batches):
             texts = [t or "" for t in b.column("__text").to_pylist()]
             n = [c.count(t) for t in texts]
             yield pa.RecordBatch.from_arrays(

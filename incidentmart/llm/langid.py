@@ -21,12 +21,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import stage, without
-from .words import U, mix
+from .words import U, mix, small
 
 ORDER = 4
 BITS = 12
 CHARS = 1 << 19                  # characters worked on at once
-PENDING = 1 << 21                # grams a counting task holds before it hands them on
+PENDING = 1 << 19                # grams a counting task holds before it hands them on
 # A gram is stored when it makes up at least this share of its language's
 # symbols; with more than four languages the share rises with their number.  So
 # a model holds at most 4 / MIN_SHARE grams per order, however large the corpus.
@@ -121,7 +121,7 @@ def count_grams(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
                                                  names=["lang", "gram", "n"])
             held.clear()
 
-        for b in batches:
+        for b in small(batches):
             by: dict[str, list[str]] = {}
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 by.setdefault(lang, []).append(text or "")
@@ -289,7 +289,7 @@ def fit_languages(labelled: DataFrame, text_col: str = "text", lang_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         place = {x: i for i, x in enumerate(m.langs)}
-        for b in batches:
+        for b in small(batches):
             own = np.array([place[x] for x in b.column(0).to_pylist()], np.int64)
             h, size, letters = m.entropies([t or "" for t in b.column(1).to_pylist()])
             excess = h[np.arange(len(own)), own] - SPREAD / np.sqrt(np.maximum(size, 1))
@@ -322,7 +322,7 @@ def identify_language(docs: DataFrame, model: LanguageModel, text_col: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for b in batches:
+        for b in small(batches):
             lang, score, h, n, rejected = m.predict(b.column("__text").to_pylist())
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(h, pa.float64()),
                                               pa.array(n, pa.int64()), pa.array(rejected, pa.bool_())], names=[*kept, *OUT])

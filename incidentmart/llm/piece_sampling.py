@@ -31,11 +31,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import without
-from .words import U, mix, slices
+from .words import U, mix, slices, small
 
-ARCS = 6_000_000                 # kept per worker: about 100 MB
+ARCS = 4_000_000                 # kept per worker: about 50 MB, and as much for the chunks' names
 FALLBACK = 1e-6                  # weight of a character's bytes against the rarest piece
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 
 class Pieces:
@@ -71,7 +71,7 @@ class Pieces:
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.lengths, self.nodes = np.zeros(0, np.int64), np.zeros(0, np.int64)     # per chunk: characters, first node
-        self.cum, self.span, self.piece = np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.cum, self.span, self.piece = np.zeros(0), np.zeros(0, np.uint8), np.zeros(0, np.int32)
         self.node_count = 0
 
     def _index(self) -> None:
@@ -142,7 +142,7 @@ class Pieces:
         cum = np.cumsum(share[order])
         last = np.concatenate((node[1:] != node[:-1], [True]))
         cum = np.where(last, node + 1.0, np.clip(cum, node, node + 1.0))
-        return cum, span[order], piece[order], lengths
+        return cum, span[order].astype(np.uint8), piece[order].astype(np.int32), lengths
 
     def _learn(self, chunks: list[str]) -> None:
         cum, span, piece, lengths = self.arcs(chunks)
@@ -188,7 +188,7 @@ class Pieces:
             at = np.searchsorted(cum, node + draw, side="right")
             who.append(live)
             what.append(piece[at])
-            left[live] -= span[at]
+            left[live] -= span[at].astype(np.int64)
             live = live[left[live] > 0]
             step += 1
         # pieces came from the back of each chunk: the one drawn at step s is s places from its end
@@ -247,7 +247,7 @@ def encode_sampled(docs: DataFrame, model: str, key_col: str = "doc_id", text_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model, alpha)
-        for b in batches:
+        for b in small(batches):
             texts, seeds = b.column("__t").to_pylist(), np.asarray(b.column("__seed")).view(U)
             for i, j in slices(texts, SLICE):
                 got = p.sample([t or "" for t in texts[i:j]], seeds[i:j])
@@ -266,7 +266,7 @@ def decode_pieces(encoded: DataFrame, model: str, pieces_col: str = "pieces", ou
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model, 1.0)
-        for b in batches:
+        for b in small(batches):
             texts = [None if x is None else p.decode(np.array(x, np.int64)) for x in b.column("__p").to_pylist()]
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in names], pa.array(texts, pa.string())], names=[*names, out_col])
 
@@ -284,7 +284,7 @@ def round_trip(docs: DataFrame, model: str, key_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model, alpha)
-        for b in batches:
+        for b in small(batches):
             texts, seeds = b.column("t").to_pylist(), np.asarray(b.column("seed")).view(U)
             for i, j in slices(texts, SLICE):
                 part = texts[i:j]

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import stage, without
-from .words import U, Words, mix, slices
+from .words import U, Words, mix, slices, small
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 OUT = [*COUNTS, "base_failed", "kept"]
@@ -90,7 +90,7 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
     schema = T.StructType([*keep.schema.fields, *[T.StructField(c, T.LongType()) for c in COUNTS]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             made = count_texts(b.column("__text").to_pylist())
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], *map(pa.array, made)], names=[*kept, *COUNTS])
 

@@ -7,9 +7,11 @@ per word is a few array operations and memory is bounded by the slice.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 U = np.uint64
 SLICE_BYTES = 1 << 20
@@ -37,6 +39,27 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 
 
+def give_back() -> None:
+    """Return freed memory to the system.
+
+    Python workers live on between stages, and what they hold counts against
+    their executor.
+    """
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def small(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut into pieces of about ``limit`` bytes, so that a task never
+    turns a whole batch into Python objects at once."""
+    for b in batches:
+        rows = max(1, min(b.num_rows, int(b.num_rows * limit / max(b.nbytes, 1))))
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+    give_back()
+
+
 class Words:
     """The words of a list of texts: ``hashes`` of all of them in order, and
     ``bounds``: the words of text ``i`` are ``bounds[i]:bounds[i + 1]``."""

@@ -27,10 +27,6 @@ ORDER = 4
 BITS = 12
 CHARS = 1 << 19                  # characters worked on at once
 PENDING = 1 << 19                # grams a counting task holds before it hands them on
-# A gram is stored when it makes up at least this share of its language's
-# symbols; with more than four languages the share rises with their number.  So
-# a model holds at most 4 / MIN_SHARE grams per order, however large the corpus.
-MIN_SHARE = 1e-6
 MAX_LANGUAGES = 64
 UNKNOWN = "und"
 OUT = ["lang_pred", "score", "cross_entropy", "n_symbols", "rejected"]
@@ -252,34 +248,29 @@ class LanguageModel:
                 np.where(none, 0.0, low), n, rejected)
 
 
-def min_share(languages: int) -> float:
-    return MIN_SHARE * max(1.0, languages / 4)
-
-
 def fit_languages(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
                   calibration_rows: int = 20_000) -> LanguageModel:
     """Train on every row of ``labelled`` that has a language.
 
-    Counts cover all these rows; the rejection limits are quantiles over about
-    ``calibration_rows`` of them, chosen by a hash of the id.  No labelled row
-    gives a model without languages; more than MAX_LANGUAGES raise ValueError.
+    Counts cover all these rows and every gram of them is stored, so the model
+    grows with the distinct grams; the driver fetches one language at a time.
+    The rejection limits are quantiles over about ``calibration_rows`` rows,
+    chosen by a hash of the id.  No labelled row gives a model without
+    languages; more than MAX_LANGUAGES raise ValueError.
     """
     spark = labelled.sparkSession
-    counts = stage(count_grams(labelled, text_col, lang_col), "lang-grams")
+    counts = stage(count_grams(labelled, text_col, lang_col).sortWithinPartitions("lang", "gram"), "lang-grams")
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).limit(MAX_LANGUAGES + 1).collect()}
     if len(totals) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not totals:
         return LanguageModel([])
-    share = min_share(len(totals))
-    least = F.create_map(*[F.lit(x) for lang, n in totals.items() for x in (lang, float(n) * share)])[F.col("lang")]
-    got = counts.filter(F.col("n") >= least).toArrow()
-    lang, gram, n = (np.asarray(got.column(c)) for c in ("lang", "gram", "n"))
     per = {}
     for x in totals:
-        own = lang == x
-        order = np.argsort(gram[own])
-        per[x] = (gram[own][order].astype(U), n[own][order])
+        got = counts.filter(F.col("lang") == x).select("gram", "n").toArrow()
+        gram, n = (np.asarray(got.column(c)) for c in ("gram", "n"))
+        order = np.argsort(gram)
+        per[x] = (gram[order].astype(U), n[order])
     model = LanguageModel.train(per)
     usable = labelled.filter(F.col(lang_col).isNotNull())
     share = min(1.0, calibration_rows / max(1, usable.count()))

@@ -99,3 +99,12 @@ def test_nothing_to_learn(spark):
     model = fit_languages(empty(spark))
     assert model.langs == [] and identify_language(empty(spark), model).count() == 0
     assert {(r.lang_pred, r.rejected) for r in identify_language(odd(spark), model).collect()} == {("und", True)}
+
+
+def test_every_gram_counts(spark):
+    rng = np.random.default_rng(5)
+    texts = ["".join(rng.choice(list("abcdefghijklmnopqrst "), 30_000)) for _ in range(40)] + ["wuvy zyx"]    # 1.2 million symbols, the last grams once
+    model = fit_languages(spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, lang string").repartition(3))
+    whole = LanguageModel.train({"x": np.unique(grams(texts)[0], return_counts=True)})
+    assert [len(g) for g in model.grams] == [len(g) for g in whole.grams]
+    assert np.array_equal(model.entropies(texts[-2:])[0], whole.entropies(texts[-2:])[0])

@@ -31,8 +31,10 @@ MAX_LANGUAGES = 64
 UNKNOWN = "und"
 OUT = ["lang_pred", "score", "cross_entropy", "n_symbols", "rejected"]
 # Rejection: cross-entropy above the calibrated limit plus SPREAD / sqrt(symbols)
-# plus MARGIN nats; the limit is the REACH quantile over labelled rows.
-REACH, MARGIN, SPREAD = 0.999, 0.3, 4.0
+# plus MARGIN nats; the limit is the quantile of REACH thousandths over the
+# language's labelled rows, counted in bins of 1 / FINE nats so that partial
+# counts merge in any order.
+REACH, MARGIN, SPREAD, FINE = 999, 0.3, 4.0, 1024
 
 _TABLES: list[np.ndarray] = []
 
@@ -248,14 +250,14 @@ class LanguageModel:
                 np.where(none, 0.0, low), n, rejected)
 
 
-def fit_languages(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
-                  calibration_rows: int = 20_000) -> LanguageModel:
+def fit_languages(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
     """Train on every row of ``labelled`` that has a language.
 
     Counts cover all these rows and every gram of them is stored, so the model
     grows with the distinct grams; the driver fetches one language at a time.
-    The rejection limits are quantiles over about ``calibration_rows`` rows,
-    chosen by a hash of the id.  No labelled row gives a model without
+    The rejection limits are quantiles over all of a language's rows with a
+    letter; a language without such a row gets the limit of all languages
+    together (0 if none has one).  No labelled row gives a model without
     languages; more than MAX_LANGUAGES raise ValueError.
     """
     spark = labelled.sparkSession
@@ -272,9 +274,6 @@ def fit_languages(labelled: DataFrame, text_col: str = "text", lang_col: str = "
         order = np.argsort(gram)
         per[x] = (gram[order].astype(U), n[order])
     model = LanguageModel.train(per)
-    usable = labelled.filter(F.col(lang_col).isNotNull())
-    share = min(1.0, calibration_rows / max(1, usable.count()))
-    chosen = usable.filter(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,11 +284,16 @@ def fit_languages(labelled: DataFrame, text_col: str = "text", lang_col: str = "
             h, size, letters = m.entropies([t or "" for t in b.column(1).to_pylist()])
             excess = h[np.arange(len(own)), own] - SPREAD / np.sqrt(np.maximum(size, 1))
             ok = letters > 0
-            yield pa.RecordBatch.from_arrays([pa.array(own[ok]), pa.array(excess[ok])], names=["place", "excess"])
-
-    rows = chosen.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    for r in rows.mapInArrow(run, "place long, excess double").groupBy("place").agg(F.percentile_approx("excess", REACH, 10_000).alias("q")).collect():
-        model.limits[r["place"]] = r["q"]
+            bins = np.ceil(excess[ok] * FINE).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(own[ok]), pa.array(bins)], names=["place", "bin"])
+
+    rows = labelled.filter(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    bins = stage(rows.mapInArrow(run, "place long, bin long").groupBy("place", "bin").agg(F.count(F.lit(1)).alias("n")), "lang-limits")
+    # the windows run over the bins, some thousand a language, whatever the number of rows
+    pooled = bins.groupBy("bin").agg(F.sum("n").alias("n")).select(F.lit(-1).cast("long").alias("place"), "bin", "n")
+    sums = bins.unionByName(pooled).selectExpr("*", "sum(n) OVER (PARTITION BY place ORDER BY bin) AS upto", "sum(n) OVER (PARTITION BY place) AS total")
+    found = {r["place"]: r["q"] / FINE for r in sums.filter(f"1000 * upto >= {REACH} * total").groupBy("place").agg(F.min("bin").alias("q")).collect()}
+    model.limits = np.array([found.get(i, found.get(-1, 0.0)) for i in range(len(model.langs))])
     return model
 
 

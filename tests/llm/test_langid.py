@@ -108,3 +108,22 @@ def test_every_gram_counts(spark):
     whole = LanguageModel.train({"x": np.unique(grams(texts)[0], return_counts=True)})
     assert [len(g) for g in model.grams] == [len(g) for g in whole.grams]
     assert np.array_equal(model.entropies(texts[-2:])[0], whole.entropies(texts[-2:])[0])
+
+
+def test_limits_from_every_row(spark):
+    rare = "(pmod(xxhash64(cast(id AS string)), 1000000) > 900000 AND id < 200)"
+    docs = spark.range(60_000).selectExpr("id AS doc_id", f"CASE WHEN {rare} THEN 'z' ELSE 'x' END AS lang",
+                                          f"CASE WHEN {rare} THEN concat('ωδη ρκ ', id) ELSE concat('some words ', translate(cast(id % 977 AS string), '0123456789', 'abcdefghij')) END AS text")
+    marks = spark.createDataFrame([(-1, "m", "\u0301\u0302 \u0301")], "doc_id long, lang string, text string")        # grams, but no letter
+    docs = docs.unionByName(marks)
+    model = fit_languages(docs)
+    assert model.langs == ["m", "x", "z"] and np.isfinite(model.limits).all()
+    rows, pool = docs.collect(), []
+    for i, lang in list(enumerate(model.langs))[1:]:
+        h, n, _ = model.entropies([r.text for r in rows if r.lang == lang])
+        excess = np.sort(h[:, i] - 4 / np.sqrt(n))
+        pool.extend(excess)
+        assert 0 <= model.limits[i] - excess[math.ceil(0.999 * len(excess)) - 1] < 1 / 1024
+    assert 0 <= model.limits[0] - sorted(pool)[math.ceil(0.999 * len(pool)) - 1] < 1 / 1024
+    noise = spark.createDataFrame([(1, "ηηηη ωωωω κκκκ ρρρρ " * 20)], "doc_id long, text string")
+    assert [(r.lang_pred, r.rejected) for r in identify_language(noise, model).collect()] == [("z", True)]

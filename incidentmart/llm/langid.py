@@ -2,19 +2,20 @@
 
 Per language an interpolated Kneser-Ney model over four-character grams is
 counted by Spark from the labelled rows.  Grams are 48-bit hashes (12 bits per
-folded character) kept in sorted arrays with the probabilities of all languages
-beside them, so one binary search serves every language.  A text gets the
+folded character) kept in sorted arrays with the probabilities of up to 16 languages
+beside them, so one binary search serves them all.  A text gets the
 language with the lowest cross-entropy per symbol; a text that even its best
 language explains badly is rejected, by a limit calibrated per language.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +28,10 @@ ORDER = 4
 BITS = 12
 CHARS = 1 << 19                  # characters worked on at once
 PENDING = 1 << 19                # grams a counting task holds before it hands them on
-MAX_LANGUAGES = 64
+# Languages beside one another in a table: so many, and so many cells of its
+# longest order; a language alone may have more.  Further languages take further tables.
+COLUMNS = 16
+CELLS = 1 << 24
 UNKNOWN = "und"
 OUT = ["lang_pred", "score", "cross_entropy", "n_symbols", "rejected"]
 # Rejection: cross-entropy above the calibrated limit plus SPREAD / sqrt(symbols)
@@ -149,8 +153,8 @@ def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 @dataclass
-class LanguageModel:
-    """Sorted gram hashes per order with log probabilities of every language, and log back-off weights per context."""
+class LanguageTable:
+    """Some languages: sorted gram hashes per order with log probabilities of every language, and log back-off weights per context."""
 
     langs: list[str]
     grams: list[np.ndarray] = field(default_factory=list)       # by order - 1
@@ -158,15 +162,12 @@ class LanguageModel:
     contexts: list[np.ndarray] = field(default_factory=list)
     backoffs: list[np.ndarray] = field(default_factory=list)
     floor: np.ndarray | None = None                             # log probability of an unseen symbol
-    limits: np.ndarray | None = None
 
     @staticmethod
-    def train(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> LanguageModel:
+    def train(counts: dict[str, tuple[np.ndarray, np.ndarray]], symbols: int) -> LanguageTable:
         """Interpolated Kneser-Ney from the sorted top-order grams and counts of each language."""
         langs = sorted(counts)
-        model = LanguageModel(langs)
-        if not langs:
-            return model
+        model = LanguageTable(langs)
         levels = []         # per order from 1: per language (keys, counts); lower orders count distinct left neighbours
         for lang in langs:
             keys, n = counts[lang]
@@ -175,7 +176,6 @@ class LanguageModel:
                 k, c = np.unique(per[0][0] & _mask(order), return_counts=True)
                 per.insert(0, (k, c.astype(np.float64)))
             levels.append(per)
-        symbols = len(np.unique(np.concatenate([p[0][0] for p in levels]))) + 1
         lower = None
         for order in range(1, ORDER + 1):
             table = np.unique(np.concatenate([p[order - 1][0] for p in levels]))
@@ -201,7 +201,6 @@ class LanguageModel:
             model.logs.append(np.log(prob).astype(np.float32))
             model.contexts.append(context)
             model.backoffs.append(np.log(back).astype(np.float32))
-        model.limits = np.full(len(langs), np.inf)
         return model
 
     def log_prob(self, keys: np.ndarray, order: int = ORDER) -> np.ndarray:
@@ -220,6 +219,40 @@ class LanguageModel:
                 out[miss] = rest
         return out
 
+
+def packed(sizes: dict[str, int]) -> Iterator[list[str]]:
+    """Languages, with the number of their grams, dealt in order into tables of bounded size."""
+    held, grams_held = [], 0
+    for lang in sorted(sizes):
+        if held and (len(held) == COLUMNS or (grams_held + sizes[lang]) * (len(held) + 1) > CELLS):
+            yield held
+            held, grams_held = [], 0
+        held.append(lang)
+        grams_held += sizes[lang]
+    if held:
+        yield held
+
+
+@dataclass
+class LanguageModel:
+    """Tables of all languages, in the order of ``langs``, and a rejection limit per language."""
+
+    langs: list[str]
+    tables: list[LanguageTable] = field(default_factory=list)
+    limits: np.ndarray | None = None
+
+    @staticmethod
+    def train(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> LanguageModel:
+        """Model of the sorted top-order grams and counts of each language, without limits."""
+        symbols = len(np.unique(np.concatenate([k & _mask(1) for k, _ in counts.values()]))) + 1 if counts else 1
+        return LanguageModel.of(LanguageTable.train({x: counts[x] for x in some}, symbols) for some in packed({x: len(k) for x, (k, _) in counts.items()}))
+
+    @staticmethod
+    def of(tables: Iterable[LanguageTable]) -> LanguageModel:
+        tables = list(tables)
+        langs = [x for t in tables for x in t.langs]
+        return LanguageModel(langs, tables, np.full(len(langs), np.inf))
+
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Cross-entropy per symbol of each text under each language, symbols and letters per text."""
         h, n, letters = [np.zeros((0, len(self.langs)))], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -228,7 +261,7 @@ class LanguageModel:
             sums = np.zeros((j - i, len(self.langs)))
             if len(keys):
                 heads = np.concatenate(([0], np.cumsum(size)))[:-1][size > 0]
-                sums[size > 0] = np.add.reduceat(self.log_prob(keys), heads, axis=0, dtype=np.float64)
+                sums[size > 0] = np.concatenate([np.add.reduceat(t.log_prob(keys), heads, axis=0, dtype=np.float64) for t in self.tables], axis=1)
             h.append(-sums / np.maximum(size, 1)[:, None])
             n.append(size)
             letters.append(alpha)
@@ -254,34 +287,39 @@ def fit_languages(labelled: DataFrame, text_col: str = "text", lang_col: str = "
     """Train on every row of ``labelled`` that has a language.
 
     Counts cover all these rows and every gram of them is stored, so the model
-    grows with the distinct grams; the driver fetches one language at a time.
+    grows with the distinct grams; the driver fetches one table of languages at a time.
     The rejection limits are quantiles over all of a language's rows with a
     letter; a language without such a row gets the limit of all languages
-    together (0 if none has one).  No labelled row gives a model without
-    languages; more than MAX_LANGUAGES raise ValueError.
+    together (0 if none has one).  A language whose texts have no gram is not
+    learned.  No labelled row gives a model without languages.
     """
     spark = labelled.sparkSession
     counts = stage(count_grams(labelled, text_col, lang_col).sortWithinPartitions("lang", "gram"), "lang-grams")
-    totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).limit(MAX_LANGUAGES + 1).collect()}
-    if len(totals) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not totals:
+    sizes = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not sizes:
         return LanguageModel([])
-    per = {}
-    for x in totals:
-        got = counts.filter(F.col("lang") == x).select("gram", "n").toArrow()
-        gram, n = (np.asarray(got.column(c)) for c in ("gram", "n"))
-        order = np.argsort(gram)
-        per[x] = (gram[order].astype(U), n[order])
-    model = LanguageModel.train(per)
+    symbols = counts.select(F.col("gram").bitwiseAND(F.lit((1 << BITS) - 1))).distinct().count() + 1
+
+    def learn(some: list[str]) -> LanguageTable:
+        got = counts.filter(F.col("lang").isin(some)).select("lang", "gram", "n").toArrow()
+        per = {}
+        for x in some:
+            own = got.filter(pc.equal(got.column("lang"), x))
+            gram, n = (np.asarray(own.column(c)) for c in ("gram", "n"))
+            order = np.argsort(gram)
+            per[x] = (gram[order].astype(U), n[order])
+        return LanguageTable.train(per, symbols)
+
+    model = LanguageModel.of(map(learn, packed(sizes)))
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         place = {x: i for i, x in enumerate(m.langs)}
         for b in small(batches):
-            own = np.array([place[x] for x in b.column(0).to_pylist()], np.int64)
-            h, size, letters = m.entropies([t or "" for t in b.column(1).to_pylist()])
+            known = [(place[x], t or "") for x, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if x in place]
+            own = np.array([x for x, _ in known], np.int64)
+            h, size, letters = m.entropies([t for _, t in known])
             excess = h[np.arange(len(own)), own] - SPREAD / np.sqrt(np.maximum(size, 1))
             ok = letters > 0
             bins = np.ceil(excess[ok] * FINE).astype(np.int64)

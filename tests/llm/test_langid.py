@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from incidentmart.llm import langid
 from incidentmart.llm.langid import LanguageModel, fit_languages, grams, identify_language
 from incidentmart.llm.queries import op1_language_id
 
@@ -106,7 +107,7 @@ def test_every_gram_counts(spark):
     texts = ["".join(rng.choice(list("abcdefghijklmnopqrst "), 30_000)) for _ in range(40)] + ["wuvy zyx"]    # 1.2 million symbols, the last grams once
     model = fit_languages(spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, lang string").repartition(3))
     whole = LanguageModel.train({"x": np.unique(grams(texts)[0], return_counts=True)})
-    assert [len(g) for g in model.grams] == [len(g) for g in whole.grams]
+    assert [len(g) for t in model.tables for g in t.grams] == [len(g) for t in whole.tables for g in t.grams]
     assert np.array_equal(model.entropies(texts[-2:])[0], whole.entropies(texts[-2:])[0])
 
 
@@ -127,3 +128,23 @@ def test_limits_from_every_row(spark):
     assert 0 <= model.limits[0] - sorted(pool)[math.ceil(0.999 * len(pool)) - 1] < 1 / 1024
     noise = spark.createDataFrame([(1, "ηηηη ωωωω κκκκ ρρρρ " * 20)], "doc_id long, text string")
     assert [(r.lang_pred, r.rejected) for r in identify_language(noise, model).collect()] == [("z", True)]
+
+
+def test_many_languages_and_a_label_without_letters(spark, monkeypatch):
+    rows = [(100 * k + i, " ".join("".join(chr(0x4E00 + 7 * k + int(x)) for x in np.random.default_rng(100 * k + i).integers(0, 7, 6)) for _ in range(20)), f"l{k:02d}")
+            for k in range(70) for i in range(3)] + [(-1, None, "none"), (-2, "12 !", "none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit_languages(docs)
+    assert len(model.tables) > 1 and model.langs == [f"l{k:02d}" for k in range(70)]
+    assert all(r.lang_pred == (r.lang if r.lang != "none" else "und") for r in identify_language(docs, model).collect())
+    monkeypatch.setattr(langid, "COLUMNS", 1000)
+    one = LanguageModel.train({x: np.unique(grams([t for _, t, lang in rows if lang == x])[0], return_counts=True) for x in model.langs})
+    assert len(one.tables) == 1
+    np.testing.assert_allclose(model.entropies([t or "" for _, t, _ in rows])[0], one.entropies([t or "" for _, t, _ in rows])[0], rtol=1e-5)
+
+
+def test_tables_are_bounded():
+    sizes = {f"l{k:03d}": 1 << 21 for k in range(20)} | {"m": 1 << 26}
+    dealt = list(langid.packed(sizes))
+    assert sum(dealt, []) == sorted(sizes) and dealt[-1] == ["m"]
+    assert all(len(d) == 1 or (len(d) <= langid.COLUMNS and sum(sizes[x] for x in d) * len(d) <= langid.CELLS) for d in dealt)

@@ -5,7 +5,8 @@ the set is embedded into at most ``BINS`` min-hash tokens.  In every run each
 text picks the tokens whose seeded hash is below 1 / (threshold * tokens); the
 texts that pick a token form a node.  Two texts over the threshold share at
 least one picked token per level on average, so a run finds a pair with a known
-chance, and runs repeat until the target recall.  Nodes up to ``LIMIT`` texts
+chance, and runs repeat until the target recall; texts whose nodes need more
+splits than these runs allow for take further runs.  Nodes up to ``LIMIT`` texts
 are compared by brute force on their sketches.  Larger nodes are compared with
 one pivot, whose close relatives are linked to it and leave.  When few others are
 left apart from the pivot, they are compared with the whole node; otherwise the
@@ -38,7 +39,7 @@ LIMIT = 128                      # texts of a node that are compared with one an
 SETTLE = 2048                    # texts apart from a large node's pivot that are compared with the whole node
 CHUNK = 4096                     # texts of a large node that they meet in one group
 BLOCK = 256                      # sets of a block in the exact comparison
-DEPTH = 3                        # splits that the number of runs allows for
+DEPTH = 3                        # picks that the first runs allow for; deeper nodes get further runs
 MAX_DEPTH = 20                   # after that the rest is compared block by block
 SLACK = 0.18                     # five standard deviations of a sketch's estimate
 FILTER_BUCKETS = 1 << 15         # at most 128 MB of bitmaps to recognise members
@@ -46,7 +47,7 @@ FILTER_BITS = 1 << 15
 
 
 def runs_for(recall: float, depth: int = DEPTH) -> int:
-    """Runs until a pair at the threshold that needs ``depth`` splits is found with that chance."""
+    """Runs until a pair at the threshold that needs ``depth`` picks is found with that chance."""
     p = 1.0
     for _ in range(depth):
         p = 1.0 - math.exp(-p)
@@ -281,12 +282,44 @@ def blocks(entries: DataFrame, sizes: DataFrame, size: int) -> DataFrame:
     return dealt.withColumn("pair", pair)
 
 
-def candidate_links(rows: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): loose links between vertices, enough of them to connect every pair over the threshold."""
+def candidate_links(rows: DataFrame, threshold: float, recall: float) -> DataFrame:
+    """(a, b): loose links between vertices, enough of them to connect every pair over the threshold.
+
+    The first runs meet ``recall`` for pairs found within DEPTH picks.  A pair
+    that needs more has both its texts in nodes split after that; those texts
+    take further runs, until the runs meet ``recall`` at the depth reached.
+    """
     entries, sizes = living(rows.filter("n_words > 0").select(F.explode("nodes").alias("node"), "v"))
     active = stage(entries.select(F.col("v").alias("av")).distinct(), "join-active")
     once = rows.groupBy("v").agg(F.first("sketch").alias("sketch"))      # copies are combined before the shuffle
     vertices = stage(shorten(once.join(active, F.col("v") == F.col("av"), "left_semi")), "join-vertices")
+    links, picks, deep = follow(entries, sizes, vertices, threshold)
+    done = runs_for(recall)
+    while deep is not None and done < (need := runs_for(recall, picks)):
+        entries, sizes = living(further(vertices, deep, done, need, threshold))
+        more, reached, _ = follow(entries, sizes, vertices, threshold)
+        links, done, picks = stage(links.unionByName(more).distinct(), "join-links"), need, max(picks, reached)
+    return links
+
+
+def further(vertices: DataFrame, deep: DataFrame, done: int, need: int, threshold: float) -> DataFrame:
+    """(node, v): the nodes that the vertices of ``deep`` pick in the runs from ``done`` up to ``need``."""
+    seeds = stream(11, need)[done:]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sk, v = _matrix(b.column("sketch"), np.uint32, BINS), np.asarray(b.column("v"))
+            for s in seeds:
+                row, child = picked(sk, np.full(len(sk), s, U), threshold)
+                yield pa.RecordBatch.from_arrays([_long(child), pa.array(v[row])], names=["node", "v"])
+
+    again = vertices.select("v", "sketch").join(deep, F.col("v") == F.col("dv"), "left_semi")
+    return stage(again.mapInArrow(run, "node long, v long"), "join-further")
+
+
+def follow(entries: DataFrame, sizes: DataFrame, vertices: DataFrame, threshold: float) -> tuple[DataFrame, int, DataFrame | None]:
+    """Links (a, b) of the nodes and all that they split into, the picks that took, and (dv) the vertices still split after DEPTH picks."""
+    deep = None
     links = None
     for depth in range(MAX_DEPTH + 1):
         small = entries.join(sizes.filter(F.col("n") <= LIMIT), F.col("node") == F.col("k"), "left_semi")
@@ -312,8 +345,12 @@ def candidate_links(rows: DataFrame, threshold: float) -> DataFrame:
         rest = judged.filter(stays).select("node", "v", "sketch", (F.col("near") < loose).alias("far_off"))
         # far = 0: all hang on the pivot, the node is one candidate component; few far: only they can add a link; else split
         links = stage(links.unionByName(settle(rest, shape.filter((F.col("far") > 0) & (F.col("far") <= SETTLE)), threshold)).distinct(), "join-links")
-        entries, sizes = living(split(rest.join(shape.filter(F.col("far") > SETTLE), F.col("node") == F.col("k"), "left_semi"), threshold))
-    return links
+        parts = rest.join(shape.filter(F.col("far") > SETTLE), F.col("node") == F.col("k"), "left_semi")
+        if depth + 1 == DEPTH:
+            deep = stage(parts.select(F.col("v").alias("dv")).distinct(), "join-deep")
+            deep = None if deep.isEmpty() else deep
+        entries, sizes = living(split(parts, threshold))
+    return links, depth + 1, deep
 
 
 def shorten(vertices: DataFrame) -> DataFrame:
@@ -436,7 +473,7 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spread = rows.filter("n_words > 0").groupBy("v").agg(
         F.count(F.lit(1)).alias("copies"), F.min(F.struct(F.col("id").isNull().alias("last"), F.col("id").alias("id"))).alias("least"))
     spread = stage(spread, "join-spread")
-    loose = components(candidate_links(rows, threshold))
+    loose = components(candidate_links(rows, threshold, recall))
     members = stage(loose.join(spread.select(F.col("v").alias("sv"), "copies"), F.col("v") == F.col("sv")).select("v", "root", "copies"), "join-members")
     exact = stage(exact_links(docs, text_col, width, members, threshold), "join-exact")
     classes = components(exact.selectExpr("root AS a", "v AS b"))

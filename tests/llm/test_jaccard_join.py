@@ -4,6 +4,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+from incidentmart.llm import jaccard_join as join
 from incidentmart.llm.components import components
 from incidentmart.llm.jaccard_join import jaccard_join, keep_one, roots_of, runs_for, sketches, estimate, short
 from incidentmart.llm.queries import op10_jaccard_join
@@ -116,3 +117,24 @@ def test_parts():
     b = a[:380] + [f"x{k}" for k in range(20)]
     sk = short(sketches(Words([" ".join(a).encode(), " ".join(b).encode()]), 5))
     assert abs(estimate(sk[:1], sk[1:])[0] - 376 / 416) < 0.15
+
+
+def test_deep_nodes_take_further_runs(spark, monkeypatch):
+    rng = random.Random(4)
+    passage = [f"p{k}" for k in range(55)]                  # far from near copies, but every node of it is split again and again
+    rows = [(i, " ".join(passage + [f"w{rng.randrange(9000)}" for _ in range(45)])) for i in range(300)]
+    rows += [(1000 + i, t + " end") for i, t in rows[::20]]
+    monkeypatch.setattr(join, "LIMIT", 4)
+    monkeypatch.setattr(join, "SETTLE", 4)
+    reached, runs, follow, stream = [], [], join.follow, join.stream
+
+    def followed(*a):
+        out = follow(*a)
+        reached.append(out[1])
+        return out
+
+    monkeypatch.setattr(join, "follow", followed)
+    monkeypatch.setattr(join, "stream", lambda seed, n: runs.append(n) or stream(seed, n))
+    compare(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), rows)
+    assert max(reached) > join.DEPTH and len(reached) > 1
+    assert max(runs) == runs_for(0.999, max(reached)) > runs_for(0.999)

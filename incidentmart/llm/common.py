@@ -7,13 +7,24 @@ from pyspark.sql import functions as F
 
 from ..staging import new_scratch, stage
 
-__all__ = ["SPACES", "WORD", "new_scratch", "number_rows", "stage", "without"]
+__all__ = ["SPACES", "WORD", "fresh", "new_scratch", "number_rows", "stage", "without"]
 
 # Characters that separate words: space and U+0009 to U+000D.
 SPACES = " \t\n\x0b\x0c\r"
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
+def fresh(taken: list[str], *wanted: str) -> list[str]:
+    """A name for each of ``wanted`` that no column of ``taken`` has, in any case."""
+    used, out = {t.lower() for t in taken}, []
+    for w in wanted:
+        while w.lower() in used:
+            w += "_"
+        used.add(w.lower())
+        out.append(w)
+    return out
+
+
 def without(df: DataFrame, names: list[str]) -> DataFrame:
     """``df`` without columns whose name, in any case, is among ``names``."""
     gone = {n.lower() for n in names}

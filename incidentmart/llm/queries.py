@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import alignment_counts
 from .bpe_count import count_tokens
 from .common import WORD, new_scratch, number_rows
 from .exact_dedup import exact_dedup
@@ -106,5 +107,13 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(docs).select("doc_id", "class_id", "n_links", "kept")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_mixing, op3_exact_dedup, op4_sharding, op5_warc, op6_substring_dedup, op7_piece_sampling, op8_token_counts, op9_quality_rules, op10_jaccard_join)}
+    op1_language_id, op2_mixing, op3_exact_dedup, op4_sharding, op5_warc, op6_substring_dedup, op7_piece_sampling, op8_token_counts, op9_quality_rules, op10_jaccard_join,
+    op11_alignment)}

@@ -131,9 +131,38 @@ SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ba
 FROM b LEFT JOIN bad ON b.doc_id = bad.doc_id
 """
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ITEM_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+DECONTAMINATION = rf"""
+WITH d AS (
+  SELECT doc_id, {_ITEM_WORDS} AS words FROM documents
+), i AS (
+  SELECT item_id, words, least(len(words), 10) AS l FROM (SELECT item_id, {_ITEM_WORDS} AS words FROM benchmark) WHERE len(words) > 0
+), iw AS (
+  SELECT DISTINCT item_id, l, array_to_string(words[p:p + l - 1], ' ') AS win
+  FROM (SELECT *, unnest(range(1, len(words) - l + 2)) AS p FROM i)
+), dw AS (
+  SELECT doc_id, p, l, array_to_string(words[p:p + l - 1], ' ') AS win
+  FROM (SELECT doc_id, words, l, unnest(range(1, len(words) - l + 2)) AS p FROM d, (SELECT DISTINCT l FROM iw) WHERE len(words) >= l)
+), h AS (
+  SELECT doc_id, p, l, win FROM dw WHERE win IN (SELECT win FROM iw)
+), c AS (
+  SELECT doc_id, count(DISTINCT w) AS n FROM (SELECT doc_id, unnest(range(p, p + l)) AS w FROM h) GROUP BY doc_id
+), m AS (
+  SELECT DISTINCT h.doc_id, coalesce(CAST(iw.item_id AS VARCHAR), '') AS item FROM h JOIN iw ON h.win = iw.win
+), g AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM m GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(c.n, 0) AS n_hit, coalesce(g.n, 0) AS n_items,
+       sha256(coalesce(g.items, '')) AS items_sha256, coalesce(c.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN c ON d.doc_id = c.doc_id LEFT JOIN g ON d.doc_id = g.doc_id
+"""
+
 ORACLE = {
     "op2_mixing": MIXING,
     "op3_exact_dedup": EXACT_DEDUP,
     "op6_substring_dedup": SUBSTRING_DEDUP,
     "op9_quality_rules": QUALITY,
+    "op12_decontamination": DECONTAMINATION,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .alignment import alignment_counts
 from .bpe_count import count_tokens
 from .common import WORD, new_scratch, number_rows
+from .decontamination import decontaminate
 from .exact_dedup import exact_dedup
 from .jaccard_join import jaccard_join
 from .langid import LanguageModel, fit_languages, identify_language
@@ -114,6 +115,14 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    items = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    hits = decontaminate(docs, items, window=10, columns=["doc_id"])
+    return hits.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"),
+                       (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_mixing, op3_exact_dedup, op4_sharding, op5_warc, op6_substring_dedup, op7_piece_sampling, op8_token_counts, op9_quality_rules, op10_jaccard_join,
-    op11_alignment)}
+    op11_alignment, op12_decontamination)}

@@ -159,10 +159,50 @@ SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(c.n, 0) AS n_
 FROM d LEFT JOIN c ON d.doc_id = c.doc_id LEFT JOIN g ON d.doc_id = g.doc_id
 """
 
+_ROUNDS = 5
+
+
+def _nearest(name: str, centroids: str) -> str:
+    """Each vector's nearest centroid, the smaller number on ties."""
+    return f"""{name} AS MATERIALIZED (
+  SELECT row, arg_min(c, (far, c)) AS c, min(far) AS far
+  FROM (SELECT l.row, m.c, sum((l.x - m.x) * (l.x - m.x)) AS far FROM l JOIN {centroids} m ON l.d = m.d GROUP BY l.row, m.c)
+  GROUP BY row
+)"""
+
+
+def _move(r: int) -> str:
+    """Round ``r``: assign, then move the centroids that have vectors to the floor of the mean."""
+    return f"""{_nearest(f"a{r}", f"m{r}")}, m{r + 1} AS MATERIALIZED (
+  SELECT m.c, m.d, coalesce(s.x, m.x) AS x FROM m{r} m
+  LEFT JOIN (SELECT a.c, l.d, CAST((sum(l.x) - ((sum(l.x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS x
+             FROM a{r} a JOIN l ON a.row = l.row GROUP BY a.c, l.d) s ON m.c = s.c AND m.d = s.d
+)"""
+
+
+CLUSTERING = f"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS row, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS xs
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), l AS MATERIALIZED (
+  SELECT row, unnest(xs) AS x, unnest(range(64)) AS d FROM v
+), m0 AS MATERIALIZED (
+  SELECT c, unnest(xs) AS x, unnest(range(64)) AS d
+  FROM (SELECT xs, row_number() OVER (ORDER BY sha256('2:' || vec_id), xs) - 1 AS c FROM v WHERE vec_id IS NOT NULL) WHERE c < 40
+), {", ".join(_move(r) for r in range(_ROUNDS))}, {_nearest("a", f"m{_ROUNDS}")}, g AS (
+  SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM m{_ROUNDS} GROUP BY c
+)
+SELECT v.vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(a.far AS BIGINT) AS distance,
+       CAST(sum(a.far) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(a.far) OVER () AS BIGINT) AS inertia, g.centroid_sha256
+FROM a JOIN v ON a.row = v.row JOIN g ON a.c = g.c
+"""
+
 ORACLE = {
     "op2_mixing": MIXING,
     "op3_exact_dedup": EXACT_DEDUP,
     "op6_substring_dedup": SUBSTRING_DEDUP,
     "op9_quality_rules": QUALITY,
     "op12_decontamination": DECONTAMINATION,
+    "op13_clustering": CLUSTERING,
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .alignment import alignment_counts
 from .bpe_count import count_tokens
+from .clustering import cluster
 from .common import WORD, new_scratch, number_rows
 from .decontamination import decontaminate
 from .exact_dedup import exact_dedup
@@ -123,6 +124,13 @@ def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op13_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    placed = cluster(vectors, dims=64, k=40, rounds=5, scale=256, seed=2, columns=["vec_id"])
+    return placed.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                         F.sha2(F.concat_ws(",", F.col("centroid").cast("array<string>")), 256).alias("centroid_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_mixing, op3_exact_dedup, op4_sharding, op5_warc, op6_substring_dedup, op7_piece_sampling, op8_token_counts, op9_quality_rules, op10_jaccard_join,
-    op11_alignment, op12_decontamination)}
+    op11_alignment, op12_decontamination, op13_clustering)}

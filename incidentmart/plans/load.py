@@ -12,10 +12,11 @@ when it fails; nothing else is copied, and a failed run is never visible.
 
 from __future__ import annotations
 
+import re
 import uuid
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..constants import BAND_ORDER, TEXT_LIMITS
@@ -23,10 +24,10 @@ from ..operators import quality as Q
 from ..schemas import STAR_SCHEMAS, conform
 from ..sources.csv import extract
 from ..sources.warehouse import is_missing, read_jdbc, read_table, table_path
-from ..staging import delete_path
+from ..staging import delete_path, stage
 from .calendar import date_dim, insert_if_absent, time_dim
-from .star import (DIMENSIONS, FACT_MEASURES, base_gate, build_base, build_dimensions,
-                   numbered_base, resolve_keys)
+from .star import (DIMENSIONS, FACT_MEASURES, base_gates, build_base, build_members, dimension_tables,
+                   numbered_base, pass_gates, resolve_keys)
 
 STAR_TABLES = ["dim_fecha", "dim_tiempo", "dim_ubicacion", "dim_accidente", "dim_conductor",
                "fact_accidentes"]
@@ -55,16 +56,46 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
     df.write.jdbc(url, table, mode=mode, properties=props)
 
 
-def cluster_fact(fact: DataFrame, num_partitions: int | None = None) -> DataFrame:
+CELLS = 64                      # stretches of row ids that a date is counted in
+
+
+def date_layout(base: DataFrame, files: int, last_id: int) -> DataFrame:
+    """(date_key, cell, part): which of ``files`` files takes the rows of a date and a stretch of row ids.
+
+    The bounds come from a count per date and stretch, which merges on the map
+    side: every file gets about as many rows, whole cells in the order of date
+    and id.  A date with many rows is spread over several files.  The running
+    totals are over the dates, and within a date over its cells.
+    """
+    cells = base.groupBy("date_key", _cell(last_id).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    cells = stage(cells, "date-cells")
+    days = cells.groupBy("date_key").agg(F.sum("n").alias("n"))
+    upto = Window.rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select(F.col("date_key").alias("day"), F.coalesce(F.sum("n").over(upto.orderBy("date_key")), F.lit(0)).alias("days_before"),
+                       F.sum("n").over(Window.partitionBy()).alias("total"))
+    within = F.coalesce(F.sum("n").over(upto.partitionBy("date_key").orderBy("cell")), F.lit(0))
+    placed = cells.withColumn("within", within).join(days, F.col("date_key") == F.col("day"))
+    middle = F.col("days_before") + F.col("within") + F.expr("n DIV 2")
+    part = F.least(F.lit(files - 1), (middle * files / F.greatest("total", F.lit(1))).cast("int"))
+    return stage(placed.select("date_key", "cell", part.alias("part")), "date-layout")
+
+
+def _cell(last_id: int) -> Column:
+    return F.expr(f"(source_row_id - 1) DIV {max(1, -(-last_id // CELLS))}")
+
+
+def cluster_fact(fact: DataFrame, layout: DataFrame, files: int, last_id: int) -> DataFrame:
     """Lay the fact out by date so Parquet min/max statistics prune date scans.
 
-    The range key includes the row id after the date: a single date holding
-    a large share of rows is still spread over many output files/tasks.
+    Rows are dealt by the explicit bounds of ``layout``, so the plan below them,
+    key joins included, runs once; range partitioning would run it again for a
+    sample.
     """
-    keys = [F.col("date_key"), F.col("source_row_id")]
-    ranged = (fact.repartitionByRange(num_partitions, *keys) if num_partitions
-              else fact.repartitionByRange(*keys))
-    return ranged.sortWithinPartitions(*keys)
+    bounds = layout.select(F.col("date_key").alias("of_date"), F.col("cell").alias("of_cell"), "part")
+    cell = _cell(last_id)
+    dealt = fact.join(bounds, (F.col("date_key") == F.col("of_date")) & (cell == F.col("of_cell")))
+    dealt = dealt.repartitionById(files, "part").drop("of_date", "of_cell", "part")
+    return dealt.sortWithinPartitions("date_key", "source_row_id")
 
 
 def export_jdbc(tables: dict[str, DataFrame], url: str, properties: dict | None = None) -> None:
@@ -89,8 +120,25 @@ def calendar_tables(spark: SparkSession, existing: dict[str, DataFrame], first:
 
 # ---------------------------------------------------------------- validation
 
-def validation_report(t: dict[str, DataFrame]) -> DataFrame:
-    """Every integrity rule of the star as (rule, table_name, violations)."""
+def fact_rules() -> dict[str, Column]:
+    """The row rules of the fact."""
+    return {
+        **Q.not_null_rules(STAR_SCHEMAS["fact_accidentes"].names),
+        "equal:accidente_id=source_row_id": F.col("accidente_id") != F.col("source_row_id"),
+        "const:num_accidentes": F.col("num_accidentes") != 1,
+        "nonneg:vehicles": F.least(*VEHICLE_MEASURES) < 0,
+        "nonneg:casualties": F.least(*CASUALTY_MEASURES) < 0}
+
+
+PK_RULE = "pk+unique:source_row_id"
+
+
+def validation_report(t: dict[str, DataFrame], of_fact: list[DataFrame] | None = None) -> DataFrame:
+    """Every integrity rule of the star as (rule, table_name, violations).
+
+    ``of_fact``: reports that stand for the fact's row rules and primary key,
+    where a load has measured them already.
+    """
     parts = []
     fecha, tiempo, fact = t["dim_fecha"], t["dim_tiempo"], t["fact_accidentes"]
 
@@ -98,60 +146,49 @@ def validation_report(t: dict[str, DataFrame]) -> DataFrame:
         return {f"length:{c}": F.length(c) > n for c, n in TEXT_LIMITS.get(name, {}).items()}
 
     parts += [
-        Q.unique_rules(fecha, "dim_fecha", {"pk": ["date_key"], "unique:full_date": ["full_date"]}),
-        Q.row_rules(fecha, "dim_fecha", {
+        Q.table_rules(fecha, "dim_fecha", {
             **Q.not_null_rules(fecha.columns),
             "range:trimestre": ~F.col("trimestre").between(1, 4),
             "range:mes_numero": ~F.col("mes_numero").between(1, 12),
             "range:dia_mes": ~F.col("dia_mes").between(1, 31),
             "range:dia_semana_numero": ~F.col("dia_semana_numero").between(1, 7),
-            **lengths("dim_fecha")}),
-        Q.unique_rules(tiempo, "dim_tiempo", {"pk": ["time_key"],
-                                              "unique:hora_texto": ["hora_texto"]}),
-        Q.row_rules(tiempo, "dim_tiempo", {
+            **lengths("dim_fecha")}, {"pk": ["date_key"], "unique:full_date": ["full_date"]}),
+        Q.table_rules(tiempo, "dim_tiempo", {
             **Q.not_null_rules(tiempo.columns),
             "range:hora": ~F.col("hora").between(-1, 23),
             "range:minuto": ~F.col("minuto").between(-1, 59),
             "domain:banda_horaria": ~F.col("banda_horaria").isin(*BAND_ORDER),
-            **lengths("dim_tiempo")}),
+            **lengths("dim_tiempo")}, {"pk": ["time_key"], "unique:hora_texto": ["hora_texto"]}),
     ]
     natural_unique = {"dim_ubicacion": ["id_entidad", "id_municipio", "cobertura"],
                       "dim_accidente": DIMENSIONS["dim_accidente"][1],
                       "dim_conductor": DIMENSIONS["dim_conductor"][1]}
-    for name, (key, natural, _) in DIMENSIONS.items():
-        dim = t[name]
-        parts += [Q.unique_rules(dim, name, {"pk": [key], "unique:natural": natural_unique[name]}),
-                  Q.row_rules(dim, name, {**Q.not_null_rules(dim.columns), **lengths(name)})]
+    for name, (key, _, _) in DIMENSIONS.items():
+        parts.append(Q.table_rules(t[name], name, {**Q.not_null_rules(t[name].columns), **lengths(name)},
+                                   {"pk": [key], "unique:natural": natural_unique[name]}))
     ubic = t["dim_ubicacion"]
     parts += [
         Q.dependency_rule(ubic, "dim_ubicacion", "fd:ids_coverage->names",
                           ["id_entidad", "id_municipio", "cobertura"], ["entidad", "municipio"]),
-        # accidente_id is the source row id by construction (checked row by
-        # row below), so one grouped count proves both unique constraints
-        # with a single shuffle of one BIGINT column.
-        Q.unique_rule(fact, "fact_accidentes", "pk+unique:source_row_id", ["accidente_id"]),
-        Q.row_rules(fact, "fact_accidentes", {
-            **Q.not_null_rules(fact.columns),
-            "equal:accidente_id=source_row_id": F.col("accidente_id") != F.col("source_row_id"),
-            "const:num_accidentes": F.col("num_accidentes") != 1,
-            "nonneg:vehicles": F.least(*VEHICLE_MEASURES) < 0,
-            "nonneg:casualties": F.least(*CASUALTY_MEASURES) < 0},
-            foreign_keys=[(fk, t[dim_name], fk, f"fk:{fk}") for fk, dim_name in (
-                ("date_key", "dim_fecha"), ("time_key", "dim_tiempo"),
-                ("ubicacion_key", "dim_ubicacion"), ("accidente_key", "dim_accidente"),
-                ("conductor_key", "dim_conductor"))]),
+        Q.foreign_key_rules(fact, "fact_accidentes", [(fk, t[dim_name], fk, f"fk:{fk}") for fk, dim_name in (
+            ("date_key", "dim_fecha"), ("time_key", "dim_tiempo"),
+            ("ubicacion_key", "dim_ubicacion"), ("accidente_key", "dim_accidente"),
+            ("conductor_key", "dim_conductor"))]),
     ]
+    # accidente_id is the source row id by construction (a row rule checks it),
+    # so one uniqueness rule of one BIGINT column proves both constraints.
+    parts += of_fact or [Q.unique_rule(fact, "fact_accidentes", PK_RULE, ["accidente_id"]),
+                         Q.row_rules(fact, "fact_accidentes", fact_rules())]
     return Q.report(parts)
 
 
+SUMMARY = {"total_muertos": "total_muertos", "total_heridos": "total_heridos", "total_automoviles": "automovil",
+           "total_motocicletas": "motocicleta", "total_bicicletas": "bicicleta"}
+
+
 def load_summary(fact: DataFrame) -> DataFrame:
-    """Count and headline sums of the loaded fact."""
-    return fact.agg(F.count(F.lit(1)).alias("total_accidentes"),
-                    F.sum("total_muertos").alias("total_muertos"),
-                    F.sum("total_heridos").alias("total_heridos"),
-                    F.sum("automovil").alias("total_automoviles"),
-                    F.sum("motocicleta").alias("total_motocicletas"),
-                    F.sum("bicicleta").alias("total_bicicletas"))
+    """Count and headline sums of a fact."""
+    return fact.agg(F.count(F.lit(1)).alias("total_accidentes"), *[F.sum(c).alias(n) for n, c in SUMMARY.items()])
 
 
 # ---------------------------------------------------------------- the load
@@ -190,49 +227,62 @@ def run_load(spark: SparkSession, data_dir: str, target: str, first: str = "2024
     failed run is never visible, and each run is a complete new version, so
     there is no truncate step to get wrong.  ``multiline`` reads line breaks
     inside quoted cells.  The rows that must arrive are counted in the file
-    itself, before anything is done to them (A15/V15).
+    itself, before anything is done to them (A15/V15).  Row counts, gates, NULL
+    keys, constants, signs and the summary are measured by the writes
+    themselves; neither the base nor the fact is read again for them.
     """
     run_id = run_id or uuid.uuid4().hex
     run = run_path(target, run_id)
     previous = current_run(spark, target)
 
     try:
-        staged, rows = _build_run(spark, data_dir, target, run, previous, first, last,
+        staged, seen = _build_run(spark, data_dir, target, run, previous, first, last,
                                   num_partitions, multiline)
-    except Exception:
+    except Exception as exc:
         delete_path(spark, run)
+        if isinstance(exc, PySparkException) and (found := re.search(r"\w+: key \[[^]]*\] is not unique", str(exc))):
+            raise ValueError(found[0]) from exc
         raise
     delete_path(spark, table_path(run, "_base"))
     publish(spark, target, run_id)
-    return {"run_id": run_id, "rows": rows, "tables": staged,
-            "summary": load_summary(staged["fact_accidentes"]).first().asDict()}
+    return {"run_id": run_id, "rows": seen.rows, "tables": staged,
+            "summary": {"total_accidentes": seen.rows, **seen.sums}}
 
 
 def _build_run(spark: SparkSession, data_dir: str, target: str, run: str, previous: str | None,
                first: str, last: str, num_partitions: int | None,
-               multiline: bool) -> tuple[dict[str, DataFrame], int]:
+               multiline: bool) -> tuple[dict[str, DataFrame], Q.WriteMetrics]:
     bundle = extract(spark, data_dir, multiline)
-    write_table(build_base(bundle), run, "_base")
+    gates = Q.WriteMetrics(build_base(bundle), "base", base_gates())
+    write_table(gates.watched, run, "_base")
+    pass_gates(gates.violations)
     base = numbered_base(read_table(spark, run, "_base"))
-    base_gate(base)
 
     staged: dict[str, DataFrame] = {}
     existing = read_star(spark, target) if previous else {}
     for name, df in calendar_tables(spark, existing, first, last).items():
         write_table(conform(df, STAR_SCHEMAS[name]), run, name)
         staged[name] = read_table(spark, run, name)
-    for name, df in build_dimensions(base, num_partitions).items():
+    members = build_members(base, existing or None, num_partitions)
+    for name, df in dimension_tables(members).items():
         write_table(conform(df, STAR_SCHEMAS[name]), run, name)
         staged[name] = read_table(spark, run, name)
 
-    fact = resolve_keys(base, staged)
-    write_table(cluster_fact(fact, num_partitions), run, "fact_accidentes")
+    files = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    layout = date_layout(base, files, gates.rows)
+    fact = cluster_fact(resolve_keys(base, members), layout, files, gates.rows)
+    seen = Q.WriteMetrics(fact, "fact_accidentes", fact_rules(), SUMMARY)
+    write_table(seen.watched, run, "fact_accidentes")
     staged["fact_accidentes"] = read_table(spark, run, "fact_accidentes")
 
     rows = bundle["atus"].count()
-    Q.expect_rows(staged["fact_accidentes"], rows, "fact_accidentes")
-    Q.enforce(validation_report(staged), "post-load")
-    return staged, rows
+    for what, n in (("base", gates.rows), ("fact_accidentes", seen.rows)):
+        Q.expect_count(n, rows, what)
+    # Every base row is in the fact at least once (left joins) and there are as many fact rows:
+    # the fact's ids are unique if the base's are, and those stand in file order.
+    unique = Q.dense_unique_rule(base, "fact_accidentes", PK_RULE, "source_row_id")
+    Q.enforce(validation_report(staged, [unique, seen.report(spark)]), "post-load")
+    return staged, seen
 
 
 def publish(spark: SparkSession, target: str, run_id: str) -> None:

@@ -1,15 +1,15 @@
 """Incident star build: cleaned base (D3), derived dimensions (D4), fact.
 
 The whole build is one lazy plan per stage.  Catalogs are joined null-safely and
-must be unique, the three derived
-dimensions come out of ONE grouping-sets aggregate, keys are dense ranks in
-sort order, and the fact resolves its keys with equi-joins on the natural
-key.
+must be unique, the three derived dimensions come out of ONE grouping-sets
+aggregate, new members are numbered in sort order above the keys of earlier
+loads, and the fact resolves its keys by a digest of each natural key that is
+written with the base, so that no text column reaches the key joins.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import (CALENDAR_NUMERIC_COLUMNS, DESCRIPTOR_COLUMNS, DRIVER_COLUMNS,
@@ -18,8 +18,8 @@ from ..constants import (CALENDAR_NUMERIC_COLUMNS, DESCRIPTOR_COLUMNS, DRIVER_CO
 from ..functions.calendar import date_key, parse_date, time_key
 from ..functions.numbers import coerce_int, parse_key
 from ..functions.text import clean_text
-from ..operators.enrich import assert_many_to_one, left_enrich
-from ..operators.keys import assign_dense_keys, distinct_projections, lookup_keys
+from ..operators.enrich import left_enrich
+from ..operators.keys import Members, lookup_members, number_members, with_digests
 from ..schemas import FACT_ACCIDENTES, conform
 from ..sources.csv import TAGS, number_rows_in_file
 
@@ -38,8 +38,6 @@ FACT_COLUMNS = ["accidente_id", "source_row_id", "date_key", "time_key", "ubicac
                 "accidente_key", "conductor_key"] + FACT_MEASURES
 
 
-CATALOG_KEYS = {"entidad": ["id_entidad"], "municipio": ["id_entidad", "id_municipio"],
-                "edad": ["id_edad"]}
 # Dates that the source's parser takes; any other is an invalid date.
 DATE_RANGE = ("1677-09-22", "2262-04-11")
 
@@ -60,8 +58,6 @@ def build_base(bundle: dict[str, DataFrame]) -> DataFrame:
     out-of-range hour is unknown.
     """
     atus = bundle["atus"]
-    for key, keys in CATALOG_KEYS.items():
-        assert_many_to_one(bundle[key].select(*[parse_key(k).alias(k) for k in keys]), keys, f"tc_{key}")
     raw_cols = [c for c in atus.columns if c not in ("id_entidad", "id_municipio", "id_edad")]
     df = atus.select(*raw_cols,
                      parse_key("id_entidad").alias("id_entidad"),
@@ -84,8 +80,9 @@ def build_base(bundle: dict[str, DataFrame]) -> DataFrame:
     df = df.select(*[cleaned.get(c, coerced.get(c, F.col(c))) for c in df.columns])
 
     full = parse_date("anio", "mes", "id_dia")
-    return df.select("*", full.alias("full_date"), date_key(full).alias("date_key"),
-                     time_key("id_hora", "id_minuto").alias("time_key"))
+    df = df.select("*", full.alias("full_date"), date_key(full).alias("date_key"),
+                   time_key("id_hora", "id_minuto").alias("time_key"))
+    return with_digests(df, {name: list(renames) for name, (_, _, renames) in DIMENSIONS.items()})
 
 
 def numbered_base(staged: DataFrame) -> DataFrame:
@@ -96,58 +93,54 @@ def numbered_base(staged: DataFrame) -> DataFrame:
     return number_rows_in_file(staged, "source_row_id")
 
 
-def base_gate(base: DataFrame) -> dict:
-    """V13, V12 (measures) and A15 in ONE pass over the cleaned base.
+def base_gates() -> dict[str, Column]:
+    """V13, V12 (measures) and the NOT NULL location ids: what rejects a load, measured as the base is written."""
+    return {
+        "invalid_dates": F.coalesce(~F.col("full_date").between(*[F.lit(d).cast("date") for d in DATE_RANGE]), F.lit(True)),
+        "null_location_ids": F.col("id_entidad").isNull() | F.col("id_municipio").isNull(),
+        "measures_out_of_range": (F.greatest(*MEASURE_SOURCE) > SMALLINT_MAX) | (F.least(*MEASURE_SOURCE) < SMALLINT_MIN)}
 
-    Returns the counts; raises when any date is invalid (the whole load is
-    rejected, as in the source system), a location id is missing (the stored
-    column is NOT NULL) or a measure does not fit SMALLINT.
-    """
-    row = base.agg(F.count(F.lit(1)).alias("rows"),
-                   F.count_if(F.coalesce(~F.col("full_date").between(*[F.lit(d).cast("date") for d in DATE_RANGE]),
-                                         F.lit(True))).alias("invalid_dates"),
-                   F.count_if(F.col("id_entidad").isNull() | F.col("id_municipio").isNull())
-                   .alias("null_location_ids"),
-                   F.count_if((F.greatest(*MEASURE_SOURCE) > SMALLINT_MAX)
-                              | (F.least(*MEASURE_SOURCE) < SMALLINT_MIN))
-                   .alias("measures_out_of_range")).first()
-    stats = row.asDict()
-    if stats["invalid_dates"]:
-        raise ValueError(f"{stats['invalid_dates']} records have an invalid date; load rejected")
-    if stats["null_location_ids"]:
-        raise ValueError(f"{stats['null_location_ids']} records lack an entity or municipality id; "
+
+def pass_gates(found: dict[str, int]) -> None:
+    """Raise when any date is invalid (the whole load is rejected, as in the
+    source system), a location id is missing (the stored column is NOT NULL) or
+    a measure does not fit SMALLINT."""
+    if found["invalid_dates"]:
+        raise ValueError(f"{found['invalid_dates']} records have an invalid date; load rejected")
+    if found["null_location_ids"]:
+        raise ValueError(f"{found['null_location_ids']} records lack an entity or municipality id; "
                          "load rejected")
-    if stats["measures_out_of_range"]:
+    if found["measures_out_of_range"]:
         raise ValueError(f"measure range check failed: fact_accidentes.smallint:measures="
-                         f"{stats['measures_out_of_range']}")
-    return stats
+                         f"{found['measures_out_of_range']}")
 
 
-def build_dimensions(base: DataFrame, num_partitions: int | None = None) -> dict[str, DataFrame]:
-    """The three derived dimensions with dense keys in sort order.
+def build_members(base: DataFrame, published: dict[str, DataFrame] | None = None,
+                  num_partitions: int | None = None) -> dict[str, Members]:
+    """The members of the three derived dimensions, by the base's column names.
 
     One grouping-sets aggregate over the base yields the distinct rows of all
-    three, written once; each is then numbered independently.
+    three.  Members of the ``published`` dimensions keep their keys; only
+    absent ones are numbered, above them.
     """
-    specs = {name: list(renames) for name, (_, _, renames) in DIMENSIONS.items()}
-    distinct = distinct_projections(base, specs)
-    out = {}
-    for name, (key, natural, renames) in DIMENSIONS.items():
-        dim = distinct[name].select(*[F.col(s).alias(t) for s, t in renames.items()])
-        out[name] = assign_dense_keys(dim, natural, key, num_partitions, assume_distinct=True)
-    return out
+    specs = {name: (list(renames), key) for name, (key, _, renames) in DIMENSIONS.items()}
+    known = {name: published[name].select(key, *[F.col(t).alias(s) for s, t in renames.items()])
+             for name, (key, _, renames) in DIMENSIONS.items()} if published else None
+    return number_members(base, specs, known=known, num_partitions=num_partitions)
+
+
+def dimension_tables(members: dict[str, Members]) -> dict[str, DataFrame]:
+    """The members with the columns of their tables."""
+    return {name: members[name].frame.withColumnsRenamed(renames) for name, (_, _, renames) in DIMENSIONS.items()}
 
 
-def resolve_keys(base: DataFrame, dims: dict[str, DataFrame], check_unique: bool = True) -> DataFrame:
+def resolve_keys(base: DataFrame, members: dict[str, Members]) -> DataFrame:
     """Replace natural keys by surrogate keys; 32 fact columns, typed.
 
     Casting to SMALLINT happens under ANSI mode, so a measure that does not
     fit raises instead of wrapping (as the typed warehouse column would).
     """
-    fact = base
-    for name, (key, natural, renames) in DIMENSIONS.items():
-        fact = lookup_keys(fact, dims[name], {s: t for s, t in renames.items()}, key,
-                           check_unique=check_unique)
+    fact = lookup_members(base, members)
     renames = {**VEHICLE_COLUMNS, **PERSON_COLUMNS}
     fact = fact.select("*", F.col("source_row_id").alias("accidente_id"),
                        F.lit(1).alias("num_accidentes"))

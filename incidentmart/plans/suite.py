@@ -21,7 +21,7 @@ from ..functions.text import clean_text
 from ..operators import quality as Q
 from ..operators.enrich import left_enrich
 from ..operators.joins import through_dimensions
-from ..operators.keys import assign_dense_keys, distinct_projections, lookup_keys
+from ..operators.keys import Members, lookup_members, number_members, with_digests
 from ..operators.measures import (distinct_values, drilldown, kpi, moving_average,
                                   period_change, rank_groups, share_of_total, sum_measures,
                                   top_k, top_n_per_group)
@@ -362,14 +362,9 @@ DERIVED = {"location": (LOCATION_COLS, "location_key"),
            "profile": (PROFILE_COLS, "profile_key")}
 
 
-def _whole(df, cols):
-    """Rows with all of ``cols``: a member needs its whole natural key."""
-    return df.filter(" AND ".join(f"{c} IS NOT NULL" for c in cols))
-
-
 def _derived_dim(spark, sf_dir, name):
-    cols, key = DERIVED[name]
-    return assign_dense_keys(_whole(_orders_base(spark, sf_dir).select(*cols), cols), cols, key)
+    """A member needs its whole natural key."""
+    return number_members(_orders_base(spark, sf_dir), {name: DERIVED[name]}, whole=True)[name].frame
 
 
 def q_dim_location(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -391,24 +386,23 @@ FACT_COLUMNS = ["source_row_id", "date_key", "location_key", "descriptor_key", "
                 "num_orders", "is_urgent", "is_finished"]
 
 
-def star_of(base: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Keyed fact and derived dimensions of a staged base.
+def star_of(base: DataFrame, label: str, names: tuple[str, ...] = tuple(DERIVED)) -> tuple[DataFrame, dict[str, Members]]:
+    """Keyed fact and derived dimensions (``names`` of them) of a base.
 
-    The dimensions come from one grouping-sets aggregate over the base and the
-    fact looks its keys up from it (J5-J7).
+    The base is written once with a digest of each natural key.  The dimensions
+    come from one grouping-sets aggregate over it, and the fact looks its keys
+    up by the digests (J5-J7).
     """
-    sets = distinct_projections(base, {n: cols for n, (cols, _) in DERIVED.items()})
-    dims = {n: assign_dense_keys(_whole(sets[n], cols), cols, key, assume_distinct=True)
-            for n, (cols, key) in DERIVED.items()}
-    fact = base
-    for name, (cols, key) in DERIVED.items():
-        fact = lookup_keys(fact, dims[name], cols, key, check_unique=False)
-    return fact.withColumnRenamed("o_orderkey", "source_row_id").select(*FACT_COLUMNS), dims
+    specs = {n: DERIVED[n] for n in names}
+    base = stage(with_digests(base, {n: cols for n, (cols, _) in specs.items()}), label)
+    dims = number_members(base, specs, whole=True)
+    fact = lookup_members(base, dims).withColumnRenamed("o_orderkey", "source_row_id")
+    return fact.select(*[c for c in FACT_COLUMNS if c in fact.columns]), dims
 
 
-def staged_star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+def staged_star(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = tuple(DERIVED)) -> tuple[DataFrame, dict[str, Members]]:
     """D5 on the orders: they are scanned and joined once, for the staged base."""
-    return star_of(stage(_orders_base(spark, sf_dir), "orders-base"))
+    return star_of(_orders_base(spark, sf_dir), "orders-base", names)
 
 
 def q_fact_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -430,14 +424,14 @@ def q_null_key_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     gone = {c: rid % 1009 == 4 for c in LOCATION_COLS} | {"o_orderstatus": rid % 503 == 2}
     base = _orders_base(spark, sf_dir)
     dirty = base.select(*[F.when(~gone[c], F.col(c)).alias(c) if c in gone else F.col(c) for c in base.columns])
-    fact, _ = star_of(stage(dirty, "orders-dirty"))
+    fact, _ = star_of(dirty, "orders-dirty")
     return Q.null_counts(fact, ["date_key", "location_key", "descriptor_key", "profile_key"])
 
 
 def q_top_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nations with most orders, through the location dimension."""
-    fact, dims = staged_star(spark, sf_dir)
-    agg = through_dimensions(fact, [(dims["location"], "location_key", ["n_name"])], ts.ORDER_MEASURES)
+    fact, dims = staged_star(spark, sf_dir, ("location",))
+    agg = through_dimensions(fact, [(dims["location"].frame, "location_key", ["n_name"])], ts.ORDER_MEASURES)
     return top_k(agg, "total_orders", 10, label="n_name")
 
 
@@ -451,64 +445,64 @@ def q_constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     Violations are injected into the staged fact (a foreign key outside the
     calendar, a negative count, a repeated id, a wrong constant) so the report
     is not all zeros; orders of unknown customers and dates show by themselves.
+    The fact's row rules are measured as it is written, its primary key by
+    bitmaps, its foreign keys on their distinct values.
     """
     fact, dims = staged_star(spark, sf_dir)
     rid = F.col("source_row_id")
-    dirty = stage(fact.select(
+    dirty = fact.select(
         F.when(rid % 1000 == 7, F.lit(1)).otherwise(rid).alias("source_row_id"),
         F.when(rid % 997 == 3, F.lit(19000101)).otherwise(F.col("date_key")).alias("date_key"),
         "location_key", "descriptor_key", "profile_key",
         F.when(rid % 991 == 5, F.lit(2)).otherwise(F.col("num_orders")).alias("num_orders"),
         F.when(rid % 983 == 11, F.lit(-1)).otherwise(F.col("is_urgent")).alias("is_urgent"),
-        F.when(rid % 977 == 13, F.lit(-1)).otherwise(F.col("is_finished")).alias("is_finished")), "fact-dirty")
+        F.when(rid % 977 == 13, F.lit(-1)).otherwise(F.col("is_finished")).alias("is_finished"))
+    seen = Q.WriteMetrics(dirty, "fact", {
+        **Q.not_null_rules(["date_key", "location_key", "descriptor_key", "profile_key"]),
+        "const:num_orders": F.col("num_orders") != 1,
+        "nonneg:is_urgent": F.col("is_urgent") < 0,
+        "nonneg:is_finished": F.col("is_finished") < 0,
+        "smallint:counts": F.greatest("is_urgent", "is_finished") > 32767})
+    dirty = stage(seen.watched, "fact-dirty")
     ddim = stage(year_calendar_covering(ts.order_dates(spark, sf_dir), "d"), "calendar")
     tdim = time_dim(spark)
-    loc, desc, prof = dims["location"], dims["descriptor"], dims["profile"]
+    loc, desc, prof = (stage(dims[n].frame, f"dim-{n}") for n in ("location", "descriptor", "profile"))
 
     def attributes(cols):
         return {**Q.not_null_rules(cols),
                 **{f"length:{c}": F.length(c) > LENGTHS[c] for c in cols if c in LENGTHS}}
 
     parts = [
-        Q.unique_rules(ddim, "dim_date", {"pk": ["date_key"], "unique:full_date": ["full_date"]}),
-        Q.row_rules(ddim, "dim_date", {
+        Q.table_rules(ddim, "dim_date", {
             **Q.not_null_rules(["date_key", "full_date", "mes_nombre", "dia_semana_nombre"]),
             "range:mes_numero": ~F.col("mes_numero").between(1, 12),
             "range:dia_mes": ~F.col("dia_mes").between(1, 31),
             "range:trimestre": ~F.col("trimestre").between(1, 4),
             "range:dia_semana_numero": ~F.col("dia_semana_numero").between(1, 7),
-        }),
-        Q.unique_rules(tdim, "dim_time", {"pk": ["time_key"], "unique:hora_texto": ["hora_texto"]}),
-        Q.row_rules(tdim, "dim_time", {
+        }, {"pk": ["date_key"], "unique:full_date": ["full_date"]}),
+        Q.table_rules(tdim, "dim_time", {
             **Q.not_null_rules(["time_key", "hora", "minuto", "hora_texto", "banda_horaria"]),
             "range:hora": ~F.col("hora").between(-1, 23),
             "range:minuto": ~F.col("minuto").between(-1, 59),
             "domain:banda_horaria": ~F.col("banda_horaria").isin(*BAND_ORDER),
-        }),
-        Q.unique_rules(loc, "dim_location", {"pk": ["location_key"],
-                                             "unique:natural": LOCATION_COLS}),
-        Q.row_rules(loc, "dim_location", attributes(["location_key", *LOCATION_COLS])),
+        }, {"pk": ["time_key"], "unique:hora_texto": ["hora_texto"]}),
+        Q.table_rules(loc, "dim_location", attributes(["location_key", *LOCATION_COLS]),
+                      {"pk": ["location_key"], "unique:natural": LOCATION_COLS}),
         Q.dependency_rule(loc, "dim_location", "fd:nation_segment->names",
                           ["n_nationkey", "c_mktsegment"], ["r_name", "n_name"]),
-        Q.unique_rules(desc, "dim_descriptor", {"pk": ["descriptor_key"], "unique:natural": DESCRIPTOR_COLS}),
-        Q.row_rules(desc, "dim_descriptor", attributes(["descriptor_key", *DESCRIPTOR_COLS])),
-        Q.unique_rules(prof, "dim_profile", {"pk": ["profile_key"], "unique:natural": PROFILE_COLS}),
-        Q.row_rules(prof, "dim_profile", attributes(["profile_key", *PROFILE_COLS])),
+        Q.table_rules(desc, "dim_descriptor", attributes(["descriptor_key", *DESCRIPTOR_COLS]),
+                      {"pk": ["descriptor_key"], "unique:natural": DESCRIPTOR_COLS}),
+        Q.table_rules(prof, "dim_profile", attributes(["profile_key", *PROFILE_COLS]),
+                      {"pk": ["profile_key"], "unique:natural": PROFILE_COLS}),
         Q.unique_rule(ts.table(spark, sf_dir, "nation"), "nation", "many_to_one:n_nationkey", ["n_nationkey"]),
         Q.unique_rule(ts.table(spark, sf_dir, "region"), "region", "many_to_one:r_regionkey", ["r_regionkey"]),
-        Q.unique_rule(dirty, "fact", "pk", ["source_row_id"]),
-        Q.row_rules(dirty, "fact", {
-            **Q.not_null_rules(["date_key", "location_key", "descriptor_key", "profile_key"]),
-            "const:num_orders": F.col("num_orders") != 1,
-            "nonneg:is_urgent": F.col("is_urgent") < 0,
-            "nonneg:is_finished": F.col("is_finished") < 0,
-            "smallint:counts": F.greatest("is_urgent", "is_finished") > 32767,
-        }, foreign_keys=[
+        Q.dense_unique_rule(dirty, "fact", "pk", "source_row_id"),
+        seen.report(spark),
+        Q.foreign_key_rules(dirty, "fact", [
             ("date_key", ddim, "date_key", "fk:date_key"),
             ("location_key", loc, "location_key", "fk:location_key"),
             ("descriptor_key", desc, "descriptor_key", "fk:descriptor_key"),
-            ("profile_key", prof, "profile_key", "fk:profile_key"),
-        ]),
+            ("profile_key", prof, "profile_key", "fk:profile_key")]),
     ]
     return Q.report(parts)
 

@@ -9,9 +9,11 @@ reproducible wherever and whenever the row is encoded.
 
 No piece of the vocabulary runs from a word into the following space or across
 a line break, so a text's lattice is a chain of small ones, one per chunk
-(spaces and the word after them).  Chunks repeat a lot: a task keeps the
-filtered lattices of those it has met, up to a fixed number of arcs, and draws
-for all chunks of many texts at once.
+(spaces and the word after them).  Chunks repeat a lot: a worker keeps the
+filtered lattices of short ones in arrays of a fixed size and draws for all
+chunks of many texts at once.  When the arrays fill up, the chunks that were
+used least go, and the counts of the others are halved.  Draw limits are whole
+numbers of 2^-32, so what is kept has no influence on what is drawn.
 
 A vocabulary file may hold merge ranks instead of log probabilities.  The weight
 of a piece of rank r is (1 + r) ^ -alpha, a Zipf law on the rank; alpha sharpens
@@ -22,7 +24,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
+from math import exp, log
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +37,139 @@ from pyspark.sql import types as T
 from .common import without
 from .words import U, mix, slices, small
 
-ARCS = 4_000_000                 # kept per worker: about 50 MB, and as much for the chunks' names
+ARCS = 3 << 20                   # kept per worker: 31 MB in arrays of a fixed size
+CHUNKS = 1 << 18                # kept per worker: names and places, about 40 MB
+SHORT = 64                      # longer chunks are filtered each time they occur, one character after another
+LEARN = 1 << 15                 # characters whose lattices are filtered at once
 FALLBACK = 1e-6                  # weight of a character's bytes against the rarest piece
-SLICE = 1 << 20
+SLICE = 1 << 18
+
+
+ONE = 1 << 32                    # a draw limit of 1
+
+
+class Lattices:
+    """Filtered lattices of many chunks one behind the other.
+
+    A chunk has one node per character; ``first`` is the first arc of each node,
+    ``upto`` the greatest 32-bit draw that takes an arc, ``piece`` its piece.
+    With sizes given the arrays have them from the start and never grow; with
+    ``arcs`` 0 they grow as needed and live for one call.
+    """
+
+    GROW = {"upto": "n_arcs", "piece": "n_arcs", "first": "n_nodes", "lengths": "n_chunks", "nodes": "n_chunks", "uses": "n_chunks"}
+
+    def __init__(self, arcs: int, chunks: int):
+        self.fixed = arcs > 0
+        self.upto, self.piece, self.first = np.zeros(arcs, np.uint32), np.zeros(arcs, np.int32), np.zeros(arcs // 2 + 1, np.int32)
+        self.lengths, self.nodes, self.uses = (np.zeros(chunks, np.int32) for _ in range(3))
+        self.n_arcs = self.n_chunks = self.n_nodes = 0
+
+    def full(self) -> bool:
+        return any(8 * getattr(self, n) > 7 * len(getattr(self, name)) for name, n in self.GROW.items())
+
+    def add(self, first: np.ndarray, upto: np.ndarray, piece: np.ndarray, lengths: np.ndarray) -> int | None:
+        """The number of the first of some new chunks, or None where the fixed arrays have no room."""
+        a, n, c = self.n_arcs + len(upto), self.n_nodes + len(first), self.n_chunks + len(lengths)
+        for name, need in (("upto", a), ("piece", a), ("first", n + 1), ("lengths", c), ("nodes", c), ("uses", c)):
+            if need > len(old := getattr(self, name)):
+                if self.fixed:
+                    return None
+                setattr(self, name, np.concatenate((old, np.zeros(max(len(old), need), old.dtype))))
+        start, at = self.n_chunks, slice(self.n_chunks, c)
+        self.lengths[at], self.nodes[at], self.uses[at] = lengths, self.n_nodes + np.cumsum(lengths) - lengths, 0
+        self.first[self.n_nodes:n] = first + self.n_arcs
+        self.first[n] = a
+        self.upto[self.n_arcs:a], self.piece[self.n_arcs:a] = upto, piece
+        self.n_arcs, self.n_nodes, self.n_chunks = a, n, c
+        return start
+
+    def shrink(self) -> np.ndarray:
+        """Keep the chunks that were used most, up to five eighths of the room; their new numbers, -1 for those that go."""
+        n = self.n_chunks
+        order = np.argsort(-self.uses[:n], kind="stable")
+        nodes, lengths = self.nodes[:n].astype(np.int64), self.lengths[:n].astype(np.int64)
+        arcs = self.first[nodes + lengths] - self.first[nodes]
+        room = min(int(np.searchsorted(np.cumsum(arcs[order]), 5 * len(self.upto) // 8, side="right")),
+                   int(np.searchsorted(np.cumsum(lengths[order]), 5 * len(self.first) // 8, side="right")), 5 * len(self.lengths) // 8)
+        stay = np.sort(order[:room])
+        number = np.full(n, -1, np.int64)
+        number[stay] = np.arange(room)
+        arcs, lengths, nodes = arcs[stay], lengths[stay], nodes[stay]
+        at = np.repeat(nodes - np.cumsum(lengths) + lengths, lengths) + np.arange(int(lengths.sum()))
+        begin = self.first[nodes]
+        shift = np.cumsum(arcs) - arcs - begin
+        first = self.first[at] + np.repeat(shift, lengths)
+        from_ = np.repeat(begin - np.cumsum(arcs) + arcs, arcs) + np.arange(int(arcs.sum()))
+        upto, piece, uses = self.upto[from_], self.piece[from_], self.uses[stay] // 2
+        self.n_arcs = self.n_chunks = self.n_nodes = 0
+        self.add(first, upto, piece, lengths)
+        self.uses[:room] = uses
+        return number
+
+    def draw(self, kind: np.ndarray, key: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """How many pieces each occurrence of a chunk draws; and for each step from the back which occurrences draw what.
+
+        ``span``: characters of each piece; beyond its end, of one character outside the vocabulary.
+        """
+        live, steps, total = np.arange(len(kind)), [], np.zeros(len(kind), np.int64)
+        left, base = self.lengths[kind], self.nodes[kind] - 1
+        while len(live):
+            at, u = self.first[base + left], (mix(key[live] + U(len(steps))) >> U(32)).astype(np.uint32)
+            beyond = np.flatnonzero(u > self.upto[at])
+            while len(beyond):
+                at[beyond] += 1
+                beyond = beyond[u[beyond] > self.upto[at[beyond]]]
+            piece = self.piece[at]
+            steps.append((live, piece))
+            left = left - span[np.minimum(piece, len(span) - 1)]
+            on = left > 0
+            total[live[~on]] = len(steps)
+            live, left, base = live[on], left[on], base[on]
+        return total, steps
+
+
+class Steps:
+    """A map from 64-bit keys to numbers as an open table, for many look-ups at once; -1 for an absent key."""
+
+    def __init__(self, of: dict[int, int]):
+        size = 1 << (4 * len(of)).bit_length()
+        self.shift, self.mask = U(64 - size.bit_length() + 1), size - 1
+        self.keys, self.to = np.full(size, -1, np.int64), np.zeros(size, np.int64)
+        keys, to = np.fromiter(of, np.int64, len(of)), np.fromiter(of.values(), np.int64, len(of))
+        at = self._slot(keys)
+        while len(keys):
+            free = np.flatnonzero(self.keys[at] < 0)
+            slot, one = np.unique(at[free], return_index=True)
+            self.keys[slot], self.to[slot] = keys[free[one]], to[free[one]]
+            rest = np.ones(len(keys), bool)
+            rest[free[one]] = False
+            keys, to, at = keys[rest], to[rest], (at[rest] + 1) & self.mask
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(U) * U(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        at = self._slot(keys)
+        got = self.keys[at]
+        out = np.where(got == keys, self.to[at], -1)
+        look = np.flatnonzero((got != keys) & (got >= 0))
+        while len(look):
+            at[look] = (at[look] + 1) & self.mask
+            got = self.keys[at[look]]
+            hit = got == keys[look]
+            out[look[hit]] = self.to[at[look[hit]]]
+            look = look[~hit & (got >= 0)]
+        return out
+
+
+class Numbers(dict):
+    """The numbers of the kept chunks; others are numbered downwards from -1 in ``fresh``."""
+
+    fresh: dict[str, int]
+
+    def __missing__(self, chunk: str) -> int:
+        return self.fresh.setdefault(chunk, -1 - len(self.fresh))
 
 
 class Pieces:
@@ -69,31 +203,31 @@ class Pieces:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.lengths, self.nodes = np.zeros(0, np.int64), np.zeros(0, np.int64)     # per chunk: characters, first node
-        self.cum, self.span, self.piece = np.zeros(0), np.zeros(0, np.uint8), np.zeros(0, np.int32)
-        self.node_count = 0
+        self.known = Numbers()
+        self.kept = Lattices(ARCS, CHUNKS)
 
     def _index(self) -> None:
-        """The vocabulary as sorted steps (prefix, next character) -> longer prefix, for walks over many starts at once."""
+        """The vocabulary as steps (prefix, next character) -> longer prefix, for walks over many starts at once."""
         place, steps = {"": 0}, {}
         for text in sorted(self.weight):
             for k in range(1, len(text) + 1):
                 if (head := text[:k]) not in place:
                     place[head] = len(place)
                     steps[place[head[:-1]] << 21 | ord(head[-1])] = place[head]
-        self.step_keys = np.array(sorted(steps), np.int64)
-        self.step_to = np.array([steps[k] for k in self.step_keys.tolist()], np.int64)
+        self.steps, self.walk = steps, Steps(steps)
         self.ends_piece, self.ends_log = np.full(len(place), -1, np.int64), np.zeros(len(place))
         for text, (i, w) in self.weight.items():
             self.ends_piece[place[text]], self.ends_log[place[text]] = i, np.log(w)
+        self.span = np.ones(self.size + 1, np.int32)
+        self.span[[i for i, _ in self.weight.values()]] = list(map(len, self.weight))
 
     def arcs(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """All arcs of the chunks' lattices by node: cumulative draw limit, characters, piece; and characters per chunk.
+        """All arcs of the chunks' lattices by node: first arc of each node, greatest draw, piece; and characters per chunk.
 
         Node k is the k-th character of all chunks; its arcs are the pieces that
-        end there.  Their limits run from k to k + 1 in proportion to the weight
-        of all segmentations that reach the node by that piece.
+        end there, the longest first.  They share the 32-bit draws in proportion
+        to the weight of all segmentations that reach the node by that piece; an
+        arc without a draw is left out.
         """
         points = np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32).astype(np.int64)
         lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
@@ -102,14 +236,14 @@ class Pieces:
         starts, spans, ids, logs = [], [], [], []
         for k in range(1, self.longest + 1):
             inside = live + k <= close[live]
-            live, key = live[inside], state[inside] << 21 | points[live[inside] + k - 1]
-            at = np.minimum(np.searchsorted(self.step_keys, key), len(self.step_keys) - 1)
-            hit = self.step_keys[at] == key
+            live, state = live[inside], state[inside]
+            to = self.walk.find(state << 21 | points[live + k - 1])
+            on = to >= 0
+            live, state = live[on], to[on]
+            ends = self.ends_piece[state] >= 0
             if k == 1:
                 single = np.zeros(len(points), bool)
-                single[live[hit]] = self.ends_piece[self.step_to[at[hit]]] >= 0
-            live, state = live[hit], self.step_to[at[hit]]
-            ends = self.ends_piece[state] >= 0
+                single[live[ends]] = True
             starts.append(live[ends])
             spans.append(np.full(int(ends.sum()), k))
             ids.append(self.ends_piece[state[ends]])
@@ -121,36 +255,87 @@ class Pieces:
         logs.append(np.full(len(other), np.log(self.fallback)))
         start, span, piece, weight = map(np.concatenate, (starts, spans, ids, logs))
         node = start + span - 1
-        depth = node - np.repeat(np.cumsum(lengths) - lengths, lengths)[node]
-        order = np.lexsort((node, depth))
-        start, span, piece, weight, node, depth = (x[order] for x in (start, span, piece, weight, node, depth))
-        first = np.repeat(np.cumsum(lengths) - lengths, lengths)
-        reach, share = np.zeros(len(points)), np.zeros(len(start))
-        edges = np.searchsorted(depth, np.arange(int(depth[-1]) + 2))
-        for i, j in zip(edges[:-1].tolist(), edges[1:].tolist()):   # one character further in every chunk at once
-            s, n = start[i:j], node[i:j]
-            total = np.where(s > first[s], reach[s - 1], 0.0) + weight[i:j]
+        owner = np.repeat(np.arange(len(chunks)), lengths)
+        depth = (np.arange(len(points)) - np.repeat(np.cumsum(lengths) - lengths, lengths))[node]
+        order = np.argsort((depth * len(points) + node) * (self.longest + 1) - span)            # the keys are distinct, so any sort gives one order
+        source, goal, weight = (start + owner[start])[order], (node + owner[node] + 1)[order], weight[order]
+        reach, share = np.zeros(len(points) + len(chunks)), np.empty(len(start))   # one more place per chunk, for its beginning
+        edges = np.concatenate(([0], np.cumsum(np.bincount(depth)))).tolist()
+        for i, j in zip(edges[:-1], edges[1:]):                     # one character further in every chunk at once
+            total, n = reach[source[i:j]] + weight[i:j], goal[i:j]
             heads = np.flatnonzero(np.concatenate(([True], n[1:] != n[:-1])))
             size = np.diff(np.append(heads, j - i))
-            top = np.repeat(np.maximum.reduceat(total, heads), size)
-            part = np.exp(total - top)
+            top = np.maximum.reduceat(total, heads)
+            part = np.exp(total - np.repeat(top, size))
             sums = np.add.reduceat(part, heads)
             share[i:j] = part / np.repeat(sums, size)
-            reach[n[heads]] = top[heads] + np.log(sums)
-        order = np.argsort(node, kind="stable")
-        node = node[order]
-        cum = np.cumsum(share[order])
+            reach[n[heads]] = top + np.log(sums)
+        width = np.empty(len(start), np.int64)
+        width[order] = share * ONE
+        order = np.argsort(node * (self.longest + 1) - span)
+        node, limit = node[order], np.cumsum(width[order])
         last = np.concatenate((node[1:] != node[:-1], [True]))
-        cum = np.where(last, node + 1.0, np.clip(cum, node, node + 1.0))
-        return cum, span[order].astype(np.uint8), piece[order].astype(np.int32), lengths
-
-    def _learn(self, chunks: list[str]) -> None:
-        cum, span, piece, lengths = self.arcs(chunks)
-        self.nodes = np.concatenate((self.nodes, self.node_count + np.cumsum(lengths) - lengths))
-        self.lengths = np.concatenate((self.lengths, lengths))
-        self.cum = np.concatenate((self.cum, cum + self.node_count))
-        self.span, self.piece = np.concatenate((self.span, span)), np.concatenate((self.piece, piece))
-        self.node_count += int(lengths.sum())
+        limit -= np.concatenate(([0], limit[last]))[np.cumsum(last) - last]
+        limit[last] = ONE
+        wide = np.concatenate(([0], limit[:-1]))
+        wide[np.concatenate(([True], last[:-1]))] = 0
+        wide = limit > wide
+        return np.searchsorted(node[wide], np.arange(len(points))), (limit[wide] - 1).astype(np.uint32), piece[order][wide].astype(np.int32), lengths
+
+    def long_arcs(self, chunk: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """What :meth:`arcs` gives, for one chunk, character by character."""
+        firsts, uptos, ids, ends = array("q"), array("I"), array("i"), [[] for _ in range(self.longest)]
+        reach, n = [0.0], len(chunk)
+        for k in range(n):
+            heads = [c for c in ends[k % self.longest]]                      # pieces that end behind character k, as (start, id, log weight)
+            ends[k % self.longest] = []
+            place = 0
+            for m in range(1, min(self.longest, n - k) + 1):
+                place = self.steps.get(place << 21 | ord(chunk[k + m - 1]), -1)
+                if place < 0:
+                    break
+                if (i := int(self.ends_piece[place])) >= 0:
+                    if m == 1:
+                        heads.append((k, i, float(self.ends_log[place])))
+                    else:
+                        ends[(k + m - 1) % self.longest].append((k, i, float(self.ends_log[place])))
+            if not any(s == k for s, _, _ in heads):
+                heads.append((k, self.size + ord(chunk[k]), log(self.fallback)))
+            heads.sort()
+            totals = [reach[s] + w for s, _, w in heads]
+            top = max(totals)
+            parts = [exp(t - top) for t in totals]
+            whole, limit = sum(parts), 0
+            reach.append(top + log(whole))
+            firsts.append(len(uptos))
+            for j, ((_, i, _), part) in enumerate(zip(heads, parts)):
+                before, limit = limit, ONE if j == len(heads) - 1 else limit + int(part / whole * ONE)
+                if limit > before:
+                    uptos.append(limit - 1)
+                    ids.append(i)
+        return np.array(firsts, np.int64), np.array(uptos, np.uint32), np.array(ids, np.int32), np.array([n], np.int64)
+
+    def _learn(self, chunks: list[str]) -> tuple[np.ndarray, Lattices]:
+        """Filter new chunks: which of them are kept under what number, and the lattices of the others for this call."""
+        number, rest, done = np.full(len(chunks), -1, np.int64), Lattices(0, 0), 0
+        short = [i for i, c in enumerate(chunks) if len(c) <= SHORT]
+        while done < len(short):
+            stop, size = done, 0
+            while stop < len(short) and size < LEARN:
+                size += len(chunks[short[stop]])
+                stop += 1
+            own = np.array(short[done:stop])
+            made = self.arcs([chunks[i] for i in own])
+            if (first := self.kept.add(*made)) is None:
+                number[own] = -1 - rest.add(*made) - np.arange(len(own))
+            else:
+                number[own] = first + np.arange(len(own))
+                self.known.update(zip([chunks[i] for i in own], range(first, first + len(own))))
+            done = stop
+        for i, c in enumerate(chunks):
+            if len(c) > SHORT:
+                number[i] = -1 - rest.add(*self.long_arcs(c))
+        return number, rest
 
     def sample(self, texts: list[str], seeds: np.ndarray) -> list[np.ndarray]:
         """Piece ids of each text, one sampled segmentation, drawn from its 64-bit seed.
@@ -158,47 +343,39 @@ class Pieces:
         The text is encoded behind one space, as the format has it; an empty
         text has no pieces.
         """
-        if len(self.cum) > ARCS:
-            self._forget()
-        counts, kinds, fresh, known = [], [], [], self.known
+        if self.kept.full():
+            stay = self.kept.shrink()
+            self.known = Numbers((c, k) for c, k in zip(self.known, stay[np.fromiter(self.known.values(), np.int64, len(self.known))].tolist()) if k >= 0)
+        counts, kinds, number_of = [], [], self.known.__getitem__
+        self.known.fresh = fresh = {}
         for t in texts:
             parts = self.chunks(" " + t) if t else []
             counts.append(len(parts))
-            for c in parts:
-                k = known.get(c)
-                if k is None:
-                    known[c] = k = len(known)
-                    fresh.append(c)
-                kinds.append(k)
+            kinds += map(number_of, parts)
         n = np.array(counts, np.int64)
         if not kinds:
             return [np.zeros(0, np.int32) for _ in texts]
+        kind, rest = np.array(kinds, np.int64), Lattices(0, 0)
         if fresh:
-            self._learn(fresh)
-        lengths, nodes, cum, span, piece = self.lengths, self.nodes, self.cum, self.span, self.piece
-        kind = np.array(kinds, np.int64)
+            number, rest = self._learn(list(fresh))
+            new = kind < 0
+            kind[new] = number[-1 - kind[new]]
         owner = np.repeat(np.arange(len(texts)), n)
         place = np.arange(len(kind)) - np.repeat(np.cumsum(n) - n, n)
         key = mix(mix(seeds)[owner] + mix(place.astype(U)))
-        left, base, live = lengths[kind], nodes[kind] - 1, np.arange(len(kind))
-        who, what, step = [], [], 0
-        while len(live):
-            draw = (mix(key[live] + U(step)) >> U(11)).astype(np.float64) * 2.0 ** -53
-            node = base[live] + left[live]
-            at = np.searchsorted(cum, node + draw, side="right")
-            who.append(live)
-            what.append(piece[at])
-            left[live] -= span[at].astype(np.int64)
-            live = live[left[live] > 0]
-            step += 1
+        total, drawn = np.zeros(len(kind), np.int64), []
+        for lattices, own, numbers in ((self.kept, kind >= 0, kind), (rest, kind < 0, -1 - kind)):
+            if len(own := np.flatnonzero(own)):
+                total[own], steps = lattices.draw(numbers[own], key[own], self.span)
+                drawn.append((own, steps))
+                lattices.uses += np.bincount(numbers[own], minlength=len(lattices.uses)).astype(np.int32)
         # pieces came from the back of each chunk: the one drawn at step s is s places from its end
-        total = np.zeros(len(kind), np.int64)
-        for w in who:
-            total[w] += 1
         ends = np.cumsum(total)
         ids = np.empty(int(ends[-1]), np.int64)
-        for s, (w, x) in enumerate(zip(who, what)):
-            ids[ends[w] - 1 - s] = x
+        for own, steps in drawn:
+            back = ends[own] - 1
+            for s, (w, x) in enumerate(steps):
+                ids[back[w] - s] = x
         firsts = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(n)))]
         out = [ids[a:b] for a, b in zip(firsts[:-1], firsts[1:])]
         return [self._bytes_for_unknown(x) for x in out]

@@ -86,3 +86,32 @@ def test_query(spark):
     assert len(got) == 200 and all(r.lossless for r in got)
     again = op7_piece_sampling(spark, "/root/testdata/sf0.001").collect()
     assert sorted(map(str, got)) == sorted(map(str, again))
+
+
+def test_what_is_kept_has_no_influence(monkeypatch):
+    texts = [" ".join(f"w{(i * k) % 397} the{i % 7}" for i in range(60)) for k in range(1, 60)]
+    seeds = np.arange(len(texts), dtype=np.uint64)
+    P._forget()
+    whole = P.sample(texts, seeds)
+    for arcs, chunks in ((600, 100), (1, 1), (1 << 12, 1 << 8)):
+        monkeypatch.setattr("incidentmart.llm.piece_sampling.ARCS", arcs)
+        monkeypatch.setattr("incidentmart.llm.piece_sampling.CHUNKS", chunks)
+        P._forget()
+        for _ in range(2):
+            parts = [P.sample([t], seeds[k:k + 1])[0] for k, t in enumerate(texts)]
+            assert all((a == b).all() for a, b in zip(whole, parts))
+        assert P.kept.n_arcs <= arcs and P.kept.n_chunks <= chunks
+    monkeypatch.undo()
+    P._forget()
+
+
+def test_one_long_chunk_is_filtered_like_short_ones():
+    for chunk in (" there", " ", "日本語テキスト", "xthenthereforeandunder🎉é", "a" * 40):
+        many, one = P.arcs([chunk]), P.long_arcs(chunk)
+        assert (many[0] == one[0]).all() and (many[2] == one[2]).all()
+        assert np.abs(many[1].astype(np.int64) - one[1].astype(np.int64)).max() < 64
+
+
+def test_unspaced_text_of_many_characters():
+    text = "日本語テキスト" * 3_000 + "x" * 30_000
+    assert P.decode(sample([text])[0]) == text

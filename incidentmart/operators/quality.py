@@ -185,79 +185,6 @@ def dependency_rule(df: DataFrame, table: str, rule: str, determinant: list[str]
         .select(F.lit(rule).alias("rule"), F.lit(table).alias("table_name"), "violations")
 
 
-def report(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([(r, self.table, n) for r, n in self.violations.items()], REPORT_SCHEMA)
-
-
-def unique_rule(df: DataFrame, table: str, rule: str, keys: list[str]) -> DataFrame:
-    """Rows beyond the first for every key value that repeats (V1-V3)."""
-    dup = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-           .filter(F.col("__n") > 1))
-    return dup.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("bigint").alias("violations")) \
-        .select(F.lit(rule).alias("rule"), F.lit(table).alias("table_name"), "violations")
-
-
-def unique_rules(df: DataFrame, table: str, rules: dict[str, list[str]]) -> DataFrame:
-    """Several uniqueness rules of one table with ONE shuffle (GROUPING SETS).
-
-    Each rule's key set is a grouping set; ``grouping_id`` separates them,
-    so the counts equal one :func:`unique_rule` per key set.
-    """
-    if len(rules) == 1:
-        (rule, keys), = rules.items()
-        return unique_rule(df, table, rule, keys)
-    all_cols: list[str] = []
-    for keys in rules.values():
-        all_cols += [c for c in keys if c not in all_cols]
-    n = len(all_cols)
-    gids = {rule: sum(1 << (n - 1 - i) for i, c in enumerate(all_cols) if c not in keys)
-            for rule, keys in rules.items()}
-    counts = (df.groupingSets([[F.col(c) for c in keys] for keys in rules.values()],
-                              *[F.col(c) for c in all_cols])
-              .agg(F.grouping_id().alias("__gid"), F.count(F.lit(1)).alias("__n")))
-    extra = F.when(F.col("__n") > 1, F.col("__n") - 1).otherwise(0)
-    one = counts.agg(*[F.coalesce(F.sum(F.when(F.col("__gid") == g, extra)), F.lit(0))
-                       .cast("bigint").alias(f"__r{i}") for i, g in enumerate(gids.values())])
-    return _stacked(one, table, list(gids))
-
-
-def _buckets(df: DataFrame, key: str) -> DataFrame:
-    """Per range of 32,768 ids: how many rows have one, and how many ids occur.  NULL ids are one range."""
-    id_ = F.col(key).cast("bigint")
-    return df.groupBy(F.bitmap_bucket_number(id_).alias("__bucket")).agg(
-        F.count(F.lit(1)).alias("__n"), F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(id_))).alias("__ids"))
-
-
-def dense_unique_rule(df: DataFrame, table: str, rule: str, key: str) -> DataFrame:
-    """:func:`unique_rule` of an integer key whose values are dense, like row ids (V1, V2).
-
-    Each task keeps one bit per id in bitmaps of 4 KB, these are merged per
-    range of ids, and rows beyond the bits that are set are repeats.  No id is
-    shuffled.  Meant for rows that stand roughly in the order of their ids;
-    scattered ids cost a bitmap per task and range.
-    """
-    ids = F.when(F.col("__bucket").isNull(), F.lit(1)).otherwise(F.col("__ids"))
-    return _buckets(df, key).agg(F.coalesce(F.sum(F.col("__n") - ids), F.lit(0)).cast("bigint").alias("violations")) \
-        .select(F.lit(rule).alias("rule"), F.lit(table).alias("table_name"), "violations")
-
-
-def repeated_ids(df: DataFrame, key: str) -> DataFrame:
-    """(key, n): the ids that repeat; only rows of ranges with a repeat are shuffled."""
-    bad = _buckets(df, key).filter("__n > __ids OR (__bucket IS NULL AND __n > 1)").select(F.col("__bucket").alias("__b"))
-    rows = df.select(key).join(bad, F.bitmap_bucket_number(F.col(key).cast("bigint")).eqNullSafe(F.col("__b")), "left_semi")
-    return rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-
-
-def dependency_rule(df: DataFrame, table: str, rule: str, determinant: list[str],
-                    dependent: list[str]) -> DataFrame:
-    """V4: determinant values that map to more than one dependent value."""
-    bad = (df.groupBy(*determinant)
-           .agg(F.count_distinct(*[F.col(c) for c in dependent]).alias("__k"))
-           .filter(F.col("__k") > 1))
-    return bad.agg(F.count(F.lit(1)).cast("bigint").alias("violations")) \
-        .select(F.lit(rule).alias("rule"), F.lit(table).alias("table_name"), "violations")
-
-
 def report(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 

@@ -1,29 +1,33 @@
 """Load, validate and publish the incident warehouse.
 
-Layout under ``target``: ``_runs/<run_id>/<table>`` holds one complete
-version of the star per load, and ``_published`` is an append-only log of
-validated runs; the newest entry is the current star.  A run writes each of
-its tables once (lineage is cut there: the cleaned base, the dimensions and
-the fact are written and re-read, so a lost executor recomputes from files,
-not from the raw CSV), validates them, and only then appends its id to the
-log.  The cleaned base is deleted when the run ends, and so is the whole run
-when it fails; nothing else is copied, and a failed run is never visible.
+Layout under ``target``: ``_runs/<run_id>/<table>`` holds what one load wrote,
+and ``_published`` is a log of versions.  A version is a manifest: the run whose
+dimensions hold, and for the fact a list of date ranges, each with the run that
+holds its rows.  A load replaces the whole fact or one range of dates; the other
+ranges stay where they are, by reference.  A run writes each of its tables once
+(lineage is cut there: a lost executor recomputes from files, not from the raw
+CSV), validates them, and only then publishes the next version, which succeeds
+only if the version it started from is still the latest.  The cleaned base is
+deleted when the run ends, and so is the whole run when it fails; nothing else
+is copied, and a failed run is never visible.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
+from functools import reduce
 
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..commits import CommitLog
 from ..constants import BAND_ORDER, TEXT_LIMITS
 from ..operators import quality as Q
 from ..schemas import STAR_SCHEMAS, conform
 from ..sources.csv import extract
-from ..sources.warehouse import is_missing, read_jdbc, read_table, table_path
+from ..sources.warehouse import read_jdbc, read_table, table_path
 from ..staging import delete_path, stage
 from .calendar import date_dim, insert_if_absent, time_dim
 from .star import (DIMENSIONS, FACT_MEASURES, base_gates, build_base, build_members, dimension_tables,
@@ -200,117 +204,169 @@ def run_path(target: str, run_id: str) -> str:
     return f"{str(target).rstrip('/')}/_runs/{run_id}"
 
 
+def published(spark: SparkSession, target: str) -> CommitLog:
+    return CommitLog(spark, table_path(target, PUBLISHED))
+
+
 def current_run(spark: SparkSession, target: str) -> str | None:
     """Run id of the latest published load (None before the first one).
 
     Only an absent log means that; a log that cannot be read is an error.
     """
-    try:
-        log = spark.read.parquet(table_path(target, PUBLISHED))
-    except AnalysisException as exc:
-        if is_missing(exc):
-            return None
-        raise
-    row = (log.orderBy(F.col("published_at").desc(), F.col("run_id").desc()).first())
-    return row.run_id if row else None
+    entry = published(spark, target).head()[1]
+    return entry["run_id"] if entry else None
+
+
+def replaced(parts: list[dict], lo: int, hi: int) -> list[dict]:
+    """The date ranges of a manifest without ``lo`` to ``hi``: a range that reaches beyond on a side keeps that side."""
+    out = []
+    for p in parts:
+        if p["lo"] < lo:
+            out.append({**p, "hi": min(p["hi"], lo - 1)})
+        if p["hi"] > hi:
+            out.append({**p, "lo": max(p["lo"], hi + 1)})
+    return out
 
 
 def run_load(spark: SparkSession, data_dir: str, target: str, first: str = "2024-01-01",
-             last: str = "2024-12-31", run_id: str | None = None,
-             num_partitions: int | None = None, multiline: bool = False) -> dict:
+             last: str = "2024-12-31", run_id: str | None = None, num_partitions: int | None = None,
+             multiline: bool = False, replace: tuple[str, str] | None = None) -> dict:
     """Extract -> base -> dimensions -> fact -> validate -> publish.
 
     Every table of the run is written once under ``target/_runs/<run_id>/``
     and read back from there (lineage cut on shared storage).  Nothing is
-    copied: after every rule passes, one row naming the run is appended to
-    ``target/_published``, which is the atomic switch readers follow.  A
-    failed run is never visible, and each run is a complete new version, so
-    there is no truncate step to get wrong.  ``multiline`` reads line breaks
-    inside quoted cells.  The rows that must arrive are counted in the file
-    itself, before anything is done to them (A15/V15).  Row counts, gates, NULL
-    keys, constants, signs and the summary are measured by the writes
-    themselves; neither the base nor the fact is read again for them.
+    copied: after every rule passes, the run's manifest becomes the next
+    published version, which is the atomic switch readers follow.  If another
+    load published since this one began, it fails with ``Conflict`` and leaves
+    nothing; run it again.  ``multiline`` reads line breaks inside quoted cells.
+
+    ``first`` and ``last`` bound the calendar.  Without ``replace`` the files
+    are the whole fact.  With it, they are the rows of these dates (both
+    included; another date rejects the load): published rows of other dates
+    stay, unread and unwritten, and new rows are numbered above all that were
+    published.  Published members and calendar days stay in the dimensions with
+    their keys.
+
+    The rows that must arrive are counted in the file itself, before anything
+    is done to them (A15/V15).  Row counts, gates, NULL keys, constants, signs
+    and the summary are measured by the writes themselves; neither the base nor
+    the fact is read again for them.
     """
     run_id = run_id or uuid.uuid4().hex
     run = run_path(target, run_id)
-    previous = current_run(spark, target)
-
+    log = published(spark, target)
+    parent, entry = log.head()
     try:
-        staged, seen = _build_run(spark, data_dir, target, run, previous, first, last,
-                                  num_partitions, multiline)
+        staged, seen, bounds = _build_run(spark, data_dir, run, entry and read_star(spark, target, version=parent), first, last,
+                                          num_partitions, multiline, replace, entry["last_id"] if entry and replace else 0)
+        delete_path(spark, table_path(run, "_base"))
+        lo, hi = bounds if replace else (0, 99991231)
+        part = {"run_id": run_id, "lo": lo, "hi": hi}
+        kept = replaced(entry["fact"], lo, hi) if entry and replace else []
+        last_id = seen.rows + (entry["last_id"] if entry and replace else 0)
+        version = log.commit(parent, {"run_id": run_id, "parent": parent, "fact": [*kept, part], "last_id": last_id})
     except Exception as exc:
         delete_path(spark, run)
         if isinstance(exc, PySparkException) and (found := re.search(r"\w+: key \[[^]]*\] is not unique", str(exc))):
             raise ValueError(found[0]) from exc
         raise
-    delete_path(spark, table_path(run, "_base"))
-    publish(spark, target, run_id)
-    return {"run_id": run_id, "rows": seen.rows, "tables": staged,
+    return {"run_id": run_id, "version": version, "rows": seen.rows, "tables": staged,
             "summary": {"total_accidentes": seen.rows, **seen.sums}}
 
 
-def _build_run(spark: SparkSession, data_dir: str, target: str, run: str, previous: str | None,
-               first: str, last: str, num_partitions: int | None,
-               multiline: bool) -> tuple[dict[str, DataFrame], Q.WriteMetrics]:
+def _build_run(spark: SparkSession, data_dir: str, run: str, existing: dict[str, DataFrame] | None,
+               first: str, last: str, num_partitions: int | None, multiline: bool,
+               replace: tuple[str, str] | None, id_offset: int) -> tuple[dict[str, DataFrame], Q.WriteMetrics, tuple[int, int]]:
     bundle = extract(spark, data_dir, multiline)
-    gates = Q.WriteMetrics(build_base(bundle), "base", base_gates())
-    write_table(gates.watched, run, "_base")
-    pass_gates(gates.violations)
+    bounds = tuple(int(d.replace("-", "")) for d in replace or (first, last))
+    gates = base_gates()
+    if replace:
+        gates["dates_outside_the_range"] = ~F.col("date_key").between(*bounds)
+    gate = Q.WriteMetrics(build_base(bundle), "base", gates)
+    write_table(gate.watched, run, "_base")
+    pass_gates(gate.violations)
     base = numbered_base(read_table(spark, run, "_base"))
 
     staged: dict[str, DataFrame] = {}
-    existing = read_star(spark, target) if previous else {}
-    for name, df in calendar_tables(spark, existing, first, last).items():
+    for name, df in calendar_tables(spark, existing or {}, first, last).items():
         write_table(conform(df, STAR_SCHEMAS[name]), run, name)
         staged[name] = read_table(spark, run, name)
-    members = build_members(base, existing or None, num_partitions)
+    members = build_members(base, existing, num_partitions)
     for name, df in dimension_tables(members).items():
         write_table(conform(df, STAR_SCHEMAS[name]), run, name)
         staged[name] = read_table(spark, run, name)
 
     files = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    layout = date_layout(base, files, gates.rows)
-    fact = cluster_fact(resolve_keys(base, members), layout, files, gates.rows)
+    layout = date_layout(base, files, gate.rows)
+    fact = cluster_fact(resolve_keys(base, members), layout, files, gate.rows)
+    if id_offset:
+        fact = conform(fact.withColumns({c: F.col(c) + id_offset for c in ("source_row_id", "accidente_id")}), STAR_SCHEMAS["fact_accidentes"])
     seen = Q.WriteMetrics(fact, "fact_accidentes", fact_rules(), SUMMARY)
     write_table(seen.watched, run, "fact_accidentes")
     staged["fact_accidentes"] = read_table(spark, run, "fact_accidentes")
 
     rows = bundle["atus"].count()
-    for what, n in (("base", gates.rows), ("fact_accidentes", seen.rows)):
+    for what, n in (("base", gate.rows), ("fact_accidentes", seen.rows)):
         Q.expect_count(n, rows, what)
     # Every base row is in the fact at least once (left joins) and there are as many fact rows:
     # the fact's ids are unique if the base's are, and those stand in file order.
     unique = Q.dense_unique_rule(base, "fact_accidentes", PK_RULE, "source_row_id")
     Q.enforce(validation_report(staged, [unique, seen.report(spark)]), "post-load")
-    return staged, seen
+    return staged, seen, bounds
+
 
+def retain(spark: SparkSession, target: str, versions: int = 2) -> list[str]:
+    """Keep the latest ``versions`` versions; delete older log entries and the runs that no kept version needs.
 
-def publish(spark: SparkSession, target: str, run_id: str) -> None:
-    """Make a validated run current: append one row to the published log."""
-    now = F.current_timestamp().cast("timestamp_ntz")
-    (spark.range(1).select(F.lit(run_id).alias("run_id"), now.alias("published_at"))
-     .write.mode("append").parquet(table_path(target, PUBLISHED)))
+    Frames of older versions that were handed out stop reading.  A run that is
+    being loaded is not in the log yet: call this when no load is under way.
+    Returns the deleted run ids.
+    """
+    log = published(spark, target)
+    found = log.versions()
+    entries = {v: log.read(v) for v in found}
+    kept = found[-max(1, versions):]
+    needed = {r for v in kept for r in (entries[v]["run_id"], *(p["run_id"] for p in entries[v]["fact"]))}
+    old = {r for e in entries.values() for r in (e["run_id"], *(p["run_id"] for p in e["fact"]))} - needed
+    for v in found:
+        if v not in kept:
+            log.forget(v)
+    for run_id in old:
+        delete_path(spark, run_path(target, run_id))
+    return sorted(old)
+
+
+def fact_parts(spark: SparkSession, target: str, entry: dict) -> dict[str, DataFrame]:
+    """The published fact by date range: one frame per range of the manifest, named after its run and dates."""
+    out = {}
+    for p in sorted(entry["fact"], key=lambda p: p["lo"]):
+        df = read_table(spark, run_path(target, p["run_id"]), "fact_accidentes")
+        whole = p["lo"] <= 0 and p["hi"] >= 99991231
+        out[f"{p['run_id']}-{p['lo']}-{p['hi']}"] = df if whole else df.filter(F.col("date_key").between(p["lo"], p["hi"]))
+    return out
 
 
 def read_star(spark: SparkSession, target: str, jdbc_url: str | None = None,
-              properties: dict | None = None, run_id: str | None = None) -> dict[str, DataFrame]:
-    """S3: the published tables (latest run unless ``run_id``), or a JDBC database."""
+              properties: dict | None = None, version: int | None = None) -> dict[str, DataFrame]:
+    """S3: the published tables (latest version unless ``version``), or a JDBC database."""
     if jdbc_url:
         return {n: read_jdbc(spark, jdbc_url, n, properties) for n in STAR_TABLES}
-    run_id = run_id or current_run(spark, target)
-    if run_id is None:
+    log = published(spark, target)
+    entry = log.read(version) if version else log.head()[1]
+    if entry is None:
         raise FileNotFoundError(f"no published load under {target}")
-    return {n: read_table(spark, run_path(target, run_id), n) for n in STAR_TABLES}
+    out = {n: read_table(spark, run_path(target, entry["run_id"]), n) for n in STAR_TABLES[:-1]}
+    return {**out, "fact_accidentes": reduce(DataFrame.unionByName, fact_parts(spark, target, entry).values())}
 
 
-def register_views(spark: SparkSession, target: str, run_id: str | None = None) -> dict[str, DataFrame]:
+def register_views(spark: SparkSession, target: str, version: int | None = None) -> dict[str, DataFrame]:
     """Expose the published star as temporary views named like its tables.
 
     Lets the analytical SQL run unchanged in ``spark.sql`` (dialect-only
     syntax such as ``::NUMERIC`` aside); Catalyst plans it exactly like the
     DataFrame reports.
     """
-    tables = read_star(spark, target, run_id=run_id)
+    tables = read_star(spark, target, version=version)
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
     return tables

@@ -526,6 +526,39 @@ dirty AS (
 """ + "\nUNION ALL\n".join(_CONSTRAINT_PARTS)
 
 
+# ---------------------------------------------------------------- marts, registry, whole orders
+
+ORACLE["mart_merge"] = """SELECT o_orderstatus, o_orderpriority, COUNT(*) AS total_orders,
+       CAST(SUM(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS BIGINT) AS total_urgent,
+       CAST(SUM(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS total_finished
+FROM orders GROUP BY ALL"""
+
+ORACLE["key_registry"] = """WITH c AS (
+    SELECT o_custkey, MIN(CASE WHEN date_trunc('month', o_orderdate) = (SELECT date_trunc('month', MIN(o_orderdate)) FROM orders)
+                               THEN 1 ELSE 2 END) AS first_load
+    FROM orders GROUP BY o_custkey
+)
+SELECT row_number() OVER (ORDER BY first_load, o_custkey NULLS LAST) AS customer_key, o_custkey, CAST(first_load AS BIGINT) AS first_load FROM c"""
+
+ORACLE["customer_ranking"] = f"""WITH c AS (
+    SELECT o_custkey, COUNT(*) AS total_orders, CAST(SUM(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS BIGINT) AS total_urgent
+    FROM orders GROUP BY o_custkey
+), t AS (SELECT *, CAST(SUM(total_orders) OVER () AS BIGINT) AS whole FROM c)
+SELECT o_custkey, total_orders, total_urgent, RANK() OVER (ORDER BY total_orders DESC) AS ranking,
+       {rounded('total_urgent', 'total_orders', 4)} AS urgent_per_order, {rounded('total_orders', 'whole', 4, 100)} AS pct_orders
+FROM t"""
+
+ORACLE["order_series"] = f"""WITH o AS (
+    SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders
+), w AS (
+    SELECT *, LAG(cents) OVER s AS prev_cents, CAST(SUM(cents) OVER f AS BIGINT) AS sum_7, COUNT(cents) OVER f AS n_7
+    FROM o WINDOW s AS (ORDER BY o_orderkey), f AS (ORDER BY o_orderkey ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
+)
+SELECT o_orderkey, cents, prev_cents, cents - prev_cents AS change_cents,
+       {rounded('(cents - prev_cents)', 'prev_cents', 2, 100)} AS pct_change, {rounded('sum_7', 'n_7', 2)} AS moving_avg_7
+FROM w"""
+
+
 # ---------------------------------------------------------------- the load path
 
 RAW_CTE = """raw AS (

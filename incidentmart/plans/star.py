@@ -110,6 +110,8 @@ def pass_gates(found: dict[str, int]) -> None:
     if found["null_location_ids"]:
         raise ValueError(f"{found['null_location_ids']} records lack an entity or municipality id; "
                          "load rejected")
+    if found.get("dates_outside_the_range"):
+        raise ValueError(f"{found['dates_outside_the_range']} records lie outside the dates to replace; load rejected")
     if found["measures_out_of_range"]:
         raise ValueError(f"measure range check failed: fact_accidentes.smallint:measures="
                          f"{found['measures_out_of_range']}")

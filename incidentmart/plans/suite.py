@@ -10,6 +10,7 @@ built, because their tables have to be fixed before they are read.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ from ..staging import scratch_dir, stage
 from . import teststar as ts
 from .calendar import (date_bounds, first_month, insert_if_absent, time_dim, year_calendar,
                        year_calendar_covering)
-from .marts import report_mart
+from .marts import report_mart, sum_mart
 
 
 # ---------------------------------------------------------------- dimensions
@@ -507,17 +508,72 @@ def q_constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.report(parts)
 
 
-# ---------------------------------------------------------------- result mart
+# ---------------------------------------------------------------- result marts
+
+def _marts(spark: SparkSession, sf_dir: str) -> str:
+    return f"{scratch_dir(spark)}/marts/{hashlib.sha256(str(sf_dir).encode()).hexdigest()[:16]}"
+
 
 def q_mart_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A report written as a Parquet mart under the shared folder, read back.
 
     There is one mart per input folder and no freshness window: every call
-    recomputes the rows from the tables and replaces the mart, so marts do not
-    pile up.
+    computes a new version from the tables, and the last few stay readable.
+    """
+    return report_mart(spark, _marts(spark, sf_dir), "share_of_total", lambda: q_share_of_total(spark, sf_dir), ttl_seconds=-1)
+
+
+def q_mart_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by status and priority as a mart of partial sums per year.
+
+    The mart is made of all years but the last and then refreshed with all: the
+    second step computes the last year alone.
     """
-    root = f"{scratch_dir(spark)}/marts/{hashlib.sha256(str(sf_dir).encode()).hexdigest()[:16]}"
-    return report_mart(spark, root, "share_of_total", lambda: q_share_of_total(spark, sf_dir), ttl_seconds=-1)
+    fact = ts.orders_fact(spark, sf_dir, extra=["o_orderstatus", "o_orderpriority"])
+    days = fact.agg(F.min("date_key").alias("lo"), F.max("date_key").alias("hi")).first()
+    years = range(days.lo // 10000, days.hi // 10000 + 1) if days.lo else [0]
+    parts = {str(y): fact.filter(F.col("date_key").between(y * 10000, y * 10000 + 9999)) for y in years}
+    root, name = _marts(spark, sf_dir), f"orders-{uuid.uuid4().hex}"
+    groups = ["o_orderstatus", "o_orderpriority"]
+    if len(parts) > 1:
+        sum_mart(spark, root, name, {y: df for y, df in parts.items() if y != str(years[-1])}, groups, ts.ORDER_MEASURES)
+    return sum_mart(spark, root, name, parts, groups, ts.ORDER_MEASURES)
+
+
+# ---------------------------------------------------------------- keys that stay, whole orders
+
+def q_key_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers of the orders as members with keys, over two loads.
+
+    The first load has the orders of the first month that the dates touch, the
+    second all orders: customers of the first keep their keys, and only the
+    others are numbered, above them.  ``first_load`` tells the load of a key.
+    """
+    orders = ts.table(spark, sf_dir, "orders").select("o_custkey", F.to_date("o_orderdate").alias("d"))
+    month = orders.agg(F.trunc(F.min("d"), "month").alias("m"))
+    spec = {"customer": (["o_custkey"], "customer_key")}
+    early = orders.join(F.broadcast(month), F.trunc("d", "month") == F.col("m")).select("o_custkey")
+    first = stage(number_members(early, spec)["customer"].frame, "registry")
+    second = number_members(orders.select("o_custkey"), spec, known={"customer": first})["customer"].frame
+    old = first.select(F.col("customer_key").alias("old_key"))
+    return second.join(old, F.col("customer_key") == F.col("old_key"), "left").select(
+        "customer_key", "o_custkey", F.when(F.col("old_key").isNull(), 2).otherwise(1).alias("first_load"))
+
+
+def q_customer_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer with orders, ranked by their number, ties included, with its share of all."""
+    orders = ts.orders_fact(spark, sf_dir, extra=["o_custkey"])
+    agg = sum_measures(orders, ["o_custkey"], {"total_orders": "num_orders", "total_urgent": "is_urgent"})
+    ranked = rank_groups(agg, "o_custkey", "total_orders", top=None, ratios={"urgent_per_order": ("total_urgent", "total_orders", 4)})
+    return share_of_total(ranked, "total_orders", "pct_orders", 4, few=False)
+
+
+def q_order_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order against the one before it, and the average of seven, over all orders by key."""
+    orders = ts.table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
+    change = period_change(orders, "o_orderkey", "cents", "prev_cents", "change_cents", "pct_change", 2, calendar=False)
+    return moving_average(change, "o_orderkey", "cents", "moving_avg_7", 7, 2, calendar=False)
 
 
 QUERIES = {
@@ -552,4 +608,8 @@ QUERIES = {
     "top_check": q_top_check,
     "constraint_report": q_constraint_report,
     "mart_round_trip": q_mart_round_trip,
+    "mart_merge": q_mart_merge,
+    "key_registry": q_key_registry,
+    "customer_ranking": q_customer_ranking,
+    "order_series": q_order_series,
 }

@@ -587,9 +587,42 @@ UNION ALL SELECT 'dim_accidente', (SELECT count(*) FROM (SELECT DISTINCT tipo, c
 UNION ALL SELECT 'dim_conductor', (SELECT count(*) FROM (SELECT DISTINCT sexo, edad, aliento FROM raw))
 UNION ALL SELECT 'fact_accidentes', (SELECT count(*) FROM raw)"""
 
-ORACLE["incident_rules"] = """SELECT table_name, CAST(0 AS BIGINT) AS violations
-FROM (VALUES ('dim_fecha'), ('dim_tiempo'), ('dim_ubicacion'), ('dim_accidente'), ('dim_conductor'),
-             ('fact_accidentes')) AS t(table_name)"""
+ORACLE["incident_increment"] = f"""WITH {RAW_CTE}
+SELECT CAST(strftime(full_date, '%Y%m%d') AS BIGINT) AS date_key, CAST(COUNT(*) AS BIGINT) AS total_accidentes,
+       CAST(SUM(muertos) AS BIGINT) AS total_muertos, CAST(SUM(heridos) AS BIGINT) AS total_heridos
+FROM raw GROUP BY 1"""
+
+
+def _fact_rule(rule: str, pred: str, extra: int = 0) -> str:
+    return f"SELECT '{rule}', 'fact_accidentes', COUNT(*) FILTER (WHERE {pred}) - {extra} FROM raw"
+
+
+# The violations that the query puts in, as counts over the events.
+_RULE_PARTS = [
+    "SELECT 'not_null:mes_nombre' AS rule, 'dim_fecha' AS table_name, COUNT(*) FILTER (WHERE month(full_date) = 2) AS violations FROM cal",
+    "SELECT 'range:trimestre', 'dim_fecha', COUNT(*) FILTER (WHERE month(full_date) = 1) FROM cal",
+    "SELECT 'domain:banda_horaria', 'dim_tiempo', 60",
+    "SELECT 'pk', 'dim_ubicacion', COUNT(*) FILTER (WHERE im = 3) FROM place",
+    "SELECT 'unique:natural', 'dim_ubicacion', COUNT(*) FILTER (WHERE im = 3) FROM place",
+    "SELECT 'not_null:entidad', 'dim_ubicacion', COUNT(*) FILTER (WHERE ie = 7) FROM place",
+    "SELECT 'length:municipio', 'dim_ubicacion', COUNT(*) FILTER (WHERE im = 2) FROM place",
+    "SELECT 'fd:ids_coverage->names', 'dim_ubicacion', COUNT(*) FILTER (WHERE im = 3) FROM place",
+    _fact_rule("const:num_accidentes", "automovil = 2 AND moto = 1"),
+    _fact_rule("nonneg:vehicles", "camioneta = 2"),
+    _fact_rule("nonneg:casualties", "camioneta = 2 AND heridos = 2"),
+    _fact_rule("not_null:automovil", "automovil = 1 AND moto = 1"),
+    _fact_rule("not_null:conductor_key", "heridos = 2 AND moto = 1"),
+    _fact_rule("fk:conductor_key", "heridos = 2 AND moto = 1"),
+    _fact_rule("fk:accidente_key", "muertos = 1 AND moto = 1"),
+    _fact_rule("fk:date_key", "muertos = 1 AND camioneta = 2"),
+    _fact_rule("equal:accidente_id=source_row_id", "muertos = 1 AND camioneta = 2"),
+    _fact_rule("pk+unique:source_row_id", "muertos = 1 AND camioneta = 2", 1),
+]
+
+ORACLE["incident_rules"] = f"""WITH {years_cte('events', 'ts')}, {RAW_CTE},
+place AS (SELECT DISTINCT ie, im, cobertura FROM raw)
+SELECT rule, table_name, CAST(violations AS BIGINT) AS violations FROM (
+""" + "\nUNION ALL\n".join(_RULE_PARTS) + "\n) WHERE violations > 0"
 
 _SEVERITY = """CAST(count(*) AS BIGINT) AS total_accidentes, CAST(sum(muertos) AS BIGINT) AS total_muertos,
            CAST(sum(heridos) AS BIGINT) AS total_heridos"""

@@ -32,21 +32,25 @@ def read_csv(spark: SparkSession, data_dir: str, filename: str,
     reader = (spark.read.option("header", "true").option("encoding", "UTF-8").option("escape", '"')
               .option("inferSchema", "false").option("multiLine", str(multiline).lower()))
     try:
-        header = reader.csv(path).columns
+        header = reader.option("header", "false").csv(path).first()       # as text: Spark would rename a repeated name
     except AnalysisException as exc:
         if is_missing(exc):
             raise FileNotFoundError(f"input file does not exist: {path}") from exc
         raise
-    names = [normalize_header(c) for c in header]
+    if header is None:
+        raise ValueError(f"{path}: no header")
+    names = [normalize_header(c or f"_c{i}") for i, c in enumerate(header)]
     if len(set(names)) != len(names):
         raise ValueError(f"{path}: duplicate column names after normalising {names}")
+    reader = reader.option("header", "true")
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _SURPLUS]])
     df = reader.option("enforceSchema", "true").option("mode", "PERMISSIVE").schema(schema).csv(path)
     error = F.raise_error(F.concat(F.lit(f"{path}: a row has more than {len(names)} cells, the next is "), F.col(_SURPLUS)))
-    whole = F.when(F.col(_SURPLUS).isNotNull(), error.cast("string")).otherwise(F.col(f"`{names[0]}`"))
+    # a filter stands in every plan over the file, whatever columns are selected from it
+    df = df.filter(F.when(F.col(_SURPLUS).isNotNull(), error.cast("boolean")).otherwise(F.lit(True)))
     tags = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"),
             F.monotonically_increasing_id().alias("__mid")] if tagged or row_id else []
-    df = df.select(whole.alias(names[0]), *[F.col(f"`{n}`") for n in names[1:]], *tags)
+    df = df.select(*[F.col(f"`{n}`") for n in names], *tags)
     return number_rows_in_file(stage(df, "csv-rows"), row_id) if row_id else df
 
 

@@ -87,8 +87,9 @@ _RULES = {
     "repeat_rate": "10000 * n_repeat_words // greatest(n_words, 1)",
 }
 _SLACK = {"word_length": 50, "symbol_rate": 50, "line_rate": 50, "repeat_rate": 250}
+_END = {"word_length": 1 << 40, "symbol_rate": 10_000, "line_rate": 10_000, "repeat_rate": 2_000}
 _LONG = " UNION ALL ".join(
-    f"SELECT lang, source, '{r}' AS rule, {_SLACK[r]} AS slack, {e} AS v FROM b WHERE NOT base_failed" for r, e in _RULES.items())
+    f"SELECT lang, source, '{r}' AS rule, {_SLACK[r]} AS slack, {_END[r]} AS finish, {e} AS v FROM b WHERE NOT base_failed" for r, e in _RULES.items())
 _INSIDE = " OR ".join(
     f"(f.rule = '{r}' AND ({e} > f.upper{' OR ' + e + ' < f.lower' if r == 'word_length' else ''}))" for r, e in _RULES.items())
 
@@ -114,14 +115,15 @@ WITH t AS (
 ), b AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m
 ), x AS (
-  SELECT lang, source, rule, slack,
+  SELECT lang, source, rule, slack, finish,
          CASE WHEN v < 64 THEN v ELSE (v >> (length(bin(v)) - 6)) << (length(bin(v)) - 6) END AS low
   FROM ({_LONG})
 ), q AS (
-  SELECT lang, source, rule, slack, quantile_disc(low, 0.1) AS q10, quantile_disc(low, 0.5) AS q50, quantile_disc(low, 0.9) AS q90
+  SELECT lang, source, rule, slack, finish, quantile_disc(low, 0.1) AS q10, quantile_disc(low, 0.5) AS q50, quantile_disc(low, 0.9) AS q90
   FROM x GROUP BY ALL
 ), f AS (
-  SELECT lang, source, rule, q50 - 8 * greatest(q50 - q10, slack) AS lower, q50 + 8 * greatest(q90 - q50, slack) AS upper FROM q
+  SELECT lang, source, rule, q50 - least(8 * greatest(q50 - q10, slack), 3 * (q50 - 100) // 4) AS lower,
+         q50 + greatest(least(8 * greatest(q90 - q50, slack), 3 * (finish - q50) // 4), q50 // 32) AS upper FROM q
 ), bad AS (
   SELECT DISTINCT b.doc_id FROM b JOIN f ON b.lang IS NOT DISTINCT FROM f.lang AND b.source IS NOT DISTINCT FROM f.source
   WHERE {_INSIDE}

@@ -37,6 +37,12 @@ REACH = 8
 SLACK = {"word_length": 50, "symbol_rate": 50, "line_rate": 50, "repeat_rate": 250}
 UPPER = list(INPUTS)
 LOWER = ["word_length"]
+# Where the values end that a document which passes the base rules can have:
+# no word is shorter than one character, and the base rules end the repeat rate
+# at 20 %.  A fence stands at most three quarters of the way from the median to
+# the end, so that every fence can be crossed whatever the spread.
+END = {"word_length": 1 << 40, "symbol_rate": 10_000, "line_rate": 10_000, "repeat_rate": 2_000}
+START = 100
 
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -123,8 +129,11 @@ def fences(sketches: DataFrame, group: list[str]) -> DataFrame:
 
     q = sums.groupBy(*group, "rule").agg(quantile(10).alias("q10"), quantile(50).alias("q50"), quantile(90).alias("q90"))
     slack = F.create_map(*[F.lit(x) for kv in SLACK.items() for x in kv])[F.col("rule")]
-    q = q.withColumns({"lower": F.col("q50") - REACH * F.greatest(F.col("q50") - F.col("q10"), slack),
-                       "upper": F.col("q50") + REACH * F.greatest(F.col("q90") - F.col("q50"), slack)})
+    end = F.create_map(*[F.lit(x) for kv in END.items() for x in kv])[F.col("rule")]
+    below = F.least(REACH * F.greatest(F.col("q50") - F.col("q10"), slack), F.expr(f"3 * (q50 - {START}) div 4"))
+    above = F.least(REACH * F.greatest(F.col("q90") - F.col("q50"), slack), F.floor(3 * (end - F.col("q50")) / 4))
+    # a value may lie up to 1/32 above the start of its bin
+    q = q.withColumns({"lower": F.col("q50") - below, "upper": F.col("q50") + F.greatest(above, F.expr("q50 div 32"))})
     of = lambda c, rule: F.max(F.when(F.col("rule") == rule, F.col(c))).cast("long")
     return q.groupBy(*group).agg(*[of("lower", r).alias(f"min_{r}") for r in LOWER], *[of("upper", r).alias(f"max_{r}") for r in UPPER])
 
@@ -137,8 +146,8 @@ def quality_filter(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
     of its (language, source) group.
 
     * A null language or source is a group of its own; null text counts as empty.
-    * A group's own documents never fall outside fences that its few rows set:
-      the spread has a floor, and one row alone is its own median.
+    * One row alone is its own median and inside its fences; the spread has a
+      floor, so that a few rows that are alike do not reject the next.
     * An empty table gives an empty result; an input column named like an
       output column is replaced.
     """

@@ -45,3 +45,35 @@ def test_adapts_to_the_group(spark):
     junk = [(5000, " ".join(f"#$%{k}" for k in range(60)), "en", "web")]
     got = {r.doc_id: r.kept for r in quality_filter(spark.createDataFrame(plain + code + junk, "doc_id long, text string, lang string, source string")).collect()}
     assert got.pop(5000) is False and all(got.values())
+
+
+def _group():
+    return [(i, " ".join(f"w{(i * 7 + k) % 91}x" for k in range(60)), "en", "web") for i in range(200)]
+
+
+OUTSIDE = {
+    "word_length above": " ".join(f"{'long' * 9}{k}" for k in range(40)),
+    "word_length below": " ".join("abcdefghijklmnopqrstuvwxyz"),
+    "symbol_rate": " ".join(f"w{k}##" for k in range(60)),
+    "line_rate": "\n".join(f"same\nw{k}a w{k}b w{k}c w{k}d w{k}e" for k in range(12)),
+    "repeat_rate": " ".join([s := " ".join(f"r{k}x" for k in range(9)), *[f"w{k}y" for k in range(82)], s]),
+}
+
+
+def test_every_fence_can_reject(spark):
+    rows = _group() + [(1000 + k, text, "en", "web") for k, text in enumerate(OUTSIDE.values())]
+    got = {r.doc_id: r for r in quality_filter(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    for k, name in enumerate(OUTSIDE):
+        r = got.pop(1000 + k)
+        assert not r.base_failed and not r.kept, name
+        rate = {"word_length": 100 * r.word_chars // r.n_words, "symbol_rate": 10000 * r.n_symbols // r.word_chars,
+                "line_rate": 10000 * r.n_dup_lines // r.n_words, "repeat_rate": 10000 * r.n_repeat_words // r.n_words}
+        crossed = [f"{x} above" for x in rate if rate[x] > r[f"max_{x}"]] + ["word_length below"] * (rate["word_length"] < r["min_word_length"])
+        assert crossed == [name if " " in name else f"{name} above"]
+    assert all(r.kept for r in got.values())
+
+
+def test_one_row_is_inside_its_fences(spark):
+    texts = [t for t in OUTSIDE.values()] + [" ".join([s := " ".join(f"r{k}" for k in range(10)), *[f"w{k}" for k in range(80)], s])]
+    rows = [(k, t, "en", f"s{k}") for k, t in enumerate(texts)]
+    assert all(r.kept for r in quality_filter(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect())

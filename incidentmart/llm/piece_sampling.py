@@ -34,11 +34,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import without
-from .words import U, mix, slices, small
+from .common import fresh, without
+from .words import U, give_back, mix, slices, small
 
-ARCS = 3 << 20                   # kept per worker: 31 MB in arrays of a fixed size
-CHUNKS = 1 << 18                # kept per worker: names and places, about 40 MB
+ARCS = 5 << 19                   # kept per worker while a task runs: 26 MB in arrays of a fixed size
+CHUNKS = 1 << 17                # kept per worker while a task runs: names and places, about 20 MB
 SHORT = 64                      # longer chunks are filtered each time they occur, one character after another
 LEARN = 1 << 15                 # characters whose lattices are filtered at once
 FALLBACK = 1e-6                  # weight of a character's bytes against the rarest piece
@@ -214,7 +214,7 @@ class Pieces:
                 if (head := text[:k]) not in place:
                     place[head] = len(place)
                     steps[place[head[:-1]] << 21 | ord(head[-1])] = place[head]
-        self.steps, self.walk = steps, Steps(steps)
+        self.walk = Steps(steps)
         self.ends_piece, self.ends_log = np.full(len(place), -1, np.int64), np.zeros(len(place))
         for text, (i, w) in self.weight.items():
             self.ends_piece[place[text]], self.ends_log[place[text]] = i, np.log(w)
@@ -289,16 +289,10 @@ class Pieces:
         for k in range(n):
             heads = [c for c in ends[k % self.longest]]                      # pieces that end behind character k, as (start, id, log weight)
             ends[k % self.longest] = []
-            place = 0
             for m in range(1, min(self.longest, n - k) + 1):
-                place = self.steps.get(place << 21 | ord(chunk[k + m - 1]), -1)
-                if place < 0:
-                    break
-                if (i := int(self.ends_piece[place])) >= 0:
-                    if m == 1:
-                        heads.append((k, i, float(self.ends_log[place])))
-                    else:
-                        ends[(k + m - 1) % self.longest].append((k, i, float(self.ends_log[place])))
+                if piece := self.weight.get(chunk[k:k + m]):
+                    arc = (k, piece[0], log(piece[1]))
+                    (heads if m == 1 else ends[(k + m - 1) % self.longest]).append(arc)
             if not any(s == k for s, _, _ in heads):
                 heads.append((k, self.size + ord(chunk[k]), log(self.fallback)))
             heads.sort()
@@ -404,12 +398,19 @@ def pieces(path: str, alpha: float) -> Pieces:
     return _LOADED[path, alpha]
 
 
+def ended(p: Pieces) -> None:
+    """At the end of a task a worker gives up what it kept: it may stay idle, beside workers of other stages."""
+    p._forget()
+    give_back()
+
+
 def row_seed(key_col: str, seed: int):
     return F.xxhash64(F.coalesce(F.col(f"`{key_col}`").cast("string"), F.lit("")), F.lit(seed))
 
 
-def encode_sampled(docs: DataFrame, model: str, key_col: str = "doc_id", text_col: str = "text", alpha: float = 1.0, seed: int = 0) -> DataFrame:
-    """Every row of ``docs`` plus ``pieces`` (array<int>): one sampled segmentation of its whole text.
+def encode_sampled(docs: DataFrame, model: str, key_col: str = "doc_id", text_col: str = "text", alpha: float = 1.0, seed: int = 0,
+                   columns: list[str] | None = None) -> DataFrame:
+    """``columns`` of ``docs`` (default: all) plus ``pieces`` (array<int>): one sampled segmentation of each row's whole text.
 
     ``model`` names a SentencePiece file that every worker can open.  The draw
     depends on the row key, the text and ``seed`` only: rows that repeat get the
@@ -417,19 +418,21 @@ def encode_sampled(docs: DataFrame, model: str, key_col: str = "doc_id", text_co
     counts as an empty one.  An empty table gives an empty result; an input
     column named ``pieces`` is replaced.
     """
-    keep = without(docs, ["pieces"])
+    keep = without(docs.select(*[F.col(f"`{c}`") for c in columns]) if columns is not None else docs, ["pieces"])
     names = keep.columns
-    rows = keep.withColumn("__seed", row_seed(key_col, seed)).withColumn("__t", F.col(f"`{text_col}`"))
+    key, text = fresh([*names, "pieces"], "row_seed", "whole_text")
+    rows = docs.select(*[F.col(f"`{c}`") for c in names], row_seed(key_col, seed).alias(key), F.col(f"`{text_col}`").alias(text))
     schema = T.StructType([*keep.schema.fields, T.StructField("pieces", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model, alpha)
         for b in small(batches):
-            texts, seeds = b.column("__t").to_pylist(), np.asarray(b.column("__seed")).view(U)
+            texts, seeds = b.column(text).to_pylist(), np.asarray(b.column(key)).view(U)
             for i, j in slices(texts, SLICE):
                 got = p.sample([t or "" for t in texts[i:j]], seeds[i:j])
                 made = pa.array([None if t is None else x for t, x in zip(texts[i:j], got)], pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([*[b.column(c).slice(i, j - i) for c in names], made], names=[*names, "pieces"])
+        ended(p)
 
     return rows.mapInArrow(run, schema)
 
@@ -438,13 +441,14 @@ def decode_pieces(encoded: DataFrame, model: str, pieces_col: str = "pieces", ou
     """Every row of ``encoded`` plus ``out_col``: the text of its pieces (null for null)."""
     keep = without(encoded, [out_col])
     names = keep.columns
-    rows = keep.withColumn("__p", F.col(f"`{pieces_col}`"))
+    (ids,) = fresh([*names, out_col], "piece_ids")
+    rows = encoded.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{pieces_col}`").alias(ids))
     schema = T.StructType([*keep.schema.fields, T.StructField(out_col, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model, 1.0)
         for b in small(batches):
-            texts = [None if x is None else p.decode(np.array(x, np.int64)) for x in b.column("__p").to_pylist()]
+            texts = [None if x is None else p.decode(np.array(x, np.int64)) for x in b.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in names], pa.array(texts, pa.string())], names=[*names, out_col])
 
     return rows.mapInArrow(run, schema)
@@ -471,5 +475,6 @@ def round_trip(docs: DataFrame, model: str, key_col: str = "doc_id", text_col: s
                     [b.column("key").slice(i, j - i), pa.array([len(x) for x in ids], pa.int64()), pa.array([hashlib.sha256(x.astype("<i4").tobytes()).hexdigest() for x in ids]),
                      pa.array([None if t is None else hashlib.sha256(t.encode("utf-8")).hexdigest() for t in back], pa.string()),
                      pa.array([t == x for t, x in zip(part, back)])], names=["key", "n_pieces", "pieces_sha256", "decoded_sha256", "lossless"])
+        ended(p)
 
     return rows.mapInArrow(run, f"key {kind}, n_pieces long, pieces_sha256 string, decoded_sha256 string, lossless boolean").withColumnRenamed("key", key_col)

@@ -11,11 +11,18 @@ def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
     ``spark.checkpoint.dir`` of the session, or the checkpoint folder of its
-    context; where neither is set, a folder in the session's warehouse.  Never
-    a folder of one machine's own.
+    context; where neither is set, a folder in the session's warehouse.  On a
+    cluster a warehouse in a local folder is refused: other machines do not see
+    what one writes there.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
+    return folder.rstrip("/") if folder else warehouse_scratch(spark.conf.get("spark.sql.warehouse.dir"), spark.sparkContext.master)
+
+
+def warehouse_scratch(warehouse: str, master: str) -> str:
+    if not master.startswith("local") and warehouse.startswith(("/", "file:")):
+        raise ValueError(f"spark.checkpoint.dir is not set and the warehouse {warehouse} is a local folder; set spark.checkpoint.dir to a shared one")
+    return f"{warehouse.rstrip('/')}/_scratch"
 
 
 def new_scratch(spark: SparkSession, label: str) -> str:

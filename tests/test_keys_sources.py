@@ -117,3 +117,33 @@ def test_repeated_catalog_key_fails_in_the_plan(spark):
     out = left_enrich(fact, cat, ["k"], ["label"], name="codes")
     with pytest.raises(Exception, match="codes: key .'k'. is not unique"):
         out.collect()
+
+
+def test_surplus_cells_fail_every_plan(spark, workdir):
+    from incidentmart.sources.csv import read_csv
+
+    write(workdir, "s.csv", "a,b\n1,2\n3,4,5\n6\n")
+    df = read_csv(spark, workdir, "s.csv")
+    for plan in (df.select("b").collect, df.count, df.groupBy("b").count().collect, lambda: df.agg({"b": "max"}).collect()):
+        with pytest.raises(Exception, match="more than 2 cells"):
+            plan()
+    write(workdir, "ok.csv", "a,b\n1,2\n6\n")
+    ok = read_csv(spark, workdir, "ok.csv")
+    assert ok.count() == 2 and sorted(r.b or "" for r in ok.select("b").collect()) == ["", "2"]
+
+
+@pytest.mark.parametrize("header", ["a,a,b", "a,A ,b", '"a","b","a"'])
+def test_repeated_header_names_are_refused(spark, workdir, header):
+    from incidentmart.sources.csv import read_csv
+
+    write(workdir, "d.csv", f"{header}\n1,2,3\n")
+    with pytest.raises(ValueError, match="duplicate column names"):
+        read_csv(spark, workdir, "d.csv")
+
+
+def test_file_without_a_header(spark, workdir):
+    from incidentmart.sources.csv import read_csv
+
+    write(workdir, "e.csv", "")
+    with pytest.raises(ValueError, match="no header"):
+        read_csv(spark, workdir, "e.csv")

@@ -71,3 +71,13 @@ def test_a_running_session_is_not_changed(spark):
 def test_queries_make_no_folder_outside_the_shared_one(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("tempfile.mkdtemp", None)
     assert E.queries()["mart_round_trip"](spark, SF).count() == 5
+
+
+def test_local_folders_are_refused_on_a_cluster():
+    from incidentmart.staging import warehouse_scratch
+
+    assert warehouse_scratch("file:/tmp/wh/", "local[4]") == "file:/tmp/wh/_scratch"
+    assert warehouse_scratch("hdfs://n/wh", "yarn") == "hdfs://n/wh/_scratch"
+    for folder in ("/tmp/wh", "file:/tmp/wh"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            warehouse_scratch(folder, "spark://host:7077")

@@ -180,7 +180,12 @@ def q_incident_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         long("q8", R.driver_profile_with_victims(t), ["sexo", "edad_descripcion", "aliento_alcoholico", "cinturon_seguridad"]),
         long("k2", R.kpis_severity(t).select("registros_fact", *R.SEVERITY), []),
         long("q1_dashboard", page["q1"], ["entidad"]),
+        long("q2_dashboard", page["q2"], ["mes_numero", "mes_nombre"]),
+        long("q4_dashboard", page["q4"], ["dia_semana_numero", "dia_semana_nombre", "banda_horaria"]),
+        long("q4_matrix", page["q4_matrix"].drop("dia_semana_numero"), ["dia_semana_nombre"]),
         long("q5_dashboard", page["q5"], ["entidad", "municipio"]),
+        long("q6_dashboard", page["q6"], ["clasificacion"]),
+        long("kpis_dashboard", page["kpis"], []),
     ]
     out = parts[0]
     for p in parts[1:]:

@@ -685,6 +685,9 @@ q1 AS (
 ), q8 AS (
     SELECT sexo || '|' || edad || '|' || aliento || '|' || cinturon AS label, {_SEVERITY}
     FROM raw WHERE muertos > 0 OR heridos > 0 GROUP BY 1
+), cell AS (
+    SELECT dow, ['Lunes', 'Martes', 'Miércoles', 'Jueves', 'Viernes', 'Sábado', 'Domingo'][dow] AS day_name, band
+    FROM (SELECT unnest(range(1, 8)) AS dow), (SELECT unnest(['Madrugada', 'Mañana', 'Tarde', 'Noche', 'Sin especificar']) AS band)
 ), k2 AS (SELECT CAST(count(*) AS BIGINT) AS registros_fact, {_SEVERITY} FROM raw)
 """ + " UNION ALL ".join([
     _long("q1", "q1", "entidad", ["ranking", *_THREE, "muertos_por_accidente", "heridos_por_accidente"]),
@@ -697,5 +700,10 @@ q1 AS (
     _long("q8", "q8", "label", _THREE),
     _long("k2", "k2", "''", ["registros_fact", *_THREE]),
     _long("q1_dashboard", "q1", "entidad", ["ranking", "total_accidentes"]),
+    _long("q2_dashboard", "q2", "label", ["total_accidentes", "accidentes_mes_anterior", "variacion_accidentes", "variacion_porcentual_accidentes"]),
+    _long("q4_dashboard", "q4", "label", ["total_accidentes", "banda_orden"]),
+    "SELECT 'q4_matrix', day_name, band, CAST(q4.total_accidentes AS DOUBLE) FROM cell LEFT JOIN q4 ON cell.dow = q4.dow AND cell.band = q4.banda_horaria",
+    _long("q6_dashboard", "q6", "clase", ["total_accidentes", "porcentaje_accidentes"]),
+    _long("kpis_dashboard", "k2", "''", ["registros_fact", "total_accidentes"]),
     _long("q5_dashboard", "q5", "entidad || '|' || municipio", ["total_accidentes", "ranking_en_entidad"]),
 ])

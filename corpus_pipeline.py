@@ -57,8 +57,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' other columns with sampled SentencePiece ids instead of the text."""
-    coded = encode_sampled(docs, public_tokenizers.path(MODEL), seed=SEED)
-    return coded.drop("text", "n_pieces").withColumn("n_pieces", F.coalesce(F.size("pieces"), F.lit(0)).cast("long"))
+    others = [c for c in docs.columns if c.lower() not in ("text", "pieces", "n_pieces")]
+    coded = encode_sampled(docs, public_tokenizers.path(MODEL), seed=SEED, columns=others)
+    return coded.withColumn("n_pieces", F.coalesce(F.size("pieces"), F.lit(0)).cast("long"))
 
 
 STAGES = [

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from incidentmart.llm import exact_dedup, langid, mixing
-from incidentmart.llm.common import stage
+from incidentmart.llm.common import fresh, stage
 from incidentmart.llm.jaccard_join import keep_one
 from incidentmart.llm.piece_sampling import encode_sampled
 from incidentmart.llm.queries import language_model, mixed, table
@@ -25,7 +25,8 @@ SEED = 0
 
 def _aside(docs: DataFrame, made: list[str]) -> tuple[DataFrame, list]:
     """``docs`` with columns that an operator would replace set aside, and the columns that bring them back."""
-    clash = {c: f"__own_{i}" for i, c in enumerate(docs.columns) if c.lower() in {m.lower() for m in made}}
+    taken = [c for c in docs.columns if c.lower() in {m.lower() for m in made}]
+    clash = dict(zip(taken, fresh([*docs.columns, *made], *[f"own_{c}" for c in taken])))
     return docs.withColumnsRenamed(clash), [F.col(f"`{clash.get(c, c)}`").alias(c) for c in docs.columns]
 
 
@@ -52,7 +53,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: sources weigh 3, 1, 2, and share 150 % of all words, at most twice their own."""
     rows, own = _aside(docs, mixing.OUT)
     taken = mixed(rows).filter("repeats > 0")
-    return taken.withColumn("__copy", F.explode(F.expr("sequence(1L, repeats)"))).select(*own)
+    copy, = fresh(taken.columns, "copy")
+    return taken.withColumn(copy, F.explode(F.expr("sequence(1L, repeats)"))).select(*own)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

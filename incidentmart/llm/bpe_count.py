@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import without
+from .common import own_names, without
 from .words import small
 
 # Fixed values of byte-level BPE: the pre-token pattern of the vocabulary's
@@ -112,6 +112,7 @@ def counter(path: str) -> Counter:
     return _COUNTERS[path]
 
 
+@own_names
 def count_tokens(docs: DataFrame, vocabulary: str, text_col: str = "text", limit: int = 1024, columns: list[str] | None = None) -> DataFrame:
     """``columns`` of ``docs`` (default: all but the text) plus ``n_bytes, n_tokens, over_limit``.
 
@@ -119,7 +120,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, text_col: str = "text", limit
     open.  Strings of its special tokens count one token where they stand.  Null
     text counts as empty: 0 bytes, 0 tokens.  Whole texts are counted.  An empty
     table gives an empty result; an input column named like an output column is
-    replaced.
+    replaced, any other comes back as it was.
     """
     keep = without(docs.select(*[F.col(f"`{c}`") for c in columns]) if columns is not None else docs.drop(text_col), OUT)
     kept = keep.columns

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..staging import new_scratch, stage
 
-__all__ = ["SPACES", "WORD", "fresh", "new_scratch", "number_rows", "stage", "without"]
+__all__ = ["SPACES", "WORD", "fresh", "new_scratch", "number_rows", "own_names", "stage", "without"]
 
 # Characters that separate words: space and U+0009 to U+000D.
 SPACES = " \t\n\x0b\x0c\r"
@@ -25,6 +27,31 @@ def fresh(taken: list[str], *wanted: str) -> list[str]:
     return out
 
 
+def own_names(operator):
+    """``operator``, whose helper columns start with two underscores, for input that has such columns too.
+
+    Those columns get other names on the way in, in the frame and in arguments
+    that name them, and their own back on the way out.  Without such a column
+    nothing is renamed and the plan is the operator's own.
+    """
+    @wraps(operator)
+    def run(docs: DataFrame, *args, **kwargs):
+        mine = [c for c in docs.columns if c.startswith("__")]
+        if not mine:
+            return operator(docs, *args, **kwargs)
+        other = dict(zip(mine, fresh(docs.columns, *[f"input{c}" for c in mine])))
+
+        def named(x):
+            if isinstance(x, str):
+                return other.get(x, x)
+            return [named(y) for y in x] if isinstance(x, list) else x
+
+        made = operator(docs.withColumnsRenamed(other), *map(named, args), **{k: named(v) for k, v in kwargs.items()})
+        return made.withColumnsRenamed({new: old for old, new in other.items()})
+
+    return run
+
+
 def without(df: DataFrame, names: list[str]) -> DataFrame:
     """``df`` without columns whose name, in any case, is among ``names``."""
     gone = {n.lower() for n in names}

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SPACES, stage, without
+from .common import SPACES, own_names, stage, without
 
 BUCKET_BITS = 1 << 15           # bits of one built-in bitmap
 PROBES = 4                      # positions of 15 bits each, out of one 64-bit hash
@@ -44,6 +44,7 @@ def repeated_filter(keyed: DataFrame, buckets: int) -> DataFrame:
     return twice.groupBy(F.col("__bucket").alias("__fb")).agg(F.bitmap_construct_agg("__bit").alias("__bitmap"))
 
 
+@own_names
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 bits_per_row: int = 16, max_buckets: int = 1 << 15) -> DataFrame:
     """Every row of ``docs`` plus ``keep_id, group_size, kept, text_sha256``.
@@ -55,7 +56,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     * Null text counts as empty; empty texts are equal to one another.
     * Rows that repeat with the same id and the same text: exactly one is kept.
     * An empty table gives an empty result; an input column named like an
-      output column is replaced.
+      output column is replaced, any other comes back as it was.
     * The filter has ``bits_per_row`` bits per row up to ``max_buckets`` bitmaps
       of 4 KB (128 MB), which bounds the broadcast.  Beyond that it fills up and
       more rows take the shuffle; the result does not change.

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import stage
+from .common import own_names, stage
 from .components import components
 from .words import U, Words, give_back, mix, slices, small, stream
 
@@ -514,9 +514,13 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         (alone | ((F.col("v") == F.col("win_v")) & F.col("id").eqNullSafe(F.col("class_id")))).alias("kept"))
 
 
+@own_names
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
              threshold: float = 0.8, recall: float = 0.999) -> DataFrame:
-    """``docs`` with one document of each class of ``jaccard_join``: the one with the smallest id."""
+    """``docs`` with one document of each class of ``jaccard_join``: the one with the smallest id.
+
+    All columns of ``docs`` come back as they were, whatever their names.
+    """
     _, vertices = similarity_classes(docs, id_col, text_col, width, threshold, recall)
     names = docs.columns
     rows = docs.withColumn("__t", F.col(f"`{text_col}`").cast("binary"))

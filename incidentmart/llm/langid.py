@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import stage, without
+from .common import own_names, stage, without
 from .words import U, mix, small
 
 ORDER = 4
@@ -335,6 +335,7 @@ def fit_languages(labelled: DataFrame, text_col: str = "text", lang_col: str = "
     return model
 
 
+@own_names
 def identify_language(docs: DataFrame, model: LanguageModel, text_col: str = "text", columns: list[str] | None = None) -> DataFrame:
     """``columns`` of ``docs`` (default all) plus ``lang_pred, score, cross_entropy, n_symbols, rejected``.
 
@@ -343,7 +344,7 @@ def identify_language(docs: DataFrame, model: LanguageModel, text_col: str = "te
     and is rejected.  Ties go to the first language by code point.  ``score`` is
     the posterior of the language over at most 50 symbols' worth of evidence.
     An empty table gives an empty result; an input column named like an output
-    column is replaced, unless it is the text.
+    column is replaced, unless it is the text; any other comes back as it was.
     """
     clash = [c for c in OUT if c.lower() != text_col.lower()]
     keep = without(docs.select(*[F.col(f"`{c}`") for c in columns]) if columns is not None else docs, clash)

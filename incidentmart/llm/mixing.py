@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, without
+from .common import own_names, stage, without
 
 KEY_BITS = 60
 BUCKET_SHIFT = KEY_BITS - 12    # 4,096 hash ranges per source
@@ -57,10 +57,15 @@ def mix_sources(docs: DataFrame, weights: DataFrame, size, id_col: str = "doc_id
     * Null text has size 0 by the caller's expression; null sizes count as 0.
     * Rows with the same id are taken alike; reruns agree, in any row order.
     * An empty table gives an empty result; an input column named like an
-      output column is replaced.
+      output column is replaced, any other comes back as it was.
     """
     sized = without(docs, [c for c in OUT if c.lower() not in (id_col.lower(), source_col.lower())]) \
         .withColumn("size", F.coalesce(size, F.lit(0)).cast("long"))
+    return _take(sized, weights, id_col, source_col, share, max_epochs, seed)
+
+
+@own_names
+def _take(sized: DataFrame, weights: DataFrame, id_col: str, source_col: str, share: float, max_epochs: float, seed: int) -> DataFrame:
     narrow = stage(sized.select(F.col(f"`{source_col}`").alias("s"), F.col("size"), seeded_key(id_col, seed).alias("u")), "mix-rows")
     totals = narrow.groupBy("s").agg(F.sum("size").alias("source_size"))
     w = weights.select(F.col("source").alias("ws"), F.col("weight").cast("double").alias("weight"))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import stage, without
+from .common import own_names, stage, without
 from .words import U, Words, mix, slices, small
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -88,6 +88,7 @@ def count_texts(texts: list[bytes | None]) -> list[np.ndarray]:
     return [np.concatenate(p).astype(np.int64) for p in parts]
 
 
+@own_names
 def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` without its text, plus the five counts; null text counts as empty."""
     keep = without(docs, [text_col, *OUT])
@@ -138,6 +139,7 @@ def fences(sketches: DataFrame, group: list[str]) -> DataFrame:
     return q.groupBy(*group).agg(*[of("lower", r).alias(f"min_{r}") for r in LOWER], *[of("upper", r).alias(f"max_{r}") for r in UPPER])
 
 
+@own_names
 def quality_filter(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """Every row of ``docs`` (without its text) plus the counts, ``base_failed, kept`` and the fences of its group.
 
@@ -149,7 +151,7 @@ def quality_filter(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
     * One row alone is its own median and inside its fences; the spread has a
       floor, so that a few rows that are alike do not reject the next.
     * An empty table gives an empty result; an input column named like an
-      output column is replaced.
+      output column is replaced, any other comes back as it was.
     """
     base = F.expr("n_words < 10 OR 100 * n_repeat_words > 20 * n_words")
     names = [f"min_{r}" for r in LOWER] + [f"max_{r}" for r in UPPER]

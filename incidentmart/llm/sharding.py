@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import number_rows, stage, without
+from .common import number_rows, own_names, stage, without
 from .words import U, mix, stream
 
 ROUNDS = 6
@@ -55,6 +55,7 @@ def row_at(shard: int, slot: int, n: int, shards: int, seed: int) -> int:
     return int(permute(np.array([slot * shards + shard]), n, seed, back=True)[0])
 
 
+@own_names
 def shard_rows(docs: DataFrame, order: list[str], shards: int = 8, seed: int = 17) -> DataFrame:
     """Every row of ``docs`` plus ``row_number, shard, slot``.
 
@@ -63,7 +64,7 @@ def shard_rows(docs: DataFrame, order: list[str], shards: int = 8, seed: int = 1
     0 without a gap.  Rows that tie in every order column are alike and take the
     places of their class in any order.  An empty table gives an empty result;
     an input column named like an output column is replaced, unless it is in
-    ``order``, which raises ValueError.
+    ``order``, which raises ValueError; any other column comes back as it was.
     """
     made = ["row_number", "shard", "slot"]
     if clash := [c for c in order if c.lower() in made]:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import without
+from .common import own_names, without
 from .words import U, Words, slices
 
 PERIOD, COVER = 7, (1, 2, 4)
@@ -129,6 +129,7 @@ def _columns(t: pa.Table) -> tuple[list, list]:
     return t.column("__id").to_pylist(), t.column("__text").to_pylist()
 
 
+@own_names
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 13,
                    group_bytes: int = 4 << 20, min_buckets: int = 64) -> DataFrame:
     """Every row of ``docs`` plus ``n_words, n_removed, kept_text, removed_spans, kept_sha256``.
@@ -142,7 +143,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     * Rows with equal ids are one document for the comparison: neither loses
       words to the other.  Null ids come after all others.
     * An empty table gives an empty result; an input column named like an
-      output column is replaced.
+      output column is replaced, any other comes back as it was.
     * Hashes have 64 bits; two different windows are taken as equal with a
       chance of about (windows squared) / 2^65.
     """

@@ -76,25 +76,27 @@ class Group:
         return at[on], h[on]
 
 
-def by_bucket(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashes in the order of (bucket, hash), and where each bucket starts."""
+def by_bucket(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashes in the order of (bucket, hash), the buckets they fill, and where each of these starts (and the last ends)."""
     distinct = np.unique(hashes)
     bucket = (distinct >> U(20)) % U(buckets)
     distinct = distinct[np.argsort(bucket, kind="stable")]
-    return distinct, np.searchsorted(np.sort(bucket), np.arange(buckets + 1, dtype=U))
+    full, starts = np.unique(np.sort(bucket), return_index=True)
+    return distinct, full.astype(np.int64), np.append(starts, len(distinct))
 
 
 def _bits(flags: np.ndarray) -> bytes:
     return np.packbits(flags).tobytes()
 
 
-def _read_bits(table: pa.Table, kind: int, starts: np.ndarray) -> np.ndarray:
+def _read_bits(table: pa.Table, kind: int, full: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """The bits that came back for each distinct hash; a bucket that sent none has zeros."""
     out = np.zeros(int(starts[-1]), bool)
     for k, b, bits in zip(table.column("kind").to_pylist(), table.column("bucket").to_pylist(), table.column("bits").to_pylist()):
         if k == kind:
-            n = int(starts[b + 1] - starts[b])
-            out[starts[b]:starts[b + 1]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)
+            at = int(np.searchsorted(full, b))
+            n = int(starts[at + 1] - starts[at])
+            out[starts[at]:starts[at + 1]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)
     return out
 
 
@@ -109,8 +111,8 @@ def _lookup(distinct: np.ndarray, flags: np.ndarray, hashes: np.ndarray) -> np.n
 
 def _hot_anchors(g: Group, back: pa.Table, buckets: int) -> np.ndarray:
     at, h = g.anchors()
-    distinct, starts = by_bucket(h, buckets)
-    return at[_lookup(distinct, _read_bits(back, 0, starts), h)]
+    distinct, full, starts = by_bucket(h, buckets)
+    return at[_lookup(distinct, _read_bits(back, 0, full, starts), h)]
 
 
 def _smallest(g: Group, at: np.ndarray, h: np.ndarray, distinct: np.ndarray) -> np.ndarray:
@@ -161,19 +163,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         grp = t.column("__grp")[0].as_py()
         g = Group(*_columns(t), width)
         at, h = g.anchors()
-        distinct, starts = by_bucket(h, buckets)
+        distinct, full, starts = by_bucket(h, buckets)
         where = np.argsort(distinct)[np.searchsorted(np.sort(distinct), h)]
         low, high = np.full(len(distinct), NO_ID), np.full(len(distinct), -NO_ID)
         ids = g.rank[g.owner[at]]
         np.minimum.at(low, where, ids)
         np.maximum.at(high, where, ids)
         several = low < high
-        return _send(grp, 0, distinct, starts, lambda i, j: (
+        return _send(grp, 0, full, starts, lambda i, j: (
             np.ascontiguousarray((distinct[i:j] >> U(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes(), _bits(several[i:j])))
 
-    def _send(grp: int, kind: int, distinct: np.ndarray, starts: np.ndarray, pack) -> pa.Table:
-        full = [b for b in range(buckets) if starts[b + 1] > starts[b]]
-        packed = [pack(int(starts[b]), int(starts[b + 1])) for b in full]
+    def _send(grp: int, kind: int, full: np.ndarray, starts: np.ndarray, pack) -> pa.Table:
+        packed = [pack(i, j) for i, j in zip(starts[:-1].tolist(), starts[1:].tolist())]
         return pa.table({"bucket": pa.array(full, pa.int32()), "grp": pa.array([grp] * len(full), pa.int64()), "kind": pa.array([kind] * len(full), pa.int32()),
                          "hashes": pa.array([p[0] for p in packed], pa.binary()), "more": pa.array([p[1] for p in packed], pa.binary())})
 
@@ -205,10 +206,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             return pa.table({c: pa.array([], k) for c, k in (("bucket", pa.int32()), ("grp", pa.int64()), ("kind", pa.int32()), ("hashes", pa.binary()), ("more", pa.binary()))})
         g = Group(*_columns(t), width)
         at, h = g.windows(_hot_anchors(g, back, buckets))
-        distinct, starts = by_bucket(h, buckets)
+        distinct, full, starts = by_bucket(h, buckets)
         low = _smallest(g, at, h, distinct)
         # the bytes of the ids are laid out plane by plane, which the shuffle compresses well
-        return _send(t.column("__grp")[0].as_py(), 1, distinct, starts, lambda i, j: (
+        return _send(t.column("__grp")[0].as_py(), 1, full, starts, lambda i, j: (
             distinct[i:j].tobytes(), np.ascontiguousarray(low[i:j].view(np.uint8).reshape(-1, 8).T).tobytes()))
 
     def earlier(t: pa.Table) -> pa.Table:
@@ -231,11 +232,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         else:
             g = Group(*_columns(t), width)
             at, h = g.windows(_hot_anchors(g, back, buckets))
-            distinct, starts = by_bucket(h, buckets)
+            distinct, full, starts = by_bucket(h, buckets)
             low = _smallest(g, at, h, distinct)
             order = np.argsort(distinct)
             where = order[np.searchsorted(distinct[order], h)]
-            gone = _read_bits(back, 1, starts)[where] | (low[where] < g.rank[g.owner[at]])
+            gone = _read_bits(back, 1, full, starts)[where] | (low[where] < g.rank[g.owner[at]])
             edge = np.zeros(len(g.owner) + 1, np.int64)
             np.add.at(edge, at[gone], 1)
             np.add.at(edge, at[gone] + width, -1)

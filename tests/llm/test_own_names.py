@@ -17,7 +17,7 @@ from incidentmart.llm.mixing import mix_sources
 from incidentmart.llm.quality import quality_filter
 from incidentmart.llm.sharding import shard_rows
 from incidentmart.llm.substring_dedup import remove_repeats
-from tests.llm.cases import odd
+from cases import odd
 
 FOLDER = os.path.dirname(incidentmart.llm.__file__)
 HELPERS = sorted({n for f in os.listdir(FOLDER) if f.endswith(".py")

@@ -1,8 +1,9 @@
 import hashlib
 
+import numpy as np
 import pytest
 
-from incidentmart.llm.substring_dedup import COVER, PERIOD, covers, remove_repeats
+from incidentmart.llm.substring_dedup import COVER, PERIOD, by_bucket, covers, remove_repeats
 
 from cases import ODD, empty, odd, words
 
@@ -37,6 +38,15 @@ def test_cover():
             assert any((a + d) % PERIOD in COVER and (b + d) % PERIOD in COVER for d in range(PERIOD))
 
 
+def test_a_group_visits_the_buckets_it_fills_only():
+    hashes = np.array([5 << 20, 5 << 20, 7 << 20, (7 << 20) + 1, 3], np.uint64)
+    distinct, full, starts = by_bucket(hashes, 1 << 31)
+    assert full.tolist() == [0, 5, 7] and starts.tolist() == [0, 1, 2, 4]
+    assert distinct.tolist() == [3, 5 << 20, 7 << 20, (7 << 20) + 1]
+    distinct, full, starts = by_bucket(np.zeros(0, np.uint64), 64)
+    assert not len(full) and starts.tolist() == [0]
+
+
 def test_odd_rows(spark):
     assert run(odd(spark).selectExpr("*", "1 AS grp", "2 AS N_words")) == brute([(i, t) for i, t, *_ in ODD])
     assert remove_repeats(empty(spark)).count() == 0
@@ -53,6 +63,7 @@ def test_shifted_passages_in_many_groups(spark):
         rows.append((i, " ".join(own[:cut] + base[i % 23:i % 23 + 10 + i % 25] + own[cut:] + (base[:13] if i % 5 == 0 else base[:12]))))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert run(df, group_bytes=4000, min_buckets=8) == brute(rows)
+    assert run(df, group_bytes=4000, min_buckets=100_000) == brute(rows)
     got = {r.doc_id: r for r in remove_repeats(df, group_bytes=4000).collect()}
     for i, t in rows:
         w, spans = t.split(), got[i].removed_spans

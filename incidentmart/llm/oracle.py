@@ -1,5 +1,8 @@
 """DuckDB SQL for the operator queries that SQL can express, over whole tables."""
 
+from .sharding import ROUNDS
+from .words import stream
+
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 MIXING = rf"""
@@ -200,11 +203,105 @@ SELECT v.vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(a.far AS BIGINT) AS dista
 FROM a JOIN v ON a.row = v.row JOIN g ON a.c = g.c
 """
 
+_M64 = "18446744073709551616::UHUGEINT"
+
+
+def _shift_multiply(z: str, bits: int, factor: int) -> str:
+    """``(z xor z >> bits) * factor`` in 64 bits; factor 1 leaves the product out."""
+    mixed = f"xor({z}, {z} >> {bits})"
+    return mixed if factor == 1 else f"CAST(({mixed}::UHUGEINT * {factor}::UHUGEINT) % {_M64} AS UBIGINT)"
+
+
+def _feistel(of: str, keys: list[int]) -> str:
+    """One pass of the network over ``of`` (columns row, x, n, half): the same columns with the new x."""
+    q = f"SELECT row, n, half, x >> half AS l, x & ((1::UBIGINT << half) - 1) AS r FROM {of}"
+    for k in keys:
+        q = f"SELECT *, CAST((r::UHUGEINT + {k}::UHUGEINT) % {_M64} AS UBIGINT) AS z FROM ({q})"
+        for bits, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
+            q = f"SELECT * REPLACE ({_shift_multiply('z', bits, factor)} AS z) FROM ({q})"
+        q = f"SELECT row, n, half, r AS l, xor(l, z & ((1::UBIGINT << half) - 1)) AS r FROM ({q})"
+    return f"SELECT row, (r << half) | l AS x, n, half FROM ({q})"
+
+
+def _crc_of_byte(b: int) -> int:
+    for _ in range(8):
+        b = b >> 1 ^ (0xEDB88320 if b & 1 else 0)
+    return b
+
+
+# CRC-32 of the text's bytes, one table step a byte
+_CRC32 = (
+    "CAST(xor(list_reduce(list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: CAST('0x' || h AS BIGINT)), "
+    f"lambda c, b: xor(c >> 8, {[_crc_of_byte(b) for b in range(256)]}[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS BIGINT)")
+
+# the keys of the network for seed 17, and its walk: numbers of n or more are permuted again
+SHARDING = f"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS size, {_CRC32} AS text_crc32 FROM documents
+), o AS MATERIALIZED (
+  SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS row FROM d
+), b AS (
+  SELECT CAST(row AS UBIGINT) AS row, n, CAST(greatest(1, (length(bin(greatest(n - 1, 1))) + 1) // 2) AS INTEGER) AS half
+  FROM o, (SELECT count(*) AS n FROM d)
+), w AS (
+  {_feistel("(SELECT *, row AS x FROM b)", [int(k) for k in stream(17, ROUNDS)])}
+  UNION ALL
+  {_feistel("(SELECT * FROM w WHERE x >= n)", [int(k) for k in stream(17, ROUNDS)])}
+)
+SELECT o.doc_id, o.size, o.text_crc32, 'rows' AS law, CAST(w.x % 8 AS INTEGER) AS shard, CAST(w.x // 8 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM o JOIN w ON o.row = w.row AND w.x < w.n
+"""
+
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((CAST('0x' || substr(h, {5 * i + 1}, 5) AS INTEGER) >> {s}) & 31) + 1, 1)"
+    for i in range(8) for s in (15, 10, 5, 0))
+
+WARC = f"""
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+), g AS (
+  SELECT *, max(page_id) OVER (PARTITION BY h) AS last FROM p
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id < last THEN last END AS refers_to
+FROM g
+"""
+
+# every pair of different texts that share a shingle, compared exactly; classes by reachability
+JACCARD_JOIN = rf"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, words, CASE WHEN len(words) > 0 THEN dense_rank() OVER (ORDER BY words) END AS v
+  FROM (SELECT doc_id, {_WORDS} AS words FROM documents)
+), t AS MATERIALIZED (
+  SELECT v, any_value(words) AS words, count(*) AS copies, min(doc_id) AS least FROM d WHERE v IS NOT NULL GROUP BY v
+), s AS MATERIALIZED (
+  SELECT DISTINCT v, array_to_string(words[p:p + 4], ' ') AS shingle FROM (SELECT v, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS p FROM t)
+), n AS (
+  SELECT v, count(*) AS n FROM s GROUP BY v
+), i AS (
+  SELECT a.v, b.v AS w, count(*) AS shared FROM s a JOIN s b ON a.shingle = b.shingle AND a.v <> b.v GROUP BY a.v, b.v
+), e AS MATERIALIZED (
+  SELECT i.v, i.w FROM i JOIN n a ON i.v = a.v JOIN n b ON i.w = b.v WHERE 5 * shared >= 4 * (a.n + b.n - shared)
+), r AS (
+  SELECT v, v AS w FROM t UNION SELECT r.v, e.w FROM r JOIN e ON r.w = e.v
+), c AS (
+  SELECT r.v, min(t.least) AS class_id FROM r JOIN t ON r.w = t.v GROUP BY r.v
+), l AS (
+  SELECT e.v, sum(t.copies) AS links FROM e JOIN t ON e.w = t.v GROUP BY e.v
+)
+SELECT d.doc_id, CASE WHEN d.v IS NULL THEN d.doc_id ELSE c.class_id END AS class_id,
+       CAST(coalesce(t.copies - 1 + coalesce(l.links, 0), 0) AS BIGINT) AS n_links, d.v IS NULL OR d.doc_id = c.class_id AS kept
+FROM d LEFT JOIN t ON d.v = t.v LEFT JOIN c ON d.v = c.v LEFT JOIN l ON d.v = l.v
+"""
+
 ORACLE = {
     "op2_mixing": MIXING,
     "op3_exact_dedup": EXACT_DEDUP,
+    "op4_sharding": SHARDING,
+    "op5_warc": WARC,
     "op6_substring_dedup": SUBSTRING_DEDUP,
     "op9_quality_rules": QUALITY,
+    "op10_jaccard_join": JACCARD_JOIN,
     "op12_decontamination": DECONTAMINATION,
     "op13_clustering": CLUSTERING,
 }

@@ -3,7 +3,9 @@ load to load, and key lookups (J5-J7) by a digest of the natural key."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cache, partial
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -76,17 +78,20 @@ def with_digests(df: DataFrame, specs: dict[str, list[str]], of=digest) -> DataF
 
 @dataclass
 class Members:
-    """Numbered members of a dimension: (key, natural columns) and (key, digest) of the same rows.
-
-    ``exact``: all distinct natural keys of the rows they come from, members or
-    not, have different digests, so that equal digests mean equal keys.
-    """
+    """Numbered members of a dimension: (key, natural columns) and (key, digest) of the same rows."""
 
     frame: DataFrame
     by_digest: DataFrame
     key: str
     natural: list[str]
-    exact: bool
+    ambiguous: Callable[[], bool]
+
+    @property
+    def exact(self) -> bool:
+        """All distinct natural keys of the rows they come from, members or not,
+        have different digests, so that equal digests mean equal keys.  Asked by
+        lookups; the first question counts the digests of all dimensions."""
+        return not self.ambiguous()
 
 
 def number_members(rows: DataFrame, specs: dict[str, tuple[list[str], str]], whole: bool = False,
@@ -133,8 +138,12 @@ def number_members(rows: DataFrame, specs: dict[str, tuple[list[str], str]], who
         fresh = fresh.join(have, null_safe_condition(fresh, have, [(c, f"__n{i}") for i, c in enumerate(cols)])
                            & (F.col("__gid") == gid[name]), "left_anti")
         above[name] = old.agg(F.max(key)).first()[0] or 0
-    shared = {r[0] for r in every.distinct().groupBy("__gid", "__digest").agg(F.count(F.lit(1)).alias("n"))
-              .filter("n > 1").select("__gid").distinct().collect()}            # at most one row per dimension
+
+    @cache
+    def shared() -> set[int]:
+        return {r[0] for r in every.distinct().groupBy("__gid", "__digest").agg(F.count(F.lit(1)).alias("n"))
+                .filter("n > 1").select("__gid").distinct().collect()}          # at most one row per dimension
+
     order = [F.col("__gid"), *[F.col(c).asc_nulls_last() for c in merged]]
     ranged = fresh.repartitionByRange(num_partitions, *order) if num_partitions else fresh.repartitionByRange(*order)
     tagged = stage(ranged.sortWithinPartitions(*order).select(
@@ -153,7 +162,7 @@ def number_members(rows: DataFrame, specs: dict[str, tuple[list[str], str]], who
         if known and name in known:
             kept = known[name].select(F.col(key).cast("int").alias(key), *[F.col(c).cast(own.schema[c].dataType).alias(c) for c in cols])
             own = own.unionByName(kept.withColumn("__digest", of(cols)))
-        out[name] = Members(own.select(key, *cols), own.select(F.col("__digest").alias(digest_name(name)), key), key, cols, gid[name] not in shared)
+        out[name] = Members(own.select(key, *cols), own.select(F.col("__digest").alias(digest_name(name)), key), key, cols, partial(lambda g: g in shared(), gid[name]))
     return out
 
 
